@@ -52,7 +52,7 @@ def dup_count(df: DataFrame) -> DataFrame:
 
 def parse_date(df: DataFrame, col: str, out: str = "date_value") -> DataFrame:
     """Text -> DATE; unparsable text gives null (ANSI-safe ``try_to_date``)."""
-    return df.withColumn(out, F.try_to_date(F.col(col), F.lit("yyyy-MM-dd")))
+    return df.withColumn(out, F.try_to_date(F.col(col), "yyyy-MM-dd"))
 
 
 def quality_report(df: DataFrame) -> DataFrame:

@@ -1 +1,151 @@
-"""Registered queries (models)."""
+"""Registered feature and model queries."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..operators import features as ft
+from ..operators import joins, models
+from ..session import scratch_path
+from ..sources import fixtures as fx
+from ..sources.tables import spread
+from . import preprocessing as pp
+from .catalog import register
+from .daily import daily_features as build_daily
+from .queries_relational import ATTACH_SQL
+from .queries_text import _TFIDF_CTE
+
+MM_COLS = ["open", "high", "low", "volume"]
+
+
+@register("minmax_scale", ", st AS (SELECT " + ", ".join(
+    f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in MM_COLS) + " FROM posts)\nSELECT doc_id, " + ", ".join(
+    f"round(CASE WHEN hi_{c} = lo_{c} THEN 0.5 ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END, 9) AS mm_{c}"
+    for c in MM_COLS) + " FROM posts, st")
+def minmax_scale(spark, sf):
+    s = ft.minmax_scale_columns(fx.posts(spark, sf).select("doc_id", *MM_COLS), MM_COLS)
+    return s.select("doc_id", *[F.round(f"mm_{c}", 9).alias(f"mm_{c}") for c in MM_COLS])
+
+
+Z_COLS = ["open", "close", "volume"]
+
+
+@register("standard_scale", "SELECT doc_id, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END, 9) AS z_{c}"
+    for c in Z_COLS) + " FROM posts")
+def standard_scale(spark, sf):
+    s = ft.standard_scale(fx.posts(spark, sf).select("doc_id", *Z_COLS), Z_COLS)
+    return s.select("doc_id", *[F.round(f"z_{c}", 9).alias(f"z_{c}") for c in Z_COLS])
+
+
+@register("hash_split", """
+SELECT doc_id, CASE WHEN substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 4) < '3333' THEN 'test' ELSE 'train' END AS part
+FROM posts""")
+def hash_split(spark, sf):
+    return ft.hash_split(fx.posts(spark, sf).select("doc_id"))
+
+
+@register("linreg_fit", """
+SELECT round(regr_slope(close, open), 6) AS slope, round(regr_intercept(close, open), 6) AS intercept,
+       count(*) AS n FROM posts""")
+def linreg_fit(spark, sf):
+    p = fx.posts(spark, sf).select("open", "close")
+    vec = ft.assemble(["open"], "features").transform(p)
+    m = models.linear_regression("features", "close").fit(vec)
+    # The fitted coefficients are a model summary; they are returned with the row count the
+    # fit saw, as one row derived from the table.
+    return p.agg(F.count(F.lit(1)).alias("n")).select(
+        F.round(F.lit(float(m.coefficients[0])), 6).alias("slope"),
+        F.round(F.lit(float(m.intercept)), 6).alias("intercept"), "n")
+
+
+@register("regression_metrics", ATTACH_SQL + """
+SELECT count(*) AS n, round(sqrt(avg((close - prediction) * (close - prediction))), 6) AS rmse,
+       round(1 - sum((close - prediction) * (close - prediction)) / (var_pop(close) * count(*)), 6) AS r2
+FROM attached WHERE prediction IS NOT NULL""")
+def regression_metrics(spark, sf):
+    a = joins.attach_predictions(fx.posts(spark, sf), fx.predictions(spark, sf)) \
+        .filter(F.col("prediction").isNotNull())
+    m = models.regression_metrics(a, "close", "prediction")
+    return m.select("n", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+def _daily_sql():
+    mm = ["volume", "n_posts", "max_tfidf", "mean_tfidf", "sum_tfidf", "close"]
+    zc = ["volume", "open", "n_posts", "max_tfidf", "mean_tfidf", "sum_tfidf", "close"]
+    other = ["high", "low", "polarity", "subjectivity"]
+    mm_sel = ", ".join(
+        f"CASE WHEN max({c}) OVER s = min({c}) OVER s THEN {c} - min({c}) OVER s "
+        f"ELSE ({c} - min({c}) OVER s) / (max({c}) OVER s - min({c}) OVER s) END AS {c}" for c in mm)
+    z_sel = ", ".join(
+        f"round(({c} - avg({c}) OVER s) / CASE WHEN stddev_pop({c}) OVER s = 0 THEN 1 ELSE stddev_pop({c}) OVER s END, 6) AS {c}"
+        for c in zc)
+    return _TFIDF_CTE + f""",
+roll AS (SELECT symbol, dt, CAST(count(*) AS DOUBLE) AS n_posts, arg_min(open, doc_id) AS open,
+                arg_min(high, doc_id) AS high, arg_min(low, doc_id) AS low, arg_min(close, doc_id) AS close,
+                arg_min(volume, doc_id) AS volume FROM posts GROUP BY symbol, dt),
+lw AS (SELECT symbol, dt, unnest(regexp_extract_all(lower(tweet), '[a-z]{{3,}}')) AS word FROM posts),
+sc AS (SELECT symbol, dt, avg(polarity) AS pol, avg(subjectivity) AS subj FROM lw JOIN lexicon USING (word) GROUP BY symbol, dt),
+tfs AS (SELECT d.symbol, d.dt,
+          coalesce(CASE WHEN nrm > 0 THEN mx / nrm END, 0.0) AS max_tfidf,
+          coalesce(CASE WHEN nrm > 0 THEN sx / nrm / n_vocab END, 0.0) AS mean_tfidf,
+          coalesce(CASE WHEN nrm > 0 THEN sx / nrm END, 0.0) AS sum_tfidf
+        FROM days d LEFT JOIN per USING (symbol, dt) LEFT JOIN voc USING (symbol)),
+base AS (SELECT r.symbol, r.dt, r.open, r.high, r.low, r.close, r.volume, r.n_posts,
+                coalesce(sc.pol, 0.0) AS polarity, coalesce(sc.subj, 0.0) AS subjectivity,
+                t.max_tfidf, t.mean_tfidf, t.sum_tfidf
+         FROM roll r LEFT JOIN sc USING (symbol, dt) LEFT JOIN tfs t USING (symbol, dt)),
+mmd AS (SELECT symbol, dt, open, {", ".join(other)}, {mm_sel} FROM base WINDOW s AS (PARTITION BY symbol))
+SELECT symbol, CAST(dt AS VARCHAR) AS dt, {", ".join(f"round({c}, 6) AS {c}" for c in other)}, {z_sel}
+FROM mmd WINDOW s AS (PARTITION BY symbol)"""
+
+
+@register("daily_features", _daily_sql())
+def daily_features(spark, sf):
+    d = build_daily(spread(fx.posts(spark, sf), "doc_id"), fx.lexicon(spark, sf))
+    return d.select("symbol", F.col("dt").cast("string").alias("dt"),
+                    *[F.round(c, 6).alias(c) for c in d.columns if c not in ("symbol", "dt")])
+
+
+# ---- rows-only checks (ML fits) -----------------------------------------------------------
+
+def _split_posts(spark, sf):
+    return ft.hash_split(spread(fx.posts(spark, sf), "doc_id"))
+
+
+@register("feature_width")
+def feature_width(spark, sf):
+    p = _split_posts(spark, sf)
+    model = pp.fit_preprocessing(p)
+    return models.feature_width(model.transform(p))
+
+
+@register("batch_score")
+def batch_score(spark, sf):
+    p = _split_posts(spark, sf)
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"))
+    return pp.score(p.filter(F.col("part") == "test"), model).select("doc_id", "close", "prediction")
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf):
+    p = _split_posts(spark, sf)
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"))
+    path = pp.save_model(model, scratch_path(spark, "model"))
+    loaded = pp.load_model(path)
+    test = p.filter(F.col("part") == "test")
+    a = model.transform(test).select("doc_id", "prediction")
+    b = loaded.transform(test).select("doc_id", F.col("prediction").alias("reloaded_prediction"))
+    return a.join(b, "doc_id").withColumn(
+        "same", F.abs(F.col("prediction") - F.col("reloaded_prediction")) < 1e-9)
+
+
+@register("model_compare")
+def model_compare(spark, sf):
+    p = _split_posts(spark, sf)
+    train_raw = p.filter(F.col("part") == "train")
+    prep = pp.fit_preprocessing(train_raw)  # fitted inside the split (no leakage)
+    train = ft.fold_column(prep.transform(train_raw)).persist()
+    test = prep.transform(p.filter(F.col("part") == "test")).persist()
+    return models.compare_models(train, test)
