@@ -1 +1,120 @@
-"""Registered queries (series)."""
+"""Registered time-series queries (H1-H6) on the long daily series, all keys in parallel."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import timeseries as ts
+from ..sources import fixtures as fx
+from .catalog import register
+
+NLAGS = 20
+TRAIN_DAYS = 166
+
+
+def _series(spark, sf):
+    s = fx.series_long(spark, sf)
+    return s.select("k", "dt", (F.col("y") / 1e6).alias("v"))
+
+
+_ACF_CTE = """
+, s AS (SELECT k, dt, y / 1e6 AS v, row_number() OVER (PARTITION BY k ORDER BY dt) AS t FROM series_long),
+m AS (SELECT k, avg(v) AS mean, count(*) AS n FROM s GROUP BY k),
+d AS (SELECT s.k, s.t, s.v - m.mean AS d FROM s JOIN m USING (k)),
+lags AS (SELECT CAST(unnest(range(0, {n})) AS INTEGER) AS lag),
+prod AS (SELECT a.k, l.lag, sum(a.d * b.d) AS c FROM d a CROSS JOIN lags l JOIN d b ON b.k = a.k AND b.t = a.t + l.lag
+         GROUP BY a.k, l.lag),
+r AS (SELECT p.k, p.lag, p.c / max(CASE WHEN p.lag = 0 THEN p.c END) OVER (PARTITION BY p.k) AS acf, m.n
+      FROM prod p JOIN m USING (k))
+"""
+
+
+@register("acf", _ACF_CTE.format(n=NLAGS + 1) + """
+SELECT k, lag, round(acf, 6) AS acf,
+       round(1.959963984540054 * sqrt(CASE WHEN lag = 0 THEN 0.0 ELSE (1 + 2 * coalesce(sum(CASE WHEN lag > 0 THEN acf * acf END)
+             OVER (PARTITION BY k ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n END), 6) AS band
+FROM r""")
+def acf(spark, sf):
+    a = ts.acf(_series(spark, sf), "v", "k", NLAGS)
+    return a.select("k", "lag", F.round("acf", 6).alias("acf"), F.round("band", 6).alias("band"))
+
+
+@register("pacf", _ACF_CTE.format(n=3) + """
+, w AS (SELECT k, max(CASE WHEN lag = 1 THEN acf END) AS r1, max(CASE WHEN lag = 2 THEN acf END) AS r2 FROM r GROUP BY k)
+SELECT k, 0 AS lag, 1.0 AS pacf FROM w
+UNION ALL SELECT k, 1, round(r1, 6) FROM w
+UNION ALL SELECT k, 2, round((r2 - r1 * r1) / (1 - r1 * r1), 6) FROM w""")
+def pacf(spark, sf):
+    p = ts.pacf(ts.acf(_series(spark, sf), "v", "k", 2), "k")
+    return p.select("k", "lag", F.round("pacf", 6).alias("pacf"))
+
+
+@register("pacf_full")
+def pacf_full(spark, sf):
+    return ts.pacf(ts.acf(_series(spark, sf), "v", "k", NLAGS), "k")
+
+
+def _crit_sql(level_coeffs, name):
+    b0, b1, b2, b3 = level_coeffs
+    inv = "(1.0 / nobs)"
+    return f"round({b0} + {b1} * {inv} + {b2} * {inv} * {inv} + {b3} * {inv} * {inv} * {inv}, 6) AS {name}"
+
+
+@register("unit_root_lag0", f"""
+, s AS (SELECT k, y / 1e6 AS v, lag(y / 1e6) OVER (PARTITION BY k ORDER BY dt) AS y1 FROM series_long),
+g AS (SELECT k, count(*) AS nobs, regr_slope(v - y1, y1) AS b, regr_sxx(v - y1, y1) AS sxx,
+             regr_syy(v - y1, y1) AS syy, regr_sxy(v - y1, y1) AS sxy FROM s WHERE y1 IS NOT NULL GROUP BY k)
+SELECT k, nobs, round(b / sqrt((syy - b * sxy) / (nobs - 2) / sxx), 6) AS stat,
+       {_crit_sql(ts.MACKINNON_C['1%'], 'crit_1')}, {_crit_sql(ts.MACKINNON_C['5%'], 'crit_5')},
+       {_crit_sql(ts.MACKINNON_C['10%'], 'crit_10')}
+FROM g""")
+def unit_root_lag0(spark, sf):
+    u = ts.unit_root_lag0(_series(spark, sf), "v", "k")
+    return u.select("k", "nobs", *[F.round(c, 6).alias(c) for c in ("stat", "crit_1", "crit_5", "crit_10")])
+
+
+@register("unit_root_aic")
+def unit_root_aic(spark, sf):
+    return ts.unit_root_aic(_series(spark, sf), "v", "k")
+
+
+@register("order_search")
+def order_search(spark, sf):
+    return ts.order_search(fx.series_x(spark, sf), "y", "k", ["n_orders"], max_p=5)
+
+
+_WF_CTE = f"""
+, s AS (SELECT k, dt, y / 1e6 AS v, row_number() OVER w AS pos, lag(y / 1e6) OVER w AS y1
+        FROM series_long WINDOW w AS (PARTITION BY k ORDER BY dt)),
+f AS (SELECT k, dt, v, pos, y1, regr_slope(v, y1) OVER p AS slope, regr_intercept(v, y1) OVER p AS icpt
+      FROM s WINDOW p AS (PARTITION BY k ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+wf AS (SELECT k, dt, v, icpt + slope * y1 AS yhat FROM f WHERE pos > {TRAIN_DAYS})
+"""
+
+
+def _wf(spark, sf):
+    return ts.walk_forward_1lag(_series(spark, sf), "v", "k", TRAIN_DAYS)
+
+
+@register("walk_forward_1lag", _WF_CTE + "SELECT k, CAST(dt AS VARCHAR) AS dt, v, round(yhat, 6) AS yhat FROM wf")
+def walk_forward_1lag(spark, sf):
+    w = _wf(spark, sf)
+    return w.select("k", F.col("dt").cast("string").alias("dt"), "v",
+                    F.round("yhat", 6).alias("yhat"))
+
+
+@register("walk_forward_arx")
+def walk_forward_arx(spark, sf):
+    return ts.walk_forward_arx(fx.series_x(spark, sf), "y", "k", ["n_orders"], TRAIN_DAYS, p=1)
+
+
+@register("running_metrics", _WF_CTE + """
+, rm AS (SELECT k, dt, count(*) OVER c AS n, sum((v - yhat) * (v - yhat)) OVER c AS sse,
+                sum(v) OVER c AS sy, sum(v * v) OVER c AS syy
+         FROM wf WINDOW c AS (PARTITION BY k ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT k, CAST(dt AS VARCHAR) AS dt, round(sqrt(sse / n), 6) AS run_rmse,
+       round(CASE WHEN n > 1 THEN 1.0 - sse / (syy - sy * sy / n) END, 6) AS run_r2 FROM rm""")
+def running_metrics(spark, sf):
+    r = ts.running_metrics(_wf(spark, sf), "v", "k")
+    return r.select("k", F.col("dt").cast("string").alias("dt"), F.round("run_rmse", 6).alias("run_rmse"),
+                    F.round("run_r2", 6).alias("run_r2"))

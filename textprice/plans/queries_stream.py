@@ -1 +1,137 @@
-"""Registered queries (stream)."""
+"""Registered streaming queries (A7, A12, I2, I4, I6, I7, I8).  Each writes its input as
+message files into a fresh folder under the shared checkpoint folder, runs the stream with
+``availableNow`` into a table, and returns the table read back (its end state)."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from ..functions.labels import SENTIMENT_SQL  # noqa: F401  (shared label rule)
+from ..operators import features as ft
+from ..schemas import POST_MESSAGE_SCHEMA, PREDICTION_MESSAGE_SCHEMA
+from ..session import scratch_path
+from ..sources import fixtures as fx
+from ..sources.files import encode_json
+from ..sources.tables import spread
+from ..streaming import correlate, deadletter, ingest, kpis, score
+from . import preprocessing as pp
+from .catalog import register
+from .queries_relational import ATTACH_SQL, POSTS_SQL, _posts_out
+
+
+def _post_messages(spark, sf):
+    return fx.posts(spark, sf).withColumn("dt", F.col("dt").cast("string"))
+
+
+def _dirs(spark, name):
+    base = scratch_path(spark, name)
+    return {k: os.path.join(base, k) for k in ("in", "in2", "out", "ckpt", "dead")}
+
+
+@register("stream_ingest", POSTS_SQL.format(src="posts"))
+def stream_ingest(spark, sf):
+    d = _dirs(spark, "ingest")
+    ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
+    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=4)
+    ingest.run_to_table(s, d["out"], d["ckpt"])
+    return _posts_out(spark.read.parquet(d["out"]))
+
+
+@register("stream_dedup", "SELECT doc_id, CAST(dt AS VARCHAR) AS dt FROM posts")
+def stream_dedup(spark, sf):
+    """Every message delivered twice; each id comes out once."""
+    d = _dirs(spark, "dedup")
+    msgs = _post_messages(spark, sf)
+    ingest.write_messages(msgs, d["in"], 100)
+    ingest.write_messages(msgs, d["in"], 100)           # replayed delivery
+    s = ingest.with_event_time(ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=5))
+    ingest.run_to_table(ingest.dedup_stream(s, "doc_id", "event_ts", "60 days").select("doc_id", "dt"),
+                        d["out"], d["ckpt"])
+    return spark.read.parquet(d["out"])
+
+
+@register("stream_kpis", "SELECT symbol, count(*) AS n_posts, round(sum(volume), 4) AS sum_volume FROM posts GROUP BY symbol")
+def stream_kpis(spark, sf):
+    d = _dirs(spark, "kpis")
+    ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
+    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=3)
+    ingest.run_foreach_batch(kpis.symbol_totals(s), kpis.overwrite_table(d["out"]), d["ckpt"], "complete")
+    return spark.read.parquet(d["out"]).withColumn("sum_volume", F.round("sum_volume", 4))
+
+
+@register("stream_correlate", ATTACH_SQL + "SELECT doc_id, prediction, sentiment FROM attached")
+def stream_correlate(spark, sf):
+    """I4: post stream LEFT OUTER JOIN prediction stream; a far-future marker on both sides
+    (written last) moves the watermarks past all data so unmatched posts are emitted."""
+    d = _dirs(spark, "correlate")
+    posts = _post_messages(spark, sf)
+    preds = fx.predictions(spark, sf).withColumn("dt", F.col("dt").cast("string"))
+    ingest.write_messages(posts, d["in"], 100)
+    ingest.write_messages(preds, d["in2"], 100)
+    marker_post = posts.limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit("2100-01-01").alias("dt"),
+                                        *[F.col(c) for c in posts.columns if c not in ("doc_id", "dt")])
+    marker_pred = preds.limit(1).select(F.lit(-1).cast("long").alias("seq"), F.lit("2100-01-01").alias("dt"),
+                                        "tweet", "prediction", "close")
+    ingest.write_messages(marker_post, d["in"], 100)
+    ingest.write_messages(marker_pred, d["in2"], 100)
+    ps = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=4)
+    qs = ingest.read_messages(spark, d["in2"], PREDICTION_MESSAGE_SCHEMA, max_files_per_trigger=4)
+    joined = correlate.correlate_streams(ps, qs, delay="60 days")
+    ingest.run_to_table(joined.drop("p_ts"), d["out"], d["ckpt"])
+    matches = spark.read.parquet(d["out"]).filter(F.col("doc_id") >= 0)
+    return correlate.latest_state(matches)
+
+
+_DEAD_SQL = r"""
+, msg AS (SELECT doc_id, tweet, close, open, high, low, volume, (doc_id % 23 = 0) AS broken FROM posts_dirty)
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN broken THEN 'bad_json'
+              WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR volume IS NULL THEN 'null_numeric'
+              WHEN coalesce(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(tweet),
+                   ':[a-z_]+:', '', 'g'), 'http\S+|www\S+|https\S+', '', 'g'), '@\w+|#\w+', '', 'g'),
+                   '[^\w\s$%]', '', 'g'), '') = '' THEN 'empty_text'
+              ELSE 'ok' END AS reason FROM msg) GROUP BY reason"""
+
+
+def _dirty_messages(spark, sf):
+    """Messages of the dirty posts; those with doc_id % 23 = 0 arrive truncated (bad JSON)."""
+    enc = encode_json(fx.posts_dirty(spark, sf), drop=())
+    enc = enc.withColumn("doc_id", F.get_json_object("value", "$.doc_id").cast("long"))
+    broken = F.col("doc_id") % 23 == 0
+    return enc.select(F.when(broken, F.expr("substring(value, 1, length(value) - 7)")).otherwise(F.col("value")).alias("value"))
+
+
+@register("dead_letter", _DEAD_SQL)
+def dead_letter(spark, sf):
+    """I8 batch twin: classify every message; counts per route."""
+    c = deadletter.classify_messages(_dirty_messages(spark, sf), POST_MESSAGE_SCHEMA)
+    return c.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("dead_letter_stream", _DEAD_SQL)
+def dead_letter_stream(spark, sf):
+    """I8 as a stream: foreachBatch splits each micro-batch into good rows and dead letters."""
+    d = _dirs(spark, "deadletter")
+    _dirty_messages(spark, sf).write.mode("append").option("maxRecordsPerFile", 100).text(d["in"])
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 4).load(d["in"])
+    c = deadletter.classify_messages(raw, POST_MESSAGE_SCHEMA)
+    ingest.run_foreach_batch(c, lambda b, i: deadletter.split_batch(b, d["out"], d["dead"], i), d["ckpt"])
+    ok = spark.read.parquet(d["out"]).select("reason")
+    dead = spark.read.parquet(d["dead"]).select("reason")
+    return ok.unionByName(dead).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stream_score")
+def stream_score(spark, sf):
+    """I2 (rows-only): the saved full pipeline scores the post stream micro-batch by micro-batch."""
+    d = _dirs(spark, "score")
+    p = ft.hash_split(spread(fx.posts(spark, sf), "doc_id"))
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"))
+    path = pp.save_model(model, scratch_path(spark, "stream-model"))
+    loaded = pp.load_model(path)
+    ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
+    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=4)
+    ingest.run_to_table(score.score_stream(s, loaded), d["out"], d["ckpt"])
+    return spark.read.parquet(d["out"]).select("doc_id", "close", "prediction")

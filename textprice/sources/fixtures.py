@@ -123,3 +123,12 @@ def series_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderdate", "o_totalprice")
     return (o.groupBy(F.col("o_orderpriority").alias("k"), F.to_date("o_orderdate").alias("dt"))
             .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("y")))
+
+
+def series_x(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long daily series with an exogenous column: order value (in millions) and the number
+    of orders per (priority, day)."""
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderdate", "o_totalprice")
+    return (o.groupBy(F.col("o_orderpriority").alias("k"), F.to_date("o_orderdate").alias("dt"))
+            .agg((F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / 1e6).alias("y"),
+                 F.count(F.lit(1)).cast("double").alias("n_orders")))
