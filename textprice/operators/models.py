@@ -46,7 +46,7 @@ MODEL_COMPARE_SCHEMA = T.StructType([
 
 
 def compare_models(train: DataFrame, test: DataFrame, features: str = "features", label: str = "close",
-                   fold_col: str = "fold", num_folds: int = 5, parallelism: int = 4, seed: int = 42,
+                   fold_col: str = "fold", num_folds: int = 5, parallelism: int | None = None, seed: int = 42,
                    models=None) -> DataFrame:
     """K-fold cross-validation per model on stable folds; statistics over the grid
     points' fold-averaged RMSE (mean, population std, max, min), R² of the best model on the
@@ -54,6 +54,7 @@ def compare_models(train: DataFrame, test: DataFrame, features: str = "features"
     The fitting is Spark ML (distributed); only the per-model summary numbers are local."""
     import numpy as np
     spark = train.sparkSession
+    parallelism = parallelism or spark.sparkContext.defaultParallelism
     rmse_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     r2_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
     rows = []

@@ -25,9 +25,16 @@ def clean_step(df: DataFrame, step: str, col: str = "tweet", out: str = "clean_t
 def clean_text(df: DataFrame, col: str = "tweet", out: str = "clean_tweet",
                drop_empty: bool = True, upto: str = "punct") -> DataFrame:
     """Composed cleaner in one projection; rows whose cleaned text is exactly '' (or null)
-    are dropped (B6)."""
-    out_df = df.withColumn(out, tx.clean_expr(F.col(col), upto))
-    return out_df.filter(F.col(out) != "") if drop_empty else out_df
+    are dropped (B6).
+
+    The drop is fused into the projection as a 0-or-1-row generator: a plain
+    ``filter(clean != '')`` would be pushed below the projection (and below any exchange),
+    re-evaluating the four regexes for the filter and again for the column."""
+    cleaned = tx.clean_expr(F.col(col), upto)
+    if not drop_empty:
+        return df.withColumn(out, cleaned)
+    kept = F.explode(F.filter(F.array(cleaned), lambda s: s != ""))
+    return df.select("*", kept.alias(out))
 
 
 def tokenize(df: DataFrame, col: str = "clean_tweet", out: str = "tokens_all") -> DataFrame:
@@ -63,26 +70,34 @@ def tfidf_stats(posts: DataFrame, keys=("symbol", "dt"), corpus_key: str = "symb
 
     tf = raw count, idf = ln((1 + n) / (1 + df)) + 1 (smooth), rows L2-normalised; per
     document the max, the sum and the mean over the corpus vocabulary (zeros included).
-    Days whose text has no word get 0."""
+    Days whose text has no word get 0.
+
+    One pass over the word counts: document frequency and "first day of this word" come from
+    one window per (symbol, word) — at most one row per day, so bounded — and the vocabulary
+    size is the per-symbol sum of first occurrences over the per-day table."""
     keys = list(keys)
-    tf = daily_words(posts, tx.TFIDF_WORD_PATTERN, keys).groupBy(*keys, "word") \
-        .agg(F.count(F.lit(1)).alias("tf"))
-    # document frequency: a (symbol, word) group has at most one row per day -> bounded window
-    tf = tf.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy(corpus_key, "word")))
-    days = posts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_posts"))
-    n_docs = days.groupBy(corpus_key).agg(F.count(F.lit(1)).alias("n_docs"))
-    vocab = tf.filter(F.col("df") > 0).groupBy(corpus_key).agg(F.countDistinct("word").alias("n_vocab"))
-    w = join_small(tf, n_docs, [corpus_key], "inner") \
-        .withColumn("x", F.col("tf") * (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1))
-    per_doc = w.groupBy(*keys).agg(F.max("x").alias("mx"), F.sum("x").alias("sx"),
-                                   F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("nrm"))
-    out = join_small(days, per_doc, keys, "left")
-    out = join_small(out, vocab, [corpus_key], "left")
-    nz = F.col("nrm") > 0
-    return out.select(*keys,
-                      F.coalesce(F.when(nz, F.col("mx") / F.col("nrm")), F.lit(0.0)).alias("max_tfidf"),
-                      F.coalesce(F.when(nz, F.col("sx") / F.col("nrm") / F.col("n_vocab")), F.lit(0.0)).alias("mean_tfidf"),
-                      F.coalesce(F.when(nz, F.col("sx") / F.col("nrm")), F.lit(0.0)).alias("sum_tfidf"))
+    src = F.lower("tweet")
+    w = posts.select(*keys, F.explode_outer(tx.words(src, tx.TFIDF_WORD_PATTERN)).alias("word"))
+    tf = w.groupBy(*keys, "word").agg(F.count("word").alias("tf"))
+    win = Window.partitionBy(corpus_key, "word")
+    has = F.col("word").isNotNull()
+    tf = tf.withColumn("df", F.when(has, F.count(F.lit(1)).over(win))) \
+        .withColumn("first", F.when(has & (F.row_number().over(win.orderBy(*[k for k in keys if k != corpus_key])) == 1), 1)
+                    .otherwise(0))
+    # documents per corpus: from the (symbol, day) keys only (column-pruned, no text read)
+    n_docs = posts.select(*keys).distinct().groupBy(corpus_key).agg(F.count(F.lit(1)).alias("n_docs"))
+    x = join_small(tf, n_docs, [corpus_key], "inner") \
+        .withColumn("x", F.when(has, F.col("tf") * (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1)))
+    per_doc = x.groupBy(*keys).agg(F.max("x").alias("mx"), F.sum("x").alias("sx"),
+                                   F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("nrm"),
+                                   F.sum("first").alias("new_words"))
+    n_vocab = F.sum("new_words").over(Window.partitionBy(corpus_key))
+    per_doc = per_doc.withColumn("n_vocab", n_vocab)
+    nz = F.coalesce(F.col("nrm"), F.lit(0.0)) > 0
+    return per_doc.select(*keys,
+                          F.when(nz, F.col("mx") / F.col("nrm")).otherwise(F.lit(0.0)).alias("max_tfidf"),
+                          F.when(nz, F.col("sx") / F.col("nrm") / F.col("n_vocab")).otherwise(F.lit(0.0)).alias("mean_tfidf"),
+                          F.when(nz, F.col("sx") / F.col("nrm")).otherwise(F.lit(0.0)).alias("sum_tfidf"))
 
 
 def vocabulary(posts: DataFrame, corpus_key: str = "symbol", keys=("symbol", "dt")) -> DataFrame:

@@ -114,24 +114,29 @@ def _split_posts(spark, sf):
     return ft.hash_split(spread(fx.posts(spark, sf), "doc_id"))
 
 
+def _w2v_parts(spark):
+    """Embedding training split over the cluster's cores (the reference trains in 1 task)."""
+    return spark.sparkContext.defaultParallelism
+
+
 @register("feature_width")
 def feature_width(spark, sf):
     p = _split_posts(spark, sf)
-    model = pp.fit_preprocessing(p)
+    model = pp.fit_preprocessing(p, num_partitions=_w2v_parts(spark))
     return models.feature_width(model.transform(p))
 
 
 @register("batch_score")
 def batch_score(spark, sf):
     p = _split_posts(spark, sf)
-    model = pp.fit_full_model(p.filter(F.col("part") == "train"))
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=_w2v_parts(spark))
     return pp.score(p.filter(F.col("part") == "test"), model).select("doc_id", "close", "prediction")
 
 
 @register("model_roundtrip")
 def model_roundtrip(spark, sf):
     p = _split_posts(spark, sf)
-    model = pp.fit_full_model(p.filter(F.col("part") == "train"))
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=_w2v_parts(spark))
     path = pp.save_model(model, scratch_path(spark, "model"))
     loaded = pp.load_model(path)
     test = p.filter(F.col("part") == "test")
@@ -145,7 +150,7 @@ def model_roundtrip(spark, sf):
 def model_compare(spark, sf):
     p = _split_posts(spark, sf)
     train_raw = p.filter(F.col("part") == "train")
-    prep = pp.fit_preprocessing(train_raw)  # fitted inside the split (no leakage)
+    prep = pp.fit_preprocessing(train_raw, num_partitions=_w2v_parts(spark))  # fitted inside the split (no leakage)
     train = ft.fold_column(prep.transform(train_raw)).persist()
     test = prep.transform(p.filter(F.col("part") == "test")).persist()
     return models.compare_models(train, test)

@@ -21,6 +21,10 @@ from .catalog import register
 from .queries_relational import ATTACH_SQL, POSTS_SQL, _posts_out
 
 
+# Message files (pages of 100) per micro-batch: several batches at sf0.01 and above.
+MAX_FILES = 25
+
+
 def _post_messages(spark, sf):
     return fx.posts(spark, sf).withColumn("dt", F.col("dt").cast("string"))
 
@@ -34,7 +38,7 @@ def _dirs(spark, name):
 def stream_ingest(spark, sf):
     d = _dirs(spark, "ingest")
     ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
-    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=4)
+    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
     ingest.run_to_table(s, d["out"], d["ckpt"])
     return _posts_out(spark.read.parquet(d["out"]))
 
@@ -46,7 +50,7 @@ def stream_dedup(spark, sf):
     msgs = _post_messages(spark, sf)
     ingest.write_messages(msgs, d["in"], 100)
     ingest.write_messages(msgs, d["in"], 100)           # replayed delivery
-    s = ingest.with_event_time(ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=5))
+    s = ingest.with_event_time(ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES))
     ingest.run_to_table(ingest.dedup_stream(s, "doc_id", "event_ts", "60 days").select("doc_id", "dt"),
                         d["out"], d["ckpt"])
     return spark.read.parquet(d["out"])
@@ -56,7 +60,7 @@ def stream_dedup(spark, sf):
 def stream_kpis(spark, sf):
     d = _dirs(spark, "kpis")
     ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
-    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=3)
+    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
     ingest.run_foreach_batch(kpis.symbol_totals(s), kpis.overwrite_table(d["out"]), d["ckpt"], "complete")
     return spark.read.parquet(d["out"]).withColumn("sum_volume", F.round("sum_volume", 4))
 
@@ -76,8 +80,8 @@ def stream_correlate(spark, sf):
                                         "tweet", "prediction", "close")
     ingest.write_messages(marker_post, d["in"], 100)
     ingest.write_messages(marker_pred, d["in2"], 100)
-    ps = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=4)
-    qs = ingest.read_messages(spark, d["in2"], PREDICTION_MESSAGE_SCHEMA, max_files_per_trigger=4)
+    ps = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
+    qs = ingest.read_messages(spark, d["in2"], PREDICTION_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
     joined = correlate.correlate_streams(ps, qs, delay="60 days")
     ingest.run_to_table(joined.drop("p_ts"), d["out"], d["ckpt"])
     matches = spark.read.parquet(d["out"]).filter(F.col("doc_id") >= 0)
@@ -115,7 +119,7 @@ def dead_letter_stream(spark, sf):
     """I8 as a stream: foreachBatch splits each micro-batch into good rows and dead letters."""
     d = _dirs(spark, "deadletter")
     _dirty_messages(spark, sf).write.mode("append").option("maxRecordsPerFile", 100).text(d["in"])
-    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 4).load(d["in"])
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", MAX_FILES).load(d["in"])
     c = deadletter.classify_messages(raw, POST_MESSAGE_SCHEMA)
     ingest.run_foreach_batch(c, lambda b, i: deadletter.split_batch(b, d["out"], d["dead"], i), d["ckpt"])
     ok = spark.read.parquet(d["out"]).select("reason")
@@ -128,10 +132,10 @@ def stream_score(spark, sf):
     """I2 (rows-only): the saved full pipeline scores the post stream micro-batch by micro-batch."""
     d = _dirs(spark, "score")
     p = ft.hash_split(spread(fx.posts(spark, sf), "doc_id"))
-    model = pp.fit_full_model(p.filter(F.col("part") == "train"))
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=spark.sparkContext.defaultParallelism)
     path = pp.save_model(model, scratch_path(spark, "stream-model"))
     loaded = pp.load_model(path)
     ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
-    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=4)
+    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
     ingest.run_to_table(score.score_stream(s, loaded), d["out"], d["ckpt"])
     return spark.read.parquet(d["out"]).select("doc_id", "close", "prediction")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_small
-from .tables import table
+from .tables import spread, table
 
 # Fixed values of the fixture rules (FIXTURES.md): symbols by doc_id % 5, 30 days from 2024-01-01.
 SYMBOLS = ["click", "error", "purchase", "signup", "view"]
@@ -52,7 +52,9 @@ def day_of(doc_id: F.Column) -> F.Column:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Text work downstream is CPU-heavy: spread a scan that came back in fewer splits than
+    # cores (no-op for a large table, which already has many splits).
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return d.select("doc_id", F.col("text").alias("tweet"),
                     symbol_of(F.col("doc_id")).alias("symbol"), day_of(F.col("doc_id")).alias("dt"))
 
@@ -101,7 +103,7 @@ def lexicon(spark: SparkSession, sf_dir: str, n_words: int = 20) -> DataFrame:
     Word counts are a partial aggregation; the top ``n_words`` is a TakeOrderedAndProject, so
     the result is bounded by ``n_words`` whatever the corpus size.
     """
-    d = table(spark, sf_dir, "documents").select("text")
+    d = spread(table(spark, sf_dir, "documents").select("text"))
     words = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([a-z]{3,})"), 1)).alias("word"))
     top = (words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
            .orderBy(F.col("cnt").desc(), F.col("word")).limit(n_words))
