@@ -148,8 +148,12 @@ def sentiment_counts(df: DataFrame, col: str = "sentiment") -> DataFrame:
     return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def live_kpis(df: DataFrame) -> DataFrame:
-    """Posts so far, scored posts, mean prediction (0 when none)."""
-    return df.agg(F.count(F.lit(1)).alias("n_posts"),
-                  F.count("prediction").alias("n_scored"),
-                  F.coalesce(F.avg("prediction"), F.lit(0.0)).alias("mean_prediction"))
+def live_kpis(df: DataFrame, with_labels: bool = False) -> DataFrame:
+    """Posts so far, scored posts, mean prediction (0 when none); optionally
+    the label counts (D10) in the same single aggregate."""
+    aggs = [F.count(F.lit(1)).alias("n_posts"), F.count("prediction").alias("n_scored"),
+            F.coalesce(F.avg("prediction"), F.lit(0.0)).alias("mean_prediction")]
+    if with_labels:
+        aggs += [F.count_if(F.col("sentiment") == s).alias(f"n_{s.lower()}")
+                 for s in ("Positive", "Negative", "Neutral")]
+    return df.agg(*aggs)

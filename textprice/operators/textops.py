@@ -60,6 +60,29 @@ def word2vec(vector_size: int = 100, min_count: int = 0, window: int = 5, max_it
                     seed=seed, inputCol=col, outputCol=out)
 
 
+def vocabulary_min_count(tokens: DataFrame, col: str = "tokens", min_count: int = 0,
+                         max_vocab: int = 2_000_000) -> int:
+    """Size guard for the embedding vocabulary, which Word2Vec gathers on the driver and
+    broadcasts (vocab x vector size, twice).  Returns ``min_count`` when the number of words
+    seen at least that often is within ``max_vocab``; otherwise the smallest larger count
+    threshold that fits.  The word counts are a distributed aggregate; only one small
+    histogram of count frequencies (bounded by the largest count's digits) reaches the driver."""
+    counts = tokens.select(F.explode(col).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    # words per power-of-two bucket of their count: at most ~64 rows
+    hist = counts.groupBy(F.floor(F.log2("c")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")) \
+        .orderBy(F.col("b").desc()).collect()
+    total = 0
+    threshold = None
+    for row in hist:                          # from the most frequent words downwards
+        if total + row["n"] > max_vocab:
+            threshold = 2 ** (row["b"] + 1)   # keep only the buckets above this one
+            break
+        total += row["n"]
+    if threshold is None or threshold <= min_count:
+        return min_count
+    return int(threshold)
+
+
 def daily_words(posts: DataFrame, pattern: str, keys=("symbol", "dt"), lower: bool = True) -> DataFrame:
     src = F.lower("tweet") if lower else F.col("tweet")
     return posts.select(*keys, F.explode(tx.words(src, pattern)).alias("word"))

@@ -50,14 +50,26 @@ def preprocessing_stages(vector_size: int = 100, min_count: int = 0, num_partiti
     ]
 
 
+def guarded_stages(df: DataFrame, max_vocab: int = 2_000_000, **kw) -> list:
+    """Preprocessing stages with the embedding's min_count raised only if the vocabulary
+    would exceed ``max_vocab`` words (the vocabulary is collected and broadcast by Word2Vec)."""
+    from ..operators.textops import vocabulary_min_count
+    stages = preprocessing_stages(**kw)
+    tokens = Pipeline(stages=stages[:3]).fit(df).transform(df)
+    mc = vocabulary_min_count(tokens, "tokens", kw.get("min_count", 0), max_vocab)
+    if mc != kw.get("min_count", 0):
+        stages[3].setMinCount(mc)
+    return stages
+
+
 def fit_preprocessing(df: DataFrame, **kw) -> PipelineModel:
-    return Pipeline(stages=preprocessing_stages(**kw)).fit(df)
+    return Pipeline(stages=guarded_stages(df, **kw)).fit(df)
 
 
 def fit_full_model(df: DataFrame, **kw) -> PipelineModel:
     """ONE pipeline: preprocessing + linear regression on the close."""
     lr = LinearRegression(featuresCol="features", labelCol=TARGET)
-    return Pipeline(stages=[*preprocessing_stages(**kw), lr]).fit(df)
+    return Pipeline(stages=[*guarded_stages(df, **kw), lr]).fit(df)
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -104,7 +104,8 @@ def paged_backfill(spark, sf):
     pages = paging.page_numbers(fx.posts(spark, sf), 100)
     path = scratch_path(spark, "backfill")
     msgs = pages.withColumn("dt", F.col("dt").cast("string"))
-    msgs.repartition("symbol").sortWithinPartitions("page_no", "_from_newest") \
+    # Range partitioning on (symbol, page) splits a hot symbol over several writer tasks.
+    msgs.repartitionByRange("symbol", "page_no").sortWithinPartitions("symbol", "page_no", "_from_newest") \
         .write.mode("overwrite").partitionBy("symbol").json(path)
     back = spark.read.schema(T.StructType(POST_MESSAGE_SCHEMA.fields[:3] + POST_MESSAGE_SCHEMA.fields[4:] + [
         T.StructField("page_no", T.IntegerType()), T.StructField("_from_newest", T.IntegerType()),

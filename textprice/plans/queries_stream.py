@@ -67,6 +67,22 @@ def stream_kpis(spark, sf):
 
 @register("stream_correlate", ATTACH_SQL + "SELECT doc_id, prediction, sentiment FROM attached")
 def stream_correlate(spark, sf):
+    return _correlated(spark, sf)
+
+
+@register("stream_live_kpis", ATTACH_SQL + """
+SELECT count(*) AS n_posts, count(prediction) AS n_scored,
+       round(coalesce(avg(prediction), 0.0), 6) AS mean_prediction,
+       count_if(sentiment = 'Positive') AS n_positive, count_if(sentiment = 'Negative') AS n_negative,
+       count_if(sentiment = 'Neutral') AS n_neutral FROM attached""")
+def stream_live_kpis(spark, sf):
+    """Totals, scored posts, mean prediction and label counts of the live table."""
+    from ..operators.stats import live_kpis
+    k = live_kpis(_correlated(spark, sf), with_labels=True)
+    return k.withColumn("mean_prediction", F.round("mean_prediction", 6))
+
+
+def _correlated(spark, sf):
     """I4: post stream LEFT OUTER JOIN prediction stream; a far-future marker on both sides
     (written last) moves the watermarks past all data so unmatched posts are emitted."""
     d = _dirs(spark, "correlate")

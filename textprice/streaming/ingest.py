@@ -19,13 +19,20 @@ def write_messages(df: DataFrame, folder: str, rows_per_file: int = 100) -> str:
 
 
 def read_messages(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "json",
-                  max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None, options: dict | None = None,
+                  since=None) -> DataFrame:
+    """Message stream with a declared schema.  ``since`` (a timestamp) starts "at latest":
+    only message files written at or after it are read (file modification time from the
+    source's ``_metadata``); without it the whole backlog is read ("earliest")."""
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in (options or {}).items():
         r = r.option(k, v)
-    return r.load(folder)
+    df = r.load(folder)
+    if since is not None:
+        df = df.filter(F.col("_metadata.file_modification_time") >= F.lit(since).cast("timestamp"))
+    return df
 
 
 def with_event_time(df: DataFrame, date_col: str = "dt", out: str = "event_ts") -> DataFrame:
