@@ -45,6 +45,22 @@ MODEL_COMPARE_SCHEMA = T.StructType([
     T.StructField("test_rmse", T.DoubleType()), T.StructField("test_r2", T.DoubleType())])
 
 
+def sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
+    """Persist a model input with a partition count proportional to its row count (tree
+    learners run one job per tree level; tasks on near-empty partitions are pure overhead,
+    while large inputs keep one partition per ``rows_per_partition`` rows)."""
+    df = df.persist()
+    n = df.count()
+    parts = max(1, -(-n // rows_per_partition))
+    if parts < df.rdd.getNumPartitions():
+        out = df.coalesce(parts).persist()
+    else:
+        out = df.repartition(parts).persist()
+    out.count()
+    df.unpersist()
+    return out
+
+
 def compare_models(train: DataFrame, test: DataFrame, features: str = "features", label: str = "close",
                    fold_col: str = "fold", num_folds: int = 5, parallelism: int | None = None, seed: int = 42,
                    models=None) -> DataFrame:
@@ -55,6 +71,7 @@ def compare_models(train: DataFrame, test: DataFrame, features: str = "features"
     import numpy as np
     spark = train.sparkSession
     parallelism = parallelism or spark.sparkContext.defaultParallelism
+    train, test = sized(train), sized(test)
     rmse_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     r2_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
     rows = []
