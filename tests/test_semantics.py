@@ -144,7 +144,6 @@ def test_running_metrics_last_row_is_overall(spark):
 
 def test_dup_count(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (1, "a")], "x long, y string")
-    r = stats.__dict__  # noqa: F841
     from textprice.operators.quality import dup_count
     row = dup_count(df).first()
     assert (row.n_rows, row.n_distinct, row.n_duplicates) == (4, 2, 2)

@@ -8,7 +8,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from ..functions.labels import SENTIMENT_SQL  # noqa: F401  (shared label rule)
 from ..operators import features as ft
 from ..schemas import POST_MESSAGE_SCHEMA, PREDICTION_MESSAGE_SCHEMA
 from ..session import scratch_path

@@ -136,7 +136,9 @@ def embed_text(spark, sf):
     """C9 (rows-only check): Word2Vec document vectors of the cleaned, stop-word-free posts."""
     from pyspark.ml.functions import vector_to_array
     t = textops.remove_stop_words(textops.tokenize(_clean_posts(spark, sf)))
-    model = textops.word2vec(vector_size=100).fit(t)
+    est = textops.word2vec(vector_size=100, num_partitions=spark.sparkContext.defaultParallelism)
+    est.setMinCount(textops.vocabulary_min_count(t, "tokens", est.getMinCount()))
+    model = est.fit(t)
     e = model.transform(t)
     return e.select("doc_id", F.size(vector_to_array("embedding")).alias("dim"),
                     F.aggregate(vector_to_array("embedding"), F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))

@@ -64,3 +64,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def default_parallelism(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
+
+
+def cluster_settings(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 ** 2,
+                     max_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input on ``cores`` cores.
+
+    Shuffle partitions are sized so that an average post-shuffle partition is about
+    ``target_partition_bytes`` (never fewer than 2x the cores); AQE then coalesces small ones
+    and splits skewed ones.  Scan splits are ``max_partition_bytes``.  E.g. 100 TB on 8,000
+    cores -> ~400k shuffle partitions, coalesced at run time."""
+    shuffle = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **SESSION_DEFAULTS,
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
