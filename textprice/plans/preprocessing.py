@@ -34,7 +34,7 @@ def selector_stage(cols) -> SQLTransformer:
 
 
 def preprocessing_stages(vector_size: int = 100, min_count: int = 0, num_partitions: int = 1,
-                         seed: int = 42, keep=("doc_id",)) -> list:
+                         seed: int = 42, keep=("doc_id", "dt", "tweet")) -> list:
     """clean -> tokens -> stop words -> Word2Vec -> assemble numerics -> min-max ->
     assemble(embedding, scaled) -> select (ids kept, unlike the reference)."""
     return [

@@ -14,7 +14,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.files import encode_json
 from ..sources.tables import spread
-from ..streaming import correlate, deadletter, ingest, kpis, score
+from ..streaming import correlate, deadletter, ingest, kpis, live, score
 from . import preprocessing as pp
 from .catalog import register
 from .queries_relational import ATTACH_SQL, POSTS_SQL, _posts_out
@@ -154,3 +154,22 @@ def stream_score(spark, sf):
     s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
     ingest.run_to_table(score.score_stream(s, loaded), d["out"], d["ckpt"])
     return spark.read.parquet(d["out"]).select("doc_id", "close", "prediction")
+
+
+@register("stream_live")
+def stream_live(spark, sf):
+    """I2 -> I4 -> I6 (rows-only): score the post stream with the saved pipeline, correlate the
+    resulting prediction stream with the post stream, report live totals of the end state.
+    A far-future marker post (written last) moves the watermarks past all data."""
+    d = _dirs(spark, "live")
+    p = ft.hash_split(spread(fx.posts(spark, sf), "doc_id"))
+    model = pp.load_model(pp.save_model(
+        pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=spark.sparkContext.defaultParallelism),
+        scratch_path(spark, "live-model")))
+    posts = _post_messages(spark, sf)
+    ingest.write_messages(posts, d["in"], 100)
+    marker = posts.limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit("2100-01-01").alias("dt"),
+                                   *[F.col(c) for c in posts.columns if c not in ("doc_id", "dt")])
+    ingest.write_messages(marker, d["in"], 100)
+    path = live.run_live(spark, d["in"], model, d["out"], max_files_per_trigger=MAX_FILES)
+    return live.live_totals(spark, path)
