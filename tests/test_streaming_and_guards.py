@@ -52,3 +52,29 @@ def test_dedup_stream_each_id_once(spark):
                         os.path.join(base, "out"), os.path.join(base, "ck"))
     ids = [r.doc_id for r in spark.read.parquet(os.path.join(base, "out")).collect()]
     assert sorted(ids) == list(range(30))
+
+
+def test_correlate_prediction_before_post_and_last_version_wins(spark):
+    from textprice.schemas import PREDICTION_MESSAGE_SCHEMA
+    from textprice.streaming import correlate
+    base = scratch_path(spark, "corr")
+    posts_dir, preds_dir = os.path.join(base, "p"), os.path.join(base, "q")
+    preds = spark.createDataFrame([(1, "2024-01-02", "t1", 2.0, 1.0), (9, "2024-01-02", "t1", 0.5, 1.0),
+                                   (3, "2024-01-04", "t3", 1.0, 1.0)], PREDICTION_MESSAGE_SCHEMA)
+    # predictions are delivered first, the posts later
+    ingest.write_messages(preds, preds_dir)
+    time.sleep(1.1)
+    ingest.write_messages(_msgs(spark, [1, 2, 3]).withColumn("tweet", F.concat(F.lit("t"), F.col("doc_id").cast("string")))
+                          .withColumn("dt", F.concat(F.lit("2024-01-0"), (F.col("doc_id") + 1).cast("string"))), posts_dir)
+    marker_p = _msgs(spark, [-1]).withColumn("dt", F.lit("2100-01-01"))
+    marker_q = spark.createDataFrame([(-1, "2100-01-01", "m", 0.0, 0.0)], PREDICTION_MESSAGE_SCHEMA)
+    time.sleep(1.1)
+    ingest.write_messages(marker_p, posts_dir)
+    ingest.write_messages(marker_q, preds_dir)
+    ps = ingest.read_messages(spark, posts_dir, POST_MESSAGE_SCHEMA, max_files_per_trigger=1)
+    qs = ingest.read_messages(spark, preds_dir, PREDICTION_MESSAGE_SCHEMA, max_files_per_trigger=1)
+    out = os.path.join(base, "out")
+    ingest.run_to_table(correlate.correlate_streams(ps, qs, delay="30 days").drop("p_ts"), out, os.path.join(base, "ck"))
+    state = {r.doc_id: (r.prediction, r.sentiment) for r in
+             correlate.latest_state(spark.read.parquet(out).filter("doc_id >= 0")).collect()}
+    assert state == {1: (0.5, "Negative"), 2: (None, None), 3: (1.0, "Neutral")}

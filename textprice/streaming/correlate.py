@@ -4,7 +4,9 @@ Stream-stream LEFT OUTER join on (dt, tweet) with a time bound and watermarks on
 state is bounded by the watermark (I9), unmatched posts are emitted once the watermark has
 passed them.  The watermark delay must cover the disorder of the replay.  Several prediction
 versions per post are all emitted; the last one (largest seq) wins when the end state is read
-(``latest_state``), so the labels are computed exactly once per post."""
+(``latest_state``), so the labels are computed exactly once per post.  Unlike a
+drain-posts-then-predictions loop, a prediction that arrives before its post is kept in the
+join state and matched when the post arrives (within the watermark)."""
 
 from __future__ import annotations
 
