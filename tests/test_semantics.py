@@ -154,3 +154,14 @@ def test_histogram_counts_every_value_once(spark, bins):
     df = spark.createDataFrame([(float(i),) for i in range(101)], "v double")
     h = stats.histogram(df, ["v"], bins).toPandas()
     assert h.n.sum() == 101 and h.bin.max() == bins - 1
+
+
+def test_range_partitioning_splits_a_hot_key(spark):
+    """A key with 40 % of the rows is spread over several range partitions (the ordering
+    columns after the key act as tie-breakers), so no task gets the whole hot key."""
+    n = 20000
+    df = spark.range(n).select(F.when(F.col("id") % 5 < 2, F.lit("hot")).otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 97).cast("string"))).alias("symbol"), F.col("id").alias("doc_id"))
+    parts = df.repartitionByRange(8, "symbol", "doc_id").groupBy(F.spark_partition_id().alias("p")).count()
+    sizes = [r["count"] for r in parts.collect()]
+    assert max(sizes) < 0.25 * n

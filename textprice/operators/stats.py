@@ -75,6 +75,18 @@ def corr_matrix(df: DataFrame, cols, by=("symbol",)) -> DataFrame:
     return wide.selectExpr(*by, f"stack({len(pairs)}, {stack}) as (col_a, col_b, r)")
 
 
+def corr_matrix_wide(df: DataFrame, cols, method: str = "pearson") -> DataFrame:
+    """D8 for many columns: one distributed pass of ``ml.stat.Correlation`` over the assembled
+    vectors (rows with a null are skipped); the k x k result (bounded by the column count) is
+    returned in long form (col_a, col_b, r) for a < b."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(df.select(*cols))
+    m = Correlation.corr(vec, "_v", method).first()[0].toArray()
+    rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+
+
 def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas/numpy 'linear') for several columns.
 

@@ -200,6 +200,25 @@ def corr_matrix(spark, sf):
     return out.withColumn("r", F.round("r", 6))
 
 
+def _corr_wide_sql():
+    from itertools import combinations
+    cols = _daily_cols()
+    parts = [f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM daily"
+             for a, b in combinations(cols, 2)]
+    return (", daily AS (SELECT symbol, dt, CAST(count(*) AS DOUBLE) AS n_posts, arg_min(open, doc_id) AS open, "
+            "arg_min(high, doc_id) AS high, arg_min(low, doc_id) AS low, arg_min(close, doc_id) AS close, "
+            "arg_min(adj_close, doc_id) AS adj_close, arg_min(volume, doc_id) AS volume FROM posts GROUP BY symbol, dt)\n"
+            + "\nUNION ALL ".join(parts))
+
+
+@register("corr_matrix_wide", _corr_wide_sql())
+def corr_matrix_wide(spark, sf):
+    """D8 over all symbols' daily rows at once via ml.stat.Correlation (many-column path)."""
+    daily = stats.daily_rollup(fx.posts(spark, sf)).withColumn("n_posts", F.col("n_posts").cast("double"))
+    out = stats.corr_matrix_wide(daily, _daily_cols())
+    return out.withColumn("r", F.round("r", 6))
+
+
 DESCRIBE_COLS = ["open", "high", "low", "close", "volume"]
 
 

@@ -90,11 +90,14 @@ def posts_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction messages: a first version for 3 of 4 posts, a later one (higher seq) for some."""
     p = posts(spark, sf_dir)
-    first = p.filter(F.col("doc_id") % 4 != 0).select(
-        F.col("doc_id").alias("seq"), "dt", "tweet", F.col("open").alias("prediction"), "close")
-    second = p.filter(F.col("doc_id") % 8 == 1).select(
-        (F.col("doc_id") + 1000000).alias("seq"), "dt", "tweet", F.col("close").alias("prediction"), "close")
-    return first.unionByName(second)
+    i = F.col("doc_id")
+    # both versions from ONE pass over the posts (0, 1 or 2 messages per post)
+    versions = F.filter(F.array(
+        F.when(i % 4 != 0, F.struct(i.alias("seq"), F.col("open").alias("prediction"))),
+        F.when(i % 8 == 1, F.struct((i + 1000000).alias("seq"), F.col("close").alias("prediction")))),
+        lambda v: v.isNotNull())
+    return p.select("dt", "tweet", "close", F.explode(versions).alias("v")) \
+        .select("v.seq", "dt", "tweet", "v.prediction", "close")
 
 
 def lexicon(spark: SparkSession, sf_dir: str, n_words: int = 20) -> DataFrame:
