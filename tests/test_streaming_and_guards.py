@@ -78,3 +78,17 @@ def test_correlate_prediction_before_post_and_last_version_wins(spark):
     state = {r.doc_id: (r.prediction, r.sentiment) for r in
              correlate.latest_state(spark.read.parquet(out).filter("doc_id >= 0")).collect()}
     assert state == {1: (0.5, "Negative"), 2: (None, None), 3: (1.0, "Neutral")}
+
+
+def test_processing_time_trigger_runs_until_stopped(spark):
+    base = scratch_path(spark, "continuous")
+    src = os.path.join(base, "in")
+    ingest.write_messages(_msgs(spark, range(12)), src, 4)
+    s = ingest.read_messages(spark, src, POST_MESSAGE_SCHEMA, max_files_per_trigger=1)
+    q = ingest.start_continuous(s.select("doc_id"), os.path.join(base, "out"), os.path.join(base, "ck"), "1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert spark.read.parquet(os.path.join(base, "out")).count() == 12

@@ -43,8 +43,8 @@ def with_event_time(df: DataFrame, date_col: str = "dt", out: str = "event_ts")
 def run_to_table(stream_df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                  output_mode: str = "append", trigger: dict | None = None, query_name: str | None = None) -> str:
     """Run a streaming query into a file table with a checkpoint (exactly-once file sink).
-    ``trigger`` defaults to availableNow (drain the backlog, then stop); pass
-    {"processingTime": "5 seconds"} for a continuous run (I3)."""
+    ``trigger`` defaults to availableNow (drain the backlog, then stop); a continuous
+    processing-time run is ``start_continuous``."""
     w = stream_df.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -54,6 +54,17 @@ def run_to_table(stream_df: DataFrame, path: str, checkpoint: str, fmt: str = "p
     return path
 
 
+def start_continuous(stream_df: DataFrame, path: str, checkpoint: str, interval: str = "5 seconds",
+                     fmt: str = "parquet", output_mode: str = "append", query_name: str | None = None):
+    """Start a processing-time query (poll interval ``interval``) and return its handle;
+    the caller stops it (``processAllAvailable()`` then ``stop()`` in tests)."""
+    w = (stream_df.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", checkpoint)
+         .trigger(processingTime=interval))
+    if query_name:
+        w = w.queryName(query_name)
+    return w.start(path)
+
+
 def run_foreach_batch(stream_df: DataFrame, fn, checkpoint: str, output_mode: str = "append",
                       trigger: dict | None = None) -> None:
     """Run with a ``foreachBatch`` sink; ``fn(batch_df, batch_id)`` must be idempotent per id."""
