@@ -39,7 +39,7 @@ def indexed(series: DataFrame, key: str, order: str = "dt") -> DataFrame:
 def acf(series: DataFrame, value: str, key: str, nlags: int, order: str = "dt") -> DataFrame:
     """H2: autocorrelation for lags 0..nlags with Bartlett half-width of the 95 % band.
 
-    acf(k) = sum_t d_t d_{t+k} / sum_t d_t^2 with d = y - mean (statsmodels' default).  The
+    acf(k) = sum_t d_t d_{t+k} / sum_t d_t^2 with d = y - mean (the usual biased estimator).  The
     lagged products come from an equi-join on (key, t + k) against the series exploded over
     the lags, so the work is rows x lags, never pairs of rows."""
     s = indexed(series.select(key, order, value), key, order)

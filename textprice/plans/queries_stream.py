@@ -72,8 +72,9 @@ def stream_correlate(spark, sf):
 @register("stream_live_kpis", ATTACH_SQL + """
 SELECT count(*) AS n_posts, count(prediction) AS n_scored,
        round(coalesce(avg(prediction), 0.0), 6) AS mean_prediction,
-       count_if(sentiment = 'Positive') AS n_positive, count_if(sentiment = 'Negative') AS n_negative,
-       count_if(sentiment = 'Neutral') AS n_neutral FROM attached""")
+       CAST(count_if(sentiment = 'Positive') AS BIGINT) AS n_positive,
+       CAST(count_if(sentiment = 'Negative') AS BIGINT) AS n_negative,
+       CAST(count_if(sentiment = 'Neutral') AS BIGINT) AS n_neutral FROM attached""")
 def stream_live_kpis(spark, sf):
     """Totals, scored posts, mean prediction and label counts of the live table."""
     from ..operators.stats import live_kpis
