@@ -74,17 +74,24 @@ def compare_models(train: DataFrame, test: DataFrame, features: str = "features"
     train, test = sized(train), sized(test)
     rmse_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     r2_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    rows = []
-    for name, est, grid in (models or candidate_models(features, label, seed)):
+    def evaluate(item):
+        name, est, grid = item
         cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=rmse_eval,
                             numFolds=num_folds, foldCol=fold_col, parallelism=parallelism, seed=seed)
         m = cv.fit(train)
         metric = np.array(m.avgMetrics, dtype=float)
         tr = m.bestModel.transform(train)
         te = m.bestModel.transform(test)
-        rows.append((name, float(metric.mean()), float(metric.std()), float(metric.max()),
-                     float(metric.min()), float(r2_eval.evaluate(tr)), float(rmse_eval.evaluate(te)),
-                     float(r2_eval.evaluate(te))))
+        return (name, float(metric.mean()), float(metric.std()), float(metric.max()),
+                float(metric.min()), float(r2_eval.evaluate(tr)), float(rmse_eval.evaluate(te)),
+                float(r2_eval.evaluate(te)))
+
+    # The models' cross-validations are independent: their (many, small) Spark jobs are
+    # submitted from concurrent driver threads so the cluster is not idle between them.
+    from concurrent.futures import ThreadPoolExecutor
+    candidates = list(models or candidate_models(features, label, seed))
+    with ThreadPoolExecutor(max_workers=len(candidates)) as pool:
+        rows = list(pool.map(evaluate, candidates))
     return spark.createDataFrame(rows, MODEL_COMPARE_SCHEMA).orderBy("avg_rmse")
 
 
