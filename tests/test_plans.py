@@ -58,3 +58,11 @@ def test_cleaner_runs_once_per_row(spark):
     p = df._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("regexp_replace(regexp_replace(regexp_replace(regexp_replace") == 1
     assert df.filter(F.col("clean_tweet") == "").count() == 0
+
+
+def test_cleaner_join_and_partial_aggregate_share_one_codegen_stage(spark):
+    df = Q["daily_text"](spark, SF_SMALL)
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    gen = [ln for ln in lines if "Generate explode(array_remove" in ln]
+    assert gen and all("*(" in ln for ln in gen[:1])

@@ -33,7 +33,9 @@ def clean_text(df: DataFrame, col: str = "tweet", out: str = "clean_tweet",
     cleaned = tx.clean_expr(F.col(col), upto)
     if not drop_empty:
         return df.withColumn(out, cleaned)
-    kept = F.explode(F.filter(F.array(cleaned), lambda s: s != ""))
+    # null -> '' -> removed; every function here has generated code (no lambda), so the
+    # generator stays inside whole-stage codegen
+    kept = F.explode(F.array_remove(F.array(F.coalesce(cleaned, F.lit(""))), ""))
     return df.select("*", kept.alias(out))
 
 

@@ -25,8 +25,8 @@ def cleaner_stage(input_col: str = "tweet", output_col: str = "clean_tweet") ->
     """The composed cleaner as a persistable stage; rows cleaned to '' are dropped."""
     # The drop is fused into a 0-or-1-row generator so the cleaner is evaluated once per row.
     return SQLTransformer(statement=(
-        f"SELECT * FROM __THIS__ LATERAL VIEW explode(filter(array({tx.clean_sql(input_col)}), "
-        f"s -> s <> '')) kept AS {output_col}"))
+        f"SELECT * FROM __THIS__ LATERAL VIEW explode(array_remove(array(coalesce("
+        f"{tx.clean_sql(input_col)}, '')), '')) kept AS {output_col}"))
 
 
 def selector_stage(cols) -> SQLTransformer:

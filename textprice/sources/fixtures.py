@@ -92,12 +92,11 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = posts(spark, sf_dir)
     i = F.col("doc_id")
     # both versions from ONE pass over the posts (0, 1 or 2 messages per post)
-    versions = F.filter(F.array(
+    versions = F.array(
         F.when(i % 4 != 0, F.struct(i.alias("seq"), F.col("open").alias("prediction"))),
-        F.when(i % 8 == 1, F.struct((i + 1000000).alias("seq"), F.col("close").alias("prediction")))),
-        lambda v: v.isNotNull())
+        F.when(i % 8 == 1, F.struct((i + 1000000).alias("seq"), F.col("close").alias("prediction"))))
     return p.select("dt", "tweet", "close", F.explode(versions).alias("v")) \
-        .select("v.seq", "dt", "tweet", "v.prediction", "close")
+        .filter(F.col("v").isNotNull()).select("v.seq", "dt", "tweet", "v.prediction", "close")
 
 
 def lexicon(spark: SparkSession, sf_dir: str, n_words: int = 20) -> DataFrame:
