@@ -165,3 +165,17 @@ def test_range_partitioning_splits_a_hot_key(spark):
     parts = df.repartitionByRange(8, "symbol", "doc_id").groupBy(F.spark_partition_id().alias("p")).count()
     sizes = [r["count"] for r in parts.collect()]
     assert max(sizes) < 0.25 * n
+
+
+def test_incremental_replay_resumes_from_stored_cursor(spark):
+    from textprice.session import scratch_path
+    from textprice.sources import paging
+    rows = [(i, f"2024-01-{1 + i % 9:02d}", "s") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, dt string, symbol string").withColumn("dt", F.to_date("dt"))
+    folder = scratch_path(spark, "replay-test")
+    got = [paging.append_next_page(df, "s", 50, folder) for _ in range(4)]
+    assert got == [0, 1, 2, None]
+    back = spark.read.schema("doc_id long, dt string, page_no int").json(f"{folder}/pages")
+    exp = [r.doc_id for r in df.orderBy(F.col("dt").desc(), F.col("doc_id").desc()).collect()]
+    seen = [r.doc_id for r in back.orderBy("page_no", F.col("dt").desc(), F.col("doc_id").desc()).collect()]
+    assert seen == exp

@@ -87,3 +87,8 @@ def load_model(path: str) -> PipelineModel:
 def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Raw rows -> clean -> preprocess -> predict (id columns kept)."""
     return model.transform(df)
+
+
+def score_saved(df: DataFrame, path: str) -> DataFrame:
+    """Score raw rows with the pipeline saved at ``path`` (cleaning included)."""
+    return score(df, load_model(path))

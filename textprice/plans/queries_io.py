@@ -111,3 +111,18 @@ def paged_backfill(spark, sf):
         T.StructField("page_no", T.IntegerType()), T.StructField("_from_newest", T.IntegerType()),
         T.StructField("symbol", T.StringType())])).json(path)
     return back.select("doc_id", "symbol", "page_no", F.col("_from_newest").alias("from_newest"))
+
+
+@register("paged_replay", """
+SELECT doc_id, CAST(dt AS VARCHAR) AS dt, CAST(r // 100 AS INTEGER) AS page_no FROM (
+  SELECT doc_id, dt, row_number() OVER (ORDER BY dt DESC, doc_id DESC) - 1 AS r FROM posts WHERE symbol = 'view')
+WHERE r < 300""")
+def paged_replay(spark, sf):
+    """I1 incremental: three replay runs, each appending the next page of 100 after the stored
+    cursor (the reference's fetch loop, without its timer); the pages are read back."""
+    folder = scratch_path(spark, "replay")
+    p = fx.posts(spark, sf)
+    for _ in range(3):
+        paging.append_next_page(p, "view", 100, folder)
+    back = spark.read.schema("doc_id long, dt string, page_no int").json(f"{folder}/pages")
+    return back.select("doc_id", "dt", "page_no")

@@ -137,10 +137,9 @@ def model_roundtrip(spark, sf):
     p = _split_posts(spark, sf)
     model = pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=_w2v_parts(spark))
     path = pp.save_model(model, scratch_path(spark, "model"))
-    loaded = pp.load_model(path)
     test = p.filter(F.col("part") == "test")
     a = model.transform(test).select("doc_id", "prediction")
-    b = loaded.transform(test).select("doc_id", F.col("prediction").alias("reloaded_prediction"))
+    b = pp.score_saved(test, path).select("doc_id", F.col("prediction").alias("reloaded_prediction"))
     return a.join(b, "doc_id").withColumn(
         "same", F.abs(F.col("prediction") - F.col("reloaded_prediction")) < 1e-9)
 

@@ -17,7 +17,8 @@ def page(df: DataFrame, symbol: str, n: int, after=None) -> DataFrame:
     f = df.filter(F.col("symbol") == F.lit(symbol))
     if after is not None:
         d, i = after
-        f = f.filter((F.col("dt") < F.lit(d)) | ((F.col("dt") == F.lit(d)) & (F.col("doc_id") < F.lit(i))))
+        d = d if isinstance(d, F.Column) else F.lit(d)
+        f = f.filter((F.col("dt") < d) | ((F.col("dt") == d) & (F.col("doc_id") < F.lit(i))))
     top = f.orderBy(F.col("dt").desc(), F.col("doc_id").desc()).limit(n)
     pos = F.row_number().over(Window.orderBy("dt", "doc_id"))   # over the n-row page only
     return top.withColumn("page_pos", pos)
@@ -36,3 +37,32 @@ def page_numbers(df: DataFrame, n: int, key: str = "symbol") -> DataFrame:
     page_no = F.floor(F.col("_before") / n).cast("int")
     in_page = (F.col("_before") % n).cast("int")
     return ranked.withColumn("page_no", page_no).withColumn("_from_newest", in_page).drop("_before")
+
+
+def append_next_page(df: DataFrame, symbol: str, n: int, folder: str):
+    """I1 incremental replay: fetch the page after the stored cursor, write it as
+    ``pages/page_no=k`` (overwrite, so a rerun after a failure rewrites the same page), then
+    store the new cursor next to it.  Returns the page number written, or None at the end."""
+    import os
+
+    from pyspark.sql.utils import AnalysisException
+    spark = df.sparkSession
+    cursor_path = os.path.join(folder, "_cursor")
+    try:
+        last = spark.read.schema("dt string, doc_id long, page_no int").json(cursor_path) \
+            .orderBy(F.col("page_no").desc()).first()
+    except AnalysisException:
+        last = None
+    after = None if last is None else (last["dt"], last["doc_id"])
+    page_no = 0 if last is None else last["page_no"] + 1
+    pg = page(df, symbol, n, None if after is None else (F.lit(after[0]).cast("date"), after[1])).persist()
+    cursor = next_cursor(pg)
+    if cursor is None:
+        pg.unpersist()
+        return None
+    pg.withColumn("dt", F.col("dt").cast("string")).write.mode("overwrite") \
+        .json(os.path.join(folder, "pages", f"page_no={page_no}"))
+    spark.createDataFrame([(str(cursor[0]), int(cursor[1]), page_no)], "dt string, doc_id long, page_no int") \
+        .write.mode("append").json(cursor_path)
+    pg.unpersist()
+    return page_no
