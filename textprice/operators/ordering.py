@@ -17,10 +17,15 @@ from pyspark.sql import types as T
 from .joins import join_small
 
 
+# Range partitioning samples ~100 keys per partition on the driver; beyond this many
+# partitions the sample itself gets large.  Inputs to prefix_sum are narrow (keys and ids).
+MAX_RANGE_PARTITIONS = 50_000
+
+
 def _partition_count(df: DataFrame) -> int:
     spark = df.sparkSession
-    return max(spark.sparkContext.defaultParallelism,
-               int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return min(n, MAX_RANGE_PARTITIONS)
 
 
 def prefix_sum(df: DataFrame, order_cols, partition_cols=(), weight: str | None = None,
