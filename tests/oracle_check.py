@@ -2,6 +2,9 @@
 oracle SQL on DuckDB at one scale factor, compare row count, column names and sorted values.
 
     python tests/oracle_check.py [sf_dir] [name ...]
+
+ORACLE_STRICT=1 compares floats bit for bit; PLAIN_SESSION=1 runs on a default session
+(200 shuffle partitions, none of this library's session settings).
 """
 
 from __future__ import annotations
@@ -20,11 +23,14 @@ from textprice.session import build_session  # noqa: E402
 from textprice.sources.tables import TABLES  # noqa: E402
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # exact float equality (no rounding)
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if STRICT else round(v, 6)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
@@ -61,7 +67,12 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = build_session()
+    if os.environ.get("PLAIN_SESSION") == "1":      # a default session, as a driver might use
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session()
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     failures = 0
