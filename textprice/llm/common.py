@@ -56,13 +56,14 @@ def quoted(name: str):
 
 def write_chunks(docs: DataFrame, text: str, name: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Rows (chunk, rows, raw_bytes, blob): ``docs`` packed in input order, each chunk closed when
-    its texts reach ``chunk_bytes``.  ``blob`` is an Arrow stream of all columns."""
+    its texts reach ``chunk_bytes`` or it has 2^16 rows.  ``blob`` is an Arrow stream of all columns.
+    ``chunk`` < 2^47, so that chunk * 2^16 + row numbers every row."""
 
     def pack(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
         from pyspark import TaskContext
-        first = TaskContext.get().partitionId() << 32
+        first = TaskContext.get().partitionId() << 24
         state = {"n": 0, "parts": [], "rows": 0, "size": 0}
 
         def flush():
