@@ -27,15 +27,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+MADE: list[str] = []  # paths of the intermediate tables of this process, oldest first
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later uses neither recompute it
     nor depend on the executors that made it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, paths) -> None:
+    """Delete intermediate tables that no result needs any more."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if path in MADE:
+            MADE.remove(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Nothing for a table with many splits; a table of few splits (tests, small inputs) is dealt
     out round-robin so that Python work uses all cores.  Only for scans."""
@@ -97,6 +110,13 @@ def write_chunks(docs: DataFrame, text: str, name: str, chunk_bytes: int = CHUNK
     return written(docs.mapInArrow(pack, "chunk long, rows long, raw_bytes long, blob binary"), name)
 
 
+def worker_state() -> dict:
+    """A dictionary of this Python process, for what is costly to load and the same in every task."""
+    import sys
+    import types
+    return sys.modules.setdefault("_textprice_worker", types.ModuleType("_textprice_worker")).__dict__
+
+
 def unpack(blob: bytes):
     """The rows of one chunk, as a pyarrow Table."""
     import pyarrow as pa

@@ -149,3 +149,49 @@ FROM w LEFT JOIN c ON w.doc_id = c.doc_id LEFT JOIN m ON c.rep = m.a
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), rows=False)
+
+
+@register("op7_maxent_lm")
+def op7_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .maxent_lm import score_language_model
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", F.coalesce(remainder_of_five() == 1, F.lit(False))).withColumn("train", ~F.col("held_out"))
+    return score_language_model(docs).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register("op5_mix_sources")
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+    out = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "selected")
+
+
+def license_sql() -> str:
+    from .licenses import TEMPLATES
+    listed = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(TEMPLATES))
+    words = (r"list_filter(list_transform(regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             r"'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9.\-\x{{80}}-\x{{10FFFF}}]+'), lambda w: rtrim(w, '.')), lambda w: w <> '')")
+    grams = ("list_distinct(CASE WHEN len({0}) = 1 THEN {0} ELSE list_transform(range(1, len({0})), "
+             "lambda i: {0}[i] || ' ' || {0}[i + 1]) END)")
+    return f"""
+WITH t AS (SELECT * FROM (VALUES {listed}) v(nth, name, body)),
+tw AS (SELECT nth, name, {words.format('body')} AS w FROM t),
+tb AS (SELECT nth, name, {grams.format('w')} AS g FROM tw),
+d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, coalesce(text, '') AS text FROM documents),
+c AS (SELECT doc_id, 1 AS line, unnest(ls) AS x FROM d UNION ALL SELECT doc_id, 0, text FROM d WHERE len(ls) > 1),
+cw AS (SELECT doc_id, line, {words.format('x')} AS w FROM c),
+cb AS (SELECT doc_id, line, row_number() OVER () AS r, {grams.format('w')} AS g FROM cw WHERE len(w) > 0),
+m AS (SELECT doc_id, line, r, nth, name, 2 * len(list_intersect(cb.g, tb.g)) / (len(cb.g) + len(tb.g)) AS score
+      FROM cb JOIN tb ON len(cb.g) BETWEEN len(tb.g) * 0.5 AND len(tb.g) * 2),
+h AS (SELECT * FROM m WHERE score >= 0.8),
+b AS (SELECT doc_id, first(name ORDER BY score DESC, nth) AS license, max(score) AS license_score,
+             count(DISTINCT CASE WHEN line = 1 THEN r END) AS n FROM h GROUP BY doc_id)
+SELECT d.doc_id, license, license_score, coalesce(n, 0)::BIGINT AS n_license_lines FROM d LEFT JOIN b ON d.doc_id = b.doc_id
+"""
+
+
+@register("op8_license_scan", license_sql())
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+    out = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "license", "license_score", "n_license_lines")
