@@ -145,13 +145,18 @@ def test_dart_signatures_estimate_similarity():
             wa = np.ones(n) if weights is None else rng.integers(1, 5, n).astype(float)
             wb = np.ones(n) if weights is None else np.concatenate((wa[n - overlap:], rng.integers(1, 5, n - overlap))) - 0.5
             a, b = shift[:n], shift[n - overlap:2 * n - overlap]
-            sa, sb = near_dedup.dart_signature(a, wa, 130), near_dedup.dart_signature(b, wb, 130)
+            sa, sb = near_dedup.dart_signatures(np.concatenate((a, b)), np.concatenate((wa, wb)), np.array([n, n]), 130)
             agree.append((sa == sb).mean())
             oa, ob = np.argsort(a), np.argsort(b)
             true = near_dedup.similarity(a[oa], wa[oa], b[ob], wb[ob])
-            assert (near_dedup.dart_signature(a[::-1].copy(), wa[::-1].copy(), 130) == sa).all()
+            alone = near_dedup.dart_signatures(a[::-1].copy(), wa[::-1].copy(), np.array([n]), 130)
+            assert (alone[0] == sa).all()  # neither order nor neighbours matter
         assert abs(np.mean(agree) - true) < 0.04
-    assert len(near_dedup.dart_signature(ids[:1], np.ones(1), 130)) == 130
+    sizes = np.array([1, 3, 700, 2])
+    many = near_dedup.dart_signatures(ids[:706], np.ones(706), sizes, 130)
+    ends = np.cumsum(sizes)
+    for row, e, n in zip(many, ends, sizes, strict=True):
+        assert (near_dedup.dart_signatures(ids[e - n:e], np.ones(n), np.array([n]), 130)[0] == row).all()
 
 
 def naive_syncmers(text, k, s):

@@ -63,11 +63,9 @@ class Templates:
         self.threshold, self.by_size = threshold, {}
         for nth, (name, text) in enumerate(templates):
             own = bigrams_of(words_of(text))
-            low, high = len(own) * threshold / (2 - threshold), len(own) * (2 - threshold) / threshold
-            for size in range(int(low), int(high) + 2):
-                if low <= size <= high:
+            for size in range(1, int(len(own) * (2 - threshold) / threshold) + 2):
+                if 2 * min(size, len(own)) / (size + len(own)) >= threshold:
                     self.by_size.setdefault(size, []).append((nth, name, own))
-        self.longest = max(self.by_size, default=0)
 
     def best(self, words: list[str]):
         """(-score, number, name) of the best template that reaches the threshold, or None."""

@@ -41,9 +41,16 @@ OUTPUTS = ("topic", "n_tokens", "weight", "probability", "selected")
 def surface_topic(text: Column) -> Column:
     """A topic from the looks of a text: licence lines, addresses, tables, lists, else prose."""
     t = F.coalesce(text, F.lit(""))
-    return (F.when(t.rlike(r"(?i)\b(licen[sc]ed?|copyright|all rights reserved)\b"), "legal")
-            .when(t.rlike(r"[\w.+-]+@[\w-]+\.\w|https?://|\+\d[\d ()-]{7,}"), "contact")
-            .when(t.contains(" | "), "table").when(t.rlike(r"(?m)^[-*] "), "list").otherwise("prose"))
+
+    def any_of(*parts):
+        out = t.contains(parts[0])
+        for p in parts[1:]:
+            out = out | t.contains(p)
+        return out
+
+    return (F.when(any_of("icense", "ICENSE", "opyright", "COPYRIGHT", "ights reserved"), "legal")
+            .when(any_of("://") | (t.contains("@") & t.rlike(r"\w@\w[\w-]*\.\w")) | (t.contains("+") & t.rlike(r"\+\d[\d ()-]{7}")), "contact")
+            .when(any_of(" | "), "table").when(any_of("\n- ", "\n* "), "list").otherwise("prose"))
 
 
 def place_in(column: Column, values) -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_words, mix64, quoted, split_words, text_column, unpack, without, write_chunks, written
+from .common import M64, hash_words, mix64, quoted, split_words, text_column, unpack, without, write_chunks, written
 from .components import components
 
 SHINGLE = 5
@@ -40,6 +40,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 26, 5
 HUBS = 16
 LARGE = 64
+GROUP = 256  # texts signed at once
 OUTPUTS = ("class_id", "kept")
 EDGES = (0.0, 1 / 64, 1 / 16, 1 / 4, 1.0)  # cells of ranks; cells of width 1 after the last
 
@@ -61,56 +62,67 @@ def fraction(h):
     return (h >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
 
 
-def throw(units, room, lo: float, hi: float, cells: int, k: int):
+def throw(units, room, lo: float, width: float, cells: int, k: int):
     """Darts at ``units`` (hashes, each open up to height ``room``) in ``cells`` neighbouring cells of ranks
-    of width hi - lo from ``lo`` on: (ranks, coordinates, dart hashes)."""
+    of ``width`` from ``lo`` on: (index of the unit, ranks, coordinates, dart hashes)."""
     import numpy as np
-    width = hi - lo
     if width not in CDF:
         CDF[width] = poisson_cdf(width)
     tag = mix64(((lo + width * np.arange(cells)) * 64 + 1).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
     place = mix64(units[:, None] ^ tag[None, :])
-    number = np.searchsorted(CDF[width], fraction(place), side="right")
-    unit, cell = np.nonzero(number)
-    times = number[unit, cell]
+    unit, cell = np.nonzero(place >= np.uint64(min(int(CDF[width][0] * 2.0 ** 64), M64)))  # at least one dart
+    place = place[unit, cell]
+    times = np.maximum(np.searchsorted(CDF[width], fraction(place), side="right"), 1)
     nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     unit, cell = np.repeat(unit, times), np.repeat(cell, times)
-    dart = mix64(place[unit, cell] + (nth + 1).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-    hit = fraction(mix64(dart ^ np.uint64(0xA5A5A5A5A5A5A5A5))) < room[unit]
-    dart, cell = dart[hit], cell[hit]
+    dart = mix64(np.repeat(place, times) + (nth + 1).astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+    hit = room[unit] >= 1
+    some = ~hit
+    if some.any():
+        hit[some] = fraction(mix64(dart[some] ^ np.uint64(0xA5A5A5A5A5A5A5A5))) < room[unit[some]]
+    if not hit.all():
+        unit, cell, dart = unit[hit], cell[hit], dart[hit]
     rank = lo + width * (cell + fraction(mix64(dart ^ np.uint64(0x5851F42D4C957F2D))))
-    return rank, (mix64(dart ^ np.uint64(0x14057B7EF767814F)) % np.uint64(k)).astype(np.int64), dart
+    return unit, rank, (mix64(dart ^ np.uint64(0x14057B7EF767814F)) % np.uint64(k)).astype(np.int64), dart
 
 
-def dart_signature(elements, weights, k: int):
-    """The dart hash kept in each of ``k`` coordinates (unsigned 64 bit)."""
+def dart_signatures(elements, weights, sizes, k: int):
+    """The dart hash kept in each of ``k`` coordinates (unsigned 64 bit) of many weighted sets, given one
+    after another: ``sizes`` elements each, at least one."""
     import numpy as np
-    layers = int(math.ceil(weights.max()))
-    units, room = [], []
-    for layer in range(layers):  # one region per unit of weight
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    units, room, own = [], [], []
+    for layer in range(int(math.ceil(weights.max()))):  # one region per unit of weight
         open_ = weights > layer
-        units.append(mix64(elements[open_] + np.uint64(layer) * np.uint64(0x9E3779B97F4A7C15)))
+        units.append(mix64(elements[open_] + np.uint64(layer * 0x9E3779B97F4A7C15 & M64)))
         room.append(np.minimum(weights[open_] - layer, 1.0))
-    units, room = np.concatenate(units), np.concatenate(room)
-    bound = (k * math.log(k) + 2 * k) / weights.sum()
-    best, kept = np.full(k, np.inf), np.zeros(k, dtype=np.uint64)
+        own.append(owner[open_])
+    units, room, own = np.concatenate(units), np.concatenate(room), np.concatenate(own)
+    bound = (k * math.log(k) + 2 * k) / np.bincount(owner, weights, minlength=len(sizes))
+    best = np.full(len(sizes) * k, np.inf)
+    kept = np.zeros(len(sizes) * k, dtype=np.uint64)
+    waiting = np.ones(len(sizes), dtype=bool)
     at = 0
     while True:
         if at < len(EDGES) - 1:
-            lo, hi, cells = EDGES[at], EDGES[at + 1], 1
-        else:  # cells of width 1, as many as the bound asks for, then one by one
-            lo = EDGES[-1] + at - (len(EDGES) - 1)
-            hi, cells = lo + 1.0, max(1, math.ceil(bound - lo))
-        at, upto = at + cells, lo + (hi - lo) * cells
-        rank, coordinate, dart = throw(units, room, lo, hi, cells, k)
+            lo, width, cells = EDGES[at], EDGES[at + 1] - EDGES[at], 1
+        else:  # cells of width 1, as many as all sets that wait still need
+            lo, width = EDGES[-1] + at - (len(EDGES) - 1), 1.0
+            cells = int(min(max(1, math.ceil(bound[waiting].min() - lo)), 1 + (1 << 20) // len(units)))
+        at += cells
+        unit, rank, coordinate, dart = throw(units, room, lo, width, cells, k)
+        place = own[unit] * k + coordinate
         order = np.argsort(-rank, kind="stable")
-        rank, coordinate, dart = rank[order], coordinate[order], dart[order]
-        first = np.full(k, -1, dtype=np.int64)
-        first[coordinate] = np.arange(len(rank))  # the last written is the least rank
-        new = (first >= 0) & np.isinf(best)  # cells come in order of rank: earlier ones stay
+        place, rank, dart = place[order], rank[order], dart[order]
+        first = np.full(len(best), -1, dtype=np.int64)
+        first[place] = np.arange(len(place))  # the last written is the least rank
+        new = np.flatnonzero((first >= 0) & np.isinf(best))  # cells come in order of rank: earlier ones stay
         best[new], kept[new] = rank[first[new]], dart[first[new]]
-        if upto >= bound and not np.isinf(best).any():
-            return kept
+        waiting = (bound > lo + width * cells) | np.isinf(best).reshape(-1, k).any(axis=1)
+        if not waiting.any():
+            return kept.reshape(-1, k)
+        still = waiting[own]
+        units, room, own = units[still], room[still], own[still]
 
 
 def shingles(word_hashes, shingle: int):
@@ -156,7 +168,7 @@ def signatures(chunks: DataFrame, text: str, key: str, key_type, shingle: int, w
                 w = hash_words(words)
                 power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(
                     max(0, int(lens.max(initial=0)) - 1), 0x9E3779B97F4A7C15, np.uint64))), dtype=np.uint64)
-                k1, k2, bands, end, known = [], [], [], 0, {}
+                k1, k2, sets, end, known = [], [], [], 0, {}
                 for n in lens:
                     own, end = w[end:end + n], end + n
                     a = int(mix64((own * power[:n]).sum(dtype=np.uint64) + np.uint64(n)).astype(np.int64))
@@ -164,12 +176,18 @@ def signatures(chunks: DataFrame, text: str, key: str, key_type, shingle: int, w
                     k1.append(a)
                     k2.append(b)
                     if n and (a, b) not in known:
-                        s = dart_signature(*weighted(shingles(own, shingle), weights), BANDS * ROWS).reshape(BANDS, ROWS)
-                        band = np.zeros(BANDS, dtype=np.uint64)
-                        for r in range(ROWS):
-                            band = mix64(band * np.uint64(0x9E3779B97F4A7C15) + s[:, r])
-                        known[a, b] = band.astype(np.int64).tolist()
-                    bands.append(known[a, b] if n else None)
+                        known[a, b] = len(sets)
+                        sets.append(weighted(shingles(own, shingle), weights))
+                found = []
+                for lo in range(0, len(sets), GROUP):
+                    some = sets[lo:lo + GROUP]
+                    s = dart_signatures(np.concatenate([e for e, _ in some]), np.concatenate([c for _, c in some]),
+                                        np.array([len(e) for e, _ in some]), BANDS * ROWS).reshape(-1, BANDS, ROWS)
+                    band = np.zeros(s.shape[:2], dtype=np.uint64)
+                    for r in range(ROWS):
+                        band = mix64(band * np.uint64(0x9E3779B97F4A7C15) + s[:, :, r])
+                    found.extend(band.astype(np.int64).tolist())
+                bands = [found[known[a, b]] if n else None for n, a, b in zip(lens, k1, k2, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((chunk << 16) + np.arange(len(lens)), pa.int64()), pa.concat_arrays(tbl.column(key).chunks),
                      pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=spec.names)
@@ -231,17 +249,15 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
     keyed = exploded.select("rid", F.xxhash64("j", "v").alias("bucket"))
     hubs = keyed.groupBy("bucket").agg(F.min("rid").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     pool = written(keyed.join(hubs, "bucket").where("rid <> hub"), "buckets")
-    tested = pool.select(F.col("hub").alias("a"), F.col("rid").alias("b")).distinct()
+    tested = written(pool.select(F.col("hub").alias("a"), F.col("rid").alias("b")).distinct(), "tested")
     members = pool.select("rid").union(tested.select(F.col("a").alias("rid"))).distinct()
     sets = shingle_sets(chunks, members, text, shingle, weights)
-    links = written(linked(tested, sets, threshold), "links")
-    labels = components(links)
-    tried = written(tested, "tested")
+    labels = components(linked(tested, sets, threshold))
+    tried = tested
     pool = pool.select("bucket", "rid")
     while True:
         label = labels.withColumnRenamed("id", "rid")
         told = pool.join(label, "rid", "left").select("bucket", "rid", F.coalesce("label", "rid").alias("label"))
-        told = written(told, "pool")
         open_ = (told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
                  .where("lo <> hi").select("bucket", "n"))
         told = written(told.join(open_, "bucket"), "pool")
@@ -254,16 +270,15 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
                  .select(F.xxhash64("bucket", "j", "v").alias("bucket"), "rid", "label"))
         told = told.where(F.col("n") <= LARGE).select("bucket", "rid", "label").unionByName(split)
         order = Window.partitionBy("bucket").orderBy("rid")
+        told = written(told, "pool")
         first = (told.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= HUBS)
                  .select("bucket", F.col("rid").alias("a"), F.col("label").alias("la")))
         pairs = (told.join(first, "bucket").where((F.col("a") < F.col("rid")) & (F.col("la") != F.col("label")))
                  .select("a", F.col("rid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
         pairs = written(pairs, "tested")
-        links = links.unionByName(written(linked(pairs, sets, threshold), "links"))
+        labels = components(linked(pairs, sets, threshold), labels)
         tried = tried.unionByName(pairs)
-        labels = components(links)
-        rest = told.select("bucket", "rid").join(first.select("bucket", F.col("a").alias("rid")), ["bucket", "rid"], "left_anti")
-        pool = written(rest, "pool")
+        pool = told.select("bucket", "rid").join(first.select("bucket", F.col("a").alias("rid")), ["bucket", "rid"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,

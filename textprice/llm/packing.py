@@ -11,8 +11,8 @@ length: a number counted by the task that made the piece, plus an offset from a
 (task, length) counts.
 
 Tokenising happens once: pieces are written to the shared folder.  A byte-pair vocabulary that
-never joins characters across white space gives a text the ids of its words, so each distinct word
-is encoded once per task and texts are put together from the words' ids.
+never joins characters across white space gives a text the ids of its words, so words
+are encoded on their own, kept in a bounded cache per worker, and texts put together from their ids.
 
 Results for special inputs: a null text is the empty text; every document ends with ``end_id``, so
 even an empty one is a piece of one token; a very long one is cut into pieces of ``capacity``
@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import quoted, spread, without, written
+from .common import quoted, spread, without, worker_state, written
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 OUTPUTS = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset", "_task", "_nth")
 
 
@@ -47,22 +47,36 @@ def load_tokenizer(file: str):
 
 
 class WordEncoder:
-    """Ids of texts (little-endian unsigned 32 bit), word by word, with a bounded cache."""
+    """Ids of texts (little-endian unsigned 32 bit), word by word.  Of the words' ids it keeps two
+    generations of ``cached_words`` each: when the young one is full it becomes the old one, and words
+    met again come back from there, so frequent words stay."""
 
     def __init__(self, tokenizer, cached_words: int = CACHED_WORDS):
-        self.tokenizer, self.cached_words, self.ids = tokenizer, cached_words, {}
+        self.tokenizer, self.cached_words, self.young, self.old = tokenizer, cached_words, {}, {}
 
     def encode(self, text: str) -> bytes:
         import numpy as np
         words = text.encode("utf-8", "replace").split()
-        new = list(set(words).difference(self.ids))
-        if new:
-            if len(self.ids) > self.cached_words:
-                self.ids.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-            self.ids.update(zip(new, [np.array(e.ids, dtype="<u4").tobytes() for e in found], strict=True))
-        return b"".join(map(self.ids.__getitem__, words))
+        missing = set(words).difference(self.young)
+        if missing:
+            back = {w: self.old[w] for w in missing if w in self.old}
+            self.young.update(back)
+            new = [w for w in missing if w not in back]
+            if new:
+                found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
+                self.young.update(zip(new, [np.array(e.ids, dtype="<u4").tobytes() for e in found], strict=True))
+        ids = b"".join(map(self.young.__getitem__, words))
+        if len(self.young) > self.cached_words:
+            self.young, self.old = {}, self.young
+        return ids
+
+
+def word_encoder(tokenizer: str) -> WordEncoder:
+    """The encoder of this Python worker process: Spark uses a process for many tasks."""
+    kept = worker_state()
+    if tokenizer not in kept:
+        kept[tokenizer] = WordEncoder(load_tokenizer(tokenizer))
+    return kept[tokenizer]
 
 
 def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id: int, keep) -> DataFrame:
@@ -80,7 +94,7 @@ def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id
         import pyarrow as pa
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        encoder = WordEncoder(load_tokenizer(tokenizer))
+        encoder = word_encoder(tokenizer)
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
