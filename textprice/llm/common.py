@@ -49,6 +49,12 @@ def remove(spark: SparkSession, paths) -> None:
             MADE.remove(path)
 
 
+def drop_intermediates(spark: SparkSession, since: int, keep=()) -> None:
+    """Delete the tables written after the first ``since`` ones, but for those named in ``keep``: the caller's
+    result does not read them."""
+    remove(spark, [p for p in MADE[since:] if p.rsplit("/", 1)[-1].rsplit("-", 1)[0] not in keep])
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Nothing for a table with many splits; a table of few splits (tests, small inputs) is dealt
     out round-robin so that Python work uses all cores.  Only for scans."""

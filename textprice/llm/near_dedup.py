@@ -14,9 +14,9 @@ Joining.  Rows with the same words in the same order are one node, found by a 12
 that agree in all rows of a band share a bucket.  No bucket is expanded into pairs: its least node is
 the *hub*, members are checked against hubs only (exact similarity), links join components,
 and members that are in one component by then need no check.  Where members of different components
-remain, the next ``HUBS`` members become hubs, until none remain; a bucket of many members
-that stay apart is split by the members' other bands first (two texts over the threshold share
-at least two of the bands with a probability of 0.9995 or more, and further buckets).
+remain, such as texts that only share a passage, members must agree in a second band (and in a third
+where more than ``LARGE`` remain); then the next ``HUBS`` members become hubs, until none remain.  Two
+texts at the threshold share a band, two and three bands with a probability of 0.99997, 0.9995 and 0.997.
 
 Results for special inputs: a text of fewer than ``shingle`` words is one shingle; a null text or one
 without words is alone in its class; repeated rows are one class; rows with a null key take part and
@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import M64, hash_words, mix64, quoted, split_words, text_column, unpack, without, write_chunks, written
+from .common import (MADE, M64, drop_intermediates, hash_words, mix64, quoted, split_words, text_column, unpack, without,
+                     write_chunks, written)
 from .components import components
 
 SHINGLE = 5
@@ -40,6 +41,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 26, 5
 HUBS = 16
 LARGE = 64
+DEPTH = 2
 GROUP = 256  # texts signed at once
 OUTPUTS = ("class_id", "kept")
 EDGES = (0.0, 1 / 64, 1 / 16, 1 / 4, 1.0)  # cells of ranks; cells of width 1 after the last
@@ -254,23 +256,22 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
     sets = shingle_sets(chunks, members, text, shingle, weights)
     labels = components(linked(tested, sets, threshold))
     tried = tested
-    pool = pool.select("bucket", "rid")
+    pool, depth = pool.select("bucket", "rid"), 0
     while True:
-        label = labels.withColumnRenamed("id", "rid")
-        told = pool.join(label, "rid", "left").select("bucket", "rid", F.coalesce("label", "rid").alias("label"))
-        open_ = (told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
-                 .where("lo <> hi").select("bucket", "n"))
-        told = written(told.join(open_, "bucket"), "pool")
+        told = written(still_apart(pool.join(labels.withColumnRenamed("id", "rid"), "rid", "left")
+                                   .select("bucket", "rid", F.coalesce("label", "rid").alias("label"))), "pool")
         if told.isEmpty():
             return labels
-        # buckets of many members that stay apart: by the members' other bands
-        split = (told.where(F.col("n") > LARGE).select("bucket", "rid", "label").join(bands, "rid")
-                 .select("bucket", "rid", "label", F.posexplode("bands").alias("j", "v"))
-                 .where(F.xxhash64("j", "v") != F.col("bucket"))
-                 .select(F.xxhash64("bucket", "j", "v").alias("bucket"), "rid", "label"))
-        told = told.where(F.col("n") <= LARGE).select("bucket", "rid", "label").unionByName(split)
+        if depth < DEPTH:
+            # by the members' other bands too: all buckets at first, then those of many members
+            large = F.col("n") > (LARGE if depth else 0)
+            other = F.xxhash64("j", "v")
+            finer = (told.where(large).select("bucket", "rid", "label").join(bands, "rid")
+                     .select("bucket", "rid", "label", F.posexplode("bands").alias("j", "v")).where(other != F.col("bucket"))
+                     .select(F.xxhash64(F.least("bucket", other), F.greatest("bucket", other)).alias("bucket"), "rid", "label"))
+            told = written(told.where(~large).unionByName(still_apart(finer.distinct())), "pool")
+            depth += 1
         order = Window.partitionBy("bucket").orderBy("rid")
-        told = written(told, "pool")
         first = (told.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= HUBS)
                  .select("bucket", F.col("rid").alias("a"), F.col("label").alias("la")))
         pairs = (told.join(first, "bucket").where((F.col("a") < F.col("rid")) & (F.col("la") != F.col("label")))
@@ -281,11 +282,18 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
         pool = told.select("bucket", "rid").join(first.select("bucket", F.col("a").alias("rid")), ["bucket", "rid"], "left_anti")
 
 
+def still_apart(told: DataFrame) -> DataFrame:
+    """The members (bucket, rid, label) of buckets that hold more than one component, with the bucket's size n."""
+    apart = (told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
+             .where("lo <> hi").select("bucket", "n"))
+    return told.join(apart, "bucket")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
                     threshold: float = THRESHOLD, weights: str = "set", rows: bool = True) -> DataFrame:
     """``docs`` (or with ``rows=False`` its key column only) with class_id, the least key of the row's
     class, and kept, true for one row of each class."""
-    keep = without(docs, OUTPUTS)
+    keep, before = without(docs, OUTPUTS), len(MADE)
     docs = docs.select(*[quoted(c) for c in keep])
     chunks = write_chunks(docs, text, "near")
     signed = signatures(chunks, text, key, docs.schema[key].dataType, shingle, weights)
@@ -298,6 +306,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
                    .select("rid", "key", F.coalesce("label", "node").alias("label"))
     alone = signed.where("bands IS NULL").select("rid", "key", F.col("rid").alias("label"))
     classed = written(classed.unionByName(alone), "classes")
+    drop_intermediates(docs.sparkSession, before, ("classes", "near") if rows else ("classes",))
     heads = classed.groupBy("label").agg(F.min("key").alias("class_id"),
                                          F.min(F.struct(F.col("key").isNull(), F.col("key"), F.col("rid"))).alias("head"))
     out = classed.join(heads, "label").select("rid", "key", "class_id", (F.col("head.rid") == F.col("rid")).alias("kept"))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, without, written
+from .common import MADE, drop_intermediates, quoted, without, written
 
 BITS_PER_KEY = 10
 HASHES = 6
@@ -116,7 +116,7 @@ def build_cascade(universe: DataFrame, bits_per_key: int = BITS_PER_KEY, shard_k
     n = sizes.get(True, 0)
     if not n:
         return Cascade(None, [], 1)
-    shards = 1 + n // shard_keys
+    shards, before = 1 + n // shard_keys, len(MADE)
     whole = written(universe.withColumn("shard", shard_of(F.col("key"), shards)), "url-keys")
     encode, test = whole.where("listed").select("shard", "key"), whole.where("NOT listed").select("shard", "key")
     table, words = None, []
@@ -130,7 +130,9 @@ def build_cascade(universe: DataFrame, bits_per_key: int = BITS_PER_KEY, shard_k
         through = written(test.join(arrays, "shard").where(holds(F.col(f"b{level}"), F.col("key"), level, words[-1]))
                           .select("shard", "key"), f"through-{level}")
         encode, test, n = through, encode, through.count()
-    return Cascade(written(table, "cascade"), words, shards)
+    cascade = written(table, "cascade")
+    drop_intermediates(universe.sparkSession, before, ("cascade",))
+    return Cascade(cascade, words, shards)
 
 
 def filter_urls(pages: DataFrame, rules, url: str = "url", listed=None) -> DataFrame:
