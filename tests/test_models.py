@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -11,12 +12,13 @@ from textprice.plans import preprocessing as pp
 from textprice.sources import fixtures as fx
 
 
-def test_full_model_is_repeatable_and_finite(spark):
+@pytest.mark.parametrize("embedding", ["word2vec", "hashed"])
+def test_full_model_is_repeatable_and_finite(spark, embedding):
     p = ft.hash_split(fx.posts(spark, SF_SMALL)).coalesce(1)
     train, test = p.filter(F.col("part") == "train"), p.filter(F.col("part") == "test")
     runs = []
     for _ in range(2):
-        m = pp.fit_full_model(train, vector_size=16, num_partitions=1, seed=7)
+        m = pp.fit_full_model(train, vector_size=16, num_partitions=1, seed=7, embedding=embedding)
         runs.append({r.doc_id: r.prediction for r in pp.score(test, m).collect()})
     assert runs[0].keys() == runs[1].keys() and len(runs[0]) > 0
     assert all(math.isfinite(v) for v in runs[0].values())
@@ -36,3 +38,28 @@ def test_regression_metrics_perfect_and_mean_predictions(spark):
     assert r.rmse == 0.0 and r.r2 == 1.0
     df2 = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 2.0)], "y double, p double")
     assert abs(models.regression_metrics(df2, "y", "p").first().r2) < 1e-12
+
+
+def test_constant_label_has_no_r2(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.0), ("a", 1.0, 2.0), ("b", 1.0, 1.0), ("b", 3.0, 3.0)], "k string, y double, p double")
+    got = {r.k: r.r2 for r in models.regression_metrics(df, "y", "p", ["k"]).collect()}
+    assert got == {"a": None, "b": 1.0}
+
+
+def test_null_rows_neither_train_nor_kill_scoring(spark):
+    p = fx.posts_dirty(spark, SF_SMALL)
+    m = pp.fit_full_model(p, vector_size=8, embedding="hashed")
+    holes = p.withColumn("open", F.when(F.col("doc_id") % 2 == 0, F.col("open")))
+    scored = pp.score(holes, m)
+    assert scored.filter(F.col("doc_id") % 2 == 1).count() == 0
+    assert scored.filter(F.isnan("prediction") | F.col("prediction").isNull()).count() == 0 and scored.count() > 0
+    assert set(p.columns) < set(scored.columns)
+
+
+def test_fitting_leaves_nothing_cached_and_a_missing_model_raises(spark):
+    import os
+    spark.catalog.clearCache()
+    pp.fit_full_model(fx.posts(spark, SF_SMALL), vector_size=8, embedding="hashed")
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    with pytest.raises(Exception, match="(?i)does not exist|not found|Input path"):
+        pp.load_model(os.path.join("/tmp", "no-such-model"))

@@ -1,8 +1,6 @@
 """Every query with oracle SQL: Spark result == DuckDB result (rows, names, sorted values) at
-sf0.001; rows-only queries: they run and return rows (the slow ML fits only with
-TEXTPRICE_SLOW=1)."""
-
-import os
+sf0.001; rows-only queries: they run and return rows.  Queries of the corpus modules have their own
+tests beside them."""
 
 import pytest
 
@@ -10,9 +8,9 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-SLOW = {"model_compare", "batch_score", "model_roundtrip", "feature_width", "stream_score", "embed_text"}
+from textprice.plans.catalog import ORACLES, QUERIES, load_all
+
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -31,8 +29,6 @@ def test_query_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only_query_runs(spark, name):
-    if name in SLOW and not os.environ.get("TEXTPRICE_SLOW"):
-        pytest.skip("ML fit; set TEXTPRICE_SLOW=1")
     assert QUERIES[name](spark, SF_SMALL).count() > 0
 
 

@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
+from textprice.plans.catalog import QUERIES as Q
+from textprice.plans.catalog import load_all
 
-Q = entry.queries()
+load_all()
 
 
 def plan(df) -> str:
@@ -48,7 +49,7 @@ def test_sql_checked_text_queries_have_no_python_udf(spark):
 def test_bars_use_partial_aggregation(spark):
     from textprice.sources import fixtures as fx
     p = plan(fx.bars(spark, SF_SMALL))
-    assert p.count("Aggregate") >= 2   # partial + final
+    assert p.count("HashAggregate") >= 2 and "SortAggregate" not in p   # partial + final, nothing sorted
 
 
 def test_cleaner_runs_once_per_row(spark):
@@ -66,3 +67,19 @@ def test_cleaner_join_and_partial_aggregate_share_one_codegen_stage(spark):
     lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
     gen = [ln for ln in lines if "Generate explode(array_remove" in ln]
     assert gen and all("*(" in ln for ln in gen[:1])
+
+
+def test_building_plans_starts_no_job(spark):
+    from textprice.plans.daily import daily_features
+    from textprice.sources import fixtures as fx
+    spark.sparkContext.setJobGroup("plan-only", "building plans")
+    daily_features(fx.posts(spark, SF_SMALL), fx.lexicon(spark, SF_SMALL))
+    for name in ("posts_with_bars", "tfidf_stats", "lexicon_sentiment", "attach_predictions", "posts_per_day", "acf"):
+        Q[name](spark, SF_SMALL)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # reading a Parquet footer for its schema is a job of one task; nothing else runs
+    infos = [spark.sparkContext.statusTracker().getJobInfo(j) for j in jobs]
+    tasks = [spark.sparkContext.statusTracker().getStageInfo(s).numTasks for i in infos if i for s in i.stageIds
+             if spark.sparkContext.statusTracker().getStageInfo(s)]
+    assert all(t == 1 for t in tasks), tasks

@@ -179,3 +179,67 @@ def test_incremental_replay_resumes_from_stored_cursor(spark):
     exp = [r.doc_id for r in df.orderBy(F.col("dt").desc(), F.col("doc_id").desc()).collect()]
     seen = [r.doc_id for r in back.orderBy("page_no", F.col("dt").desc(), F.col("doc_id").desc()).collect()]
     assert seen == exp
+
+
+def edge_series(spark):
+    """A constant, a 2-day and a 3-day key, a key with one value, beside a normal one."""
+    rng = np.random.default_rng(2)
+    rows = [("constant", d, 5.0, 1.0) for d in range(30)] + [("two", d, float(d), 1.0) for d in range(2)]
+    rows += [("three", d, float(d * d), 1.0) for d in range(3)] + [("one", 0, 1.0, 1.0)]
+    rows += [("normal", d, float(v), float(d % 4)) for d, v in enumerate(rng.normal(size=60))]
+    return spark.createDataFrame(rows, "k string, dt int, v double, x double")
+
+
+def test_series_operators_survive_constant_and_short_keys(spark):
+    from textprice.operators import timeseries as ts
+    s = edge_series(spark)
+    a = ts.acf(s, "v", "k", 5)
+    acf = {(r.k, r.lag): r.acf for r in a.collect()}
+    assert acf["constant", 0] is None and acf["normal", 0] == 1.0
+    p = {(r.k, r.lag): r.pacf for r in ts.pacf(a, "k").collect()}
+    assert abs(p["normal", 1] - acf["normal", 1]) < 1e-12
+    zero = {r.k: r.stat for r in ts.unit_root_lag0(s, "v", "k").collect()}
+    assert zero["normal"] < -3 and zero["constant"] is None and zero["two"] is None and zero["three"] is None
+    auto = {r.k: r for r in ts.unit_root_aic(s, "v", "k").collect()}
+    assert auto["normal"].stat < -2 and all(auto[k].stat is None for k in ("constant", "two", "three", "one"))
+    order = {r.k: r.aic for r in ts.order_search(s, "v", "k", ["x"], max_p=2).collect()}
+    assert order["normal"] is not None and order["two"] is None and order["one"] is None
+    w = ts.walk_forward_1lag(s, "v", "k", 20)
+    assert {r.k for r in w.collect()} == {"constant", "normal"}
+    assert {r.k for r in ts.walk_forward_arx(s, "v", "k", ["x"], 20).collect()} == {"constant", "normal"}
+    m = ts.running_metrics(w, "v", "k").collect()
+    assert all(r.run_r2 is None for r in m if r.k == "constant") and all(r.run_r2 is not None for r in m if r.k == "normal" and r.dt > 21)
+
+
+def test_order_search_compares_orders_on_one_sample(spark):
+    from textprice.operators import timeseries as ts
+    s = edge_series(spark).filter("k = 'normal'")
+    assert [r.nobs for r in ts.order_search(s, "v", "k", ["x"], max_p=4).collect()] == [60 - 1 - 4]
+
+
+def test_row_numbers_and_counts_keep_null_keys(spark):
+    df = spark.createDataFrame([(1, None, 3), (2, None, 1), (3, "a", 2), (4, "a", None)], "doc_id long, symbol string, dt int")
+    got = {r.doc_id: r.row_idx for r in ordering.row_index(df, ["dt", "doc_id"], ["symbol"]).collect()}
+    assert got == {2: 1, 1: 2, 4: 1, 3: 2}
+    down = {r.doc_id: r.r for r in ordering.row_index(df, ["dt", "doc_id"], ["symbol"], "r", start=0, descending=True).collect()}
+    assert down == {1: 0, 2: 1, 3: 0, 4: 1}
+    counts = {r.doc_id: r.n_day for r in stats.count_per_day(df, ("symbol",)).collect()}
+    assert counts == {1: 2, 2: 2, 3: 2, 4: 2}
+
+
+def test_numbering_has_no_python(spark):
+    df = spark.range(100).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("dt"))
+    plan = ordering.row_index(df, ["dt", "doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Arrow" not in plan and "Python" not in plan
+
+
+def test_replay_of_laid_out_pages_ends_after_the_last(spark):
+    from textprice.session import scratch_path
+    from textprice.sources import paging
+    rows = [(i, f"2024-01-{1 + i % 9:02d}", "s" if i % 4 else "t") for i in range(160)]
+    df = spark.createDataFrame(rows, "doc_id long, dt string, symbol string").withColumn("dt", F.to_date("dt"))
+    layout, folder = scratch_path(spark, "layout"), scratch_path(spark, "replayed")
+    paging.lay_out_pages(df, 50, layout)
+    assert [paging.replay_next_page(spark, layout, "s", folder) for _ in range(4)] == [0, 1, 2, None]
+    back = spark.read.json(f"{folder}/pages")
+    assert back.count() == 120 and back.select("doc_id").distinct().count() == 120

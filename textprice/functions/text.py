@@ -69,18 +69,5 @@ def clean_sql(col_name: str) -> str:
     return e
 
 
-def tokens_expr(c: Column) -> Column:
-    """Whitespace tokens with the ML Tokenizer's semantics (lower-case, split on single
-    whitespace, trailing empty tokens dropped, '' -> [''], blank-only -> [])."""
-    trimmed = F.regexp_replace(F.lower(c), F.lit(r"\s+$"), F.lit(""))
-    return F.when((trimmed == "") & (c != ""), F.array().cast("array<string>")) \
-        .otherwise(F.split(trimmed, r"\s"))
-
-
-def drop_stop_words(tokens: Column, stop_words=None) -> Column:
-    stop = F.array(*[F.lit(w) for w in (stop_words or ENGLISH_STOP_WORDS)])
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, F.lower(t)))
-
-
 def words(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(c, F.lit(f"({pattern})"), 1)

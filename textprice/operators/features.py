@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import join_small
-
 
 def assemble(cols, out: str, handle_invalid: str = "error") -> VectorAssembler:
     """Numeric columns (or vectors) -> one vector; nulls raise by default."""
@@ -46,25 +44,24 @@ def standard_scale(df: DataFrame, cols, out_prefix: str = "z_") -> DataFrame:
 
 
 def group_minmax(df: DataFrame, cols, by: str, constant_value: float = 0.0) -> DataFrame:
-    """Per-group min-max in place (notebook semantics: a constant column maps to 0)."""
-    st = df.groupBy(by).agg(*[F.min(c).alias(f"_lo_{c}") for c in cols],
-                            *[F.max(c).alias(f"_hi_{c}") for c in cols])
-    j = join_small(df, st, [by], "inner")
+    """Per-group min-max in place (notebook semantics: a constant column maps to 0).  For daily
+    series: the window of a group holds a row per day."""
+    w = Window.partitionBy(by)
+    out = {}
     for c in cols:
-        lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
-        j = j.withColumn(c, F.when(hi == lo, F.col(c) - lo + F.lit(constant_value)).otherwise((F.col(c) - lo) / (hi - lo)))
-    return j.drop(*[f"_lo_{c}" for c in cols], *[f"_hi_{c}" for c in cols])
+        lo, hi = F.min(c).over(w), F.max(c).over(w)
+        out[c] = F.when(hi == lo, F.col(c) - lo + F.lit(constant_value)).otherwise(F.try_divide(F.col(c) - lo, hi - lo))
+    return df.withColumns(out)
 
 
 def group_standardize(df: DataFrame, cols, by: str) -> DataFrame:
-    """Per-group standard score in place, population std; std 0 -> x - mean."""
-    st = df.groupBy(by).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
-                            *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    j = join_small(df, st, [by], "inner")
+    """Per-group standard score in place, population std; std 0 -> x - mean.  For daily series."""
+    w = Window.partitionBy(by)
+    out = {}
     for c in cols:
-        s = F.col(f"_s_{c}")
-        j = j.withColumn(c, (F.col(c) - F.col(f"_m_{c}")) / F.when(s == 0, F.lit(1.0)).otherwise(s))
-    return j.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+        s = F.stddev_pop(c).over(w)
+        out[c] = (F.col(c) - F.avg(c).over(w)) / F.when(s == 0, F.lit(1.0)).otherwise(s)
+    return df.withColumns(out)
 
 
 def hash_split(df: DataFrame, id_col: str = "doc_id", seed: int = 42, test_share_hex: str = "3333",

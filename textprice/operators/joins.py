@@ -1,42 +1,17 @@
-"""Joins and set operations (F1-F4) and the size-checked broadcast join."""
+"""Joins and set operations."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A side is broadcast only when its measured size stays under this bound.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
-_FIXED_WIDTH = {T.LongType: 8, T.DoubleType: 8, T.IntegerType: 4, T.DateType: 4,
-                T.TimestampType: 8, T.TimestampNTZType: 8, T.BooleanType: 1, T.FloatType: 4,
-                T.ShortType: 2, T.ByteType: 1}
-
-
-def row_width(schema: T.StructType, string_bytes: int = 48) -> int:
-    """Estimated bytes per row; strings and nested values count ``string_bytes``."""
-    total = 16
-    for f in schema.fields:
-        total += _FIXED_WIDTH.get(type(f.dataType), string_bytes)
-    return total
-
-
-def measured_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` once (persisted), count it, and say whether it is small enough to
-    broadcast.  The count is the size proof; the persisted copy is what gets joined, so the
-    side is not computed twice."""
-    small = df.persist()
-    n = small.count()
-    return small, n * row_width(df.schema) <= max_bytes
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Join ``big`` with a side that is usually small.  Broadcast only if its measured size is
-    under ``max_bytes``; otherwise a shuffle join, re-planned by AQE (skew split)."""
-    small, ok = measured_small(small, max_bytes)
-    return big.join(F.broadcast(small) if ok else small, on, how)
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join ``big`` with a side that is usually small.  Nothing runs while the plan is built: adaptive
+    execution measures the side's finished shuffle and broadcasts it only below
+    ``spark.sql.autoBroadcastJoinThreshold``; a larger one stays a shuffle join whose skewed
+    partitions are split."""
+    return big.join(small, on, how)
 
 
 def append_rows(*frames: DataFrame) -> DataFrame:
@@ -47,26 +22,21 @@ def append_rows(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def latest_predictions(preds: DataFrame, key=("dt", "tweet"), seq: str = "seq") -> DataFrame:
-    """Reduce prediction versions to the last one per key (largest ``seq``).
+def latest_predictions(preds: DataFrame, seq: str = "seq") -> DataFrame:
+    """Prediction versions reduced to the last one (largest ``seq``) per (dt, md5 of the text).
 
-    ``max_by`` is a partial aggregate: a hot key is pre-reduced on every map task before the
-    shuffle."""
-    last = F.max_by(F.struct("prediction", "close", seq), F.col(seq))
-    return (preds.groupBy(*key).agg(last.alias("_last"))
-            .select(*key, "_last.prediction", F.col("_last.close").alias("pred_close"),
-                    F.col(f"_last.{seq}").alias(seq)))
+    ``max_by`` of plain numbers is a hash aggregate with map-side combine: a hot key is reduced on
+    every map task, and no text is shuffled."""
+    return preds.groupBy("dt", F.md5("tweet").alias("_h")).agg(
+        F.max_by("prediction", seq).alias("prediction"), F.max_by("close", seq).alias("pred_close"),
+        F.max(seq).alias(seq))
 
 
 def attach_predictions(posts: DataFrame, preds: DataFrame) -> DataFrame:
-    """Attach the last prediction to every post with the same (dt, tweet); unmatched posts kept
-    with a null prediction (F1).  The key includes md5(tweet) so the join hashes a short key
-    as well; the full text stays in the condition for exactness."""
+    """Attach the last prediction to every post with the same (dt, text); unmatched posts kept
+    with a null prediction (F1).  Texts are compared by their md5."""
     from ..functions.labels import sentiment_label
-    last = latest_predictions(preds).withColumn("_h", F.md5("tweet"))
-    p = posts.withColumn("_h", F.md5("tweet"))
-    j = p.join(last.select("dt", "_h", F.col("tweet").alias("_pt"), "prediction", "pred_close"),
-               (p["dt"] == last["dt"]) & (p["_h"] == last["_h"]) & (p["tweet"] == F.col("_pt")),
-               "left")
-    return j.select(*[p[c] for c in posts.columns], F.col("prediction"),
+    last = latest_predictions(preds).select(F.col("dt").alias("_dt"), "_h", "prediction", "pred_close")
+    j = posts.join(last, (posts["dt"] == F.col("_dt")) & (F.md5(posts["tweet"]) == F.col("_h")), "left")
+    return j.select(*[posts[c] for c in posts.columns], F.col("prediction"),
                     sentiment_label(F.col("prediction"), F.col("pred_close")).alias("sentiment"))

@@ -17,7 +17,8 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, by=()) -> Dat
     g = df.groupBy(*by) if by else df
     return g.agg(F.count(F.lit(1)).alias("n"),
                  F.sqrt(F.avg(err * err)).alias("rmse"),
-                 (F.lit(1.0) - F.sum(err * err) / (F.var_pop(label) * F.count(F.lit(1)))).alias("r2"))
+                 # null for a constant label, whose variance is 0
+                 (F.lit(1.0) - F.try_divide(F.sum(err * err), F.var_pop(label) * F.count(F.lit(1)))).alias("r2"))
 
 
 def linear_regression(features: str = "features", label: str = "close") -> LinearRegression:
@@ -42,23 +43,8 @@ MODEL_COMPARE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("avg_rmse", T.DoubleType()),
     T.StructField("std_rmse", T.DoubleType()), T.StructField("max_rmse", T.DoubleType()),
     T.StructField("min_rmse", T.DoubleType()), T.StructField("train_r2", T.DoubleType()),
-    T.StructField("test_rmse", T.DoubleType()), T.StructField("test_r2", T.DoubleType())])
-
-
-def sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
-    """Persist a model input with a partition count proportional to its row count (tree
-    learners run one job per tree level; tasks on near-empty partitions are pure overhead,
-    while large inputs keep one partition per ``rows_per_partition`` rows)."""
-    df = df.persist()
-    n = df.count()
-    parts = max(1, -(-n // rows_per_partition))
-    if parts < df.rdd.getNumPartitions():
-        out = df.coalesce(parts).persist()
-    else:
-        out = df.repartition(parts).persist()
-    out.count()
-    df.unpersist()
-    return out
+    T.StructField("test_rmse", T.DoubleType()), T.StructField("test_r2", T.DoubleType()),
+    T.StructField("n_points", T.IntegerType())])
 
 
 def compare_models(train: DataFrame, test: DataFrame, features: str = "features", label: str = "close",
@@ -71,7 +57,6 @@ def compare_models(train: DataFrame, test: DataFrame, features: str = "features"
     import numpy as np
     spark = train.sparkSession
     parallelism = parallelism or spark.sparkContext.defaultParallelism
-    train, test = sized(train), sized(test)
     rmse_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     r2_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
     def evaluate(item):
@@ -84,7 +69,7 @@ def compare_models(train: DataFrame, test: DataFrame, features: str = "features"
         te = m.bestModel.transform(test)
         return (name, float(metric.mean()), float(metric.std()), float(metric.max()),
                 float(metric.min()), float(r2_eval.evaluate(tr)), float(rmse_eval.evaluate(te)),
-                float(r2_eval.evaluate(te)))
+                float(r2_eval.evaluate(te)), len(grid))
 
     # The models' cross-validations are independent: their (many, small) Spark jobs are
     # submitted from concurrent driver threads so the cluster is not idle between them.

@@ -1,92 +1,60 @@
 """Sort, limit, positional and window operators.
 
-Positional numbering over a whole table is done without a single-partition window:
-``prefix_sum`` range-partitions on the ordering keys (the sampler splits a hot key across
-several partitions because the ordering has a tie-breaker), takes running sums inside each
-partition with Arrow batches, and adds per-partition offsets from a small table of partition
-totals.  Windows ``partitionBy(symbol)`` are used only over daily series, whose length per key
-is bounded by the number of days, not by the number of posts.
+Positional numbering over a whole table is done without a single-partition window and without
+Python: ``prefix_sum`` takes narrow rows (keys, order columns, an id), range-partitions them on the
+ordering (the sampler splits a hot key across partitions because the ordering has a tie-breaker),
+writes each row's partition number once, and adds window sums within (partition, key) to
+offsets from a small table of (partition, key) totals.  Windows ``partitionBy(symbol)`` are used only
+over daily series, whose length per key is bounded by the number of days, not by the number of posts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from .joins import join_small
-
-
-# Range partitioning samples ~100 keys per partition on the driver; beyond this many
-# partitions the sample itself gets large.  Inputs to prefix_sum are narrow (keys and ids).
-MAX_RANGE_PARTITIONS = 50_000
-
-
-def _partition_count(df: DataFrame) -> int:
-    spark = df.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return min(n, MAX_RANGE_PARTITIONS)
 
 
 def prefix_sum(df: DataFrame, order_cols, partition_cols=(), weight: str | None = None,
                out: str = "cum_before", num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 if None) over the rows before this one in
-    (``partition_cols``, ``order_cols``) order, within each partition key.
+    (``partition_cols``, ``order_cols``) order, within each partition key (null is a key).
 
-    ``order_cols`` must make the order total (end with a unique column)."""
+    ``order_cols`` must make the order total (end with a unique column).  Give it narrow rows: they
+    are sorted and written once; wide columns are joined back by the caller (``row_index``)."""
     from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     partition_cols = list(partition_cols)
-    order_cols = list(order_cols)
-    keys = partition_cols + order_cols
-    n = num_partitions or _partition_count(df)
+    n = num_partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    base = df.withColumn("_w", w)
-    ordered = base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    out_schema = T.StructType(base.schema.fields + [
-        T.StructField("_pid", T.IntegerType(), False),
-        T.StructField("_local_before", T.LongType(), False)])
-
-    def running(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        carry: dict = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if partition_cols:
-                grp = (pdf[partition_cols[0]] if len(partition_cols) == 1
-                       else pdf[partition_cols].astype(object).apply(tuple, axis=1))
-                start = grp.map(lambda k: carry.get(k, 0)).astype("int64")
-                cum = pdf.groupby(grp, sort=False)["_w"].cumsum() - pdf["_w"]
-                before = start + cum
-                last = pd.DataFrame({"k": grp, "v": before + pdf["_w"]}).groupby("k", sort=False)["v"].last()
-                carry.update(last.to_dict())
-            else:
-                start = carry.get((), 0)
-                before = start + pdf["_w"].cumsum() - pdf["_w"]
-                carry[()] = int(before.iloc[-1] + pdf["_w"].iloc[-1])
-            pdf = pdf.assign(_pid=pid, _local_before=before.astype("int64"))
-            yield pdf
-
-    # The partition-local sums and the partition totals must see the same range partitioning,
-    # so the tagged rows are written once (reliable checkpoint in the shared folder).
-    tagged = ordered.mapInPandas(running, out_schema).checkpoint(eager=True)
+    # Rows and totals must see the same partition numbers: written once to the shared folder.
+    tagged = (df.withColumn("_w", w).repartitionByRange(n, *partition_cols, *order_cols)
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    before = Window.partitionBy("_pid", *partition_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = tagged.withColumn("_local", F.coalesce(F.sum("_w").over(before), F.lit(0)))
     totals = tagged.groupBy("_pid", *partition_cols).agg(F.sum("_w").alias("_tot"))
-    wspec = (Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()) \
-        .orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_tot").over(wspec), F.lit(0)).cast("long")) \
-        .drop("_tot")
-    joined = join_small(tagged, offsets, ["_pid", *partition_cols], "inner")
-    return joined.withColumn(out, F.col("_offset") + F.col("_local_before")) \
-        .drop("_pid", "_local_before", "_offset", "_w")
-
-
-def row_index(df: DataFrame, order_cols, partition_cols=(), name: str = "row_idx") -> DataFrame:
-    """1-based position in (``partition_cols``, ``order_cols``) order (B10), distributed."""
-    out = prefix_sum(df, order_cols, partition_cols, None, "_before")
-    return out.withColumn(name, F.col("_before") + 1).drop("_before")
+    earlier = Window.partitionBy(*partition_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("_pid").alias("_p"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(partition_cols)],
+                            F.coalesce(F.sum("_tot").over(earlier), F.lit(0)).alias("_offset"))
+    same = F.col("_pid") == F.col("_p")
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return local.join(offsets, same).select(*df.columns, (F.col("_offset") + F.col("_local")).cast("long").alias(out))
+
+
+def row_index(df: DataFrame, order_cols, partition_cols=(), name: str = "row_idx", id_col: str = "doc_id",
+              start: int = 1, descending: bool = False) -> DataFrame:
+    """Position in (``partition_cols``, ``order_cols``) order (B10), from ``start`` on, distributed.
+    ``order_cols`` (names) must make the order total.  Only keys, order columns and the unique
+    ``id_col`` are numbered; other columns are joined back by id."""
+    parts = [f"_part{i}" for i in range(len(partition_cols))]
+    order = [f"_order{i}" for i in range(len(order_cols))]
+    keys = df.select(F.col(id_col).alias("_id"), *[F.col(c).alias(p) for c, p in zip(partition_cols, parts)],
+                     *[F.col(c).alias(o) for c, o in zip(order_cols, order)])
+    sorts = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
+    numbered = prefix_sum(keys, sorts, parts, None, "_before")
+    return (df.join(numbered.select("_id", "_before"), F.col(id_col).eqNullSafe(F.col("_id")))
+            .select(*df.columns, (F.col("_before") + start).alias(name)))
 
 
 def sort_by_date(df: DataFrame, descending: bool = False) -> DataFrame:

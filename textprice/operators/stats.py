@@ -51,10 +51,14 @@ def group_share(df: DataFrame, col: str) -> DataFrame:
 
 
 def count_per_day(df: DataFrame, keys=("symbol", "dt"), name: str = "n_day") -> DataFrame:
-    """Group count attached to every row (grouped, then joined back on a checked-size table;
-    a hot key is split by AQE's skew join if the table is too big to broadcast)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return join_small(df, counts, list(keys), "inner")
+    """Group count attached to every row, null keys being a group as in ``groupBy`` (grouped, then
+    joined back null-safe; a hot key is split by AQE's skew join)."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)) \
+        .select(*[F.col(k).alias(f"_{k}") for k in keys], name)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(counts, same).drop(*[f"_{k}" for k in keys])
 
 
 def daily_rollup(posts: DataFrame, keys=("symbol", "dt")) -> DataFrame:
@@ -97,7 +101,7 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     long = df.selectExpr(f"stack({len(cols)}, {stack}) as (col_name, v)").filter(F.col("v").isNotNull())
     vc = long.groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
     cum = prefix_sum(vc, ["v"], ["col_name"], "cnt", "before")
-    n = vc.groupBy("col_name").agg(F.sum("cnt").alias("n"))
+    n = cum.groupBy("col_name").agg(F.max(F.col("before") + F.col("cnt")).alias("n"))
     ranks = n.select("col_name", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")) \
         .withColumn("h", (F.col("n") - 1) * F.col("p")) \
         .withColumn("lo", F.floor("h").cast("long")).withColumn("hi", F.ceil("h").cast("long"))

@@ -8,7 +8,7 @@ and counted with partial aggregation, so a hot (symbol, day) is pre-reduced on e
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover, Tokenizer, Word2Vec
+from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer, Word2Vec
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,34 +55,18 @@ def word2vec(vector_size: int = 100, min_count: int = 0, window: int = 5, max_it
              col: str = "tokens", out: str = "embedding") -> Word2Vec:
     """Document embedding estimator (document vector = mean of its word vectors).
 
-    Defaults are the reference's settings.  At scale, raise ``num_partitions`` (training is
-    split across tasks) and ``min_count`` (the vocabulary is gathered on the driver)."""
+    Defaults are the reference's settings.  Spark's Word2Vec gathers the vocabulary on the driver: for
+    corpora whose words do not fit there use ``hashed_embedding``."""
     return Word2Vec(vectorSize=vector_size, minCount=min_count, windowSize=window,
                     maxIter=max_iter, stepSize=step_size, numPartitions=num_partitions,
                     seed=seed, inputCol=col, outputCol=out)
 
 
-def vocabulary_min_count(tokens: DataFrame, col: str = "tokens", min_count: int = 0,
-                         max_vocab: int = 2_000_000) -> int:
-    """Size guard for the embedding vocabulary, which Word2Vec gathers on the driver and
-    broadcasts (vocab x vector size, twice).  Returns ``min_count`` when the number of words
-    seen at least that often is within ``max_vocab``; otherwise the smallest larger count
-    threshold that fits.  The word counts are a distributed aggregate; only one small
-    histogram of count frequencies (bounded by the largest count's digits) reaches the driver."""
-    counts = tokens.select(F.explode(col).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
-    # words per power-of-two bucket of their count: at most ~64 rows
-    hist = counts.groupBy(F.floor(F.log2("c")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy(F.col("b").desc()).collect()
-    total = 0
-    threshold = None
-    for row in hist:                          # from the most frequent words downwards
-        if total + row["n"] > max_vocab:
-            threshold = 2 ** (row["b"] + 1)   # keep only the buckets above this one
-            break
-        total += row["n"]
-    if threshold is None or threshold <= min_count:
-        return min_count
-    return int(threshold)
+def hashed_embedding(vector_size: int = 100, col: str = "tokens", out: str = "embedding") -> HashingTF:
+    """Document vectors without a vocabulary: token counts hashed into ``vector_size`` places.  Nothing is
+    gathered or broadcast, whatever the number of words; chosen by an explicit argument of the
+    pipelines, never by size."""
+    return HashingTF(numFeatures=vector_size, inputCol=col, outputCol=out)
 
 
 def daily_words(posts: DataFrame, pattern: str, keys=("symbol", "dt"), lower: bool = True) -> DataFrame:

@@ -49,7 +49,8 @@ def acf(series: DataFrame, value: str, key: str, nlags: int, order: str = "dt")
     right = d.select(key, F.col("t").alias("t2"), F.col("d").alias("d2"))
     prod = left.join(right, [key, "t2"]).groupBy(key, "lag").agg(F.sum(F.col("d") * F.col("d2")).alias("c"))
     w0 = Window.partitionBy(key)
-    r = prod.withColumn("acf", F.col("c") / F.max(F.when(F.col("lag") == 0, F.col("c"))).over(w0))
+    # a constant series has no variance: its autocorrelations are null
+    r = prod.withColumn("acf", F.try_divide(F.col("c"), F.max(F.when(F.col("lag") == 0, F.col("c"))).over(w0)))
     r = join_small(r, mean.select(key, "n"), [key], "inner")
     wk = Window.partitionBy(key).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
     prev_sq = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(wk), F.lit(0.0))
@@ -96,8 +97,10 @@ def unit_root_lag0(series: DataFrame, value: str, key: str, order: str = "dt") -
     g = s.groupBy(key).agg(F.count(F.lit(1)).alias("nobs"), F.regr_slope("dy", "y1").alias("b"),
                            F.regr_sxx("dy", "y1").alias("sxx"), F.regr_syy("dy", "y1").alias("syy"),
                            F.regr_sxy("dy", "y1").alias("sxy"))
-    se = F.sqrt((F.col("syy") - F.col("b") * F.col("sxy")) / (F.col("nobs") - 2) / F.col("sxx"))
-    return g.select(key, "nobs", (F.col("b") / se).alias("stat"),
+    # null for series without a residual degree of freedom or without variance
+    se = F.sqrt(F.try_divide(F.try_divide(F.greatest(F.col("syy") - F.col("b") * F.col("sxy"), F.lit(0.0)),
+                                          (F.col("nobs") - 2).cast("double")), F.col("sxx")))
+    return g.select(key, "nobs", F.when(F.col("nobs") > 2, F.try_divide(F.col("b"), se)).alias("stat"),
                     mackinnon_crit(F.col("nobs"), "1%").alias("crit_1"),
                     mackinnon_crit(F.col("nobs"), "5%").alias("crit_5"),
                     mackinnon_crit(F.col("nobs"), "10%").alias("crit_10"))
@@ -113,17 +116,20 @@ def _ols(X, y):
 def _adf_design(y, lags, start):
     import numpy as np
     dy = np.diff(y)
-    rows = range(start, len(dy))
-    X = [[1.0, y[t]] + [dy[t - i] for i in range(1, lags + 1)] for t in rows]
-    return np.array(X, dtype=float), np.array([dy[t] for t in rows], dtype=float)
+    n = len(dy)
+    X = np.column_stack([np.ones(n - start), y[start:n], *[dy[start - i:n - i] for i in range(1, lags + 1)]])
+    return X, dy[start:]
 
 
 def adf_autolag(y) -> dict:
     """Augmented unit-root test with the lag count chosen by AIC (maxlag = ceil(12 (n/100)^¼)),
-    compared on a common sample, then refitted on all usable rows."""
+    compared on a common sample, then refitted on all usable rows.  A series of fewer than five values
+    or without variance has no statistic (null), like one with missing values."""
     import numpy as np
     y = np.asarray(y, dtype=float)
     n = len(y)
+    if n < 5 or not np.isfinite(y).all() or np.ptp(y[:-1]) == 0:
+        return {"stat": None, "used_lag": None, "nobs": max(n - 1, 0), "crit_1": None, "crit_5": None, "crit_10": None}
     maxlag = min(int(math.ceil(12.0 * (n / 100.0) ** 0.25)), n // 2 - 2)
     maxlag = max(maxlag, 0)
     best = None
@@ -138,10 +144,10 @@ def adf_autolag(y) -> dict:
     X, dy = _adf_design(y, lag, lag)
     beta, sse = _ols(X, dy)
     m, k = X.shape
-    cov = sse / (m - k) * np.linalg.inv(X.T @ X)
-    stat = beta[1] / math.sqrt(cov[1, 1])
+    var = sse / (m - k) * np.linalg.pinv(X.T @ X)[1, 1] if m > k else 0.0
+    stat = beta[1] / math.sqrt(var) if var > 0 else None
     crit = {lvl: b0 + b1 / m + b2 / m ** 2 + b3 / m ** 3 for lvl, (b0, b1, b2, b3) in MACKINNON_C.items()}
-    return {"stat": float(stat), "used_lag": int(lag), "nobs": int(m),
+    return {"stat": None if stat is None else float(stat), "used_lag": int(lag), "nobs": int(m),
             "crit_1": crit["1%"], "crit_5": crit["5%"], "crit_10": crit["10%"]}
 
 
@@ -153,7 +159,7 @@ def unit_root_aic(series: DataFrame, value: str, key: str, order: str = "dt") ->
         import pandas as pd
         pdf = pdf.sort_values(order)
         res = adf_autolag(pdf[value].values)
-        return pd.DataFrame([{key: pdf[key].iloc[0], **res}])
+        return pd.DataFrame([{key: pdf[key].iloc[0], **res}]).astype({"used_lag": "Int32", "nobs": "int32"})
 
     return series.select(key, order, value).groupBy(key).applyInPandas(
         per_key, f"{key} {kt}, stat double, used_lag int, nobs int, crit_1 double, crit_5 double, crit_10 double")
@@ -163,18 +169,16 @@ def _arx_design(y, X, p):
     """Rows t >= p+1 of Δy_t = c + Σ φ_i Δy_{t-i} + β' x_t."""
     import numpy as np
     dy = np.diff(y)
-    xs = X[1:]
-    rows, target = [], []
-    for t in range(p, len(dy)):
-        rows.append([1.0] + [dy[t - i] for i in range(1, p + 1)] + list(xs[t]))
-        target.append(dy[t])
-    return np.array(rows, dtype=float).reshape(len(rows), 1 + p + xs.shape[1]), np.array(target, dtype=float)
+    n = max(len(dy) - p, 0)
+    A = np.column_stack([np.ones(n), *[dy[p - i:p - i + n] for i in range(1, p + 1)], X[1:][p:p + n]])
+    return A, dy[p:p + n]
 
 
 def order_search(series: DataFrame, value: str, key: str, exog, max_p: int = 5,
                  order: str = "dt") -> DataFrame:
     """H4 (re-aimed): for d = 1 and p = 0..max_p fit ARX(p) with exogenous columns by least
-    squares and keep the p of lowest AIC per key.  (key x p) fits run in parallel."""
+    squares and keep the p of lowest AIC per key, all p compared on the rows that the largest p
+    leaves.  (key x p) fits run in parallel.  A series too short for a p has a null AIC there."""
     import numpy as np  # noqa: F401
     exog = list(exog)
     kt = series.schema[key].dataType.simpleString()
@@ -189,16 +193,17 @@ def order_search(series: DataFrame, value: str, key: str, exog, max_p: int = 5,
         y = pdf[value].to_numpy(dtype=float)
         X = pdf[exog].to_numpy(dtype=float)
         A, b = _arx_design(y, X, p)
+        A, b = A[max_p - p:], b[max_p - p:]
         m, k = A.shape
         if m <= k:
-            aic = float("inf")
+            aic = None
         else:
             _, sse = _ols(A, b)
             aic = m * math.log(max(sse, 1e-300) / m) + 2 * k
         return pd.DataFrame([{key: pdf[key].iloc[0], "p": p, "aic": aic, "nobs": m}])
 
     fits = grid.groupBy(key, "p").applyInPandas(fit, f"{key} {kt}, p int, aic double, nobs int")
-    w = Window.partitionBy(key).orderBy("aic", "p")
+    w = Window.partitionBy(key).orderBy(F.col("aic").asc_nulls_last(), "p")
     return fits.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
@@ -259,4 +264,5 @@ def running_metrics(pred: DataFrame, value: str, key: str, order: str = "dt") ->
     sy, syy = F.sum(value).over(w), F.sum(F.col(value) * F.col(value)).over(w)
     sst = syy - sy * sy / n
     return pred.select(key, order, value, "yhat", F.sqrt(sse / n).alias("run_rmse"),
-                       F.when(n > 1, F.lit(1.0) - sse / sst).alias("run_r2"))
+                       # null while the actual values are constant
+                       F.when(n > 1, F.lit(1.0) - F.try_divide(sse, F.greatest(sst, F.lit(0.0)))).alias("run_r2"))

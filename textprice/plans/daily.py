@@ -24,9 +24,6 @@ def daily_features(posts: DataFrame, lexicon: DataFrame, scale: bool = True) ->
         .withColumn("n_posts", F.col("n_posts").cast("double"))
     d = join_small(roll, lexicon_sentiment(posts, lexicon), KEYS, "left")
     d = join_small(d, tfidf_stats(posts), KEYS, "left")
-    # one row per (symbol, day): small at any scale; kept so the two per-symbol scaling
-    # statistics and the final projection do not recompute the text aggregates
-    d = d.persist()
     if scale:
         d = group_minmax(d, MINMAX_COLS, "symbol")
         d = group_standardize(d, STANDARD_COLS, "symbol")

@@ -2,7 +2,7 @@
 expressions, prepended to every query's SQL.  DuckDB runs it on the same parquet tables."""
 
 FIXTURE_CTES = r"""
-WITH
+WITH RECURSIVE
 e AS (
   SELECT event_type, CAST(ts AS DATE) AS dt, value,
          row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn_up,
@@ -37,9 +37,9 @@ posts_marked AS (
          symbol, open, high, low, close, adj_close, volume
   FROM posts),
 predictions AS (
-  SELECT doc_id AS seq, dt, tweet, open AS prediction, close FROM posts WHERE doc_id % 4 <> 0
+  SELECT doc_id * 2 AS seq, dt, tweet, open AS prediction, close FROM posts WHERE doc_id % 4 <> 0
   UNION ALL
-  SELECT doc_id + 1000000 AS seq, dt, tweet, close AS prediction, close FROM posts WHERE doc_id % 8 = 1),
+  SELECT doc_id * 2 + 1 AS seq, dt, tweet, close AS prediction, close FROM posts WHERE doc_id % 8 = 1),
 lex_counts AS (
   SELECT w AS word, count(*) AS cnt
   FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS w FROM documents) GROUP BY w),

@@ -6,16 +6,14 @@ stripped before saving."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import MinMaxScaler, SQLTransformer, StopWordsRemover, Tokenizer
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import text as tx
 from ..operators.features import assemble
-from ..operators.textops import word2vec
+from ..operators.textops import hashed_embedding, word2vec
 
 NUMERIC_INPUTS = ["open", "high", "low", "volume"]
 TARGET = "close"
@@ -33,43 +31,71 @@ def selector_stage(cols) -> SQLTransformer:
     return SQLTransformer(statement="SELECT " + ", ".join(cols) + " FROM __THIS__")
 
 
+def null_drop_stage(cols) -> SQLTransformer:
+    """Rows that lack an input are dropped (B2), in training and in scoring."""
+    return SQLTransformer(statement="SELECT * FROM __THIS__ WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols))
+
+
+TEXT_STAGES = 4   # the first stages need no fitting: null drop, cleaner, tokens, stop words
+
+
 def preprocessing_stages(vector_size: int = 100, min_count: int = 0, num_partitions: int = 1,
-                         seed: int = 42, keep=("doc_id", "dt", "tweet")) -> list:
-    """clean -> tokens -> stop words -> Word2Vec -> assemble numerics -> min-max ->
-    assemble(embedding, scaled) -> select (ids kept, unlike the reference)."""
+                         seed: int = 42, embedding: str = "word2vec") -> list:
+    """null drop -> clean -> tokens -> stop words -> embedding -> assemble numerics -> min-max ->
+    assemble(embedding, scaled) -> select (all input columns kept, unlike the reference).  ``embedding``:
+    "word2vec" as in the reference, or "hashed", which needs no vocabulary on the driver."""
+    if embedding not in ("word2vec", "hashed"):
+        raise ValueError(f"unknown embedding {embedding!r}")
     return [
+        null_drop_stage(["tweet", *NUMERIC_INPUTS]),
         cleaner_stage(),
         Tokenizer(inputCol="clean_tweet", outputCol="tokens_all"),
         StopWordsRemover(inputCol="tokens_all", outputCol="tokens", stopWords=tx.ENGLISH_STOP_WORDS),
+        hashed_embedding(vector_size, "tokens", "embedding") if embedding == "hashed" else
         word2vec(vector_size=vector_size, min_count=min_count, num_partitions=num_partitions,
                  seed=seed, col="tokens", out="embedding"),
         assemble(NUMERIC_INPUTS, "numeric_raw"),
         MinMaxScaler(inputCol="numeric_raw", outputCol="numeric_scaled"),
         assemble(["embedding", "numeric_scaled"], "features"),
-        selector_stage([*keep, "features", TARGET]),
+        selector_stage(["* EXCEPT (clean_tweet, tokens_all, tokens, embedding, numeric_raw, numeric_scaled)"]),
     ]
 
 
-def guarded_stages(df: DataFrame, max_vocab: int = 2_000_000, **kw) -> list:
-    """Preprocessing stages with the embedding's min_count raised only if the vocabulary
-    would exceed ``max_vocab`` words (the vocabulary is collected and broadcast by Word2Vec)."""
-    from ..operators.textops import vocabulary_min_count
-    stages = preprocessing_stages(**kw)
-    tokens = Pipeline(stages=stages[:3]).fit(df).transform(df)
-    mc = vocabulary_min_count(tokens, "tokens", kw.get("min_count", 0), max_vocab)
-    if mc != kw.get("min_count", 0):
-        stages[3].setMinCount(mc)
-    return stages
+def _fit(df: DataFrame, stages: list) -> PipelineModel:
+    """Fit the stages; the text is read, cleaned and cut into tokens once for all of them."""
+    text = stages[:TEXT_STAGES]
+    tokens = df
+    for stage in text:
+        tokens = stage.transform(tokens)
+    tokens = tokens.persist()
+    try:
+        rest = Pipeline(stages=stages[TEXT_STAGES:]).fit(tokens)
+    finally:
+        tokens.unpersist()
+    return PipelineModel(stages=[*text, *rest.stages])
 
 
 def fit_preprocessing(df: DataFrame, **kw) -> PipelineModel:
-    return Pipeline(stages=guarded_stages(df, **kw)).fit(df)
+    return _fit(df, preprocessing_stages(**kw))
 
 
 def fit_full_model(df: DataFrame, **kw) -> PipelineModel:
-    """ONE pipeline: preprocessing + linear regression on the close."""
+    """ONE pipeline: preprocessing + linear regression on the close; rows without a close
+    don't train."""
     lr = LinearRegression(featuresCol="features", labelCol=TARGET)
-    return Pipeline(stages=[*guarded_stages(df, **kw), lr]).fit(df)
+    return _fit(df.dropna(subset=[TARGET]), [*preprocessing_stages(**kw), lr])
+
+
+def write_training_table(df: DataFrame, model: PipelineModel, path: str) -> str:
+    """The stored training table: (doc_id, features vector, close) as Parquet."""
+    model.transform(df).select("doc_id", "features", TARGET).write.mode("overwrite").parquet(path)
+    return path
+
+
+def train_from_table(spark: SparkSession, path: str) -> LinearRegressionModel:
+    """The regression trained from a stored (features, close) table."""
+    table = spark.read.parquet(path).dropna(subset=["features", TARGET])
+    return LinearRegression(featuresCol="features", labelCol=TARGET).fit(table)
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -78,9 +104,7 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 
 def load_model(path: str) -> PipelineModel:
-    """Load from the GIVEN path (checked), not from a fixed location."""
-    if not path.startswith(("hdfs:", "s3", "gs:", "abfs", "dbfs:", "file:")) and not os.path.exists(path):
-        raise FileNotFoundError(f"no saved model at {path}")
+    """Load from the GIVEN path, on any file system; a path without a model raises."""
     return PipelineModel.load(path)
 
 

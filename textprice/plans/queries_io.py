@@ -11,6 +11,7 @@ from ..schemas import POST_MESSAGE_SCHEMA
 from ..session import scratch_path
 from ..sources import files, paging
 from ..sources import fixtures as fx
+from ..streaming import ingest
 from .catalog import register
 from .queries_relational import POSTS_SQL, ROLLUP_SQL, _posts_out
 from .oracle import fingerprint_sql
@@ -19,13 +20,13 @@ from .oracle import fingerprint_sql
 @register("scan_csv_schema", POSTS_SQL.format(src="posts"))
 def scan_csv_schema(spark, sf):
     path = files.write_csv(fx.posts(spark, sf), scratch_path(spark, "posts-csv"))
-    return _posts_out(files.read_posts_csv(spark, path))
+    return _posts_out(files.read_posts_csv(spark, path, multi_line=True))
 
 
 @register("scan_csv_inferred", POSTS_SQL.format(src="posts"))
 def scan_csv_inferred(spark, sf):
     path = files.write_csv(fx.posts(spark, sf), scratch_path(spark, "posts-csv"))
-    df = files.read_csv_inferred(spark, path)
+    df = files.read_csv_inferred(spark, path, multi_line=True)
     return _posts_out(df.withColumn("doc_id", F.col("doc_id").cast("long"))
                       .withColumn("dt", F.col("dt").cast("string")))
 
@@ -99,30 +100,23 @@ SELECT doc_id, symbol, CAST(r // 100 AS INTEGER) AS page_no, CAST(r % 100 AS INT
 FROM (SELECT doc_id, symbol, row_number() OVER (PARTITION BY symbol ORDER BY dt DESC, doc_id DESC) - 1 AS r FROM posts)""")
 def paged_backfill(spark, sf):
     """Every symbol's history cut into pages (newest first) in one distributed pass and
-    written as message files partitioned by symbol, ordered by page; the stream then replays
-    them.  The written table is read back."""
-    pages = paging.page_numbers(fx.posts(spark, sf), 100)
-    path = scratch_path(spark, "backfill")
-    msgs = pages.withColumn("dt", F.col("dt").cast("string"))
-    # Range partitioning on (symbol, page) splits a hot symbol over several writer tasks.
-    msgs.repartitionByRange("symbol", "page_no").sortWithinPartitions("symbol", "page_no", "_from_newest") \
-        .write.mode("overwrite").partitionBy("symbol").json(path)
-    back = spark.read.schema(T.StructType(POST_MESSAGE_SCHEMA.fields[:3] + POST_MESSAGE_SCHEMA.fields[4:] + [
-        T.StructField("page_no", T.IntegerType()), T.StructField("_from_newest", T.IntegerType()),
-        T.StructField("symbol", T.StringType())])).json(path)
-    return back.select("doc_id", "symbol", "page_no", F.col("_from_newest").alias("from_newest"))
+    laid out as one table ordered by symbol and page, which ``replay_next_page`` reads.  Read back."""
+    path = paging.lay_out_pages(fx.posts(spark, sf), 100, scratch_path(spark, "backfill"))
+    return spark.read.parquet(path).select("doc_id", "symbol", "page_no", F.col("_from_newest").alias("from_newest"))
 
 
 @register("paged_replay", """
 SELECT doc_id, CAST(dt AS VARCHAR) AS dt, CAST(r // 100 AS INTEGER) AS page_no FROM (
-  SELECT doc_id, dt, row_number() OVER (ORDER BY dt DESC, doc_id DESC) - 1 AS r FROM posts WHERE symbol = 'view')
-WHERE r < 300""")
+  SELECT doc_id, dt, row_number() OVER (ORDER BY dt DESC, doc_id DESC) - 1 AS r FROM posts WHERE symbol = 'view')""")
 def paged_replay(spark, sf):
-    """I1 incremental: three replay runs, each appending the next page of 100 after the stored
-    cursor (the reference's fetch loop, without its timer); the pages are read back."""
-    folder = scratch_path(spark, "replay")
-    p = fx.posts(spark, sf)
-    for _ in range(3):
-        paging.append_next_page(p, "view", 100, folder)
-    back = spark.read.schema("doc_id long, dt string, page_no int").json(f"{folder}/pages")
-    return back.select("doc_id", "dt", "page_no")
+    """I1 incremental: pages are laid out once; each replay run writes the next page after the stored
+    cursor as a message file, until none is left (the reference's fetch loop, without its timer); the
+    message stream then reads all pages."""
+    folder, p = scratch_path(spark, "replay"), fx.posts(spark, sf)
+    layout = paging.lay_out_pages(p, 100, scratch_path(spark, "replay-layout"))
+    while paging.replay_next_page(spark, layout, "view", folder) is not None:
+        pass
+    schema = T.StructType([*POST_MESSAGE_SCHEMA.fields, T.StructField("page_no", T.IntegerType())])
+    s = ingest.read_messages(spark, f"{folder}/pages", schema)
+    out = ingest.run_to_table(s.select("doc_id", "dt", "page_no"), f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.parquet(out)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import features as ft
-from ..operators import joins, models
+from ..operators import joins, models, stats
+from ..operators import timeseries as ts
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources.tables import spread
 from . import preprocessing as pp
 from .catalog import register
 from .daily import daily_features as build_daily
+from .oracle import clean_sql
 from .queries_relational import ATTACH_SQL
+from .queries_stream import finite
 from .queries_text import _TFIDF_CTE
 
 MM_COLS = ["open", "high", "low", "volume"]
@@ -102,53 +105,145 @@ FROM mmd WINDOW s AS (PARTITION BY symbol)"""
 
 @register("daily_features", _daily_sql())
 def daily_features(spark, sf):
-    d = build_daily(spread(fx.posts(spark, sf), "doc_id"), fx.lexicon(spark, sf))
+    d = build_daily(fx.posts(spark, sf), fx.lexicon(spark, sf))
     return d.select("symbol", F.col("dt").cast("string").alias("dt"),
                     *[F.round(c, 6).alias(c) for c in d.columns if c not in ("symbol", "dt")])
 
 
-# ---- rows-only checks (ML fits) -----------------------------------------------------------
+def _base_daily_sql(select):
+    """The unscaled daily features (``base`` of the daily SQL) and a final SELECT."""
+    sql = _daily_sql()
+    return sql[:sql.index("mmd AS (")].rstrip().rstrip(",") + "\n" + select
 
-def _split_posts(spark, sf):
-    return ft.hash_split(spread(fx.posts(spark, sf), "doc_id"))
+
+def _corr_parts(cols):
+    from itertools import combinations
+    return "\nUNION ALL ".join(f"SELECT symbol, '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS r FROM base GROUP BY symbol"
+                               for a, b in combinations(cols, 2))
+
+
+SENTIMENT_COLS = ["close", "polarity", "subjectivity"]
+TFIDF_COLS = ["close", "volume", "n_posts", "max_tfidf", "mean_tfidf", "sum_tfidf"]
+EXOG = ["volume", "n_posts", "polarity", "max_tfidf", "mean_tfidf", "sum_tfidf"]
+
+
+def _daily_corr(spark, sf, cols):
+    d = build_daily(fx.posts(spark, sf), fx.lexicon(spark, sf), scale=False)
+    return stats.corr_matrix(d, cols).withColumn("r", F.round("r", 6))
+
+
+@register("corr_sentiment", _base_daily_sql(_corr_parts(SENTIMENT_COLS)))
+def corr_sentiment(spark, sf):
+    """Close against polarity and subjectivity, unscaled daily features."""
+    return _daily_corr(spark, sf, SENTIMENT_COLS)
+
+
+@register("corr_tfidf", _base_daily_sql(_corr_parts(TFIDF_COLS)))
+def corr_tfidf(spark, sf):
+    """The TF-IDF column set of the unscaled daily features."""
+    return _daily_corr(spark, sf, TFIDF_COLS)
 
 
-def _w2v_parts(spark):
-    """Embedding training split over the cluster's cores (the reference trains in 1 task)."""
-    return spark.sparkContext.defaultParallelism
+@register("daily_order_search", _base_daily_sql("SELECT symbol, CAST(count(*) - 1 - 2 AS INTEGER) AS nobs, true AS valid FROM base GROUP BY symbol"))
+def daily_order_search(spark, sf):
+    """H4 on the daily features: lag order by AIC with the six exogenous columns."""
+    d = build_daily(fx.posts(spark, sf), fx.lexicon(spark, sf))
+    o = ts.order_search(d, "close", "symbol", EXOG, max_p=2)
+    return o.select("symbol", "nobs", F.col("p").between(0, 2).alias("valid"))
 
 
-@register("feature_width")
+@register("daily_walk_forward", _base_daily_sql("""SELECT symbol, CAST(dt AS VARCHAR) AS dt, true AS finite FROM (
+  SELECT symbol, dt, row_number() OVER (PARTITION BY symbol ORDER BY dt) AS pos FROM base) WHERE pos > 20"""))
+def daily_walk_forward(spark, sf):
+    """H5 on the daily features: one-step forecasts of the close with the six exogenous columns."""
+    d = build_daily(fx.posts(spark, sf), fx.lexicon(spark, sf))
+    w = ts.walk_forward_arx(d, "close", "symbol", EXOG, 20, p=1)
+    return w.select("symbol", F.col("dt").cast("string").alias("dt"), finite("yhat").alias("finite"))
+
+
+# ---- fitted pipelines ------------------------------------------------------------------------
+
+# rows of one part of the split that the pipeline scores
+_PART = """, part AS (SELECT doc_id, close, clean_tweet,
+  CASE WHEN substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 4) < '3333' THEN 'test' ELSE 'train' END AS part
+  FROM clean_posts WHERE clean_tweet <> '')
+"""
+
+
+def _split_posts(spark, sf):
+    return ft.hash_split(fx.posts(spark, sf))
+
+
+@register("feature_width", "SELECT 104 AS min_width, 104 AS max_width, count(*) AS n_rows FROM clean_posts WHERE clean_tweet <> ''")
 def feature_width(spark, sf):
     p = _split_posts(spark, sf)
-    model = pp.fit_preprocessing(p, num_partitions=_w2v_parts(spark))
-    return models.feature_width(model.transform(p))
+    return models.feature_width(pp.fit_preprocessing(p, embedding="hashed").transform(p))
 
 
-@register("batch_score")
+@register("batch_score", _PART + "SELECT doc_id, close, true AS finite FROM part WHERE part = 'test'")
 def batch_score(spark, sf):
     p = _split_posts(spark, sf)
-    model = pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=_w2v_parts(spark))
-    return pp.score(p.filter(F.col("part") == "test"), model).select("doc_id", "close", "prediction")
-
-
-@register("model_roundtrip")
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"), embedding="hashed")
+    return pp.score(p.filter(F.col("part") == "test"), model).select("doc_id", "close", finite().alias("finite"))
+
+
+@register("score_dirty", f"""
+SELECT doc_id, count(*) AS n, true AS finite FROM posts_dirty WHERE coalesce({clean_sql('tweet')}, '') <> '' GROUP BY doc_id""")
+def score_dirty(spark, sf):
+    """G16/G17 on dirty rows: rows without a close don't train, all rows with inputs and a text are scored."""
+    p = fx.posts_dirty(spark, sf)
+    s = pp.score(p, pp.fit_full_model(p, embedding="hashed"))
+    return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.every(finite()).alias("finite"))
+
+
+@register("train_from_table", _PART + """
+SELECT count(*) AS n_rows, 104 AS min_width, 104 AS max_width, CAST(0 AS BIGINT) AS n_null, 104 AS n_coefficients, true AS residuals_free FROM part WHERE part = 'train'""")
+def train_from_table(spark, sf):
+    """G16 from the stored (features, close) table.  Least squares leaves residuals without a mean and
+    without covariance with any feature: checked relative to the label's and the features' spread."""
+    p = _split_posts(spark, sf).filter(F.col("part") == "train")
+    path = pp.write_training_table(p, pp.fit_preprocessing(p, embedding="hashed"), scratch_path(spark, "training"))
+    model = pp.train_from_table(spark, path)
+    t = model.transform(spark.read.parquet(path)).withColumn("e", F.col("close") - F.col("prediction"))
+    a = vector_to_array("features")
+    places = range(len(model.coefficients))
+    moments = t.select("e", "close", a.alias("a")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(F.size("a")).alias("min_width"), F.max(F.size("a")).alias("max_width"),
+        F.count_if(F.col("close").isNull() | F.col("a").isNull()).alias("n_null"),
+        F.abs(F.avg("e")).alias("mean"), F.stddev_pop("close").alias("spread"),
+        *[F.abs(F.covar_pop("e", F.col("a")[i])).alias(f"c{i}") for i in places],
+        *[F.stddev_pop(F.col("a")[i]).alias(f"s{i}") for i in places])
+    free = F.col("mean") <= 1e-4 * F.col("spread")
+    for i in places:
+        free = free & (F.col(f"c{i}") <= 1e-4 * F.col(f"s{i}") * F.col("spread") + 1e-9)
+    return moments.select("n_rows", "min_width", "max_width", "n_null", F.lit(len(model.coefficients)).alias("n_coefficients"),
+                          free.alias("residuals_free"))
+
+
+@register("model_roundtrip", _PART + "SELECT doc_id, true AS same FROM part WHERE part = 'test'")
 def model_roundtrip(spark, sf):
     p = _split_posts(spark, sf)
-    model = pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=_w2v_parts(spark))
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"), embedding="hashed")
     path = pp.save_model(model, scratch_path(spark, "model"))
     test = p.filter(F.col("part") == "test")
     a = model.transform(test).select("doc_id", "prediction")
     b = pp.score_saved(test, path).select("doc_id", F.col("prediction").alias("reloaded_prediction"))
-    return a.join(b, "doc_id").withColumn(
-        "same", F.abs(F.col("prediction") - F.col("reloaded_prediction")) < 1e-9)
+    return a.join(b, "doc_id").select("doc_id", (F.abs(F.col("prediction") - F.col("reloaded_prediction")) < 1e-9).alias("same"))
 
 
-@register("model_compare")
+@register("model_compare", """
+SELECT * FROM (VALUES ('Linear Regression', 1, true), ('Decision Tree Regression', 2, true), ('Random Forest Regression', 2, true),
+                      ('Gradient Boosted Tree Regression', 2, true)) v(model, n_points, ordered)""")
 def model_compare(spark, sf):
     p = _split_posts(spark, sf)
     train_raw = p.filter(F.col("part") == "train")
-    prep = pp.fit_preprocessing(train_raw, num_partitions=_w2v_parts(spark))  # fitted inside the split (no leakage)
-    train = ft.fold_column(prep.transform(train_raw)).persist()
-    test = prep.transform(p.filter(F.col("part") == "test")).persist()
-    return models.compare_models(train, test)
+    prep = pp.fit_preprocessing(train_raw, embedding="hashed")  # fitted inside the split (no leakage)
+    train = ft.fold_column(prep.transform(train_raw)).select("features", "close", "fold").persist()
+    test = prep.transform(p.filter(F.col("part") == "test")).select("features", "close").persist()
+    try:
+        c = models.compare_models(train, test)
+    finally:
+        train.unpersist()
+        test.unpersist()
+    ordered = (F.col("min_rmse") <= F.col("avg_rmse")) & (F.col("avg_rmse") <= F.col("max_rmse")) & finite("test_r2")
+    return c.select("model", "n_points", ordered.alias("ordered"))

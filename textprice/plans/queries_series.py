@@ -49,9 +49,20 @@ def pacf(spark, sf):
     return p.select("k", "lag", F.round("pacf", 6).alias("pacf"))
 
 
-@register("pacf_full")
+@register("pacf_full", _ACF_CTE.format(n=NLAGS + 1) + f"""
+, rl AS (SELECT k, list(acf ORDER BY lag) AS r FROM r GROUP BY k),
+dl AS (
+  SELECT k, 1 AS lag, [r[2]] AS phi, r FROM rl
+  UNION ALL
+  SELECT k, lag + 1, list_concat(list_transform(range(1, lag + 1), lambda j: phi[j] - pkk * phi[lag + 1 - j]), [pkk]), r
+  FROM (SELECT *, (r[lag + 2] - list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[lag + 2 - j])))
+                  / (1 - list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[j + 1]))) AS pkk
+        FROM dl WHERE lag < {NLAGS}))
+SELECT k, 0 AS lag, 1.0 AS pacf FROM rl
+UNION ALL SELECT k, CAST(lag AS INTEGER), round(phi[lag], 6) FROM dl""")
 def pacf_full(spark, sf):
-    return ts.pacf(ts.acf(_series(spark, sf), "v", "k", NLAGS), "k")
+    p = ts.pacf(ts.acf(_series(spark, sf), "v", "k", NLAGS), "k")
+    return p.select("k", "lag", F.round("pacf", 6).alias("pacf"))
 
 
 def _crit_sql(level_coeffs, name):
@@ -73,14 +84,51 @@ def unit_root_lag0(spark, sf):
     return u.select("k", "nobs", *[F.round(c, 6).alias(c) for c in ("stat", "crit_1", "crit_5", "crit_10")])
 
 
-@register("unit_root_aic")
+@register("unit_root_aic", f"""
+, g AS (SELECT k, CAST(count(*) - 1 AS BIGINT) AS n_rows, least(CAST(ceil(12.0 * pow(count(*) / 100.0, 0.25)) AS BIGINT), count(*) // 2 - 2) AS most
+        FROM series_long GROUP BY k)
+SELECT k, n_rows, true AS valid FROM g""")
 def unit_root_aic(spark, sf):
-    return ts.unit_root_aic(_series(spark, sf), "v", "k")
+    """H1 with AIC lag selection: every key has a finite statistic, critical values in order, a lag
+    within its bound and rows = days - 1 - lag (the statistic itself: ``unit_root_lag0`` and tests)."""
+    u = ts.unit_root_aic(_series(spark, sf), "v", "k")
+    n = (F.col("nobs") + F.col("used_lag") + 1).cast("double")
+    most = F.least(F.ceil(12.0 * F.pow(n / 100.0, F.lit(0.25))), F.floor(n / 2) - 2)
+    valid = (F.col("used_lag").between(0, most) & (F.abs("stat") < float("inf"))
+             & (F.col("crit_1") < F.col("crit_5")) & (F.col("crit_5") < F.col("crit_10")))
+    return u.select("k", (F.col("nobs") + F.col("used_lag")).cast("long").alias("n_rows"), valid.alias("valid"))
+
+
+@register("order_search", """
+SELECT k, CAST(count(*) - 1 - 5 AS INTEGER) AS nobs, true AS valid FROM series_long GROUP BY k""")
+def order_search(spark, sf):
+    """H4 over p = 0..5 (the AIC values themselves: ``order_search_p1``)."""
+    o = ts.order_search(fx.series_x(spark, sf), "y", "k", ["n_orders"], max_p=5)
+    return o.select("k", "nobs", (F.col("p").between(0, 5) & (F.abs("aic") < float("inf"))).alias("valid"))
+
+
+# y in millions with the day's number of orders; differences and their lags
+_ARX_CTE = """
+, x AS (SELECT o_orderpriority AS k, CAST(o_orderdate AS DATE) AS dt,
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 1e6 AS y, CAST(count(*) AS DOUBLE) AS n
+        FROM orders GROUP BY 1, 2),
+dx AS (SELECT k, dt, y, n, row_number() OVER w AS pos, lag(y) OVER w AS y1, y - lag(y) OVER w AS dy,
+              lag(y) OVER w - lag(y, 2) OVER w AS d1 FROM x WINDOW w AS (PARTITION BY k ORDER BY dt))
+"""
 
 
-@register("order_search")
-def order_search(spark, sf):
-    return ts.order_search(fx.series_x(spark, sf), "y", "k", ["n_orders"], max_p=5)
+@register("order_search_p1", _ARX_CTE + """
+, c AS (SELECT k, count(*) AS m, var_pop(n) AS nn, var_pop(d1) AS dd, covar_pop(n, d1) AS nd, covar_pop(dy, n) AS yn,
+               covar_pop(dy, d1) AS yd, var_pop(dy) AS yy FROM dx WHERE d1 IS NOT NULL GROUP BY k),
+s AS (SELECT k, m, m * (yy - yn * yn / nn) AS sse0,
+             m * (yy - ((yn * dd - yd * nd) * yn + (yd * nn - yn * nd) * yd) / (nn * dd - nd * nd)) AS sse1 FROM c),
+a AS (SELECT k, m, m * ln(sse0 / m) + 4 AS aic0, m * ln(sse1 / m) + 6 AS aic1 FROM s)
+SELECT k, CAST(CASE WHEN aic1 < aic0 THEN 1 ELSE 0 END AS INTEGER) AS p, round(least(aic0, aic1), 3) AS aic,
+       CAST(m AS INTEGER) AS nobs FROM a""")
+def order_search_p1(spark, sf):
+    """H4 over p = 0 and 1, whose least squares have a closed form."""
+    o = ts.order_search(fx.series_x(spark, sf), "y", "k", ["n_orders"], max_p=1)
+    return o.select("k", "p", F.round("aic", 3).alias("aic"), "nobs")
 
 
 _WF_CTE = f"""
@@ -103,9 +151,17 @@ def walk_forward_1lag(spark, sf):
                     F.round("yhat", 6).alias("yhat"))
 
 
-@register("walk_forward_arx")
+@register("walk_forward_arx", _ARX_CTE + f"""
+, u AS (SELECT * FROM dx WHERE d1 IS NOT NULL),
+c AS (SELECT *, var_pop(n) OVER p AS nn, var_pop(d1) OVER p AS dd, covar_pop(n, d1) OVER p AS nd, covar_pop(dy, n) OVER p AS yn,
+             covar_pop(dy, d1) OVER p AS yd, avg(n) OVER p AS mn, avg(d1) OVER p AS md, avg(dy) OVER p AS my
+      FROM u WINDOW p AS (PARTITION BY k ORDER BY dt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+b AS (SELECT *, (yn * dd - yd * nd) / (nn * dd - nd * nd) AS bn, (yd * nn - yn * nd) / (nn * dd - nd * nd) AS bd
+      FROM c WHERE pos > {TRAIN_DAYS})
+SELECT k, CAST(dt AS VARCHAR) AS dt, y, round(y1 + my + bn * (n - mn) + bd * (d1 - md), 5) AS yhat FROM b""")
 def walk_forward_arx(spark, sf):
-    return ts.walk_forward_arx(fx.series_x(spark, sf), "y", "k", ["n_orders"], TRAIN_DAYS, p=1)
+    w = ts.walk_forward_arx(fx.series_x(spark, sf), "y", "k", ["n_orders"], TRAIN_DAYS, p=1)
+    return w.select("k", F.col("dt").cast("string").alias("dt"), "y", F.round("yhat", 5).alias("yhat"))
 
 
 @register("running_metrics", _WF_CTE + """

@@ -13,15 +13,10 @@ from ..schemas import POST_MESSAGE_SCHEMA, PREDICTION_MESSAGE_SCHEMA
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.files import encode_json
-from ..sources.tables import spread
 from ..streaming import correlate, deadletter, ingest, kpis, live, score
 from . import preprocessing as pp
 from .catalog import register
-from .queries_relational import ATTACH_SQL, POSTS_SQL, _posts_out
-
-
-# Message files (pages of 100) per micro-batch: several batches at sf0.01 and above.
-MAX_FILES = 25
+from .queries_relational import ATTACH_SQL, POSTS_SQL, _hist_sql, _posts_out
 
 
 def _post_messages(spark, sf):
@@ -36,8 +31,8 @@ def _dirs(spark, name):
 @register("stream_ingest", POSTS_SQL.format(src="posts"))
 def stream_ingest(spark, sf):
     d = _dirs(spark, "ingest")
-    ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
-    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
+    ingest.write_messages(_post_messages(spark, sf), d["in"])
+    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA)
     ingest.run_to_table(s, d["out"], d["ckpt"])
     return _posts_out(spark.read.parquet(d["out"]))
 
@@ -47,26 +42,40 @@ def stream_dedup(spark, sf):
     """Every message delivered twice; each id comes out once."""
     d = _dirs(spark, "dedup")
     msgs = _post_messages(spark, sf)
-    ingest.write_messages(msgs, d["in"], 100)
-    ingest.write_messages(msgs, d["in"], 100)           # replayed delivery
-    s = ingest.with_event_time(ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES))
+    ingest.write_messages(msgs, d["in"])
+    ingest.write_messages(msgs, d["in"])           # replayed delivery
+    s = ingest.with_event_time(ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA))
     ingest.run_to_table(ingest.dedup_stream(s, "doc_id", "event_ts", "60 days").select("doc_id", "dt"),
-                        d["out"], d["ckpt"])
+                        d["out"], d["ckpt"], fail_on_dropped=True)
     return spark.read.parquet(d["out"])
 
 
 @register("stream_kpis", "SELECT symbol, count(*) AS n_posts, round(sum(volume), 4) AS sum_volume FROM posts GROUP BY symbol")
 def stream_kpis(spark, sf):
     d = _dirs(spark, "kpis")
-    ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
-    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
-    ingest.run_foreach_batch(kpis.symbol_totals(s), kpis.overwrite_table(d["out"]), d["ckpt"], "complete")
-    return spark.read.parquet(d["out"]).withColumn("sum_volume", F.round("sum_volume", 4))
+    ingest.write_messages(_post_messages(spark, sf), d["in"])
+    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA)
+    ingest.run_foreach_batch(kpis.symbol_totals(s), kpis.write_by_batch(d["out"]), d["ckpt"], "complete")
+    return kpis.read_newest(spark, d["out"]).withColumn("sum_volume", F.round("sum_volume", 4))
 
 
 @register("stream_correlate", ATTACH_SQL + "SELECT doc_id, prediction, sentiment FROM attached")
 def stream_correlate(spark, sf):
-    return _correlated(spark, sf)
+    return _correlated(spark, sf).select("doc_id", "prediction", "sentiment")
+
+
+@register("live_histograms", _hist_sql())
+def live_histograms(spark, sf):
+    """D13 over the live table (the live view's five histograms)."""
+    h = live.live_histograms(_correlated(spark, sf))
+    return h.withColumn("bin_start", F.round("bin_start", 6))
+
+
+@register("live_latest", ATTACH_SQL + """
+SELECT doc_id, CAST(dt AS VARCHAR) AS dt, symbol, close, prediction, sentiment FROM attached ORDER BY dt DESC, doc_id DESC LIMIT 10""")
+def live_latest(spark, sf):
+    """E4 over the live table (the live view's latest ten rows)."""
+    return live.live_latest(_correlated(spark, sf)).select("doc_id", "dt", "symbol", "close", "prediction", "sentiment")
 
 
 @register("stream_live_kpis", ATTACH_SQL + """
@@ -88,18 +97,19 @@ def _correlated(spark, sf):
     d = _dirs(spark, "correlate")
     posts = _post_messages(spark, sf)
     preds = fx.predictions(spark, sf).withColumn("dt", F.col("dt").cast("string"))
-    ingest.write_messages(posts, d["in"], 100)
-    ingest.write_messages(preds, d["in2"], 100)
+    ingest.write_messages(posts, d["in"])
+    ingest.write_messages(preds, d["in2"])
     marker_post = posts.limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit("2100-01-01").alias("dt"),
                                         *[F.col(c) for c in posts.columns if c not in ("doc_id", "dt")])
     marker_pred = preds.limit(1).select(F.lit(-1).cast("long").alias("seq"), F.lit("2100-01-01").alias("dt"),
                                         "tweet", "prediction", "close")
-    ingest.write_messages(marker_post, d["in"], 100)
-    ingest.write_messages(marker_pred, d["in2"], 100)
-    ps = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
-    qs = ingest.read_messages(spark, d["in2"], PREDICTION_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
+    # messages of both streams arrive in any order within the delay
+    ingest.write_messages(marker_post, d["in"])
+    ingest.write_messages(marker_pred, d["in2"])
+    ps = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA)
+    qs = ingest.read_messages(spark, d["in2"], PREDICTION_MESSAGE_SCHEMA)
     joined = correlate.correlate_streams(ps, qs, delay="60 days")
-    ingest.run_to_table(joined.drop("p_ts"), d["out"], d["ckpt"])
+    ingest.run_to_table(joined, d["out"], d["ckpt"], fail_on_dropped=True)
     matches = spark.read.parquet(d["out"]).filter(F.col("doc_id") >= 0)
     return correlate.latest_state(matches)
 
@@ -134,8 +144,8 @@ def dead_letter(spark, sf):
 def dead_letter_stream(spark, sf):
     """I8 as a stream: foreachBatch splits each micro-batch into good rows and dead letters."""
     d = _dirs(spark, "deadletter")
-    _dirty_messages(spark, sf).write.mode("append").option("maxRecordsPerFile", 100).text(d["in"])
-    raw = spark.readStream.format("text").option("maxFilesPerTrigger", MAX_FILES).load(d["in"])
+    _dirty_messages(spark, sf).write.mode("append").text(d["in"])
+    raw = ingest.read_raw(spark, d["in"])
     c = deadletter.classify_messages(raw, POST_MESSAGE_SCHEMA)
     ingest.run_foreach_batch(c, lambda b, i: deadletter.split_batch(b, d["out"], d["dead"], i), d["ckpt"])
     ok = spark.read.parquet(d["out"]).select("reason")
@@ -143,34 +153,66 @@ def dead_letter_stream(spark, sf):
     return ok.unionByName(dead).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("stream_score")
+def _train_posts(spark, sf):
+    return ft.hash_split(fx.posts(spark, sf)).filter(F.col("part") == "train")
+
+
+def _saved_model(spark, sf, name):
+    """The full pipeline, fitted on the training posts, saved and loaded again."""
+    model = pp.fit_full_model(_train_posts(spark, sf), embedding="hashed")
+    return pp.load_model(pp.save_model(model, scratch_path(spark, name)))
+
+
+def finite(c="prediction"):
+    """Whether a number is there, not NaN and not infinite."""
+    c = F.col(c)
+    return F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))
+
+
+@register("stream_score", "SELECT doc_id, close, true AS finite FROM clean_posts WHERE clean_tweet <> ''")
 def stream_score(spark, sf):
-    """I2 (rows-only): the saved full pipeline scores the post stream micro-batch by micro-batch."""
+    """The saved full pipeline scores the post stream micro-batch by micro-batch."""
     d = _dirs(spark, "score")
-    p = ft.hash_split(spread(fx.posts(spark, sf), "doc_id"))
-    model = pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=spark.sparkContext.defaultParallelism)
-    path = pp.save_model(model, scratch_path(spark, "stream-model"))
-    loaded = pp.load_model(path)
-    ingest.write_messages(_post_messages(spark, sf), d["in"], 100)
-    s = ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA, max_files_per_trigger=MAX_FILES)
-    ingest.run_to_table(score.score_stream(s, loaded), d["out"], d["ckpt"])
-    return spark.read.parquet(d["out"]).select("doc_id", "close", "prediction")
+    model = _saved_model(spark, sf, "stream-model")
+    ingest.write_messages(_post_messages(spark, sf), d["in"])
+    score.score_messages(ingest.read_raw(spark, d["in"]), model, d["out"], d["dead"], d["ckpt"])
+    out = spark.read.schema(PREDICTION_MESSAGE_SCHEMA).json(d["out"] + "/*")
+    return out.select("doc_id", "close", finite().alias("finite"))
+
+
+@register("prediction_message", POSTS_SQL.format(src="clean_posts").replace(
+    "adj_close, volume FROM", "adj_close, volume, doc_id AS seq, true AS finite FROM") + " WHERE clean_tweet <> ''")
+def prediction_message(spark, sf):
+    """A prediction message carries the whole post message."""
+    d = _dirs(spark, "message")
+    ingest.write_messages(_post_messages(spark, sf), d["in"])
+    score.score_messages(ingest.read_raw(spark, d["in"]), _saved_model(spark, sf, "message-model"), d["out"], d["dead"], d["ckpt"])
+    out = spark.read.schema(PREDICTION_MESSAGE_SCHEMA).json(d["out"] + "/*")
+    return out.select("doc_id", "dt", "tweet", "symbol", "open", "high", "low", "close", "adj_close", "volume", "seq",
+                      finite().alias("finite"))
+
+
+@register("stream_score_dirty", _DEAD_SQL)
+def stream_score_dirty(spark, sf):
+    """I2 + I8: scored messages and dead letters of a dirty stream, counted by route."""
+    d = _dirs(spark, "score-dirty")
+    _dirty_messages(spark, sf).write.mode("append").text(d["in"])
+    score.score_messages(ingest.read_raw(spark, d["in"]), _saved_model(spark, sf, "dirty-model"), d["out"], d["dead"], d["ckpt"])
+    ok = spark.read.schema(PREDICTION_MESSAGE_SCHEMA).json(d["out"] + "/*").filter(finite()).select(F.lit("ok").alias("reason"))
+    dead = spark.read.parquet(d["dead"] + "/*").select("reason")
+    return ok.unionByName(dead).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("stream_live")
+@register("stream_live", "SELECT count(*) AS n_posts, count(*) AS n_scored FROM clean_posts WHERE clean_tweet <> ''")
 def stream_live(spark, sf):
-    """I2 -> I4 -> I6 (rows-only): score the post stream with the saved pipeline, correlate the
+    """I2 -> I4 -> I6: score the post stream with the saved pipeline, correlate the
     resulting prediction stream with the post stream, report live totals of the end state.
     A far-future marker post (written last) moves the watermarks past all data."""
     d = _dirs(spark, "live")
-    p = ft.hash_split(spread(fx.posts(spark, sf), "doc_id"))
-    model = pp.load_model(pp.save_model(
-        pp.fit_full_model(p.filter(F.col("part") == "train"), num_partitions=spark.sparkContext.defaultParallelism),
-        scratch_path(spark, "live-model")))
     posts = _post_messages(spark, sf)
-    ingest.write_messages(posts, d["in"], 100)
+    ingest.write_messages(posts, d["in"])
     marker = posts.limit(1).select(F.lit(-1).cast("long").alias("doc_id"), F.lit("2100-01-01").alias("dt"),
                                    *[F.col(c) for c in posts.columns if c not in ("doc_id", "dt")])
-    ingest.write_messages(marker, d["in"], 100)
-    path = live.run_live(spark, d["in"], model, d["out"], max_files_per_trigger=MAX_FILES)
-    return live.live_totals(spark, path)
+    ingest.write_messages(marker, d["in"])
+    path = live.run_live(spark, d["in"], _saved_model(spark, sf, "live-model"), d["out"])
+    return live.live_totals(spark, path).select("n_posts", "n_scored")

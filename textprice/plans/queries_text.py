@@ -41,8 +41,7 @@ def clean_text(spark, sf):
 
 
 def _clean_posts(spark, sf):
-    from ..sources.tables import spread
-    return textops.clean_text(spread(fx.posts(spark, sf), "doc_id"))
+    return textops.clean_text(fx.posts(spark, sf))
 
 
 _TOK_CTE = f""", toks AS (SELECT doc_id, {tokens_sql('clean_tweet')} AS tokens_all
@@ -103,8 +102,7 @@ SELECT d.symbol, CAST(d.dt AS VARCHAR) AS dt,
        round(coalesce(CASE WHEN nrm > 0 THEN sx / nrm END, 0.0), 8) AS sum_tfidf
 FROM days d LEFT JOIN per USING (symbol, dt) LEFT JOIN voc USING (symbol)""")
 def tfidf_stats(spark, sf):
-    from ..sources.tables import spread
-    t = textops.tfidf_stats(spread(fx.posts(spark, sf), "doc_id"))
+    t = textops.tfidf_stats(fx.posts(spark, sf))
     return t.select("symbol", F.col("dt").cast("string").alias("dt"),
                     *[F.round(c, 8).alias(c) for c in ("max_tfidf", "mean_tfidf", "sum_tfidf")])
 
@@ -113,8 +111,7 @@ def tfidf_stats(spark, sf):
 , w AS (SELECT DISTINCT symbol, dt, unnest(regexp_extract_all(lower(tweet), '[\p{L}\p{N}_]{2,}')) AS word FROM posts)
 SELECT symbol, word, count(*) AS doc_freq FROM w GROUP BY symbol, word""")
 def vocabulary(spark, sf):
-    from ..sources.tables import spread
-    return textops.vocabulary(spread(fx.posts(spark, sf), "doc_id"))
+    return textops.vocabulary(fx.posts(spark, sf))
 
 
 @register("lexicon_sentiment", """
@@ -125,20 +122,40 @@ SELECT symbol, CAST(dt AS VARCHAR) AS dt, round(coalesce(pol, 0.0), 9) AS polari
        round(coalesce(subj, 0.0), 9) AS subjectivity
 FROM days LEFT JOIN sc USING (symbol, dt)""")
 def lexicon_sentiment(spark, sf):
-    from ..sources.tables import spread
-    s = textops.lexicon_sentiment(spread(fx.posts(spark, sf), "doc_id"), fx.lexicon(spark, sf))
+    s = textops.lexicon_sentiment(fx.posts(spark, sf), fx.lexicon(spark, sf))
     return s.select("symbol", F.col("dt").cast("string").alias("dt"),
                     F.round("polarity", 9).alias("polarity"), F.round("subjectivity", 9).alias("subjectivity"))
 
 
-@register("embed_text")
+def _tokens(spark, sf):
+    return textops.remove_stop_words(textops.tokenize(_clean_posts(spark, sf)))
+
+
+@register("embed_text", "SELECT doc_id, 100 AS dim, true AS finite FROM clean_posts WHERE clean_tweet <> ''")
 def embed_text(spark, sf):
-    """C9 (rows-only check): Word2Vec document vectors of the cleaned, stop-word-free posts."""
+    """Word2Vec document vectors of the cleaned, stop-word-free posts."""
     from pyspark.ml.functions import vector_to_array
-    t = textops.remove_stop_words(textops.tokenize(_clean_posts(spark, sf)))
-    est = textops.word2vec(vector_size=100, num_partitions=spark.sparkContext.defaultParallelism)
-    est.setMinCount(textops.vocabulary_min_count(t, "tokens", est.getMinCount()))
-    model = est.fit(t)
-    e = model.transform(t)
-    return e.select("doc_id", F.size(vector_to_array("embedding")).alias("dim"),
-                    F.aggregate(vector_to_array("embedding"), F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))
+    t = _tokens(spark, sf).select("doc_id", "tokens")
+    e = textops.word2vec(vector_size=100, num_partitions=spark.sparkContext.defaultParallelism).fit(t).transform(t)
+    v = vector_to_array("embedding")
+    return e.select("doc_id", F.size(v).alias("dim"), F.forall(v, lambda x: F.abs(x) < float("inf")).alias("finite"))
+
+
+@register("embed_hashed", _TOK_CTE + f"""
+SELECT doc_id, 100 AS dim, CAST(len(list_filter(tokens_all, lambda x: NOT list_contains({_stop_list_sql()}, lower(x)))) AS DOUBLE) AS mass FROM toks""")
+def embed_hashed(spark, sf):
+    """C9 without a vocabulary: hashed token counts; their sum is the number of tokens."""
+    from pyspark.ml.functions import vector_to_array
+    v = vector_to_array("embedding")
+    e = textops.hashed_embedding(100).transform(_tokens(spark, sf))
+    return e.select("doc_id", F.size(v).alias("dim"), F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("mass"))
+
+
+@register("daily_posts", """
+SELECT symbol, CAST(dt AS VARCHAR) AS dt, doc_id, CAST(row_number() OVER (PARTITION BY symbol, dt ORDER BY doc_id) AS BIGINT) AS position,
+       md5(tweet) AS tweet_md5 FROM posts""")
+def daily_posts(spark, sf):
+    """The day's ordered list of posts, in long form (no list per day is built)."""
+    from ..operators.ordering import row_index
+    p = row_index(fx.posts(spark, sf), ["doc_id"], ["symbol", "dt"], "position")
+    return p.select("symbol", F.col("dt").cast("string").alias("dt"), "doc_id", "position", F.md5("tweet").alias("tweet_md5"))

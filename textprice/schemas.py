@@ -24,11 +24,7 @@ REFERENCE_TO_SNAKE = {
 }
 SNAKE_TO_REFERENCE = {v: k for k, v in REFERENCE_TO_SNAKE.items()}
 
-POST_COLUMNS = ["doc_id", "dt", "tweet", "symbol", "open", "high", "low", "close",
-                "adj_close", "volume"]
-BAR_COLUMNS = ["open", "high", "low", "close", "adj_close", "volume"]
-
-# Post message: stored record without its id; dates travel as text.
+# Post message: the stored record (its id is the library's addition); dates travel as text.
 POST_MESSAGE_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType(), True),
     T.StructField("dt", T.StringType(), True),
@@ -42,12 +38,10 @@ POST_MESSAGE_SCHEMA = T.StructType([
     T.StructField("volume", T.DoubleType(), True),
 ])
 
+# Prediction message: the whole post message, the number of the prediction version and the prediction.
 PREDICTION_MESSAGE_SCHEMA = T.StructType([
-    T.StructField("seq", T.LongType(), True),
-    T.StructField("dt", T.StringType(), True),
-    T.StructField("tweet", T.StringType(), True),
+    T.StructField("seq", T.LongType(), True), *POST_MESSAGE_SCHEMA.fields,
     T.StructField("prediction", T.DoubleType(), True),
-    T.StructField("close", T.DoubleType(), True),
 ])
 
 # Live view columns (order as in the reference's live table).

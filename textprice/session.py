@@ -42,7 +42,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session (``spark.checkpoint.dir``).
 
-    Only when the session names none (local runs, tests) is a fresh local folder set.
+    Only a local session (tests) that names none gets a fresh local folder; on a cluster, where
+    executors would not see it, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,8 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.split("[")[0] == "local":
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="textprice-ckpt-"))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 
@@ -62,10 +65,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "textprice-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
-
-
 def cluster_settings(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 ** 2,
                      max_partition_bytes: int = 256 * 1024 ** 2) -> dict:
     """Settings for a cluster run over ``input_bytes`` of input on ``cores`` cores.

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..schemas import REFERENCE_POST_SCHEMA, REFERENCE_TO_SNAKE, SNAKE_TO_REFERENCE
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "mode": "PERMISSIVE",
+CSV_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -39,16 +39,18 @@ def write_csv(df: DataFrame, path: str, reference_names: bool = True) -> str:
     return path
 
 
-def read_posts_csv(spark: SparkSession, path: str, with_id: bool = True) -> DataFrame:
-    """A1: CSV with header and the declared joined-post schema; dates parsed once here."""
+def read_posts_csv(spark: SparkSession, path: str, with_id: bool = True, multi_line: bool = False) -> DataFrame:
+    """A1: CSV with header and the declared joined-post schema; dates parsed once here.  Files are
+    split over tasks unless ``multi_line`` says that quoted values hold line ends."""
     fields = ([T.StructField("_id", T.LongType(), True)] if with_id else []) + list(REFERENCE_POST_SCHEMA.fields)
-    raw = spark.read.schema(T.StructType(fields)).options(**CSV_OPTIONS).csv(path)
+    raw = spark.read.schema(T.StructType(fields)).options(**CSV_OPTIONS).csv(path, multiLine=multi_line)
     return to_snake_names(raw).withColumn("dt", F.try_to_date(F.col("dt"), "yyyy-MM-dd"))
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """A2: CSV with inferred types (one extra pass over the data; avoid on large inputs)."""
-    return to_snake_names(spark.read.options(**CSV_OPTIONS).option("inferSchema", "true").csv(path))
+def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False, sampling: float = 1.0) -> DataFrame:
+    """A2: CSV with inferred types, from one extra pass over a ``sampling`` share of the rows."""
+    return to_snake_names(spark.read.options(**CSV_OPTIONS).csv(path, inferSchema=True, samplingRatio=sampling,
+                                                                multiLine=multi_line))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=()) -> str:

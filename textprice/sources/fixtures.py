@@ -4,8 +4,8 @@ The reference ships no data; these views (see FIXTURES.md) build the same shapes
 
 * ``bars``     – one daily bar per (symbol, day) from ``events``: first/last value by
   (ts, event_id), max, min, exact decimal sum as volume.  One hash aggregate with partial
-  (map-side) aggregation; ``min_by``/``max_by`` on a struct replace per-day row numbering,
-  so no window sorts a hot (symbol, day) group in one task.
+  (map-side) aggregation; ``min_by``/``max_by`` on one decimal (time, then id) replace per-day
+  row numbering, so no window sorts a hot (symbol, day) group in one task.
 * ``docs``     – documents assigned to a symbol and a day by a rule on ``doc_id``.
 * ``posts``    – docs joined with their day's bar (the reference's joined training input).
 * ``posts_dirty``, ``posts_marked``, ``predictions``, ``lexicon``, ``series_long`` – the
@@ -29,7 +29,9 @@ MARK_PREFIX = " :smile_face: http://ex.am/p @user #tag 5% $abc "
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    order = F.struct("ts", "event_id")
+    # one number per event, ordered by time, then id (a struct would need a sort aggregate)
+    order = (F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(17,0)")
+             * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col("event_id").cast("decimal(19,0)"))
     return (ev.groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("dt"))
             .agg(F.min_by("value", order).alias("open"),
                  F.max("value").alias("high"),
@@ -60,8 +62,8 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts with their same-day bar (F4).  The bar table is joined by broadcast only when its
-    row count is checked to be small; otherwise a shuffle join (AQE handles skew)."""
+    """Posts with their same-day bar (F4); adaptive execution broadcasts the bars if it measures them
+    small, otherwise a shuffle join whose skew it splits."""
     b = bars(spark, sf_dir)
     joined = join_small(docs(spark, sf_dir), b, ["symbol", "dt"], "inner")
     return joined.select("doc_id", "dt", "tweet", "symbol", "open", "high", "low", "close",
@@ -93,8 +95,8 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
     # both versions from ONE pass over the posts (0, 1 or 2 messages per post)
     versions = F.array(
-        F.when(i % 4 != 0, F.struct(i.alias("seq"), F.col("open").alias("prediction"))),
-        F.when(i % 8 == 1, F.struct((i + 1000000).alias("seq"), F.col("close").alias("prediction"))))
+        F.when(i % 4 != 0, F.struct((i * 2).alias("seq"), F.col("open").alias("prediction"))),
+        F.when(i % 8 == 1, F.struct((i * 2 + 1).alias("seq"), F.col("close").alias("prediction"))))
     return p.select("dt", "tweet", "close", F.explode(versions).alias("v")) \
         .filter(F.col("v").isNotNull()).select("v.seq", "dt", "tweet", "v.prediction", "close")
 

@@ -6,10 +6,11 @@ returned oldest first; the cursor moves back in time.  The filter is on stored c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordering import prefix_sum
+from ..operators.ordering import row_index
 
 
 def page(df: DataFrame, symbol: str, n: int, after=None) -> DataFrame:
@@ -32,27 +33,51 @@ def next_cursor(page_df: DataFrame):
 
 def page_numbers(df: DataFrame, n: int, key: str = "symbol") -> DataFrame:
     """All pages of every key in ONE distributed pass: position in (dt desc, doc_id desc)
-    order per key -> page number and position inside the page (oldest first)."""
-    ranked = prefix_sum(df, [F.col("dt").desc(), F.col("doc_id").desc()], [key], None, "_before")
-    page_no = F.floor(F.col("_before") / n).cast("int")
-    in_page = (F.col("_before") % n).cast("int")
-    return ranked.withColumn("page_no", page_no).withColumn("_from_newest", in_page).drop("_before")
+    order per key -> page number and position inside the page (from the newest)."""
+    ranked = row_index(df, ["dt", "doc_id"], [key], "_rank", start=0, descending=True)
+    return ranked.withColumn("page_no", F.floor(F.col("_rank") / n).cast("int")) \
+        .withColumn("_from_newest", (F.col("_rank") % n).cast("int")).drop("_rank")
+
+
+def lay_out_pages(df: DataFrame, n: int, path: str, key: str = "symbol") -> str:
+    """Every key's pages as one table ordered by (key, page).  Range partitioning splits a hot key
+    over several writers, and the order lets a reader of one page skip all other row groups."""
+    pages = page_numbers(df, n, key).withColumn("dt", F.col("dt").cast("string"))
+    pages.repartitionByRange(key, "page_no").sortWithinPartitions(key, "page_no", "_from_newest") \
+        .write.mode("overwrite").parquet(path)
+    return path
+
+
+def replay_next_page(spark: SparkSession, layout: str, symbol: str, folder: str):
+    """One replay run: the symbol's next page of the laid-out table (the one after the stored cursor) is
+    written as JSON messages under ``pages/page_no=k`` (overwritten, so a rerun after a failure writes
+    the same page), then the cursor moves.  Returns the page number, or None when none is left."""
+    last = _cursor(spark, folder, "page_no int")
+    page_no = 0 if last is None else last["page_no"] + 1
+    rows = spark.read.parquet(layout).filter((F.col("symbol") == symbol) & (F.col("page_no") == page_no)).drop("page_no")
+    if rows.isEmpty():
+        return None
+    rows.write.mode("overwrite").json(f"{folder}/pages/page_no={page_no}")
+    spark.createDataFrame([(page_no,)], "page_no int").coalesce(1).write.mode("append").json(f"{folder}/_cursor")
+    return page_no
+
+
+def _cursor(spark: SparkSession, folder: str, schema: str):
+    """The newest stored cursor, or None before the first run; any other read error is raised."""
+    try:
+        return spark.read.schema(schema).json(f"{folder}/_cursor").orderBy(F.col("page_no").desc()).first()
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def append_next_page(df: DataFrame, symbol: str, n: int, folder: str):
     """I1 incremental replay: fetch the page after the stored cursor, write it as
     ``pages/page_no=k`` (overwrite, so a rerun after a failure rewrites the same page), then
     store the new cursor next to it.  Returns the page number written, or None at the end."""
-    import os
-
-    from pyspark.sql.utils import AnalysisException
     spark = df.sparkSession
-    cursor_path = os.path.join(folder, "_cursor")
-    try:
-        last = spark.read.schema("dt string, doc_id long, page_no int").json(cursor_path) \
-            .orderBy(F.col("page_no").desc()).first()
-    except AnalysisException:
-        last = None
+    last = _cursor(spark, folder, "dt string, doc_id long, page_no int")
     after = None if last is None else (last["dt"], last["doc_id"])
     page_no = 0 if last is None else last["page_no"] + 1
     pg = page(df, symbol, n, None if after is None else (F.lit(after[0]).cast("date"), after[1])).persist()
@@ -61,8 +86,8 @@ def append_next_page(df: DataFrame, symbol: str, n: int, folder: str):
         pg.unpersist()
         return None
     pg.withColumn("dt", F.col("dt").cast("string")).write.mode("overwrite") \
-        .json(os.path.join(folder, "pages", f"page_no={page_no}"))
+        .json(f"{folder}/pages/page_no={page_no}")
     spark.createDataFrame([(str(cursor[0]), int(cursor[1]), page_no)], "dt string, doc_id long, page_no int") \
-        .write.mode("append").json(cursor_path)
+        .write.mode("append").json(f"{folder}/_cursor")
     pg.unpersist()
     return page_no

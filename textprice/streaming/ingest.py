@@ -12,21 +12,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_messages(df: DataFrame, folder: str, rows_per_file: int = 100) -> str:
-    """Write records as JSON-lines message files (one page of ``rows_per_file`` per file)."""
+def write_messages(df: DataFrame, folder: str, rows_per_file: int = 0) -> str:
+    """Write records as JSON-lines message files, one per task, or cut after ``rows_per_file`` rows."""
     df.write.mode("append").option("maxRecordsPerFile", rows_per_file).json(folder)
     return folder
 
 
 def read_messages(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "json",
                   max_files_per_trigger: int | None = None, options: dict | None = None,
-                  since=None) -> DataFrame:
-    """Message stream with a declared schema.  ``since`` (a timestamp) starts "at latest":
+                  since=None, max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """Message stream with a declared schema.  A micro-batch is bounded by ``max_bytes_per_trigger``
+    (for example "64g", by what the cluster takes at once) or a number of files, else it is the
+    whole backlog.  ``since`` (a timestamp) starts "at latest":
     only message files written at or after it are read (file modification time from the
     source's ``_metadata``); without it the whole backlog is read ("earliest")."""
     r = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     df = r.load(folder)
@@ -36,13 +40,29 @@ def read_messages(spark: SparkSession, folder: str, schema: T.StructType, fmt: s
 
 
 def with_event_time(df: DataFrame, date_col: str = "dt", out: str = "event_ts") -> DataFrame:
-    """Event time from the message date, as TIMESTAMP (watermarks reject TIMESTAMP_NTZ)."""
-    return df.withColumn(out, F.to_timestamp(F.col(date_col).cast("string"), "yyyy-MM-dd").cast("timestamp"))
+    """Event time from the message date, as TIMESTAMP (watermarks reject TIMESTAMP_NTZ); null for a
+    date that can't be read, which ``deadletter`` routes away."""
+    return df.withColumn(out, F.try_to_timestamp(F.col(date_col).cast("string"), F.lit("yyyy-MM-dd")).cast("timestamp"))
+
+
+def dropped_rows(query) -> int:
+    """Rows that a finished query's stateful operators dropped as later than the watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def read_raw(spark: SparkSession, folder: str, max_bytes_per_trigger: str | None = None) -> DataFrame:
+    """Message stream as text lines (column ``value``), for routing bad records."""
+    r = spark.readStream.format("text")
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return r.load(folder)
 
 
 def run_to_table(stream_df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                 output_mode: str = "append", trigger: dict | None = None, query_name: str | None = None) -> str:
-    """Run a streaming query into a file table with a checkpoint (exactly-once file sink).
+                 output_mode: str = "append", trigger: dict | None = None, query_name: str | None = None,
+                 fail_on_dropped: bool = False) -> str:
+    """Run a streaming query into a file table with a checkpoint (exactly-once file sink).  With
+    ``fail_on_dropped``, rows dropped as later than the watermark are an error.
     ``trigger`` defaults to availableNow (drain the backlog, then stop); a continuous
     processing-time run is ``start_continuous``."""
     w = stream_df.writeStream.format(fmt).outputMode(output_mode).option("checkpointLocation", checkpoint)
@@ -51,6 +71,8 @@ def run_to_table(stream_df: DataFrame, path: str, checkpoint: str, fmt: str = "p
     w = w.trigger(**(trigger or {"availableNow": True}))
     q = w.start(path)
     q.awaitTermination()
+    if fail_on_dropped and dropped_rows(q):
+        raise RuntimeError(f"{dropped_rows(q)} rows were later than the watermark and were dropped")
     return path
 
 

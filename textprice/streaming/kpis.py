@@ -3,7 +3,7 @@ table that the dashboard-style queries (D10-D13, E4) read."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,8 +12,18 @@ def symbol_totals(stream: DataFrame) -> DataFrame:
                                         F.sum("volume").alias("sum_volume"))
 
 
-def overwrite_table(path: str):
-    """foreachBatch writer for complete-mode results: each batch replaces the table."""
+def write_by_batch(path: str):
+    """foreachBatch writer for complete-mode results: each batch is a table of its own (a replayed batch
+    overwrites itself), so readers never see a half-written one."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch-{batch_id}")
     return write
+
+
+def read_newest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete batch."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    ids = [int(s.getPath().getName().split("-")[1]) for s in fs.listStatus(jvm.Path(path))
+           if s.getPath().getName().startswith("batch-") and fs.exists(jvm.Path(s.getPath(), "_SUCCESS"))]
+    return spark.read.parquet(f"{path}/batch-{max(ids)}")
