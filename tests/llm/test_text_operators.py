@@ -104,7 +104,6 @@ def brute_classes(texts, threshold=0.8):
 
 
 def test_near_duplicates_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "LARGE", 4)
     monkeypatch.setattr(near_dedup, "HUBS", 2)
     texts = corpus(2)
     want = brute_classes(texts)
@@ -123,9 +122,16 @@ def test_near_duplicates_of_null_and_repeated_keys(spark):
     assert [(r["class_id"], r["kept"]) for r in out if r["text"] == "x"] == [(None, True)]
 
 
+def test_near_duplicates_by_shingle_numbers(spark):
+    line = " ".join(f"l{i}" for i in range(12))
+    texts = ["\n".join([line] * 20 + [f"tail {t} of its own here"]) for t in "abc"] + [line]
+    by = {w: [r["class_id"] for r in sorted(near_dedup.near_duplicates(frame(spark, texts), weights=w, rows=False).collect())]
+          for w in ("set", "count")}
+    assert by == {"set": [0, 1, 2, 3], "count": [0, 0, 0, 3]}
+
+
 def test_buckets_of_dissimilar_members_are_checked_whole(spark, monkeypatch):
     """Texts that share one long passage meet in buckets without being similar; copies hide among them."""
-    monkeypatch.setattr(near_dedup, "LARGE", 3)
     monkeypatch.setattr(near_dedup, "HUBS", 1)
     rng = random.Random(5)
     passage = prose(rng, 60)
@@ -147,8 +153,9 @@ def test_dart_signatures_estimate_similarity():
             a, b = shift[:n], shift[n - overlap:2 * n - overlap]
             sa, sb = near_dedup.dart_signatures(np.concatenate((a, b)), np.concatenate((wa, wb)), np.array([n, n]), 130)
             agree.append((sa == sb).mean())
-            oa, ob = np.argsort(a), np.argsort(b)
-            true = near_dedup.similarity(a[oa], wa[oa], b[ob], wb[ob])
+            here, there = dict(zip(a.tolist(), wa, strict=True)), dict(zip(b.tolist(), wb, strict=True))
+            less = sum(min(here[x], there[x]) for x in here.keys() & there.keys())
+            true = less / (wa.sum() + wb.sum() - less)
             alone = near_dedup.dart_signatures(a[::-1].copy(), wa[::-1].copy(), np.array([n]), 130)
             assert (alone[0] == sa).all()  # neither order nor neighbours matter
         assert abs(np.mean(agree) - true) < 0.04

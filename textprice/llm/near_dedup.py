@@ -11,12 +11,13 @@ at which some k ln k + 2k darts are expected in all, so a long text costs one ha
 cell and few darts.  Two texts agree in a coordinate with the probability of their similarity.
 
 Joining.  Rows with the same words in the same order are one node, found by a 128-bit hash.  Nodes
-that agree in all rows of a band share a bucket.  No bucket is expanded into pairs: its least node is
-the *hub*, members are checked against hubs only (exact similarity), links join components,
-and members that are in one component by then need no check.  Where members of different components
-remain, such as texts that only share a passage, members must agree in a second band (and in a third
-where more than ``LARGE`` remain); then the next ``HUBS`` members become hubs, until none remain.  Two
-texts at the threshold share a band, two and three bands with a probability of 0.99997, 0.9995 and 0.997.
+that agree in all rows of a band share a bucket (two texts at the threshold share one with a
+probability of 0.99997).  No bucket is expanded into pairs: its least node is the *hub*, members are
+checked against the hub only (exact similarity), and links join components.  Members that are in one
+component by then need no check.  Where members of different components share a bucket, such as
+texts that only have a passage in common, they are looked at once more, exactly: by the rarest fifth
+of their shingles, of which texts over the threshold share one, while a common passage is not among
+them.  Again each such bucket is checked from hubs, ``HUBS`` at a time, until none remain.
 
 Results for special inputs: a text of fewer than ``shingle`` words is one shingle; a null text or one
 without words is alone in its class; repeated rows are one class; rows with a null key take part and
@@ -40,8 +41,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 26, 5
 HUBS = 16
-LARGE = 64
-DEPTH = 2
+SAMPLE, COMMON = 20_000, 1 << 16  # sets whose elements are counted, and elements known as common
 GROUP = 256  # texts signed at once
 OUTPUTS = ("class_id", "kept")
 EDGES = (0.0, 1 / 64, 1 / 16, 1 / 4, 1.0)  # cells of ranks; cells of width 1 after the last
@@ -146,12 +146,11 @@ def weighted(hashes, weights: str):
     return elements, (count if weights == "count" else np.ones(len(elements))).astype(np.float64)
 
 
-def similarity(a, wa, b, wb) -> float:
-    """Sum of the lesser over the sum of the greater weights (Jaccard for weights of 1)."""
+def similarity(a, b) -> float:
+    """Jaccard similarity of two ascending sets."""
     import numpy as np
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    both = np.minimum(wa[i], wb[j]).sum()
-    return float(both / (wa.sum() + wb.sum() - both))
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
 
 
 def signatures(chunks: DataFrame, text: str, key: str, key_type, shingle: int, weights: str) -> DataFrame:
@@ -198,7 +197,9 @@ def signatures(chunks: DataFrame, text: str, key: str, key_type, shingle: int, w
 
 
 def shingle_sets(chunks: DataFrame, rids: DataFrame, text: str, shingle: int, weights: str) -> DataFrame:
-    """(rid, elements, weight): the shingles of the rows ``rids``, 32 bits of each hash."""
+    """(rid, elements): the shingles of the rows ``rids`` as ascending 32-bit hashes; with
+    ``weights="count"`` the second, third, ... of a shingle are elements of their own, so that the
+    similarity of the plain sets is the weighted one."""
     wanted = (rids.select(F.shiftright("rid", 16).alias("chunk"), F.col("rid").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("row"))
               .groupBy("chunk").agg(F.collect_list("row").alias("rows")))  # 2^16 rows a chunk at most
 
@@ -209,18 +210,19 @@ def shingle_sets(chunks: DataFrame, rids: DataFrame, text: str, shingle: int, we
             for chunk, blob, rows in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 rows = sorted(rows)
                 words, lens = split_words(text_column(unpack(blob.as_buffer()).take(rows), text))
-                w, end, out, weight = hash_words(words), 0, [], []
+                w, end, out = hash_words(words), 0, []
                 for n in lens:
                     own, end = w[end:end + n], end + n
-                    e, c = weighted(shingles(own, shingle) >> np.uint64(32), weights)
-                    out.append(e.astype(np.uint32).tobytes())
-                    weight.append(c.astype(np.float32).tobytes() if weights == "count" else None)
+                    e, c = weighted(shingles(own, shingle), weights)
+                    times = c.astype(np.int64)
+                    nth = (np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)).astype(np.uint64)
+                    e = np.where(nth == 0, np.repeat(e, times), mix64(np.repeat(e, times) + nth * np.uint64(0x9E3779B97F4A7C15)))
+                    out.append(np.unique((e >> np.uint64(32)).astype(np.uint32)).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([(chunk << 16) + r for r in rows], pa.int64()), pa.array(out, pa.binary()),
-                     pa.array(weight, pa.binary())], names=["rid", "elements", "weight"])
+                    [pa.array([(chunk << 16) + r for r in rows], pa.int64()), pa.array(out, pa.binary())], names=["rid", "elements"])
 
     both = chunks.select("chunk", "blob").join(wanted, "chunk")
-    return written(both.mapInArrow(sets, "rid long, elements binary, weight binary"), "shingles")
+    return written(both.mapInArrow(sets, "rid long, elements binary"), "shingles")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -229,20 +231,50 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     def keep(batches):
         import numpy as np
         import pyarrow as pa
+        for batch in batches:
+            good = []
+            for ea, eb in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = np.frombuffer(ea.as_buffer(), np.uint32), np.frombuffer(eb.as_buffer(), np.uint32)
+                good.append(min(len(a), len(b)) >= threshold * max(len(a), len(b)) and similarity(a, b) >= threshold)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-        def parts(e, w):
-            e = np.frombuffer(e, np.uint32)
-            return e, np.ones(len(e)) if w is None else np.frombuffer(w, np.float32).astype(np.float64)
+    a, b = sets.toDF("a", "ea"), sets.toDF("b", "eb")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "ea", "eb").mapInArrow(keep, "a long, b long")
 
+
+def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, rid): the rarest n - ceil(threshold * n) + 1 of each set's n elements.  Two sets over the
+    threshold share an element there, whatever order the elements have; the order (by number in a bounded
+    sample of sets, then hash) only keeps common passages out."""
+    import numpy as np
+
+    def count(batches):
+        import pyarrow as pa
         for batch in batches:
-            rows = zip(*[batch.column(i).to_pylist() for i in range(2, 6)], strict=True)
-            good = [similarity(*parts(ea, wa), *parts(eb, wb)) >= threshold for ea, wa, eb, wb in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+            e, n = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column(0)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(e.astype(np.int64)), pa.array(n.astype(np.int64))], names=["e", "n"])
 
-    a = sets.select(F.col("rid").alias("a"), F.col("elements").alias("ea"), F.col("weight").alias("wa"))
-    b = sets.select(F.col("rid").alias("b"), F.col("elements").alias("eb"), F.col("weight").alias("wb"))
-    both = pairs.join(b, "b").join(a, "a").select("a", "b", "ea", "wa", "eb", "wb")
-    return both.mapInArrow(keep, "a long, b long")
+    sample = sets.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE).select("elements")
+    common = (sample.mapInArrow(count, "e long, n long").groupBy("e").agg(F.sum("n").alias("n")).where("n > 1")
+              .orderBy(F.desc("n"), "e").limit(COMMON).collect())  # COMMON rows of two numbers
+    common = sorted((r["e"], r["n"]) for r in common)
+    known = np.array([e for e, _ in common] + [1 << 32], dtype=np.int64)
+    times = np.array([n for _, n in common] + [0], dtype=np.int64)
+
+    def rarest(batches):
+        import pyarrow as pa
+        for batch in batches:
+            rid, out = [], []
+            for r, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                e = np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64)
+                at = np.searchsorted(known, e)
+                order = np.lexsort((e, np.where(known[at] == e, times[at], 0)))
+                take = len(e) - math.ceil(threshold * len(e) - 1e-9) + 1
+                out.append(e[order[:take]])
+                rid.append(np.full(len(out[-1]), r))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(rid))], names=["bucket", "rid"])
+
+    return sets.mapInArrow(rarest, "bucket long, rid long")
 
 
 def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, weights: str, threshold: float) -> DataFrame:
@@ -255,22 +287,19 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
     members = pool.select("rid").union(tested.select(F.col("a").alias("rid"))).distinct()
     sets = shingle_sets(chunks, members, text, shingle, weights)
     labels = components(linked(tested, sets, threshold))
-    tried = tested
-    pool, depth = pool.select("bucket", "rid"), 0
+
+    def told_apart(members):
+        label = labels.withColumnRenamed("id", "rid")
+        return still_apart(members.join(label, "rid", "left").select("bucket", "rid", F.coalesce("label", "rid").alias("label")))
+
+    rest = written(told_apart(pool.select("bucket", "rid")).select("rid").distinct(), "pool")
+    if rest.isEmpty():
+        return labels
+    tried, pool = tested, prefixes(sets.join(rest, "rid"), threshold)
     while True:
-        told = written(still_apart(pool.join(labels.withColumnRenamed("id", "rid"), "rid", "left")
-                                   .select("bucket", "rid", F.coalesce("label", "rid").alias("label"))), "pool")
+        told = written(told_apart(pool), "pool")
         if told.isEmpty():
             return labels
-        if depth < DEPTH:
-            # by the members' other bands too: all buckets at first, then those of many members
-            large = F.col("n") > (LARGE if depth else 0)
-            other = F.xxhash64("j", "v")
-            finer = (told.where(large).select("bucket", "rid", "label").join(bands, "rid")
-                     .select("bucket", "rid", "label", F.posexplode("bands").alias("j", "v")).where(other != F.col("bucket"))
-                     .select(F.xxhash64(F.least("bucket", other), F.greatest("bucket", other)).alias("bucket"), "rid", "label"))
-            told = written(told.where(~large).unionByName(still_apart(finer.distinct())), "pool")
-            depth += 1
         order = Window.partitionBy("bucket").orderBy("rid")
         first = (told.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= HUBS)
                  .select("bucket", F.col("rid").alias("a"), F.col("label").alias("la")))
@@ -283,9 +312,8 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
 
 
 def still_apart(told: DataFrame) -> DataFrame:
-    """The members (bucket, rid, label) of buckets that hold more than one component, with the bucket's size n."""
-    apart = (told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
-             .where("lo <> hi").select("bucket", "n"))
+    """The members (bucket, rid, label) of buckets that hold more than one component."""
+    apart = told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
     return told.join(apart, "bucket")
 
 
