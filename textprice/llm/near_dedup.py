@@ -17,7 +17,8 @@ checked against the hub only (exact similarity), and links join components.  Mem
 component by then need no check.  Where members of different components share a bucket, such as
 texts that only have a passage in common, they are looked at once more, exactly: by the rarest fifth
 of their shingles, of which texts over the threshold share one, while a common passage is not among
-them.  Again each such bucket is checked from hubs, ``HUBS`` at a time, until none remain.
+them.  Again each such bucket is checked from hubs, ``HUBS`` and then more at a time, until none remain,
+and only pairs that the sets' sizes and the place of the shared shingle allow.
 
 Results for special inputs: a text of fewer than ``shingle`` words is one shingle; a null text or one
 without words is alone in its class; repeated rows are one class; rows with a null key take part and
@@ -243,9 +244,10 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """(bucket, rid): the rarest n - ceil(threshold * n) + 1 of each set's n elements.  Two sets over the
-    threshold share an element there, whatever order the elements have; the order (by number in a bounded
-    sample of sets, then hash) only keeps common passages out."""
+    """(bucket, rid, n, left): the rarest n - ceil(threshold * n) + 1 of each set's n elements, and how many
+    elements follow each in the set's order.  Two sets over the threshold share an element there, whatever
+    order the elements have; the order (by number in a bounded sample of sets, then hash) only keeps common
+    passages out."""
     import numpy as np
 
     def count(batches):
@@ -264,17 +266,23 @@ def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
     def rarest(batches):
         import pyarrow as pa
         for batch in batches:
-            rid, out = [], []
+            rid, out, sizes = [], [], []
             for r, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 e = np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64)
                 at = np.searchsorted(known, e)
                 order = np.lexsort((e, np.where(known[at] == e, times[at], 0)))
                 take = len(e) - math.ceil(threshold * len(e) - 1e-9) + 1
                 out.append(e[order[:take]])
-                rid.append(np.full(len(out[-1]), r))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(rid))], names=["bucket", "rid"])
+                rid.append(r)
+                sizes.append(len(e))
+            take = np.array([len(x) for x in out])
+            n = np.repeat(sizes, take)
+            left = n - 1 - (np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(out)), pa.array(np.repeat(rid, take)), pa.array(n.astype(np.int32)), pa.array(left.astype(np.int32))],
+                names=["bucket", "rid", "n", "left"])
 
-    return sets.mapInArrow(rarest, "bucket long, rid long")
+    return sets.mapInArrow(rarest, "bucket long, rid long, n int, left int")
 
 
 def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, weights: str, threshold: float) -> DataFrame:
@@ -290,25 +298,29 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
 
     def told_apart(members):
         label = labels.withColumnRenamed("id", "rid")
-        return still_apart(members.join(label, "rid", "left").select("bucket", "rid", F.coalesce("label", "rid").alias("label")))
+        return still_apart(members.join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid")))
 
     rest = written(told_apart(pool.select("bucket", "rid")).select("rid").distinct(), "pool")
     if rest.isEmpty():
         return labels
-    tried, pool = tested, prefixes(sets.join(rest, "rid"), threshold)
+    tried, pool, hubs = tested, prefixes(sets.join(rest, "rid"), threshold), HUBS
     while True:
         told = written(told_apart(pool), "pool")
         if told.isEmpty():
             return labels
         order = Window.partitionBy("bucket").orderBy("rid")
-        first = (told.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= HUBS)
-                 .select("bucket", F.col("rid").alias("a"), F.col("label").alias("la")))
-        pairs = (told.join(first, "bucket").where((F.col("a") < F.col("rid")) & (F.col("la") != F.col("label")))
+        first = (told.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= hubs)
+                 .select("bucket", F.col("rid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("left").alias("lefta")))
+        # the bucket of the first element that two sets share bounds what they share by what follows it
+        near = ((F.least("n", "na") >= threshold * F.greatest("n", "na"))
+                & (1 + F.least("left", "lefta") >= threshold / (1 + threshold) * (F.col("n") + F.col("na")) - 1e-6))
+        pairs = (told.join(first, "bucket").where((F.col("a") < F.col("rid")) & (F.col("la") != F.col("label")) & near)
                  .select("a", F.col("rid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
         pairs = written(pairs, "tested")
         labels = components(linked(pairs, sets, threshold), labels)
         tried = tried.unionByName(pairs)
-        pool = told.select("bucket", "rid").join(first.select("bucket", F.col("a").alias("rid")), ["bucket", "rid"], "left_anti")
+        pool = told.drop("label").join(first.select("bucket", F.col("a").alias("rid")), ["bucket", "rid"], "left_anti")
+        hubs *= 4  # fewer rounds for the few buckets that are left
 
 
 def still_apart(told: DataFrame) -> DataFrame:
