@@ -124,7 +124,9 @@ def build_cascade(universe: DataFrame, bits_per_key: int = BITS_PER_KEY, shard_k
         level = len(words) + 1
         if level > MAX_LEVELS:
             raise ValueError("the cascade does not end: two keys of the universe have equal hashes")
-        words.append(1 + n * bits_per_key // (64 * shards))
+        # shards can get uneven from level to level: the fullest one sizes the arrays
+        fullest = encode.groupBy("shard").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+        words.append(1 + fullest * bits_per_key // 64)
         arrays = written(encode_level(encode, level, words[-1], shards).withColumnRenamed("bits", f"b{level}"), f"bloom-{level}")
         table = arrays if table is None else table.join(arrays, "shard")
         through = written(test.join(arrays, "shard").where(holds(F.col(f"b{level}"), F.col("key"), level, words[-1]))
