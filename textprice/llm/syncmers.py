@@ -12,11 +12,12 @@ Jaccard similarity of the anchor sets, exact if both fingerprints hold all ancho
 
 ``next`` documents are found without one global sort task: documents are cut into id ranges of about
 equal size; the first document of each range is added to the range before it as a closing row (of the
-first range: to the last one), and every range is read once, in order, holding one text at a time.
+first range: to the last one), and every range is read once, in order, holding one text at a time.  Texts
+are compressed before they are dealt out.
 
 Results for special inputs: a null text is the empty text; an empty text has the empty fingerprint;
 two empty fingerprints are alike (1), an empty and another one are not (0); null ids come first and
-rows of one id follow the order of their texts; a single document is its own next; an empty table
+rows of one id follow the order of their texts' beginnings, then of their hashes; a single document is its own next; an empty table
 gives an empty result; an input column with the name of an output column is replaced.
 """
 
@@ -31,6 +32,7 @@ from .common import mix64, quoted, without
 K = 24
 S = 8
 SIZE = 128
+HEAD = 32  # code points of a text that order rows of one id
 BASE = 0x9E3779B97F4A7C15
 OUTPUTS = ("n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
@@ -120,7 +122,8 @@ def anchors(docs: DataFrame, text: str = "text", k: int = K, s: int = S) -> Data
 
 
 def in_ranges(docs: DataFrame, text: str, order: str) -> DataFrame:
-    """``docs`` with _range, _order, _end (0; 1 for the closing row of a range) and _text."""
+    """``docs`` with _range, _order, _end (0; 1 for the closing row of a range), _text compressed and its
+    length in bytes, in order."""
     spark = docs.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     base = docs.withColumn("_order", F.coalesce(quoted(order).cast("long"), F.lit(-(1 << 63)))) \
@@ -138,22 +141,35 @@ def in_ranges(docs: DataFrame, text: str, order: str) -> DataFrame:
     base = base.withColumn("_range", found.cast("int"))
     heads = sorted((r["_range"], r["o"]) for r in
                    base.groupBy("_range").agg(F.min("_order").alias("o")).collect())  # a row per range
-    if not heads:
-        return base.withColumn("_end", F.lit(0))
     closes = [(o, heads[i - 1][0]) for i, (_, o) in enumerate(heads)]  # the first closes the last
-    small = spark.createDataFrame(closes, "_order long, _closes int")
-    least = (base.join(F.broadcast(small), "_order").groupBy("_order", "_closes").agg(F.min("_text").alias("_text")))
+    small = spark.createDataFrame(closes, "_order long, _closes int")  # a row per range
+    tie = F.struct(F.substring("_text", 1, HEAD).alias("h"), F.xxhash64("_text").alias("x"), F.col("_text").alias("t"))
+    least = (base.join(F.broadcast(small), "_order").groupBy("_order", "_closes").agg(F.min(tie)["t"].alias("_text")))
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields]
     closing = least.select(*empty, "_order", "_text", F.col("_closes").alias("_range"), F.lit(1).alias("_end"))
-    return (base.withColumn("_end", F.lit(0)).unionByName(closing).repartition(tasks, "_range")
-            .sortWithinPartitions("_range", "_end", "_order", "_text"))
+    rows = (base.withColumn("_end", F.lit(0)).unionByName(closing)
+            .withColumn("_head", F.substring("_text", 1, HEAD)).withColumn("_hash", F.xxhash64("_text")))
+    keep = [c for c in rows.columns if c != "_text"]
+    packed = T.StructType([rows.schema[c] for c in keep] + [T.StructField("_size", T.LongType()), T.StructField("_text", T.BinaryType())])
+
+    def pack(batches):
+        import pyarrow as pa
+        codec = pa.Codec("zstd", compression_level=3)
+        for batch in batches:
+            raw = [t.encode("utf-8", "surrogatepass") for t in batch.column(batch.schema.get_field_index("_text")).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(batch.schema.get_field_index(c)) for c in keep], pa.array([len(t) for t in raw], pa.int64()),
+                 pa.array([codec.compress(t, asbytes=True) for t in raw], pa.binary())], names=packed.names)
+
+    return (rows.mapInArrow(pack, packed).repartition(tasks, "_range")
+            .sortWithinPartitions("_range", "_end", "_order", "_head", "_hash"))
 
 
 def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc_id",
                           k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
     """``docs`` with n_chars, fingerprint, the edited text (its last floor(n / 2) code points replaced by
     the first as many of the next document), edited_fingerprint, near_edited and near_next."""
-    keep = without(docs, [*OUTPUTS, "_range", "_order", "_end", "_text"])
+    keep = without(docs, [*OUTPUTS, "_range", "_order", "_end", "_text", "_head", "_hash", "_size"])
     docs = docs.select(*[quoted(c) for c in keep])
     schema = T.StructType([*docs.schema.fields, T.StructField("n_chars", T.LongType()),
                            T.StructField("edited_text", T.StringType()), T.StructField("fingerprint", T.StringType()),
@@ -162,13 +178,15 @@ def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc
 
     def walk(batches):
         import pyarrow as pa
-        held = None  # (its columns, text, fingerprint, range), waiting for the next row of its range
+        codec, held = pa.Codec("zstd"), None  # (its columns, text, fingerprint, range), waiting for the next row of its range
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
                 batch = whole.slice(lo, 500)
                 ranges = batch.column(batch.schema.get_field_index("_range")).to_pylist()
                 ends = batch.column(batch.schema.get_field_index("_end")).to_pylist()
-                texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
+                texts = [codec.decompress(t, n, asbytes=True).decode("utf-8", "surrogatepass") if n else "" for t, n in zip(
+                    batch.column(batch.schema.get_field_index("_text")).to_pylist(),
+                    batch.column(batch.schema.get_field_index("_size")).to_pylist(), strict=True)]
                 own = pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in keep], names=keep)
                 parts, out = [], []
                 for i, (r, end, t) in enumerate(zip(ranges, ends, texts, strict=True)):
@@ -191,4 +209,4 @@ def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc
                         [rows.column(c).combine_chunks() if rows.column(c).num_chunks != 1 else rows.column(c).chunk(0)
                          for c in range(len(keep))] + made, names=schema.names)
 
-    return in_ranges(docs, text, order).select(*[quoted(c) for c in keep], "_range", "_end", "_text").mapInArrow(walk, schema)
+    return in_ranges(docs, text, order).select(*[quoted(c) for c in keep], "_range", "_end", "_size", "_text").mapInArrow(walk, schema)
