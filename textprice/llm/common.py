@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 M64 = (1 << 64) - 1
 
 
