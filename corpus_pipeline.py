@@ -54,7 +54,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return best_fit_packing(docs.select("doc_id", "lang", "source", "text"), TOKENIZER)
+    # a small cache of words: the Python workers still hold memory of the stages before
+    return best_fit_packing(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, cached_words=60_000)
 
 
 def stage(function: Callable) -> Callable:

@@ -71,15 +71,16 @@ class WordEncoder:
         return ids
 
 
-def word_encoder(tokenizer: str) -> WordEncoder:
+def word_encoder(tokenizer: str, cached_words: int) -> WordEncoder:
     """The encoder of this Python worker process: Spark uses a process for many tasks."""
     kept = worker_state()
     if tokenizer not in kept:
-        kept[tokenizer] = WordEncoder(load_tokenizer(tokenizer))
+        kept[tokenizer] = WordEncoder(load_tokenizer(tokenizer), cached_words)
     return kept[tokenizer]
 
 
-def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id: int, keep) -> DataFrame:
+def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id: int, keep,
+               cached_words: int = CACHED_WORDS) -> DataFrame:
     """One row per piece, with the task that made it and its number among the task's pieces of
     that length."""
     spec = T.StructType([docs.schema[c] for c in keep] + [
@@ -94,7 +95,7 @@ def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id
         import pyarrow as pa
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        encoder = word_encoder(tokenizer)
+        encoder = word_encoder(tokenizer, cached_words)
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
@@ -182,12 +183,12 @@ def slots(patterns):
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CAPACITY,
-                     end_id: int = END_ID) -> DataFrame:
+                     end_id: int = END_ID, cached_words: int = CACHED_WORDS) -> DataFrame:
     """One row per piece: the columns of ``docs`` but for the text, then piece, start, length,
     ids_crc32, sequence_id and offset."""
     keep = [c for c in without(docs, OUTPUTS) if c != text]
     docs = spread(docs.select(*[quoted(c) for c in keep], quoted(text)))
-    pieces = written(cut_pieces(docs, text, tokenizer, capacity, end_id, keep), "pieces")
+    pieces = written(cut_pieces(docs, text, tokenizer, capacity, end_id, keep, cached_words), "pieces")
     by_task = pieces.groupBy("_task", "length").agg(F.count("*").alias("n"))
     counts = [0] * (capacity + 1)
     for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect():  # ``capacity`` rows at most
