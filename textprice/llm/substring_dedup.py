@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from .common import hash_words, mix64, quoted, split_words, text_column, unpack, without, write_chunks
 
 WIDTH = 35
-BUCKET_WINDOWS = 1 << 21
+BUCKET_WINDOWS = 1 << 20
 OUTPUTS = ("n_words", "n_removed", "removed_spans", "kept_text")
 
 
