@@ -122,12 +122,14 @@ def anchors(docs: DataFrame, text: str = "text", k: int = K, s: int = S) -> Data
 
 
 def in_ranges(docs: DataFrame, text: str, order: str) -> DataFrame:
-    """``docs`` with _range, _order, _end (0; 1 for the closing row of a range), _text compressed and its
-    length in bytes, in order."""
+    """``docs`` without the text, but with _range, _order, _end (0; 1 for the closing row of a range), _null
+    (whether the text is), _text compressed and its length in bytes, in order."""
     spark = docs.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    base = docs.withColumn("_order", F.coalesce(quoted(order).cast("long"), F.lit(-(1 << 63)))) \
-               .withColumn("_text", F.coalesce(quoted(text), F.lit("")))
+    others = [f for f in docs.schema.fields if f.name != text]
+    base = docs.select(*[quoted(f.name) for f in others], quoted(text).isNull().alias("_null"),
+                       F.coalesce(quoted(order).cast("long"), F.lit(-(1 << 63))).alias("_order"),
+                       F.coalesce(quoted(text), F.lit("")).alias("_text"))
     ranges = 4 * tasks
     marks = base.agg(F.percentile_approx("_order", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0]
     marks = sorted(set(marks or []))
@@ -145,8 +147,8 @@ def in_ranges(docs: DataFrame, text: str, order: str) -> DataFrame:
     small = spark.createDataFrame(closes, "_order long, _closes int")  # a row per range
     tie = F.struct(F.substring("_text", 1, HEAD).alias("h"), F.xxhash64("_text").alias("x"), F.col("_text").alias("t"))
     least = (base.join(F.broadcast(small), "_order").groupBy("_order", "_closes").agg(F.min(tie)["t"].alias("_text")))
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in docs.schema.fields]
-    closing = least.select(*empty, "_order", "_text", F.col("_closes").alias("_range"), F.lit(1).alias("_end"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in others]
+    closing = least.select(*empty, F.lit(False).alias("_null"), "_order", "_text", F.col("_closes").alias("_range"), F.lit(1).alias("_end"))
     rows = (base.withColumn("_end", F.lit(0)).unionByName(closing)
             .withColumn("_head", F.substring("_text", 1, HEAD)).withColumn("_hash", F.xxhash64("_text")))
     keep = [c for c in rows.columns if c != "_text"]
@@ -169,7 +171,7 @@ def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc
                           k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
     """``docs`` with n_chars, fingerprint, the edited text (its last floor(n / 2) code points replaced by
     the first as many of the next document), edited_fingerprint, near_edited and near_next."""
-    keep = without(docs, [*OUTPUTS, "_range", "_order", "_end", "_text", "_head", "_hash", "_size"])
+    keep = without(docs, [*OUTPUTS, "_range", "_order", "_end", "_null", "_text", "_head", "_hash", "_size"])
     docs = docs.select(*[quoted(c) for c in keep])
     schema = T.StructType([*docs.schema.fields, T.StructField("n_chars", T.LongType()),
                            T.StructField("edited_text", T.StringType()), T.StructField("fingerprint", T.StringType()),
@@ -187,7 +189,10 @@ def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc
                 texts = [codec.decompress(t, n, asbytes=True).decode("utf-8", "surrogatepass") if n else "" for t, n in zip(
                     batch.column(batch.schema.get_field_index("_text")).to_pylist(),
                     batch.column(batch.schema.get_field_index("_size")).to_pylist(), strict=True)]
-                own = pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)) for c in keep], names=keep)
+                gone = batch.column(batch.schema.get_field_index("_null")).to_pylist()
+                own = pa.RecordBatch.from_arrays([
+                    pa.array([None if g else t for t, g in zip(texts, gone, strict=True)], pa.string()) if c == text
+                    else batch.column(batch.schema.get_field_index(c)) for c in keep], names=keep)
                 parts, out = [], []
                 for i, (r, end, t) in enumerate(zip(ranges, ends, texts, strict=True)):
                     f = fingerprint(t, k, s, size)
@@ -209,4 +214,4 @@ def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc
                         [rows.column(c).combine_chunks() if rows.column(c).num_chunks != 1 else rows.column(c).chunk(0)
                          for c in range(len(keep))] + made, names=schema.names)
 
-    return in_ranges(docs, text, order).select(*[quoted(c) for c in keep], "_range", "_end", "_size", "_text").mapInArrow(walk, schema)
+    return in_ranges(docs, text, order).select(*[quoted(c) for c in keep if c != text], "_null", "_range", "_end", "_size", "_text").mapInArrow(walk, schema)
