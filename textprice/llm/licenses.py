@@ -19,7 +19,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import quoted, spread, without
+from .common import quoted, without
 
 THRESHOLD = 0.8
 OUTPUTS = ("license", "license_score", "n_license_lines")
@@ -80,7 +80,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates=TEMPLATES, thre
     """``docs`` with license (the template of greatest Dice coefficient that reaches ``threshold``, or
     null), license_score and n_license_lines (lines that reach it with some template)."""
     keep = without(docs, OUTPUTS)
-    docs = spread(docs.select(*[quoted(c) for c in keep]))
+    docs = docs.select(*[quoted(c) for c in keep])
     schema = T.StructType([*docs.schema.fields, T.StructField("license", T.StringType()),
                            T.StructField("license_score", T.DoubleType()), T.StructField("n_license_lines", T.LongType())])
 

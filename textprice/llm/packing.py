@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import quoted, spread, without, worker_state, written
+from .common import quoted, without, worker_state, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -187,7 +187,7 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, text: str = "text", capaci
     """One row per piece: the columns of ``docs`` but for the text, then piece, start, length,
     ids_crc32, sequence_id and offset."""
     keep = [c for c in without(docs, OUTPUTS) if c != text]
-    docs = spread(docs.select(*[quoted(c) for c in keep], quoted(text)))
+    docs = docs.select(*[quoted(c) for c in keep], quoted(text))
     pieces = written(cut_pieces(docs, text, tokenizer, capacity, end_id, keep, cached_words), "pieces")
     by_task = pieces.groupBy("_task", "length").agg(F.count("*").alias("n"))
     counts = [0] * (capacity + 1)

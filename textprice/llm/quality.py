@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_words, mix64, quoted, spread, split_words, without
+from .common import hash_words, mix64, quoted, split_words, without
 
 BITS = 18
 SCALE = 10.0
@@ -136,7 +136,7 @@ def score(docs: DataFrame, weights, text: str = "text", threshold: float = THRES
     """``docs`` with ``score`` (probability of label 1) and ``predicted`` (1 if at least
     ``threshold``)."""
     keep = without(docs, OUTPUTS)
-    docs = spread(docs.select(*[quoted(c) for c in keep]))
+    docs = docs.select(*[quoted(c) for c in keep])
     bits = (len(weights) - 1).bit_length() - 1
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType())])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import spread, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -49,7 +49,7 @@ TOKENIZER = "word_bpe_49k.json"
 @register("op3_best_fit_packing")
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import best_fit_packing
-    out = best_fit_packing(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER)
+    out = best_fit_packing(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), TOKENIZER)
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -61,7 +61,7 @@ def remainder_of_five(key: str = "doc_id"):
 @register("op9_quality_classifier")
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score, train
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     labels = table(spark, sf_dir, "labels").where(remainder_of_five() != 0)
     weights = train(docs, labels)
     return score(docs, weights).select("doc_id", F.coalesce(remainder_of_five() == 0, F.lit(False)).alias("held_out"),
@@ -193,5 +193,5 @@ SELECT d.doc_id, license, license_score, coalesce(n, 0)::BIGINT AS n_license_lin
 @register("op8_license_scan", license_sql())
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan_licenses
-    out = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = scan_licenses(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return out.select("doc_id", "license", "license_score", "n_license_lines")
