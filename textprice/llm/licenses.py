@@ -7,6 +7,14 @@ and so is the whole text.  Two sets of m and n bigrams have a Dice coefficient o
 within [t / (2 - t), (2 - t) / t] times its own for the threshold t: these size bounds leave nearly
 every line without a template to compare with.  A candidate of one word has one bigram, the word.
 
+With ``spans`` every run of a text's words within the upper size bound is a candidate too, whatever its
+lines (words of hyphens only, as comment marks, are left out).  A span that reaches t holds at least
+a t / (2 - t) of a template's a bigrams, so it holds one of any a - ceil(a t / (2 - t)) + 1 of them: a text
+without one of the template's rarest so many (its anchors) is not compared.  In the others the best span
+is found from every start; starts that cannot reach the score to beat are passed over, by how little the
+score can rise from one start to the next.  A match inside a match of a template at least twice as large
+is a part of that (the first sentence of a BSD text, the notice in a GPL header) and does not count.
+
 Results for special inputs: null and empty texts have no licence; equal scores go to the earlier template
 of the list; repeated rows get a row each; an empty table gives an empty result; an input column with
 the name of an output column is replaced.
@@ -14,7 +22,9 @@ the name of an output column is replaced.
 
 from __future__ import annotations
 
+import math
 import re
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -42,6 +52,9 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
+# Whole licence texts and file headers, as (name, text): NAME.txt and NAME.header.txt.
+FULL_TEXTS = tuple((p.name.removesuffix(".txt").removesuffix(".header"), p.read_text())
+                   for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt")))
 
 WORDS = r"[a-z0-9.\-\u0080-\U0010FFFF]+"
 CAPITALS = {c: c + 32 for c in range(65, 91)}
@@ -67,18 +80,105 @@ class Templates:
                 if 2 * min(size, len(own)) / (size + len(own)) >= threshold:
                     self.by_size.setdefault(size, []).append((nth, name, own))
 
-    def best(self, words: list[str]):
-        """(-score, number, name) of the best template that reaches the threshold, or None."""
+    def reached(self, words: list[str]) -> list:
+        """(-score, number, name, bigrams) of the templates that reach the threshold."""
         if not words:
-            return None
+            return []
         own = bigrams_of(words)
-        scored = ((-2 * len(own & b) / (len(own) + len(b)), nth, name) for nth, name, b in self.by_size.get(len(own), ()))
-        return min((s for s in scored if -s[0] >= self.threshold), default=None)
+        scored = ((-2 * len(own & b) / (len(own) + len(b)), nth, name, len(b)) for nth, name, b in self.by_size.get(len(own), ()))
+        return [s for s in scored if -s[0] >= self.threshold]
+
+    def best(self, words: list[str]):
+        """(-score, number, name) of the best template that reaches the threshold, or None."""
+        top = min(self.reached(words), default=None)
+        return top and top[:3]
 
 
-def scan_licenses(docs: DataFrame, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+class Spans:
+    """Templates compared with every span of a text."""
+
+    def __init__(self, templates, threshold: float):
+        self.threshold, self.single, self.sets = threshold, {}, []
+        for nth, (name, text) in enumerate(templates):
+            words = spoken(words_of(text))
+            if len(words) == 1:
+                self.single.setdefault(words[0], (-1.0, nth, name))
+            if len(words) < 2:
+                continue
+            own = bigrams_of(words)
+            need = math.ceil(len(own) * threshold / (2 - threshold) - 1e-9)
+            anchors = frozenset(sorted(own, key=lambda g: (-len(g), g))[:len(own) - need + 1])
+            widest = math.floor((len(words) - 1) * (2 - threshold) / threshold + 1e-9)
+            self.sets.append((len(own), nth, name, own, need, anchors, widest))
+        self.sets.sort(key=lambda x: (-x[0], x[1]))
+        self.anchors = frozenset().union(*[x[5] for x in self.sets])
+
+    def found(self, words: list[str]) -> tuple[list, list]:
+        """[(-score, number, name)] of the spans that reach the threshold and are no part of a larger match;
+        [(first bigram, end, bigrams of the template)] of all."""
+        import numpy as np
+        hits = [self.single[w] for w in set(words) & self.single.keys()] if self.single else []
+        grams = [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+        known = set(grams)
+        if self.anchors.isdisjoint(known):
+            return hits, []
+        here = [x for x in self.sets if len(known) >= x[4] and not x[5].isdisjoint(known) and len(x[3] & known) >= x[4]]
+        if not here:
+            return hits, []
+        last, prev = {}, np.empty(len(grams), dtype=np.int64)
+        for i, g in enumerate(grams):
+            prev[i] = last.get(g, -1)
+            last[g] = i
+        taken = []
+        for size, nth, name, own, need, _, widest in here:
+            member = np.fromiter((g in own for g in grams), dtype=bool, count=len(grams))
+            for lo, hi, other in taken:
+                if other >= 2 * size:
+                    member[lo:hi] = False
+            for score, lo, hi in best_spans(prev, member, size, need, widest, self.threshold):
+                hits.append((-score, nth, name))
+                taken.append((lo, hi, size))
+        return hits, taken
+
+
+def best_spans(prev, member, size: int, need: int, widest: int, threshold: float):
+    """(Dice, first, end) of spans of bigrams that reach the threshold, one of each overlapping group, the best
+    span among them.  ``prev``: place of the same bigram before, or -1; ``member``: whether the template has it."""
+    import numpy as np
+    at = np.flatnonzero(member)
+    starts = at[np.searchsorted(at, at + widest) - np.arange(len(at)) >= need]
+    held, next_start = None, 0
+    for s in starts.tolist():
+        if held and s >= held[2]:
+            yield held
+            held = None
+        if s < next_start:
+            continue
+        fresh = prev[s:s + widest] < s
+        shared = np.cumsum(fresh & member[s:s + widest])
+        dice = 2 * shared / (np.cumsum(fresh) + size)
+        k = int(dice.argmax())
+        top = float(dice[k])
+        if top >= threshold and (held is None or top > held[0]):
+            held = (top, s, s + k + 1)
+        if held and held[0] == 1.0:
+            next_start = held[2]
+        else:  # one start further on, a score is greater by at most 3 / (size + need)
+            beat = held[0] if held else threshold
+            next_start = min(s + max(1, math.floor((beat - top) * (size + need) / 3 - 1e-9)), held[2] if held else 1 << 62)
+    if held:
+        yield held
+
+
+def spoken(words: list[str]) -> list[str]:
+    return [w for w in words if w.strip("-")]
+
+
+def scan_licenses(docs: DataFrame, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD,
+                  spans: bool = False) -> DataFrame:
     """``docs`` with license (the template of greatest Dice coefficient that reaches ``threshold``, or
-    null), license_score and n_license_lines (lines that reach it with some template)."""
+    null), license_score and n_license_lines (lines that reach it with some template).  Candidates are
+    the lines and the whole text, with ``spans`` every span of words."""
     keep = without(docs, OUTPUTS)
     docs = docs.select(*[quoted(c) for c in keep])
     schema = T.StructType([*docs.schema.fields, T.StructField("license", T.StringType()),
@@ -87,17 +187,34 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates=TEMPLATES, thre
     def scan(batches):
         import pyarrow as pa
         known = Templates(templates, threshold)
+        inside = Spans(templates, threshold) if spans else None
         for batch in batches:
             name, score, lines = [], [], []
             for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
                 words = [words_of(x) for x in (t or "").split("\n")]
-                hits = [h for h in map(known.best, words) if h]
+                hits = [h for h in map(known.reached, words) if h]
                 lines.append(len(hits))
-                whole = known.best([w for x in words for w in x]) if len(words) > 1 else None
-                top = min([*hits, whole] if whole else hits, default=None)
+                whole = known.reached([w for x in words for w in x]) if len(words) > 1 else []
+                if spans:
+                    words = [spoken(x) for x in words]
+                    more, taken = inside.found([w for x in words for w in x])
+                    if taken and hits:
+                        hits = uncovered(known, words, taken)
+                    hits.append(more)
+                top = min((h for x in [*hits, whole] for h in x), default=None)
                 name.append(top and top[2])
                 score.append(top and -top[0])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(name, pa.string()), pa.array(score, pa.float64()),
                                               pa.array(lines, pa.int64())], names=schema.names)
 
     return docs.mapInArrow(scan, schema)
+
+
+def uncovered(known: Templates, lines: list[list[str]], taken: list) -> list:
+    """What the lines reach, without lines inside a match of a template at least twice as large."""
+    out, lo = [], 0
+    for words in lines:
+        hi = lo + len(words) - 1  # bigrams of the line
+        out.append([h for h in known.reached(words) if not any(a <= lo and hi <= b and n >= 2 * h[3] for a, b, n in taken)])
+        lo += len(words)
+    return out

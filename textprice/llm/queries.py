@@ -192,6 +192,7 @@ SELECT d.doc_id, license, license_score, coalesce(n, 0)::BIGINT AS n_license_lin
 
 @register("op8_license_scan", license_sql())
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .licenses import scan_licenses
-    out = scan_licenses(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    from .licenses import FULL_TEXTS, TEMPLATES, scan_licenses
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = scan_licenses(docs, templates=(*TEMPLATES, *FULL_TEXTS), spans=True)
     return out.select("doc_id", "license", "license_score", "n_license_lines")
