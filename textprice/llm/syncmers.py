@@ -4,7 +4,12 @@ Method.  Every substring of ``S`` code points gets a rolling hash.  A substring
 a closed syncmer if the smallest of its inner hashes is its first or its last: a choice made by the
 substring alone, whatever stands around it.  So equal passages of two texts give equal anchors, at
 places that differ by the passages' shift.  An anchor is (position, hash of the ``K`` code points).
-A text shorter than ``K`` is one anchor by itself.
+A text shorter than ``K`` is one anchor by itself; one without a closed syncmer has the substring at its
+smallest inner hash.  So only the empty text has no anchor.
+
+Fingerprints of texts under 4 ``K`` code points are of shorter substrings (``SHORT``), so that short texts
+that share a part are alike too.  Texts of neighbouring scales are compared at the finer one; texts more
+than one scale apart differ several times in length and are not alike (0).
 
 The fingerprint is the ``SIZE`` smallest distinct anchor hashes (32 bits each, as hex), and the
 likeness of two fingerprints the share of the ``SIZE`` smallest of their union that both hold: the
@@ -32,6 +37,7 @@ from .common import mix64, quoted, without
 K = 24
 S = 8
 SIZE = 128
+SHORT = ((0, 1, 1), (4, 2, 1), (12, 4, 2), (36, 8, 3))  # (from so many code points on, k, s), before K and S from 4 K on
 HEAD = 32  # code points of a text that order rows of one id
 BASE = 0x9E3779B97F4A7C15
 OUTPUTS = ("n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
@@ -67,15 +73,28 @@ def closed_syncmers(text: str, k: int = K, s: int = S):
     inner = rolled(codes, s)
     least = sliding_least(inner, k - s + 1)
     at = np.flatnonzero((inner[:len(least)] == least) | (inner[k - s:] == least))
+    if not len(at):
+        at = np.minimum(inner.argmin(keepdims=True), len(least) - 1)
     out = np.zeros(len(at), dtype=np.uint64)
     for j in range(k):
         out = out * np.uint64(BASE) + codes[at + j]
     return at, mix64(out)
 
 
-def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE):
-    """The ``size`` smallest distinct 32-bit anchor hashes, ascending."""
+def scales_of(k: int = K, s: int = S) -> list[tuple[int, int, int]]:
+    return [x for x in SHORT if x[1] < k] + [(4 * k, k, s)]
+
+
+def scale_of(text: str, scales) -> int:
+    """Number of the scale of a text, by its length."""
+    return max(i for i, x in enumerate(scales) if i == 0 or len(text) >= x[0])
+
+
+def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE, scale: int | None = None):
+    """The ``size`` smallest distinct 32-bit anchor hashes, ascending, at the text's own or a given scale."""
     import numpy as np
+    scales = scales_of(k, s)
+    _, k, s = scales[scale_of(text, scales) if scale is None else scale]
     return np.unique((closed_syncmers(text, k, s)[1] >> np.uint64(32)).astype(np.uint32))[:size]
 
 
@@ -93,6 +112,17 @@ def likeness(a, b, size: int = SIZE) -> float:
     return float(twice.sum() / (len(both) - twice.sum()))
 
 
+def near(x: str, y: str, a, b, k: int = K, s: int = S, size: int = SIZE) -> float:
+    """Likeness of two texts of the fingerprints a and b, at the finer of their scales."""
+    scales = scales_of(k, s)
+    i, j = scale_of(x, scales), scale_of(y, scales)
+    if i < j:
+        x, y, a, b, i, j = y, x, b, a, j, i
+    if i > j + 1:
+        return 0.0
+    return likeness(a if i == j else fingerprint(x, k, s, size, j), b, size)
+
+
 def hex_of(hashes) -> str:
     return hashes.astype(">u4").tobytes().hex()
 
@@ -204,7 +234,7 @@ def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc
                         edited = before[:len(before) - half] + t[:half]
                         e = fingerprint(edited, k, s, size)
                         parts.append(row)
-                        out.append((len(before), edited, hex_of(g), hex_of(e), likeness(g, e, size), likeness(g, f, size)))
+                        out.append((len(before), edited, hex_of(g), hex_of(e), near(before, edited, g, e, k, s, size), near(before, t, g, f, k, s, size)))
                     held = None if end else (own.slice(i, 1), t, f, r)
                 if out:
                     rows = pa.Table.from_batches(parts).combine_chunks()
