@@ -1,4 +1,4 @@
-"""Fingerprints of texts of every small length."""
+"""Fingerprints of texts of every small length, and of long texts."""
 
 import random
 
@@ -31,3 +31,26 @@ def test_short_texts_that_share_a_half_are_alike(spark):
     for n in (5, 23, 24, 95, 96, 100):  # across the scales: one code point less
         a = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
         assert syncmers.near(a, a[:-1], syncmers.fingerprint(a), syncmers.fingerprint(a[:-1])) > 0.4
+
+
+def test_fingerprints_grow_with_the_text_and_keep_positions(spark):
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, tail = text(300), text(5000)
+    x, y = text(40_000) + passage + text(20_000), text(10_000) + passage + text(50_000)  # half a percent in common
+    rows = {r["doc_id"]: r for r in syncmers.fingerprint_with_next(frame(spark, [x, y, "moved " + tail, tail])).collect()}
+    for i, t in enumerate((x, y)):
+        at, hashes = syncmers.closed_syncmers(t)
+        want = {int(h) >> 32: int(p) for p, h in zip(at[::-1], hashes[::-1], strict=True)}
+        assert len(want) > 5000 and len(rows[i]["fingerprint"]) == 8 * len(want)
+        got = [[int(v[c:c + 8], 16) for c in range(0, len(v), 8)] for v in (rows[i]["fingerprint"], rows[i]["positions"])]
+        assert dict(zip(*got, strict=True)) == want and got[0] == sorted(want)
+    a, b = (set(syncmers.fingerprint(t).tolist()) for t in (x, y))
+    assert rows[0]["near_next"] == len(a & b) / len(a | b) > 0.001
+    assert rows[0]["aligned_next"] > 0.8 * rows[0]["near_next"]
+    assert rows[2]["near_next"] > 0.98 and rows[2]["aligned_next"] > 0.98  # one shift of six code points
+    assert 0.3 < rows[0]["near_edited"] < 0.37 and abs(rows[0]["aligned_edited"] - rows[0]["near_edited"]) < 0.01
+    words = [text(12) for _ in range(400)]
+    p, q = ("".join(w) for w in (words, rng.sample(words, len(words))))  # the same pieces at shifts of their own
+    assert syncmers.aligned(syncmers.placed(p, 8, 3), syncmers.placed(q, 8, 3)) < 0.1 < syncmers.likeness(
+        syncmers.fingerprint(p, 8, 3), syncmers.fingerprint(q, 8, 3))

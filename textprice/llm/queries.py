@@ -124,7 +124,8 @@ def op6_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .syncmers import fingerprint_with_next
     out = fingerprint_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_chars", F.sha2(F.col("edited_text"), 256).alias("edited_sha256"),
-                      "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+                      "fingerprint", "edited_fingerprint", "positions", "edited_positions", "near_edited", "near_next",
+                      "aligned_edited", "aligned_next")
 
 
 NEAR_SQL = r"""

@@ -11,9 +11,11 @@ Fingerprints of texts under 4 ``K`` code points are of shorter substrings (``SHO
 that share a part are alike too.  Texts of neighbouring scales are compared at the finer one; texts more
 than one scale apart differ several times in length and are not alike (0).
 
-The fingerprint is the ``SIZE`` smallest distinct anchor hashes (32 bits each, as hex), and the
-likeness of two fingerprints the share of the ``SIZE`` smallest of their union that both hold: the
-Jaccard similarity of the anchor sets, exact if both fingerprints hold all anchors.
+The fingerprint is all distinct anchor hashes (32 bits each, as hex) with the place of each one's first
+anchor, so it grows with the text, and the likeness of two fingerprints is the Jaccard similarity of the
+anchor sets.  Matched by position, only the common anchors of the one shift that most of them agree on
+count as common.  With a given ``size`` only the ``size`` smallest hashes are kept, and the likeness is the
+share of the ``size`` smallest of the union that both hold, an estimate of the same.
 
 ``next`` documents are found without one global sort task: documents are cut into id ranges of about
 equal size; the first document of each range is added to the range before it as a closing row (of the
@@ -36,11 +38,12 @@ from .common import mix64, quoted, without
 
 K = 24
 S = 8
-SIZE = 128
+SIZE = 128  # of a sketch, for callers that want fingerprints of bounded size
 SHORT = ((0, 1, 1), (4, 2, 1), (12, 4, 2), (36, 8, 3))  # (from so many code points on, k, s), before K and S from 4 K on
 HEAD = 32  # code points of a text that order rows of one id
 BASE = 0x9E3779B97F4A7C15
-OUTPUTS = ("n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+OUTPUTS = ("n_chars", "edited_text", "fingerprint", "edited_fingerprint", "positions", "edited_positions", "near_edited", "near_next",
+           "aligned_edited", "aligned_next")
 
 
 def rolled(codes, width: int):
@@ -90,21 +93,28 @@ def scale_of(text: str, scales) -> int:
     return max(i for i, x in enumerate(scales) if i == 0 or len(text) >= x[0])
 
 
-def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE, scale: int | None = None):
-    """The ``size`` smallest distinct 32-bit anchor hashes, ascending, at the text's own or a given scale."""
+def placed(text: str, k: int = K, s: int = S, size: int | None = None, scale: int | None = None):
+    """Distinct 32-bit anchor hashes, ascending (the ``size`` smallest, if given), and the place of each
+    one's first anchor, at the text's own or a given scale."""
     import numpy as np
     scales = scales_of(k, s)
     _, k, s = scales[scale_of(text, scales) if scale is None else scale]
-    return np.unique((closed_syncmers(text, k, s)[1] >> np.uint64(32)).astype(np.uint32))[:size]
+    at, hashes = closed_syncmers(text, k, s)
+    hashes, first = np.unique((hashes >> np.uint64(32)).astype(np.uint32), return_index=True)
+    return hashes[:size], at[first][:size].astype(np.uint32)
 
 
-def likeness(a, b, size: int = SIZE) -> float:
+def fingerprint(text: str, k: int = K, s: int = S, size: int | None = None, scale: int | None = None):
+    return placed(text, k, s, size, scale)[0]
+
+
+def likeness(a, b, size: int | None = None) -> float:
     import numpy as np
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     both = np.sort(np.concatenate((a, b)))
     twice = both[1:] == both[:-1]
-    if len(a) == size or len(b) == size:  # beyond a full fingerprint's last hash it says nothing
+    if size is not None and size in (len(a), len(b)):  # beyond a full fingerprint's last hash it says nothing
         distinct = np.concatenate(([True], ~twice))
         kept = min(size, int(distinct.sum()))
         last = both[distinct][kept - 1]
@@ -112,15 +122,38 @@ def likeness(a, b, size: int = SIZE) -> float:
     return float(twice.sum() / (len(both) - twice.sum()))
 
 
-def near(x: str, y: str, a, b, k: int = K, s: int = S, size: int = SIZE) -> float:
-    """Likeness of two texts of the fingerprints a and b, at the finer of their scales."""
+def aligned(a, b) -> float:
+    """Share of the anchors of both (as of ``placed``) that are common at the shift of most common anchors."""
+    import numpy as np
+    if not len(a[0]) or not len(b[0]):
+        return float(len(a[0]) == len(b[0]))
+    common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    if not len(common):
+        return 0.0
+    shifts = np.unique(b[1][j].astype(np.int64) - a[1][i].astype(np.int64), return_counts=True)[1]
+    return float(shifts.max() / (len(a[0]) + len(b[0]) - len(common)))
+
+
+def at_one_scale(x: str, y: str, a, b, k: int = K, s: int = S, size: int | None = None):
+    """Placed anchors of two texts at the finer of their scales, from those (a, b) at their own; None if
+    they are more than one scale apart."""
     scales = scales_of(k, s)
     i, j = scale_of(x, scales), scale_of(y, scales)
-    if i < j:
-        x, y, a, b, i, j = y, x, b, a, j, i
-    if i > j + 1:
-        return 0.0
-    return likeness(a if i == j else fingerprint(x, k, s, size, j), b, size)
+    if abs(i - j) > 1:
+        return None
+    return (a if i <= j else placed(x, k, s, size, j)), (b if j <= i else placed(y, k, s, size, i))
+
+
+def both_near(x: str, y: str, a, b, k: int = K, s: int = S, size: int | None = None) -> tuple[float, float]:
+    """(likeness, aligned) of two texts of the placed anchors a and b."""
+    pair = at_one_scale(x, y, a, b, k, s, size)
+    return (likeness(pair[0][0], pair[1][0], size), aligned(*pair)) if pair else (0.0, 0.0)
+
+
+def near(x: str, y: str, a, b, k: int = K, s: int = S, size: int | None = None) -> float:
+    """Likeness of two texts of the fingerprints a and b, at the finer of their scales."""
+    pair = at_one_scale(x, y, (a,), (b,), k, s, size)
+    return likeness(pair[0][0], pair[1][0], size) if pair else 0.0
 
 
 def hex_of(hashes) -> str:
@@ -198,15 +231,18 @@ def in_ranges(docs: DataFrame, text: str, order: str) -> DataFrame:
 
 
 def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc_id",
-                          k: int = K, s: int = S, size: int = SIZE) -> DataFrame:
+                          k: int = K, s: int = S, size: int | None = None) -> DataFrame:
     """``docs`` with n_chars, fingerprint, the edited text (its last floor(n / 2) code points replaced by
-    the first as many of the next document), edited_fingerprint, near_edited and near_next."""
+    the first as many of the next document), edited_fingerprint, the positions of both fingerprints, and
+    the likeness of the text to the edited and the next text: near_... by sets, aligned_... by position."""
     keep = without(docs, [*OUTPUTS, "_range", "_order", "_end", "_null", "_text", "_head", "_hash", "_size"])
     docs = docs.select(*[quoted(c) for c in keep])
     schema = T.StructType([*docs.schema.fields, T.StructField("n_chars", T.LongType()),
                            T.StructField("edited_text", T.StringType()), T.StructField("fingerprint", T.StringType()),
                            T.StructField("edited_fingerprint", T.StringType()),
-                           T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())])
+                           T.StructField("positions", T.StringType()), T.StructField("edited_positions", T.StringType()),
+                           T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType()),
+                           T.StructField("aligned_edited", T.DoubleType()), T.StructField("aligned_next", T.DoubleType())])
 
     def walk(batches):
         import pyarrow as pa
@@ -225,20 +261,22 @@ def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc
                     else batch.column(batch.schema.get_field_index(c)) for c in keep], names=keep)
                 parts, out = [], []
                 for i, (r, end, t) in enumerate(zip(ranges, ends, texts, strict=True)):
-                    f = fingerprint(t, k, s, size)
+                    f = placed(t, k, s, size)
                     if held is not None:
                         row, before, g, place = held
                         if place != r:
                             raise RuntimeError("a range of documents has no closing row")
                         half = len(before) // 2
                         edited = before[:len(before) - half] + t[:half]
-                        e = fingerprint(edited, k, s, size)
+                        e = placed(edited, k, s, size)
+                        with_edited, with_next = both_near(before, edited, g, e, k, s, size), both_near(before, t, g, f, k, s, size)
                         parts.append(row)
-                        out.append((len(before), edited, hex_of(g), hex_of(e), near(before, edited, g, e, k, s, size), near(before, t, g, f, k, s, size)))
+                        out.append((len(before), edited, hex_of(g[0]), hex_of(e[0]), hex_of(g[1]), hex_of(e[1]),
+                                    with_edited[0], with_next[0], with_edited[1], with_next[1]))
                     held = None if end else (own.slice(i, 1), t, f, r)
                 if out:
                     rows = pa.Table.from_batches(parts).combine_chunks()
-                    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+                    kinds = [pa.int64(), *[pa.string()] * 5, *[pa.float64()] * 4]
                     made = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(c).combine_chunks() if rows.column(c).num_chunks != 1 else rows.column(c).chunk(0)
