@@ -6,7 +6,8 @@ a cell is its tokens times one factor per source, per language and per topic.  T
 a run are given lists (with one place for all others), so their marginals are a bounded matrix; sources
 may be any number.  A round sets every source's factor in its row of the cell table, and one aggregation
 brings back the language-by-topic matrix of fitted tokens, from which the language factors and then the
-topic factors are set.  Rounds end when the marginals agree with the targets within ``TOLERANCE``.
+topic factors are set.  Rounds end when the marginals agree with the targets within ``TOLERANCE``, or after
+``MAX_ROUNDS``: targets that contradict one another are then missed by an error that is warned of.
 
 A cell's probability is its fitted over its present tokens, scaled so that the greatest is 1 (or so
 that ``tokens`` are expected, if that asks for less); a document is taken if the hash of its key and
@@ -14,7 +15,9 @@ that ``tokens`` are expected, if that asks for less); a document is taken if the
 depends on nothing but the key, the seed and the cell.
 
 Targets are shares: ``{value: share}``, or the present shares to the power ``TEMPER`` (1: as they are, 0: all
-equal), which lifts small sources, languages and topics.
+equal), which lifts small sources, languages and topics.  Powers of each margin by itself may contradict one
+another (if sources determine languages); with ``joint`` the power is taken of the cells, and the targets are
+the margins of that one table, which can always be met together.
 
 Results for special inputs: null sources are one source; null and unlisted languages and topics are the
 place of all others; null and empty texts have no tokens and get the probability of their cell, 0 if
@@ -24,6 +27,8 @@ rows; an empty table gives an empty result; an input column with the name of an
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,31 +67,36 @@ def place_in(column: Column, values) -> Column:
 
 
 def rake(sources: DataFrame, languages: int, topics: int, source_shares=None, language_shares=None, topic_shares=None,
-         temper: float = TEMPER):
+         temper: float = TEMPER, joint: bool = False):
     """Factors of a cell table.  ``sources``: (source, m), ``m`` the tokens per language and topic as an array
     of languages * topics numbers.  Returns (expression of a source's factor, language factors,
-    topic factors, rounds): the fitted weight of a cell is its tokens times the three."""
+    topic factors, rounds, error): the fitted weight of a cell is its tokens times the three; the error is
+    the greatest difference of a language's or topic's fitted from its target share."""
     import numpy as np
     cells = languages * topics
 
-    def summed(weight):
-        parts = sources.select(*[(F.get("m", F.lit(i)) * weight).alias(f"c{i}") for i in range(cells)])
+    def summed(weight, m="m"):
+        parts = sources.select(*[(F.get(m, F.lit(i)) * weight).alias(f"c{i}") for i in range(cells)])
         row = parts.agg(*[F.coalesce(F.sum(f"c{i}"), F.lit(0.0)) for i in range(cells)]).first()
         return np.array(row, dtype=np.float64).reshape(languages, topics)
 
     def tempered(x):
         return np.where(x > 0, np.maximum(x, 1e-300) ** temper, 0.0)
 
-    def shares(given, present):
-        out = np.where(present > 0, tempered(present) if given is None else np.array(given, dtype=np.float64), 0.0)
+    def shares(given, present, lifted):
+        out = np.where(present > 0, lifted if given is None else np.array(given, dtype=np.float64), 0.0)
         return out / max(out.sum(), 1e-300)
 
     now = summed(F.lit(1.0))
     total = now.sum()
-    language, topic = shares(language_shares, now.sum(axis=1)), shares(topic_shares, now.sum(axis=0))
+    power = F.transform("m", lambda n: F.when(n > 0, F.pow(n, F.lit(temper))).otherwise(0.0))
+    lifted = summed(F.lit(1.0), power) if joint else None
+    language, topic = (shares(given, now.sum(axis=axis), lifted.sum(axis=axis) if joint else tempered(now.sum(axis=axis)))
+                       for given, axis in ((language_shares, 1), (topic_shares, 0)))
     own = F.aggregate("m", F.lit(0.0), lambda a, x: a + x)
     if source_shares is None:
-        goal = F.when(own > 0, F.pow(own, F.lit(temper))).otherwise(0.0)
+        whole = F.aggregate(power, F.lit(0.0), lambda a, x: a + x) if joint else F.pow(own, F.lit(temper))
+        goal = F.when(own > 0, whole).otherwise(0.0)
     else:
         goal = F.lit(0.0)
         for v, share in source_shares.items():
@@ -95,7 +105,7 @@ def rake(sources: DataFrame, languages: int, topics: int, source_shares=None, la
     whole = sources.agg(F.sum(goal)).first()[0] or 1.0
     goal = goal / F.lit(float(whole))
     a, b = np.ones(languages), np.ones(topics)
-    factor = F.lit(1.0)
+    factor, error = F.lit(1.0), 0.0
     for done in range(1, MAX_ROUNDS + 1):
         ab = F.lit([float(x) for x in np.outer(a, b).ravel()])
         fitted = F.aggregate(F.zip_with("m", ab, lambda n, f: n * f), F.lit(0.0), lambda s, x: s + x)
@@ -104,18 +114,24 @@ def rake(sources: DataFrame, languages: int, topics: int, source_shares=None, la
         before = matrix * np.outer(a, b)
         error = max(np.abs(before.sum(axis=1) - language).max(), np.abs(before.sum(axis=0) - topic).max())
         if error < TOLERANCE or total == 0:
+            error = error if total else 0.0
+            break
+        if done == MAX_ROUNDS:  # factors stay those that the error was taken of
             break
         rows = matrix @ b
         a = np.where(rows > 0, language / np.where(rows > 0, rows, 1), 0.0)
         columns = a @ matrix
         b = np.where(columns > 0, topic / np.where(columns > 0, columns, 1), 0.0)
-    return factor, a, b, done
+    if error >= TOLERANCE:
+        warnings.warn(f"targets of source, language and topic are missed by up to {error:.3g} after {done} rounds: they "
+                      "contradict one another or converge slowly", RuntimeWarning, stacklevel=2)
+    return factor, a, b, done, error
 
 
 def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", language: str = "lang",
                 topic: Column | None = None, languages=LANGUAGES, topics=TOPICS, source_shares: dict | None = None,
                 language_shares=None, topic_shares=None, temper: float = TEMPER, tokens: float | None = None,
-                seed: int = SEED) -> DataFrame:
+                seed: int = SEED, joint: bool = False) -> DataFrame:
     """``docs`` with topic, n_tokens, weight (the fitted share of its tokens), probability and selected.
     ``language_shares`` and ``topic_shares``: target shares in the order of the lists, the last of all others."""
     keep = without(docs, OUTPUTS)
@@ -127,7 +143,7 @@ def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source
     cells = facts.groupBy("source", cell.alias("c")).agg(F.sum("n").cast("double").alias("n"))
     table = written(cells.groupBy("source").agg(F.array(*[
         F.coalesce(F.sum(F.when(F.col("c") == i, F.col("n"))), F.lit(0.0)) for i in range(nl * nt)]).alias("m")), "cells")
-    factor, a, b, _ = rake(table, nl, nt, source_shares, language_shares, topic_shares, temper)
+    factor, a, b, _, _ = rake(table, nl, nt, source_shares, language_shares, topic_shares, temper, joint)
     ab = F.lit([float(x * y) for x in a for y in b])
     fitted = table.select("source", "m", F.transform(ab, lambda f: f * factor).alias("ratio"))  # weight per token, by cell
     filled = F.zip_with("m", "ratio", lambda n, f: F.when(n > 0, f).otherwise(0.0))

@@ -163,7 +163,7 @@ def op7_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_mix_sources")
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
-    out = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    out = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), joint=True)
     return out.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "selected")
 
 
