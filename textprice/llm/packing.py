@@ -11,8 +11,9 @@ length: a number counted by the task that made the piece, plus an offset from a
 (task, length) counts.
 
 Tokenising happens once: pieces are written to the shared folder.  A byte-pair vocabulary that
-never joins characters across white space gives a text the ids of its words, so words
-are encoded on their own, kept in a bounded cache per worker, and texts put together from their ids.
+never joins characters across white space (each worker probes it) gives a text the ids of its words, so
+distinct words are encoded on their own, kept in a bounded cache per worker, and texts put together from
+their ids.  Other vocabularies get whole texts.
 
 Results for special inputs: a null text is the empty text; every document ends with ``end_id``, so
 even an empty one is a piece of one token; a very long one is cut into pieces of ``capacity``
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import quoted, without, worker_state, written
+from .ragged import distinct, gather, slices, starts
 
 CAPACITY = 4096
 END_ID = 1
@@ -46,29 +48,75 @@ def load_tokenizer(file: str):
     return Tokenizer.from_file(file)
 
 
+# White space that ends a word, and the kinds of neighbours that a vocabulary might join across it.
+WHITE, PROBES = b" \t\n\x0b\x0c\r", ("a", "A", "é", "7", ".", "-", "'", "'s", "北", "<", "ab7.")
+
+
+def encodes_by_word(tokenizer) -> bool:
+    """Whether white space only separates: text of every kind on both sides of it has the ids of its parts."""
+
+    def ids(text):
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    alone = {p: ids(p) for p in PROBES}
+    for space in [chr(c) for c in WHITE] + ["  ", "\r\n"]:
+        if ids(space) or any(ids(space + p) != alone[p] or ids(p + space) != alone[p] for p in PROBES):
+            return False
+        if any(ids(p + space + q) != alone[p] + alone[q] for p in PROBES for q in PROBES):
+            return False
+    return True
+
+
 class WordEncoder:
-    """Ids of texts (little-endian unsigned 32 bit), word by word.  Of the words' ids it keeps two
-    generations of ``cached_words`` each: when the young one is full it becomes the old one, and words
-    met again come back from there, so frequent words stay."""
+    """Ids of texts.  The words of a slice are made distinct in Arrow, encoded once and put together by one
+    gather.  Of the words' ids it keeps two generations of ``cached_words`` each: when the young one is full
+    it becomes the old one, and words met again come back from there, so frequent words stay.  A vocabulary
+    that does more with white space than to separate words gets whole texts."""
 
     def __init__(self, tokenizer, cached_words: int = CACHED_WORDS):
         self.tokenizer, self.cached_words, self.young, self.old = tokenizer, cached_words, {}, {}
+        self.by_word = encodes_by_word(tokenizer)
 
-    def encode(self, text: str) -> bytes:
+    def listed(self, texts) -> list[bytes]:
         import numpy as np
-        words = text.encode("utf-8", "replace").split()
-        missing = set(words).difference(self.young)
-        if missing:
-            back = {w: self.old[w] for w in missing if w in self.old}
-            self.young.update(back)
-            new = [w for w in missing if w not in back]
-            if new:
-                found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-                self.young.update(zip(new, [np.array(e.ids, dtype="<u4").tobytes() for e in found], strict=True))
-        ids = b"".join(map(self.young.__getitem__, words))
-        if len(self.young) > self.cached_words:
-            self.young, self.old = {}, self.young
-        return ids
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids (little-endian unsigned 32 bit) of distinct words."""
+        young, old = self.young, self.old
+        found = [young.get(w) or old.get(w) for w in words]  # one without ids is encoded each time
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            for i, ids in zip(new, self.listed([words[i].decode("utf-8") for i in new]), strict=True):
+                found[i] = ids
+        young.update(zip(words, found, strict=True))
+        if len(young) > self.cached_words:
+            self.young, self.old = {}, young
+        return found
+
+    def encode(self, texts: list[str]):
+        """(ids of all texts one after another, number of ids of each)."""
+        import numpy as np
+        coded = [t.encode("utf-8", "replace") for t in texts]
+        if not self.by_word:
+            ids = self.listed([t.decode("utf-8") for t in coded])
+            return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) >> 2 for x in ids], dtype=np.int64)
+        data = b" ".join(coded)
+        white = np.zeros(256, dtype=bool)
+        white[list(WHITE)] = True
+        edge = np.diff((~white[np.frombuffer(data, dtype=np.uint8)]).astype(np.int8), prepend=0, append=0)
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        if not len(begin):
+            return np.empty(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
+        rows, words = distinct(data, np.stack((begin, end), axis=1).ravel())  # words alternate with white space
+        rows = rows[::2]
+        used, rows = np.unique(rows, return_inverse=True)
+        ids = self.word_ids([words[i] for i in used])
+        lens = np.array([len(x) >> 2 for x in ids], dtype=np.int64)
+        flat = gather(np.frombuffer(b"".join(ids), dtype="<u4"), starts(lens), lens, rows)
+        first = np.cumsum([0] + [len(t) + 1 for t in coded])
+        before = np.concatenate(([0], np.cumsum(lens[rows])))
+        return flat, np.diff(before[np.searchsorted(begin, first)])
 
 
 def word_encoder(tokenizer: str, cached_words: int) -> WordEncoder:
@@ -93,31 +141,37 @@ def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id
 
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
         encoder = word_encoder(tokenizer, cached_words)
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = int(end_id).to_bytes(4, "little")
-        for batch in batches:
-            row, piece, start, length, crc, nth = [], [], [], [], [], []
-            for i, t in enumerate(batch.column(batch.schema.get_field_index(text)).to_pylist()):
-                ids = encoder.encode(t or "") + end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    n = len(part) // 4
-                    row.append(i)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(n)
-                    crc.append(zlib.crc32(part))
-                    nth.append(int(seen[n]))
-                    seen[n] += 1
-            index = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(c)).take(index) for c in keep]
-                + [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                   pa.array(crc, pa.int64()), pa.array([task] * len(row), pa.int32()), pa.array(nth, pa.int64())],
-                names=[*keep, "piece", "start", "length", "ids_crc32", "_task", "_nth"])
+        place = len(keep)  # the text is the last column
+        for whole in batches:
+            column = whole.column(place).fill_null("")
+            for lo, hi in slices(pc.binary_length(column).to_pylist()):
+                batch, texts = whole.slice(lo, hi - lo), column.slice(lo, hi - lo).to_pylist()
+                flat, lens = encoder.encode(texts)
+                row, piece, start, length, crc, nth = [], [], [], [], [], []
+                for i, (at, n) in enumerate(zip(starts(lens).tolist(), lens.tolist(), strict=True)):
+                    ids = flat[at:at + n].tobytes() + end
+                    for k, cut in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[cut:cut + 4 * capacity]
+                        size = len(part) // 4
+                        row.append(i)
+                        piece.append(k)
+                        start.append(cut // 4)
+                        length.append(size)
+                        crc.append(zlib.crc32(part))
+                        nth.append(int(seen[size]))
+                        seen[size] += 1
+                index = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(batch.schema.get_field_index(c)).take(index) for c in keep]
+                    + [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                       pa.array(crc, pa.int64()), pa.array([task] * len(row), pa.int32()), pa.array(nth, pa.int64())],
+                    names=[*keep, "piece", "start", "length", "ids_crc32", "_task", "_nth"])
 
     return docs.mapInArrow(pieces, spec)
 
