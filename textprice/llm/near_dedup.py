@@ -17,8 +17,10 @@ checked against the hub only (exact similarity), and links join components.  Mem
 component by then need no check.  Where members of different components share a bucket, such as
 texts that only have a passage in common, they are looked at once more, exactly: by the rarest fifth
 of their shingles, of which texts over the threshold share one, while a common passage is not among
-them.  Again each such bucket is checked from hubs, ``HUBS`` and then more at a time, until none remain,
-and only pairs that the sets' sizes and the place of the shared shingle allow.
+them.  Members of such a bucket are compared with one another in one pass, those that the sets' sizes and
+the place of the shared shingle allow; a bucket of more than ``CELL`` rows is dealt into blocks, whose pairs
+are tasks' work of their own (``cells``).  Only links that connect something new leave a task.  Components are
+contracted once more, and that is all.
 
 Results for special inputs: a text of fewer than ``shingle`` words is one shingle; a null text or one
 without words is alone in its class; repeated rows are one class; rows with a null key take part and
@@ -30,7 +32,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +43,7 @@ from .components import components
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 26, 5
-HUBS = 16
+CELL = 512  # rows of a bucket that are compared as one block
 SAMPLE, COMMON = 20_000, 1 << 16  # sets whose elements are counted, and elements known as common
 GROUP = 256  # texts signed at once
 OUTPUTS = ("class_id", "kept")
@@ -285,6 +287,94 @@ def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
     return sets.mapInArrow(rarest, "bucket long, rid long, n int, left int")
 
 
+def cells(pool: DataFrame) -> DataFrame:
+    """``pool`` (with ``bucket`` and ``rid``) with ``cell``, ``own`` and ``other``: a bucket of more than ``CELL`` rows is dealt into
+    blocks by the hash of the row, and every two blocks are a cell, so that a row is in as many cells as the bucket has
+    blocks and every pair of rows in one at least."""
+    hot = pool.groupBy("bucket").agg(F.ceil(F.count("*") / CELL).cast("int").alias("blocks")).where("blocks > 1")
+    dealt = pool.join(hot, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("rid", F.lit(3)), F.col("blocks")).cast("int")
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    return dealt.withColumn("cell", (low * F.col("blocks") + high).cast("long")).drop("blocks")
+
+
+def cell_links(rid, label, n, left, own, alone: bool, elements, threshold: float):
+    """Links (a, b) between rows of one cell that are over the threshold and not in one component yet, as found by all
+    pairs of rows (of different blocks, unless the cell is one block ``alone``) that the sizes and the place of
+    the shared element allow.  Of rows that get connected here no further pair is looked at."""
+    import numpy as np
+    order = np.argsort(n, kind="stable")
+    rid, label, n, left, own = rid[order], label[order], n[order], left[order], own[order]
+    root = np.unique(label, return_inverse=True)[1]
+    flat = np.concatenate([elements[i] for i in order])
+    dense = np.unique(flat, return_inverse=True)[1]
+    end = np.cumsum(n)
+    start = end - n
+    mark = np.zeros(dense.max() + 1, dtype=bool)
+    upto = np.searchsorted(n, n / threshold + 1e-9, side="right")  # a larger set can't reach the threshold
+    out = []
+    for i in range(len(rid) - 1):
+        lo, hi = i + 1, upto[i]
+        if lo >= hi:
+            continue
+        most = 1 + np.minimum(left[lo:hi], left[i])
+        open_ = (root[lo:hi] != root[i]) & (most >= threshold / (1 + threshold) * (n[lo:hi] + n[i]) - 1e-6)
+        if not alone:
+            open_ &= own[lo:hi] != own[i]
+        if not open_.any():
+            continue
+        mine = dense[start[i]:end[i]]
+        mark[mine] = True
+        common = np.add.reduceat(mark[dense[start[lo]:end[hi - 1]]], start[lo:hi] - start[lo], dtype=np.int64)
+        mark[mine] = False
+        for j in lo + np.flatnonzero(open_ & (common >= threshold * (n[lo:hi] + n[i] - common))):
+            if root[j] != root[i]:
+                out.append((rid[i], rid[j]))
+                root[root == root[j]] = root[i]
+    return out
+
+
+def links_within(pool: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that connect all rows of a bucket (bucket, rid, label, n, left) that are over the threshold.  A cell's
+    rows come one after another with their sets; a task holds one cell, twice ``CELL`` rows at most."""
+
+    def verify(batches):
+        import numpy as np
+        import pyarrow as pa
+        held = None
+
+        def work(table):
+            columns = [c.to_numpy() for c in table.columns[2:7]]
+            elements = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column(7)]
+            alone = not (columns[4] != columns[4][0]).any()
+            return cell_links(*columns, alone, elements, threshold)
+
+        def told(links):
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())],
+                                              names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            bucket, cell = (held.column(i).to_numpy() for i in (0, 1))
+            cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (cell[1:] != cell[:-1])) + 1
+            links = []
+            for lo, hi in zip([0, *cut[:-1]], cut, strict=True) if len(cut) else ():
+                links.extend(work(held.slice(lo, hi - lo)))
+            if len(cut):
+                held = held.slice(cut[-1])
+            if links:
+                yield told(links)
+        if held is not None:
+            yield told(work(held))
+
+    rows = cells(pool).join(sets, "rid").select("bucket", "cell", "rid", "label", "n", "left", "own", "elements")
+    return rows.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "rid").mapInArrow(verify, "a long, b long")
+
+
 def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, weights: str, threshold: float) -> DataFrame:
     """(id, label) of the nodes that have links; ``bands``: (rid, bands) of every node."""
     exploded = bands.select("rid", F.posexplode("bands").alias("j", "v"))
@@ -303,24 +393,8 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
     rest = written(told_apart(pool.select("bucket", "rid")).select("rid").distinct(), "pool")
     if rest.isEmpty():
         return labels
-    tried, pool, hubs = tested, prefixes(sets.join(rest, "rid"), threshold), HUBS
-    while True:
-        told = written(told_apart(pool), "pool")
-        if told.isEmpty():
-            return labels
-        order = Window.partitionBy("bucket").orderBy("rid")
-        first = (told.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= hubs)
-                 .select("bucket", F.col("rid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("left").alias("lefta")))
-        # the bucket of the first element that two sets share bounds what they share by what follows it
-        near = ((F.least("n", "na") >= threshold * F.greatest("n", "na"))
-                & (1 + F.least("left", "lefta") >= threshold / (1 + threshold) * (F.col("n") + F.col("na")) - 1e-6))
-        pairs = (told.join(first, "bucket").where((F.col("a") < F.col("rid")) & (F.col("la") != F.col("label")) & near)
-                 .select("a", F.col("rid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-        pairs = written(pairs, "tested")
-        labels = components(linked(pairs, sets, threshold), labels)
-        tried = tried.unionByName(pairs)
-        pool = told.drop("label").join(first.select("bucket", F.col("a").alias("rid")), ["bucket", "rid"], "left_anti")
-        hubs *= 4  # fewer rounds for the few buckets that are left
+    pool = written(told_apart(prefixes(sets.join(rest, "rid"), threshold)), "pool")
+    return components(written(links_within(pool, sets, threshold), "links"), labels)
 
 
 def still_apart(told: DataFrame) -> DataFrame:
