@@ -106,6 +106,7 @@ def brute_classes(texts, threshold=0.8):
 @pytest.mark.parametrize("cell", [2, 512])
 def test_near_duplicates_brute_force(spark, monkeypatch, cell):
     monkeypatch.setattr(near_dedup, "CELL", cell)
+    monkeypatch.setattr(near_dedup, "HUBS", max(1, cell // 8))
     texts = corpus(2)
     want = brute_classes(texts)
     out = near_dedup.near_duplicates(frame(spark, texts))
@@ -135,6 +136,7 @@ def test_near_duplicates_by_shingle_numbers(spark):
 def test_buckets_of_dissimilar_members_are_checked_whole(spark, monkeypatch, cell):
     """Texts that share one long passage meet in buckets without being similar; copies hide among them."""
     monkeypatch.setattr(near_dedup, "CELL", cell)
+    monkeypatch.setattr(near_dedup, "HUBS", max(1, cell // 8))
     rng = random.Random(5)
     passage = prose(rng, 60)
     texts = [" ".join(passage + prose(rng, 45, 10_000)) for _ in range(25)]
@@ -143,39 +145,31 @@ def test_buckets_of_dissimilar_members_are_checked_whole(spark, monkeypatch, cel
     assert {r["doc_id"]: r["class_id"] for r in out} == dict(enumerate(brute_classes(texts)))
 
 
-def test_links_of_a_cell_connect_what_all_pairs_connect():
+def test_close_pairs_are_those_the_filters_let_through():
     rng = np.random.default_rng(8)
-    for trial in range(30):
-        base = [np.sort(rng.choice(4000, 40, replace=False)) for _ in range(4)]
-        sets = []
-        for _ in range(rng.integers(2, 25)):
-            x = base[rng.integers(4)].copy()
-            change = rng.integers(0, 9)
-            x[rng.choice(40, change, replace=False)] = rng.integers(5000, 9000, change)
-            sets.append(np.unique(x).astype(np.uint32))
-        n = np.array([len(x) for x in sets])
-        rid, own = rng.permutation(100)[:len(sets)], rng.integers(0, 2, len(sets))
-        alone = bool(trial % 2)
-        links = near_dedup.cell_links(rid, rid.copy(), n, n - 1, own, alone, sets, 0.8)
-        similar = {(i, j) for i in range(len(sets)) for j in range(i) if (alone or own[i] != own[j])
-                   and near_dedup.similarity(sets[i], sets[j]) >= 0.8}
-        at = {r: i for i, r in enumerate(rid)}
-        assert {tuple(sorted((at[a], at[b]), reverse=True)) for a, b in links} <= similar
-
-        def classes(pairs):
-            label = list(range(len(sets)))
-            for a, b in pairs:
-                label = [label[a] if x == label[b] else x for x in label]
-            return [label.index(x) for x in label]
-
-        assert classes([(at[a], at[b]) for a, b in links]) == classes(similar)
-        assert len(links) < max(len(sets), 1)  # a forest
-
-
-def test_every_two_rows_of_a_bucket_meet_in_one_cell(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "CELL", 7)
+    for trial in range(40):
+        rows = rng.integers(1, 120)
+        group = np.sort(rng.integers(0, rng.integers(1, 12), rows))
+        n = rng.integers(5, 60, rows)
+        order = np.lexsort((n, group))
+        group, n = group[order], n[order]
+        label, own, left = rng.integers(0, 6, rows), rng.integers(0, 1 + trial % 2, rows), (n * rng.random(rows)).astype(int)
+        got = set(zip(*(x.tolist() for x in near_dedup.close_pairs(group, label, n, left, own, 0.8)), strict=True))
+        want = set()
+        for i in range(rows):
+            for j in range(i + 1, rows):
+                if group[i] != group[j] or label[i] == label[j] or n[i] < 0.8 * n[j] - 1e-9:
+                    continue
+                if len(set(own[group == group[i]])) > 1 and own[i] == own[j]:
+                    continue
+                if 1 + min(left[i], left[j]) >= 0.8 / 1.8 * (n[i] + n[j]) - 1e-6:
+                    want.add((i, j))
+        assert got == want
+
+
+def test_every_two_rows_of_a_bucket_meet_in_one_cell(spark):
     pool = spark.range(60).selectExpr("CASE WHEN id < 40 THEN 1 ELSE id END AS bucket", "id AS rid")
-    rows = near_dedup.cells(pool).collect()
+    rows = near_dedup.cells(pool, 7, False).collect()
     met = Counter()
     for key in {(r.bucket, r.cell) for r in rows}:
         inside = [r for r in rows if (r.bucket, r.cell) == key]
@@ -183,6 +177,10 @@ def test_every_two_rows_of_a_bucket_meet_in_one_cell(spark, monkeypatch):
         met.update(frozenset((a.rid, b.rid)) for a in inside for b in inside if a.rid < b.rid and (alone or a.own != b.own))
     pairs = {frozenset((a, b)) for a in range(40) for b in range(a)}
     assert set(met) == pairs and max(len([r for r in rows if r.rid == i]) for i in range(40)) == 6
+    star = near_dedup.cells(pool, 7, True).collect()
+    first = {r.rid for r in star if r.bucket == 1 and r.own == 0}
+    assert first and all({(r.rid, r.cell) for r in star if r.rid == i and r.bucket == 1} for i in range(40))
+    assert sum(r.bucket == 1 for r in star) == 40 - len(first) + 6 * len(first)
 
 
 def test_dart_signatures_estimate_similarity():

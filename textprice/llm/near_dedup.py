@@ -17,10 +17,10 @@ checked against the hub only (exact similarity), and links join components.  Mem
 component by then need no check.  Where members of different components share a bucket, such as
 texts that only have a passage in common, they are looked at once more, exactly: by the rarest fifth
 of their shingles, of which texts over the threshold share one, while a common passage is not among
-them.  Members of such a bucket are compared with one another in one pass, those that the sets' sizes and
-the place of the shared shingle allow; a bucket of more than ``CELL`` rows is dealt into blocks, whose pairs
-are tasks' work of their own (``cells``).  Only links that connect something new leave a task.  Components are
-contracted once more, and that is all.
+them.  Members of such a bucket are looked at two by two, in two passes: first all with some ``HUBS`` of them, which
+joins most of what belongs together, then all with one another that are still apart.  A larger bucket is dealt into
+blocks, any two of which are a task's work (``cells``).  Only pairs that the sets' sizes and the place of
+the shared shingle allow leave a task; they are checked exactly, and components are contracted once a pass.
 
 Results for special inputs: a text of fewer than ``shingle`` words is one shingle; a null text or one
 without words is alone in its class; repeated rows are one class; rows with a null key take part and
@@ -43,7 +43,7 @@ from .components import components
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 26, 5
-CELL = 512  # rows of a bucket that are compared as one block
+HUBS, CELL = 64, 1024  # rows of a bucket that all others meet first; rows that are looked at as one block
 SAMPLE, COMMON = 20_000, 1 << 16  # sets whose elements are counted, and elements known as common
 GROUP = 256  # texts signed at once
 OUTPUTS = ("class_id", "kept")
@@ -287,92 +287,79 @@ def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
     return sets.mapInArrow(rarest, "bucket long, rid long, n int, left int")
 
 
-def cells(pool: DataFrame) -> DataFrame:
-    """``pool`` (with ``bucket`` and ``rid``) with ``cell``, ``own`` and ``other``: a bucket of more than ``CELL`` rows is dealt into
-    blocks by the hash of the row, and every two blocks are a cell, so that a row is in as many cells as the bucket has
-    blocks and every pair of rows in one at least."""
-    hot = pool.groupBy("bucket").agg(F.ceil(F.count("*") / CELL).cast("int").alias("blocks")).where("blocks > 1")
+def cells(pool: DataFrame, size: int, star: bool) -> DataFrame:
+    """``pool`` (with ``bucket`` and ``rid``) with ``cell`` and ``own``: a bucket of more than ``size`` rows is dealt into blocks by the
+    hash of the row.  Every two blocks are a cell, so that every pair of rows is in one at least and a row in as
+    many as there are blocks; with ``star`` only the first block with each, so that every row meets some rows."""
+    hot = pool.groupBy("bucket").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks")).where("blocks > 1")
     dealt = pool.join(hot, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("rid", F.lit(3)), F.col("blocks")).cast("int")
-    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    return dealt.withColumn("cell", (low * F.col("blocks") + high).cast("long")).drop("blocks")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    others = F.when(own == 0, every).otherwise(F.array(F.lit(0))) if star else every
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(others))
+    low, high = F.least("own", "other").cast("long"), F.greatest("own", "other")
+    return dealt.withColumn("cell", low * F.col("blocks") + high).drop("blocks", "other")
 
 
-def cell_links(rid, label, n, left, own, alone: bool, elements, threshold: float):
-    """Links (a, b) between rows of one cell that are over the threshold and not in one component yet, as found by all
-    pairs of rows (of different blocks, unless the cell is one block ``alone``) that the sizes and the place of
-    the shared element allow.  Of rows that get connected here no further pair is looked at."""
+def close_pairs(group, label, n, left, own, threshold: float):
+    """Places (i, j) of rows of one group (rows come by group, then size ``n``) that may be over the threshold: of different
+    labels, of different blocks or of a group of one block, and allowed by their sizes and the place of the element they
+    share, if it is the first one.  Goes through all groups at once, by distance of the places."""
     import numpy as np
-    order = np.argsort(n, kind="stable")
-    rid, label, n, left, own = rid[order], label[order], n[order], left[order], own[order]
-    root = np.unique(label, return_inverse=True)[1]
-    flat = np.concatenate([elements[i] for i in order])
-    dense = np.unique(flat, return_inverse=True)[1]
-    end = np.cumsum(n)
-    start = end - n
-    mark = np.zeros(dense.max() + 1, dtype=bool)
-    upto = np.searchsorted(n, n / threshold + 1e-9, side="right")  # a larger set can't reach the threshold
-    out = []
-    for i in range(len(rid) - 1):
-        lo, hi = i + 1, upto[i]
-        if lo >= hi:
-            continue
-        most = 1 + np.minimum(left[lo:hi], left[i])
-        open_ = (root[lo:hi] != root[i]) & (most >= threshold / (1 + threshold) * (n[lo:hi] + n[i]) - 1e-6)
-        if not alone:
-            open_ &= own[lo:hi] != own[i]
-        if not open_.any():
-            continue
-        mine = dense[start[i]:end[i]]
-        mark[mine] = True
-        common = np.add.reduceat(mark[dense[start[lo]:end[hi - 1]]], start[lo:hi] - start[lo], dtype=np.int64)
-        mark[mine] = False
-        for j in lo + np.flatnonzero(open_ & (common >= threshold * (n[lo:hi] + n[i] - common))):
-            if root[j] != root[i]:
-                out.append((rid[i], rid[j]))
-                root[root == root[j]] = root[i]
-    return out
-
-
-def links_within(pool: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): links that connect all rows of a bucket (bucket, rid, label, n, left) that are over the threshold.  A cell's
-    rows come one after another with their sets; a task holds one cell, twice ``CELL`` rows at most."""
-
-    def verify(batches):
+    last = np.append(np.flatnonzero(group[1:] != group[:-1]), len(group) - 1)  # of each group
+    end = last[np.searchsorted(last, np.arange(len(group)))]
+    mixed = np.zeros(len(group), dtype=bool)  # groups of two blocks
+    mixed[1:] = (group[1:] == group[:-1]) & (own[1:] != own[:-1])
+    mixed = np.add.reduceat(mixed, np.append(0, last[:-1] + 1))[np.searchsorted(last, np.arange(len(group)))] > 0
+    most = np.floor(n / threshold + 1e-9)  # a larger set can't reach the threshold
+    need = threshold / (1 + threshold)
+    i, d, found = np.flatnonzero(end > np.arange(len(group))), 1, []
+    while len(i):
+        j = i + d
+        room = n[j] <= most[i]
+        i, j = i[room], j[room]
+        good = ((label[i] != label[j]) & (~mixed[i] | (own[i] != own[j]))
+                & (1 + np.minimum(left[i], left[j]) >= need * (n[i] + n[j]) - 1e-6))
+        found.append((i[good], j[good]))
+        d += 1
+        i = i[i + d <= end[i]]
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def candidates(pool: DataFrame, threshold: float, size: int, star: bool) -> DataFrame:
+    """(a, b), a < b: the pairs of rows of a cell of ``pool`` (bucket, rid, label, n, left) that ``close_pairs`` lets through.  Rows
+    of a cell come one after another; a task holds a batch and one cell, twice ``size`` rows of a few numbers."""
+
+    def pairs(batches):
         import numpy as np
         import pyarrow as pa
         held = None
 
         def work(table):
-            columns = [c.to_numpy() for c in table.columns[2:7]]
-            elements = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column(7)]
-            alone = not (columns[4] != columns[4][0]).any()
-            return cell_links(*columns, alone, elements, threshold)
-
-        def told(links):
-            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())],
-                                              names=["a", "b"])
+            bucket, cell, rid, label, n, left, own = (c.to_numpy() for c in table.columns)
+            group = np.cumsum(np.append(False, (bucket[1:] != bucket[:-1]) | (cell[1:] != cell[:-1])))
+            i, j = close_pairs(group, label, n, left, own, threshold)
+            a, b = rid[i], rid[j]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
+            held = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
             bucket, cell = (held.column(i).to_numpy() for i in (0, 1))
-            cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (cell[1:] != cell[:-1])) + 1
-            links = []
-            for lo, hi in zip([0, *cut[:-1]], cut, strict=True) if len(cut) else ():
-                links.extend(work(held.slice(lo, hi - lo)))
+            cut = np.flatnonzero((bucket[1:] != bucket[:-1]) | (cell[1:] != cell[:-1]))
             if len(cut):
-                held = held.slice(cut[-1])
-            if links:
-                yield told(links)
+                yield work(held.slice(0, cut[-1] + 1))
+                held = held.slice(cut[-1] + 1)
         if held is not None:
-            yield told(work(held))
+            yield work(held)
 
-    rows = cells(pool).join(sets, "rid").select("bucket", "cell", "rid", "label", "n", "left", "own", "elements")
-    return rows.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "rid").mapInArrow(verify, "a long, b long")
+    rows = cells(pool, size, star).select("bucket", "cell", "rid", "label", "n", "left", "own")
+    return (rows.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "n", "rid")
+            .mapInArrow(pairs, "a long, b long").distinct())
 
 
 def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, weights: str, threshold: float) -> DataFrame:
@@ -393,8 +380,13 @@ def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, wei
     rest = written(told_apart(pool.select("bucket", "rid")).select("rid").distinct(), "pool")
     if rest.isEmpty():
         return labels
-    pool = written(told_apart(prefixes(sets.join(rest, "rid"), threshold)), "pool")
-    return components(written(links_within(pool, sets, threshold), "links"), labels)
+    shared = prefixes(sets.join(rest, "rid"), threshold)
+    for size, star in ((HUBS, True), (CELL, False)):
+        pool = written(told_apart(shared), "pool")
+        pairs = written(candidates(pool, threshold, size, star).join(tested, ["a", "b"], "left_anti"), "tested")
+        labels = components(linked(pairs, sets, threshold), labels)
+        tested = tested.unionByName(pairs)
+    return labels
 
 
 def still_apart(told: DataFrame) -> DataFrame:
