@@ -4,8 +4,11 @@ Positional numbering over a whole table is done without a single-partition windo
 Python: ``prefix_sum`` takes narrow rows (keys, order columns, an id), range-partitions them on the
 ordering (the sampler splits a hot key across partitions because the ordering has a tie-breaker),
 writes each row's partition number once, and adds window sums within (partition, key) to
-offsets from a small table of (partition, key) totals.  Windows ``partitionBy(symbol)`` are used only
-over daily series, whose length per key is bounded by the number of days, not by the number of posts.
+offsets from a small table of (partition, key) totals.
+
+Windows that look a fixed number of rows back (``halo_blocks``) are cut by position: a key's series goes in
+blocks of ``block_rows`` rows, and each block is also given the rows before it that its windows reach into.
+So one key's series, however long, is many tasks' work.
 """
 
 from __future__ import annotations
@@ -85,26 +88,49 @@ def tail_posts(df: DataFrame, n: int = 10) -> DataFrame:
     return df.orderBy(F.col("dt").asc(), F.col("doc_id").asc()).limit(n)
 
 
+BLOCK_ROWS = 1 << 16  # rows of one key that one task looks at together
+
+
+def halo_blocks(series: DataFrame, key: str, order: str, lookback: int, block_rows: int | None = None) -> DataFrame:
+    """``series`` with ``_pos`` (position in its key, from 0), ``_block`` (``_pos`` over ``block_rows``) and ``_halo``: the
+    last ``lookback`` rows of a block come once more, with ``_halo`` true, in the next one.  Windows by
+    (``key``, ``_block``) then see whatever lies up to ``lookback`` rows back.  ``order`` is unique within a key."""
+    block_rows = BLOCK_ROWS if block_rows is None else block_rows
+    if lookback > block_rows:
+        raise ValueError(f"a block of {block_rows} rows can't give {lookback} rows to the next")
+    placed = prefix_sum(series, [order], [key], None, "_pos")
+    own = F.floor(F.col("_pos") / block_rows)
+    late = F.col("_pos") % block_rows >= block_rows - lookback
+    return (placed.withColumn("_own", own)
+            .withColumn("_block", F.explode(F.when(late, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+            .withColumn("_halo", F.col("_block") != F.col("_own")).drop("_own"))
+
+
+def own_rows(blocks: DataFrame, *also: str) -> DataFrame:
+    """The rows of ``halo_blocks`` without halos and helper columns."""
+    return blocks.filter(~F.col("_halo")).drop("_halo", "_block", "_pos", *also)
+
+
 def rolling_stats(series: DataFrame, value: str, key: str = "symbol", order: str = "dt",
-                  window: int = 12) -> DataFrame:
+                  window: int = 12, block_rows: int | None = None) -> DataFrame:
     """Rolling mean and sample std over ``window`` rows, null until the window is full."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(-(window - 1), 0)
+    w = Window.partitionBy(key, "_block").orderBy(order).rowsBetween(-(window - 1), 0)
     full = F.count(value).over(w) == window
-    return series.withColumn("roll_mean", F.when(full, F.avg(value).over(w))) \
-        .withColumn("roll_std", F.when(full, F.stddev_samp(value).over(w)))
+    return own_rows(halo_blocks(series, key, order, window - 1, block_rows)
+                    .withColumn("roll_mean", F.when(full, F.avg(value).over(w)))
+                    .withColumn("roll_std", F.when(full, F.stddev_samp(value).over(w))))
 
 
 def difference(series: DataFrame, value: str, key: str = "symbol", order: str = "dt",
-               lag: int = 1) -> DataFrame:
+               lag: int = 1, block_rows: int | None = None) -> DataFrame:
     """Lagged value and first difference."""
-    w = Window.partitionBy(key).orderBy(order)
-    prev = F.lag(value, lag).over(w)
-    return series.withColumn(f"{value}_lag{lag}", prev).withColumn(f"{value}_diff", F.col(value) - prev)
+    prev = F.lag(value, lag).over(Window.partitionBy(key, "_block").orderBy(order))
+    return own_rows(halo_blocks(series, key, order, lag, block_rows)
+                    .withColumn(f"{value}_lag{lag}", prev).withColumn(f"{value}_diff", F.col(value) - F.col(f"{value}_lag{lag}")))
 
 
 def chrono_split(series: DataFrame, train_rows: int, key: str = "symbol",
                  order: str = "dt") -> DataFrame:
     """First ``train_rows`` rows of each key's series are 'train', the rest 'test'."""
-    w = Window.partitionBy(key).orderBy(order)
-    return series.withColumn("pos", F.row_number().over(w)) \
-        .withColumn("part", F.when(F.col("pos") <= train_rows, F.lit("train")).otherwise(F.lit("test")))
+    return (prefix_sum(series, [order], [key], None, "_before").withColumn("pos", (F.col("_before") + 1).cast("int"))
+            .withColumn("part", F.when(F.col("pos") <= train_rows, F.lit("train")).otherwise(F.lit("test"))).drop("_before"))

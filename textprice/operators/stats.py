@@ -43,11 +43,12 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def group_share(df: DataFrame, col: str) -> DataFrame:
-    """Count per value with percentage of all rows, largest first.  The window over ()
-    runs on the grouped result (one row per distinct value), not on the input rows."""
+    """Count per value with percentage of all rows, largest first.  The total is one row, joined to the
+    counts."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    pct = F.lit(100.0).cast("double") * F.col("n") / F.sum("n").over(Window.partitionBy())
-    return g.withColumn("pct", F.round(pct, 6)).orderBy(F.col("n").desc(), F.col(col))
+    total = F.broadcast(df.agg(F.count(F.lit(1)).alias("_all")))  # one row
+    pct = F.lit(100.0).cast("double") * F.col("n") / F.col("_all")
+    return g.join(total).withColumn("pct", F.round(pct, 6)).drop("_all").orderBy(F.col("n").desc(), F.col(col))
 
 
 def count_per_day(df: DataFrame, keys=("symbol", "dt"), name: str = "n_day") -> DataFrame:

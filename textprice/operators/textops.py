@@ -115,6 +115,33 @@ def vocabulary(posts: DataFrame, corpus_key: str = "symbol", keys=("symbol", "dt
     return words.groupBy(corpus_key, "word").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
+LEXICON_PRIOR, LEXICON_Z = 1000.0, 1.96  # words of prior knowledge; standard errors from 0 that make a word an opinion
+
+
+def learn_lexicon(posts: DataFrame, bars: DataFrame, prior: float = LEXICON_PRIOR, least_z: float = LEXICON_Z) -> DataFrame:
+    """(word, polarity, subjectivity) learnt from what followed: log-odds of a word in posts of days after which
+    the symbol's close rose against days after which it fell, with an informative Dirichlet prior of ``prior``
+    words in the corpus's own shares, over its standard error (z).  Words with z of at least ``least_z`` either way are kept, polarity
+    z / sqrt(1 + z²), subjectivity z² / (1 + z²).  ``bars``: (symbol, dt, close).
+
+    Words are counted in one partial aggregate; the two totals are a row joined to it."""
+    later = F.lead("close").over(Window.partitionBy("symbol").orderBy("dt"))  # one row per day
+    days = bars.select("symbol", "dt", F.when(later > F.col("close"), 1).when(later < F.col("close"), 0).alias("up")).filter("up IS NOT NULL")
+    told = join_small(posts.select("symbol", "dt", "tweet"), days, ["symbol", "dt"], "inner")
+    words = told.select("up", F.explode(tx.words(F.lower("tweet"), tx.LEXICON_WORD_PATTERN)).alias("word"))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("up").alias("rose"))
+    totals = counts.agg(F.sum("n").alias("all_n"), F.sum("rose").alias("all_rose"))
+    c = counts.join(F.broadcast(totals))  # one row
+    a = F.lit(float(prior)) * F.col("n") / F.col("all_n")
+    up, down = F.col("rose") + a, F.col("n") - F.col("rose") + a
+    all_up, all_down = F.col("all_rose") + F.lit(float(prior)), F.col("all_n") - F.col("all_rose") + F.lit(float(prior))
+    # a corpus of one word has no odds
+    odds = F.log(F.try_divide(up, all_up - up)) - F.log(F.try_divide(down, all_down - down))
+    z = c.select("word", (odds / F.sqrt(1 / up + 1 / down)).alias("z")).filter(F.abs("z") >= least_z)
+    return z.select("word", (F.col("z") / F.sqrt(1 + F.col("z") * F.col("z"))).alias("polarity"),
+                    (F.col("z") * F.col("z") / (1 + F.col("z") * F.col("z"))).alias("subjectivity"))
+
+
 def lexicon_sentiment(posts: DataFrame, lexicon: DataFrame, keys=("symbol", "dt")) -> DataFrame:
     """C12 (re-aimed): mean polarity and subjectivity of the lexicon words of each day's text;
     0 when the day has none.  The lexicon is joined by broadcast after its size is checked."""

@@ -40,12 +40,19 @@ predictions AS (
   SELECT doc_id * 2 AS seq, dt, tweet, open AS prediction, close FROM posts WHERE doc_id % 4 <> 0
   UNION ALL
   SELECT doc_id * 2 + 1 AS seq, dt, tweet, close AS prediction, close FROM posts WHERE doc_id % 8 = 1),
+lex_days AS (
+  SELECT symbol, dt, CASE WHEN next > close THEN 1 WHEN next < close THEN 0 END AS up
+  FROM (SELECT symbol, dt, close, lead(close) OVER (PARTITION BY symbol ORDER BY dt) AS next FROM bars)),
 lex_counts AS (
-  SELECT w AS word, count(*) AS cnt
-  FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS w FROM documents) GROUP BY w),
+  SELECT word, count(*) AS n, sum(up) AS rose
+  FROM (SELECT up, unnest(regexp_extract_all(lower(tweet), '[a-z]{3,}')) AS word FROM docs JOIN lex_days USING (symbol, dt) WHERE up IS NOT NULL)
+  GROUP BY word),
+lex_odds AS (
+  SELECT word, rose + 1000.0::DOUBLE * n / sum(n) OVER () AS u, n - rose + 1000.0::DOUBLE * n / sum(n) OVER () AS d,
+         sum(rose) OVER () + 1000.0::DOUBLE AS all_u, sum(n - rose) OVER () + 1000.0::DOUBLE AS all_d FROM lex_counts),
+lex_z AS (SELECT word, (ln(u / (all_u - u)) - ln(d / (all_d - d))) / sqrt(1 / u + 1 / d) AS z FROM lex_odds),
 lexicon AS (
-  SELECT word, CAST(((rn % 5) - 2) / 2 AS DOUBLE) AS polarity, CAST((rn % 4) / 3 AS DOUBLE) AS subjectivity
-  FROM (SELECT word, row_number() OVER (ORDER BY cnt DESC, word) AS rn FROM lex_counts) WHERE rn <= 20),
+  SELECT word, z / sqrt(1 + z * z) AS polarity, z * z / (1 + z * z) AS subjectivity FROM lex_z WHERE abs(z) >= 1.96),
 series_long AS (
   SELECT o_orderpriority AS k, CAST(o_orderdate AS DATE) AS dt,
          CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS y
@@ -73,6 +80,55 @@ def clean_sql(col: str) -> str:
             r"'[^\w\s$%]', '', 'g')")
 
 
+def elimination_sql(name: str, source: str, keys: str, size: int, pivots: int) -> str:
+    """CTE ``name``: the ``size`` x ``size`` matrix ``m`` of ``source`` after j = 0..``pivots`` steps of elimination, each taking
+    the next row and column out of the rest (one that depends on those before is passed over).  On covariances, the
+    last diagonal entry is what j regressors leave."""
+    cells = f"range(1, {size + 1})"
+    return f"""{name} AS (
+  SELECT {keys}, 0 AS j, m FROM {source}
+  UNION ALL
+  SELECT {keys}, j + 1, list_transform({cells}, lambda a: list_transform({cells},
+         lambda b: CASE WHEN abs(m[j + 1][j + 1]) > 1e-9 THEN m[a][b] - m[a][j + 1] * m[j + 1][b] / m[j + 1][j + 1] ELSE m[a][b] END)) FROM {name} WHERE j < {pivots})"""
+
+
+def matrix_sql(cols, of) -> str:
+    """A list of lists: ``of(a, b)`` for all pairs of ``cols``."""
+    return "[" + ", ".join("[" + ", ".join(of(a, b) for b in cols) + "]" for a in cols) + "]"
+
+
+def order_search_sql(source: str, key: str, order: str, value: str, exog, max_p: int) -> str:
+    """CTEs and SELECT: for each key the order of lowest AIC, compared on the rows that ``max_p`` lags leave."""
+    diffs = ", ".join(f"lag({value}, {i}) OVER w - lag({value}, {i + 1}) OVER w AS d{i}" for i in range(max_p + 1))
+    cols = [*exog, *[f"d{i}" for i in range(1, max_p + 1)], "d0"]
+    e, size = len(exog), len(cols)
+    return f"""os_d AS (SELECT {key}, {", ".join(exog)}, {diffs} FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY {order})),
+os_c AS (SELECT {key}, count(*) AS nobs, {matrix_sql(cols, lambda a, b: f"covar_pop({a}, {b})")} AS m
+         FROM os_d WHERE d{max_p} IS NOT NULL GROUP BY {key}),
+{elimination_sql("os_e", "os_c", f"{key}, nobs", size, size - 1)},
+os_a AS (SELECT {key}, nobs, j - {e} AS p, nobs * ln(m[{size}][{size}]) + 2 * (j + 1) AS aic FROM os_e WHERE j >= {e} AND nobs > j + 1)
+SELECT {key}, CAST(arg_min(p, aic) AS INTEGER) AS p, round(min(aic), 3) AS aic, CAST(any_value(nobs) AS INTEGER) AS nobs FROM os_a GROUP BY {key}"""
+
+
+def walk_forward_sql(source: str, key: str, order: str, value: str, exog, train: int, p: int) -> str:
+    """CTEs up to ``wf_p`` (key, order, value, yhat): at each row after ``train`` the prediction from all rows before.  The matrix
+    of past covariances has the row's own values, less the past means, below: elimination leaves the
+    prediction in the corner."""
+    diffs = ", ".join(f"lag({value}, {i}) OVER w - lag({value}, {i + 1}) OVER w AS d{i}" for i in range(p + 1))
+    x = [*[f"d{i}" for i in range(1, p + 1)], *exog]
+    cov = [[f"covar_pop({a}, {b}) OVER past" for b in [*x, "d0"]] for a in x]
+    own = [*[f"{a} - avg({a}) OVER past" for a in x], "0.0::DOUBLE"]
+    rows = ", ".join("[" + ", ".join(r) + "]" for r in [*cov, own])
+    n = len(x) + 1
+    return f"""wf_d AS (SELECT {key}, {order}, {value}, {", ".join(exog)}, {diffs}, lag({value}) OVER w AS y1, row_number() OVER w AS pos
+         FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY {order})),
+wf_c AS (SELECT {key}, {order}, {value}, y1, pos, avg(d0) OVER past AS base, [{rows}] AS m FROM wf_d WHERE d{p} IS NOT NULL
+         WINDOW past AS (PARTITION BY {key} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+wf_s AS (SELECT * FROM wf_c WHERE pos > {train}),
+{elimination_sql("wf_e", "wf_s", f"{key}, {order}, {value}, y1, base", n, n - 1)},
+wf_p AS (SELECT {key}, {order}, {value}, y1 + base - m[{n}][{n}] AS yhat FROM wf_e WHERE j = {n - 1})"""
+
+
 def fingerprint_sql(col: str) -> str:
     return f"CAST(('0x' || substr(md5({col}), 1, 8)) AS BIGINT)"
 

@@ -12,6 +12,7 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import text as tx
+from ..operators.embedding import ShardedWord2Vec
 from ..operators.features import assemble
 from ..operators.textops import hashed_embedding, word2vec
 
@@ -40,20 +41,26 @@ TEXT_STAGES = 4   # the first stages need no fitting: null drop, cleaner, tokens
 
 
 def preprocessing_stages(vector_size: int = 100, min_count: int = 0, num_partitions: int = 1,
-                         seed: int = 42, embedding: str = "word2vec") -> list:
+                         seed: int = 42, embedding: str = "sharded", rounds: int = 1) -> list:
     """null drop -> clean -> tokens -> stop words -> embedding -> assemble numerics -> min-max ->
-    assemble(embedding, scaled) -> select (all input columns kept, unlike the reference).  ``embedding``:
-    "word2vec" as in the reference, or "hashed", which needs no vocabulary on the driver."""
-    if embedding not in ("word2vec", "hashed"):
+    assemble(embedding, scaled) -> select (all input columns kept, unlike the reference).  ``embedding``: "sharded", word
+    vectors with the vocabulary in shards (``rounds`` passes); "word2vec", Spark's, whose vocabulary is on the driver
+    and which takes ``min_count`` and ``num_partitions``; or "hashed", token counts without a vocabulary."""
+    if embedding not in ("sharded", "word2vec", "hashed"):
         raise ValueError(f"unknown embedding {embedding!r}")
+    if embedding == "sharded":
+        embedder = ShardedWord2Vec(vectorSize=vector_size, maxIter=rounds, seed=seed, inputCol="tokens", outputCol="embedding")
+    elif embedding == "hashed":
+        embedder = hashed_embedding(vector_size, "tokens", "embedding")
+    else:
+        embedder = word2vec(vector_size=vector_size, min_count=min_count, num_partitions=num_partitions,
+                            seed=seed, col="tokens", out="embedding")
     return [
         null_drop_stage(["tweet", *NUMERIC_INPUTS]),
         cleaner_stage(),
         Tokenizer(inputCol="clean_tweet", outputCol="tokens_all"),
         StopWordsRemover(inputCol="tokens_all", outputCol="tokens", stopWords=tx.ENGLISH_STOP_WORDS),
-        hashed_embedding(vector_size, "tokens", "embedding") if embedding == "hashed" else
-        word2vec(vector_size=vector_size, min_count=min_count, num_partitions=num_partitions,
-                 seed=seed, col="tokens", out="embedding"),
+        embedder,
         assemble(NUMERIC_INPUTS, "numeric_raw"),
         MinMaxScaler(inputCol="numeric_raw", outputCol="numeric_scaled"),
         assemble(["embedding", "numeric_scaled"], "features"),

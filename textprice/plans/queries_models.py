@@ -13,7 +13,7 @@ from ..sources import fixtures as fx
 from . import preprocessing as pp
 from .catalog import register
 from .daily import daily_features as build_daily
-from .oracle import clean_sql
+from .oracle import clean_sql, order_search_sql, walk_forward_sql
 from .queries_relational import ATTACH_SQL
 from .queries_stream import finite
 from .queries_text import _TFIDF_CTE
@@ -62,6 +62,23 @@ def linreg_fit(spark, sf):
         F.round(F.lit(float(m.intercept)), 6).alias("intercept"), "n")
 
 
+_FOLD_SQL = "CAST(('0x' || substr(md5('7:' || CAST(doc_id AS VARCHAR)), 1, 6)) AS BIGINT) % 5"
+
+
+@register("linreg_folds", f"""
+, f AS (SELECT close, open, {_FOLD_SQL} AS fold FROM posts),
+s AS (SELECT fold, (SELECT regr_slope(close, open) FROM f b WHERE b.fold <> a.fold) AS slope,
+             (SELECT regr_intercept(close, open) FROM f b WHERE b.fold <> a.fold) AS icpt FROM (SELECT DISTINCT fold FROM f) a)
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, round(sqrt(avg((close - icpt - slope * open) * (close - icpt - slope * open))), 6) AS rmse
+FROM f JOIN s USING (fold) GROUP BY fold""")
+def linreg_folds(spark, sf):
+    """G12 for least squares: every fold's error from one pass of sums."""
+    fold = F.conv(F.substring(F.md5(F.concat(F.lit("7:"), F.col("doc_id").cast("string"))), 1, 6), 16, 10).cast("long") % 5
+    p = fx.posts(spark, sf).select("open", "close", fold.cast("int").alias("fold"))
+    cv = models.linear_cross_validation(ft.assemble(["open"], "features").transform(p))
+    return cv.withColumn("rmse", F.round("rmse", 6))
+
+
 @register("regression_metrics", ATTACH_SQL + """
 SELECT count(*) AS n, round(sqrt(avg((close - prediction) * (close - prediction))), 6) AS rmse,
        round(1 - sum((close - prediction) * (close - prediction)) / (var_pop(close) * count(*)), 6) AS r2
@@ -73,7 +90,7 @@ def regression_metrics(spark, sf):
     return m.select("n", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
 
 
-def _daily_sql():
+def _daily_sql(digits="round({}, 6)"):
     mm = ["volume", "n_posts", "max_tfidf", "mean_tfidf", "sum_tfidf", "close"]
     zc = ["volume", "open", "n_posts", "max_tfidf", "mean_tfidf", "sum_tfidf", "close"]
     other = ["high", "low", "polarity", "subjectivity"]
@@ -81,7 +98,7 @@ def _daily_sql():
         f"CASE WHEN max({c}) OVER s = min({c}) OVER s THEN {c} - min({c}) OVER s "
         f"ELSE ({c} - min({c}) OVER s) / (max({c}) OVER s - min({c}) OVER s) END AS {c}" for c in mm)
     z_sel = ", ".join(
-        f"round(({c} - avg({c}) OVER s) / CASE WHEN stddev_pop({c}) OVER s = 0 THEN 1 ELSE stddev_pop({c}) OVER s END, 6) AS {c}"
+        digits.format(f"({c} - avg({c}) OVER s) / CASE WHEN stddev_pop({c}) OVER s = 0 THEN 1 ELSE stddev_pop({c}) OVER s END") + f" AS {c}"
         for c in zc)
     return _TFIDF_CTE + f""",
 roll AS (SELECT symbol, dt, CAST(count(*) AS DOUBLE) AS n_posts, arg_min(open, doc_id) AS open,
@@ -99,7 +116,7 @@ base AS (SELECT r.symbol, r.dt, r.open, r.high, r.low, r.close, r.volume, r.n_po
                 t.max_tfidf, t.mean_tfidf, t.sum_tfidf
          FROM roll r LEFT JOIN sc USING (symbol, dt) LEFT JOIN tfs t USING (symbol, dt)),
 mmd AS (SELECT symbol, dt, open, {", ".join(other)}, {mm_sel} FROM base WINDOW s AS (PARTITION BY symbol))
-SELECT symbol, CAST(dt AS VARCHAR) AS dt, {", ".join(f"round({c}, 6) AS {c}" for c in other)}, {z_sel}
+SELECT symbol, CAST(dt AS VARCHAR) AS dt, {", ".join(f"{digits.format(c)} AS {c}" for c in other)}, {z_sel}
 FROM mmd WINDOW s AS (PARTITION BY symbol)"""
 
 
@@ -124,7 +141,7 @@ def _corr_parts(cols):
 
 SENTIMENT_COLS = ["close", "polarity", "subjectivity"]
 TFIDF_COLS = ["close", "volume", "n_posts", "max_tfidf", "mean_tfidf", "sum_tfidf"]
-EXOG = ["volume", "n_posts", "polarity", "max_tfidf", "mean_tfidf", "sum_tfidf"]
+EXOG = ["volume", "open", "n_posts", "max_tfidf", "mean_tfidf", "sum_tfidf"]  # of the daily forecasts of the close
 
 
 def _daily_corr(spark, sf, cols):
@@ -144,21 +161,28 @@ def corr_tfidf(spark, sf):
     return _daily_corr(spark, sf, TFIDF_COLS)
 
 
-@register("daily_order_search", _base_daily_sql("SELECT symbol, CAST(count(*) - 1 - 2 AS INTEGER) AS nobs, true AS valid FROM base GROUP BY symbol"))
+def _scaled_daily_sql():
+    """CTEs up to ``scaled``: the daily features as the forecasts take them, unrounded."""
+    sql = _daily_sql("{}")
+    at = sql.rindex("\nSELECT symbol")
+    return sql[:at] + ",\nscaled AS (" + sql[at:] + "),\n"
+
+
+@register("daily_order_search", _scaled_daily_sql() + order_search_sql("scaled", "symbol", "dt", "close", EXOG, 5))
 def daily_order_search(spark, sf):
-    """H4 on the daily features: lag order by AIC with the six exogenous columns."""
+    """H4 on the daily features: lag order 0..5 by AIC with the six exogenous columns."""
     d = build_daily(fx.posts(spark, sf), fx.lexicon(spark, sf))
-    o = ts.order_search(d, "close", "symbol", EXOG, max_p=2)
-    return o.select("symbol", "nobs", F.col("p").between(0, 2).alias("valid"))
+    o = ts.order_search(d, "close", "symbol", EXOG, max_p=5)
+    return o.select("symbol", "p", F.round("aic", 3).alias("aic"), "nobs")
 
 
-@register("daily_walk_forward", _base_daily_sql("""SELECT symbol, CAST(dt AS VARCHAR) AS dt, true AS finite FROM (
-  SELECT symbol, dt, row_number() OVER (PARTITION BY symbol ORDER BY dt) AS pos FROM base) WHERE pos > 20"""))
+@register("daily_walk_forward", _scaled_daily_sql() + walk_forward_sql("scaled", "symbol", "dt", "close", EXOG, 20, 1) + """
+SELECT symbol, dt, round(yhat, 5) AS yhat FROM wf_p""")
 def daily_walk_forward(spark, sf):
     """H5 on the daily features: one-step forecasts of the close with the six exogenous columns."""
     d = build_daily(fx.posts(spark, sf), fx.lexicon(spark, sf))
     w = ts.walk_forward_arx(d, "close", "symbol", EXOG, 20, p=1)
-    return w.select("symbol", F.col("dt").cast("string").alias("dt"), finite("yhat").alias("finite"))
+    return w.select("symbol", F.col("dt").cast("string").alias("dt"), F.round("yhat", 5).alias("yhat"))
 
 
 # ---- fitted pipelines ------------------------------------------------------------------------
@@ -177,13 +201,13 @@ def _split_posts(spark, sf):
 @register("feature_width", "SELECT 104 AS min_width, 104 AS max_width, count(*) AS n_rows FROM clean_posts WHERE clean_tweet <> ''")
 def feature_width(spark, sf):
     p = _split_posts(spark, sf)
-    return models.feature_width(pp.fit_preprocessing(p, embedding="hashed").transform(p))
+    return models.feature_width(pp.fit_preprocessing(p).transform(p))
 
 
 @register("batch_score", _PART + "SELECT doc_id, close, true AS finite FROM part WHERE part = 'test'")
 def batch_score(spark, sf):
     p = _split_posts(spark, sf)
-    model = pp.fit_full_model(p.filter(F.col("part") == "train"), embedding="hashed")
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"))
     return pp.score(p.filter(F.col("part") == "test"), model).select("doc_id", "close", finite().alias("finite"))
 
 
@@ -192,7 +216,7 @@ SELECT doc_id, count(*) AS n, true AS finite FROM posts_dirty WHERE coalesce({cl
 def score_dirty(spark, sf):
     """G16/G17 on dirty rows: rows without a close don't train, all rows with inputs and a text are scored."""
     p = fx.posts_dirty(spark, sf)
-    s = pp.score(p, pp.fit_full_model(p, embedding="hashed"))
+    s = pp.score(p, pp.fit_full_model(p))
     return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.every(finite()).alias("finite"))
 
 
@@ -202,7 +226,7 @@ def train_from_table(spark, sf):
     """G16 from the stored (features, close) table.  Least squares leaves residuals without a mean and
     without covariance with any feature: checked relative to the label's and the features' spread."""
     p = _split_posts(spark, sf).filter(F.col("part") == "train")
-    path = pp.write_training_table(p, pp.fit_preprocessing(p, embedding="hashed"), scratch_path(spark, "training"))
+    path = pp.write_training_table(p, pp.fit_preprocessing(p), scratch_path(spark, "training"))
     model = pp.train_from_table(spark, path)
     t = model.transform(spark.read.parquet(path)).withColumn("e", F.col("close") - F.col("prediction"))
     a = vector_to_array("features")
@@ -223,7 +247,7 @@ def train_from_table(spark, sf):
 @register("model_roundtrip", _PART + "SELECT doc_id, true AS same FROM part WHERE part = 'test'")
 def model_roundtrip(spark, sf):
     p = _split_posts(spark, sf)
-    model = pp.fit_full_model(p.filter(F.col("part") == "train"), embedding="hashed")
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"))
     path = pp.save_model(model, scratch_path(spark, "model"))
     test = p.filter(F.col("part") == "test")
     a = model.transform(test).select("doc_id", "prediction")
@@ -237,7 +261,7 @@ SELECT * FROM (VALUES ('Linear Regression', 1, true), ('Decision Tree Regression
 def model_compare(spark, sf):
     p = _split_posts(spark, sf)
     train_raw = p.filter(F.col("part") == "train")
-    prep = pp.fit_preprocessing(train_raw, embedding="hashed")  # fitted inside the split (no leakage)
+    prep = pp.fit_preprocessing(train_raw)  # fitted inside the split (no leakage)
     train = ft.fold_column(prep.transform(train_raw)).select("features", "close", "fold").persist()
     test = prep.transform(p.filter(F.col("part") == "test")).select("features", "close").persist()
     try:

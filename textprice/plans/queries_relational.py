@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import joins, ordering, quality, stats
+from ..operators import joins, ordering, quality, sketches, stats
 from ..schemas import LIVE_COLUMNS
+from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources.tables import table
 from .catalog import register
 from .oracle import fingerprint_sql
 
@@ -245,6 +247,24 @@ def describe_numeric(spark, sf):
                     *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")])
 
 
+_RANGE = ("2024-01-05", "2024-01-20")
+
+
+@register("describe_day_range", f"""
+SELECT event_type AS symbol, 'value' AS metric, count(value) AS n, min(value) AS lo, max(value) AS hi, round(avg(value), 6) AS mean, true AS quartiles_close
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '{_RANGE[0]}' AND DATE '{_RANGE[1]}' GROUP BY event_type""")
+def describe_day_range(spark, sf):
+    """D9 of a range of days, from a written table of one sketch per (symbol, day): counts, extremes and means are exact,
+    quartiles within the sketch's rank error of the exact ones."""
+    events = table(spark, sf, "events").select(F.col("event_type").alias("symbol"), F.to_date("ts").alias("dt"), "value")
+    path = scratch_path(spark, "day-sketches")
+    sketches.day_sketches(events, ["value"]).write.parquet(path)
+    told = sketches.describe_range(spark.read.parquet(path), ["value"], *_RANGE)
+    off = sketches.rank_errors(events.where(F.col("dt").between(*[F.lit(d).cast("date") for d in _RANGE])), told, ["value"], ["symbol"])
+    return told.join(off, ["symbol", "metric"]).select("symbol", "metric", "n", "lo", "hi", F.round("mean", 6).alias("mean"),
+                                                       (F.col("rank_error") <= sketches.RANK_ERROR).alias("quartiles_close"))
+
+
 HIST_COLS = ["low", "high", "open", "close", "volume"]
 
 

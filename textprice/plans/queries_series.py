@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import timeseries as ts
 from ..sources import fixtures as fx
 from .catalog import register
+from .oracle import order_search_sql, walk_forward_sql
 
 NLAGS = 20
 TRAIN_DAYS = 166
@@ -99,14 +100,6 @@ def unit_root_aic(spark, sf):
     return u.select("k", (F.col("nobs") + F.col("used_lag")).cast("long").alias("n_rows"), valid.alias("valid"))
 
 
-@register("order_search", """
-SELECT k, CAST(count(*) - 1 - 5 AS INTEGER) AS nobs, true AS valid FROM series_long GROUP BY k""")
-def order_search(spark, sf):
-    """H4 over p = 0..5 (the AIC values themselves: ``order_search_p1``)."""
-    o = ts.order_search(fx.series_x(spark, sf), "y", "k", ["n_orders"], max_p=5)
-    return o.select("k", "nobs", (F.col("p").between(0, 5) & (F.abs("aic") < float("inf"))).alias("valid"))
-
-
 # y in millions with the day's number of orders; differences and their lags
 _ARX_CTE = """
 , x AS (SELECT o_orderpriority AS k, CAST(o_orderdate AS DATE) AS dt,
@@ -117,6 +110,13 @@ dx AS (SELECT k, dt, y, n, row_number() OVER w AS pos, lag(y) OVER w AS y1, y -
 """
 
 
+@register("order_search", _ARX_CTE + ", " + order_search_sql("x", "k", "dt", "y", ["n"], 5))
+def order_search(spark, sf):
+    """H4 over p = 0..5 on the long series."""
+    o = ts.order_search(fx.series_x(spark, sf), "y", "k", ["n_orders"], max_p=5)
+    return o.select("k", "p", F.round("aic", 3).alias("aic"), "nobs")
+
+
 @register("order_search_p1", _ARX_CTE + """
 , c AS (SELECT k, count(*) AS m, var_pop(n) AS nn, var_pop(d1) AS dd, covar_pop(n, d1) AS nd, covar_pop(dy, n) AS yn,
                covar_pop(dy, d1) AS yd, var_pop(dy) AS yy FROM dx WHERE d1 IS NOT NULL GROUP BY k),
@@ -164,6 +164,14 @@ def walk_forward_arx(spark, sf):
     return w.select("k", F.col("dt").cast("string").alias("dt"), "y", F.round("yhat", 5).alias("yhat"))
 
 
+@register("walk_forward_arx3", _ARX_CTE + ", " + walk_forward_sql("x", "k", "dt", "y", ["n"], TRAIN_DAYS, 3) + """
+SELECT k, CAST(dt AS VARCHAR) AS dt, y, round(yhat, 5) AS yhat FROM wf_p""")
+def walk_forward_arx3(spark, sf):
+    """H5 with three lags, the series split into blocks of 500 rows."""
+    w = ts.walk_forward_arx(fx.series_x(spark, sf), "y", "k", ["n_orders"], TRAIN_DAYS, p=3, block_rows=500)
+    return w.select("k", F.col("dt").cast("string").alias("dt"), "y", F.round("yhat", 5).alias("yhat"))
+
+
 @register("running_metrics", _WF_CTE + """
 , rm AS (SELECT k, dt, count(*) OVER c AS n, sum((v - yhat) * (v - yhat)) OVER c AS sse,
                 sum(v) OVER c AS sy, sum(v * v) OVER c AS syy

@@ -9,11 +9,12 @@ import os
 from pyspark.sql import functions as F
 
 from ..operators import features as ft
+from ..operators import joins, sketches
 from ..schemas import POST_MESSAGE_SCHEMA, PREDICTION_MESSAGE_SCHEMA
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.files import encode_json
-from ..streaming import correlate, deadletter, ingest, kpis, live, score
+from ..streaming import correlate, deadletter, distributions, ingest, kpis, live, liveview, score
 from . import preprocessing as pp
 from .catalog import register
 from .queries_relational import ATTACH_SQL, POSTS_SQL, _hist_sql, _posts_out
@@ -114,6 +115,75 @@ def _correlated(spark, sf):
     return correlate.latest_state(matches)
 
 
+def _live_log(spark, sf):
+    """The live view's log of versions: the posts first, then the predictions, two runs of one streaming query."""
+    d = _dirs(spark, "live-view")
+    posts, preds = _post_messages(spark, sf), fx.predictions(spark, sf).withColumn("dt", F.col("dt").cast("string"))
+    ingest.write_messages(posts, d["in"])
+    ingest.write_messages(preds.limit(0), d["in2"])
+    for late in (None, preds):
+        if late is not None:
+            ingest.write_messages(late, d["in2"])
+        log = liveview.live_versions(ingest.read_messages(spark, d["in"], POST_MESSAGE_SCHEMA),
+                                     ingest.read_messages(spark, d["in2"], PREDICTION_MESSAGE_SCHEMA))
+        ingest.run_to_table(log, d["out"], d["ckpt"], fail_on_dropped=True)
+    return d["out"]
+
+
+@register("stream_live_view", ATTACH_SQL + """
+SELECT doc_id, CAST(dt AS VARCHAR) AS dt, symbol, close, prediction, sentiment FROM attached""")
+def stream_live_view(spark, sf):
+    """I4/I5 by keyed state: every post shown on arrival, and again with its last prediction."""
+    return liveview.live_rows(spark, _live_log(spark, sf)).select("doc_id", "dt", "symbol", "close", "prediction", "sentiment")
+
+
+@register("stream_live_versions", ATTACH_SQL + """
+SELECT CASE WHEN prediction IS NULL THEN 1 ELSE 2 END AS versions, CAST(count(*) AS BIGINT) AS n_posts FROM attached GROUP BY 1""")
+def stream_live_versions(spark, sf):
+    """I4: how often posts were shown: once unscored, once more when the prediction came."""
+    log = spark.read.schema(liveview.VIEW_SCHEMA).parquet(_live_log(spark, sf))
+    return log.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("versions")) \
+        .groupBy("versions").agg(F.count(F.lit(1)).alias("n_posts"))
+
+
+_DIST_METRICS = ("low", "high", "open", "close", "volume")
+
+
+def _running_state(spark, sf):
+    """The attached posts as a stream, in several micro-batches; the newest state of the running distributions."""
+    d = _dirs(spark, "distributions")
+    rows = joins.attach_predictions(fx.posts(spark, sf), fx.predictions(spark, sf)).drop("tweet").withColumn("dt", F.col("dt").cast("string"))
+    rows.repartition(4).write.parquet(d["in"])
+    s = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(d["in"])
+    ingest.run_foreach_batch(distributions.running_state(s), kpis.write_by_batch(d["out"]), d["ckpt"], "complete")
+    s = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(d["in"])
+    ingest.run_foreach_batch(s, distributions.write_latest(d["dead"]), d["ckpt"] + "-latest")
+    return kpis.read_newest(spark, d["out"]), kpis.read_newest(spark, d["dead"])
+
+
+@register("stream_distributions", ATTACH_SQL + "\nUNION ALL ".join(f"""
+SELECT '{c}' AS metric, CAST(count({c}) AS BIGINT) AS n, min({c}) AS lo, max({c}) AS hi, round(avg({c}), 6) AS mean, true AS quartiles_close,
+       CAST(count_if(sentiment = 'Positive') AS BIGINT) AS n_positive, CAST(count_if(sentiment = 'Negative') AS BIGINT) AS n_negative FROM attached"""
+                                                                  for c in _DIST_METRICS))
+def stream_distributions(spark, sf):
+    """Counts, extremes, means and label counts of the running state are exact; the ranks of its quartiles among all rows
+    are within the sketch's error."""
+    state, _ = _running_state(spark, sf)
+    told = sketches.describe_sketches(state, _DIST_METRICS)
+    exact = sketches.rank_errors(fx.posts(spark, sf), told, _DIST_METRICS)
+    labels = state.select("n_positive", "n_negative")
+    return (told.join(exact, "metric").join(F.broadcast(labels))
+            .select("metric", "n", "lo", "hi", F.round("mean", 6).alias("mean"), (F.col("rank_error") <= sketches.RANK_ERROR).alias("quartiles_close"),
+                    "n_positive", "n_negative"))
+
+
+@register("stream_latest", ATTACH_SQL + """
+SELECT doc_id, CAST(dt AS VARCHAR) AS dt, symbol, close, prediction, sentiment FROM attached ORDER BY dt DESC, doc_id DESC LIMIT 10""")
+def stream_latest(spark, sf):
+    """E4 per micro-batch: the ten latest rows of the stream so far."""
+    return _running_state(spark, sf)[1].select("doc_id", "dt", "symbol", "close", "prediction", "sentiment")
+
+
 _DEAD_SQL = r"""
 , msg AS (SELECT doc_id, tweet, close, open, high, low, volume, (doc_id % 23 = 0) AS broken FROM posts_dirty)
 SELECT reason, count(*) AS n FROM (
@@ -159,7 +229,7 @@ def _train_posts(spark, sf):
 
 def _saved_model(spark, sf, name):
     """The full pipeline, fitted on the training posts, saved and loaded again."""
-    model = pp.fit_full_model(_train_posts(spark, sf), embedding="hashed")
+    model = pp.fit_full_model(_train_posts(spark, sf))
     return pp.load_model(pp.save_model(model, scratch_path(spark, name)))
 
 

@@ -141,6 +141,24 @@ def embed_text(spark, sf):
     return e.select("doc_id", F.size(v).alias("dim"), F.forall(v, lambda x: F.abs(x) < float("inf")).alias("finite"))
 
 
+@register("embed_sharded", _TOK_CTE + f"""
+SELECT doc_id, 100 AS dim, len(list_filter(tokens_all, lambda x: NOT list_contains({_stop_list_sql()}, lower(x)))) > 0 AS moved, true AS finite FROM toks""")
+def embed_sharded(spark, sf):
+    """Document vectors by skip-gram with the vocabulary in shards, fitted and applied on whole texts; a document's
+    vector is not zero exactly if it has tokens."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..operators.embedding import ShardedWord2Vec
+    t = _tokens(spark, sf).select("doc_id", "tokens").persist()
+    try:
+        e = ShardedWord2Vec(vectorSize=100, maxIter=1).fit(t).transform(t)
+        v = vector_to_array("embedding")
+        return e.select("doc_id", F.size(v).alias("dim"), F.exists(v, lambda x: x != 0).alias("moved"),
+                        F.forall(v, lambda x: F.abs(x) < float("inf")).alias("finite"))
+    finally:
+        t.unpersist()
+
+
 @register("embed_hashed", _TOK_CTE + f"""
 SELECT doc_id, 100 AS dim, CAST(len(list_filter(tokens_all, lambda x: NOT list_contains({_stop_list_sql()}, lower(x)))) AS DOUBLE) AS mass FROM toks""")
 def embed_hashed(spark, sf):

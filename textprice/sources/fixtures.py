@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_small
+from ..operators.textops import learn_lexicon
 from .tables import spread, table
 
 # Fixed values of the fixture rules (FIXTURES.md): symbols by doc_id % 5, 30 days from 2024-01-01.
@@ -101,27 +102,9 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(F.col("v").isNotNull()).select("v.seq", "dt", "tweet", "v.prediction", "close")
 
 
-def lexicon(spark: SparkSession, sf_dir: str, n_words: int = 20) -> DataFrame:
-    """Sentiment lexicon (word, polarity, subjectivity) from the most frequent words.
-
-    Word counts are a partial aggregation; the top ``n_words`` is a TakeOrderedAndProject, so
-    the result is bounded by ``n_words`` whatever the corpus size.
-    """
-    d = spread(table(spark, sf_dir, "documents").select("text"))
-    words = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([a-z]{3,})"), 1)).alias("word"))
-    top = (words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
-           .orderBy(F.col("cnt").desc(), F.col("word")).limit(n_words))
-    rn = F.row_number().over(_top_window())
-    ranked = top.withColumn("rn", rn)
-    return ranked.select("word",
-                         (((F.col("rn") % 5) - 2) / 2).cast("double").alias("polarity"),
-                         ((F.col("rn") % 4) / 3).cast("double").alias("subjectivity"))
-
-
-def _top_window():
-    from pyspark.sql import Window
-    # Ranks the already-limited top-n rows only (bounded input).
-    return Window.orderBy(F.col("cnt").desc(), F.col("word"))
+def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lexicon learnt from the documents and what their symbols' closes did next."""
+    return learn_lexicon(docs(spark, sf_dir), bars(spark, sf_dir))
 
 
 def series_long(spark: SparkSession, sf_dir: str) -> DataFrame:

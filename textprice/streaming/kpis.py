@@ -14,16 +14,33 @@ def symbol_totals(stream: DataFrame) -> DataFrame:
 
 def write_by_batch(path: str):
     """foreachBatch writer for complete-mode results: each batch is a table of its own (a replayed batch
-    overwrites itself), so readers never see a half-written one."""
+    overwrites itself), so readers never see a half-written one.  The newest two stay: the one before the
+    newest for those who are reading it."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch-{batch_id}")
+        jvm, fs = _file_system(batch.sparkSession, path)
+        for old in sorted(complete_batches(batch.sparkSession, path))[:-2]:
+            fs.delete(jvm.Path(f"{path}/batch-{old}"), True)
     return write
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm.org.apache.hadoop.fs
+    return jvm, jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm, fs = _file_system(spark, path)
+    return fs.exists(jvm.Path(path))
+
+
+def complete_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that are written to the end."""
+    jvm, fs = _file_system(spark, path)
+    return [int(s.getPath().getName().split("-")[1]) for s in fs.listStatus(jvm.Path(path))
+            if s.getPath().getName().startswith("batch-") and fs.exists(jvm.Path(s.getPath(), "_SUCCESS"))]
+
+
 def read_newest(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete batch."""
-    jvm = spark._jvm.org.apache.hadoop.fs
-    fs = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    ids = [int(s.getPath().getName().split("-")[1]) for s in fs.listStatus(jvm.Path(path))
-           if s.getPath().getName().startswith("batch-") and fs.exists(jvm.Path(s.getPath(), "_SUCCESS"))]
-    return spark.read.parquet(f"{path}/batch-{max(ids)}")
+    return spark.read.parquet(f"{path}/batch-{max(complete_batches(spark, path))}")
