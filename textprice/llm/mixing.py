@@ -2,24 +2,26 @@
 iterative proportional fitting, then documents sampled with calibrated probabilities.
 
 Method.  The corpus is reduced to token counts per (source, language, topic) cell.  The fitted weight of
-a cell is its tokens times one factor per source, per language and per topic.  The languages and topics of
-a run are given lists (with one place for all others), so their marginals are a bounded matrix; sources
-may be any number.  A round sets every source's factor in its row of the cell table, and one aggregation
+a cell is its tokens times one factor per source, per language and per topic.  Languages are those of the corpus, found
+by one aggregation (codes: more than ``MAX_LANGUAGES`` different ones are an error), topics a given list with one place
+for all others, so their marginals are a bounded matrix; sources may be any number.  A round sets every
+source's factor in its row of the cell table, and one aggregation
 brings back the language-by-topic matrix of fitted tokens, from which the language factors and then the
 topic factors are set.  Rounds end when the marginals agree with the targets within ``TOLERANCE``, or after
 ``MAX_ROUNDS``: targets that contradict one another are then missed by an error that is warned of.
 
-A cell's probability is its fitted over its present tokens, scaled so that the greatest is 1 (or so
-that ``tokens`` are expected, if that asks for less); a document is taken if the hash of its key and
-``seed`` falls under it.  So no document is repeated, marginals are met in expectation, and a choice
-depends on nothing but the key, the seed and the cell.
+A cell's probability is c times its fitted over its present tokens, 1 at most.  c is such that ``tokens`` are expected, or
+the share ``keep`` of all: so what is kept of the corpus is set by the caller alone, not by the rarest cell.  A cell that would
+need more than all its documents is taken whole and falls short of its target; no document is repeated; all other
+cells stand to one another as fitted.  A document is taken if the hash of its key and ``seed`` falls under its
+probability: a choice depends on nothing but the key, the seed and the cell.
 
 Targets are shares: ``{value: share}``, or the present shares to the power ``TEMPER`` (1: as they are, 0: all
 equal), which lifts small sources, languages and topics.  Powers of each margin by itself may contradict one
 another (if sources determine languages); with ``joint`` the power is taken of the cells, and the targets are
 the margins of that one table, which can always be met together.
 
-Results for special inputs: null sources are one source; null and unlisted languages and topics are the
+Results for special inputs: null sources are one source, null languages one language, null and unlisted topics the
 place of all others; null and empty texts have no tokens and get the probability of their cell, 0 if
 the cell has no tokens at all, unless no cell has; rows with a null key share one draw, as do repeated
 rows; an empty table gives an empty result; an input column with the name of an output column is replaced.
@@ -34,7 +36,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, quoted, without, written
 
-LANGUAGES = ("en", "de", "fr", "es")
+MAX_LANGUAGES = 4096
+KEEP = 0.9  # share of the tokens that is taken
 TOPICS = ("legal", "contact", "table", "list")
 TEMPER = 0.9
 TOLERANCE = 1e-7
@@ -59,11 +62,28 @@ def surface_topic(text: Column) -> Column:
 
 
 def place_in(column: Column, values) -> Column:
-    """Number of the value in the list, the list's length for all others."""
-    out = F.lit(len(values))
-    for i, v in enumerate(values):
-        out = F.when(column == v, i).otherwise(out)
-    return out
+    """Number of the value in the list, the list's length for all others and null."""
+    at = F.array_position(F.lit(list(values)).cast("array<string>"), column.cast("string")).cast("int") - 1 if values else F.lit(-1)
+    return F.when(at >= 0, at).otherwise(F.lit(len(values)))
+
+
+def languages_of(facts: DataFrame) -> list[str]:
+    """The languages of (_l, n) by tokens, most first; null is none."""
+    rows = (facts.where("_l IS NOT NULL").groupBy("_l").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "_l")
+            .limit(MAX_LANGUAGES + 1).collect())
+    if len(rows) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: not a column of language codes")
+    return [r["_l"] for r in rows]
+
+
+def in_order(given: dict | None, values) -> list[float] | None:
+    """Shares by value in the order of ``values``, then that of all others (key None)."""
+    if given is None:
+        return None
+    unknown = set(given) - {*values, None}
+    if any(given[v] for v in unknown):
+        raise ValueError(f"shares of values that are not there: {sorted(unknown)}")
+    return [float(given.get(v, 0.0)) for v in [*values, None]]
 
 
 def rake(sources: DataFrame, languages: int, topics: int, source_shares=None, language_shares=None, topic_shares=None,
@@ -76,9 +96,11 @@ def rake(sources: DataFrame, languages: int, topics: int, source_shares=None, la
     cells = languages * topics
 
     def summed(weight, m="m"):
-        parts = sources.select(*[(F.get(m, F.lit(i)) * weight).alias(f"c{i}") for i in range(cells)])
-        row = parts.agg(*[F.coalesce(F.sum(f"c{i}"), F.lit(0.0)) for i in range(cells)]).first()
-        return np.array(row, dtype=np.float64).reshape(languages, topics)
+        parts = sources.select(F.posexplode(F.transform(m, lambda n: n * weight)).alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n"))
+        out = np.zeros(cells)
+        for r in parts.collect():  # languages times topics numbers
+            out[r["i"]] = r["n"] or 0.0
+        return out.reshape(languages, topics)
 
     def tempered(x):
         return np.where(x > 0, np.maximum(x, 1e-300) ** temper, 0.0)
@@ -128,41 +150,58 @@ def rake(sources: DataFrame, languages: int, topics: int, source_shares=None, la
     return factor, a, b, done, error
 
 
+def scale_for(fitted: DataFrame, budget: float, steps: int = 64, passes: int = 4) -> float:
+    """c for which the cells (m, ratio) give the sum of m * min(c * ratio, 1) as ``budget``, found by narrowing a range of
+    c, one aggregation a pass.  Infinite if all that can be taken is less."""
+    import numpy as np
+    pairs = fitted.select(F.explode(F.arrays_zip("m", "ratio")).alias("x")).select("x.m", "x.ratio").where("m > 0 AND ratio > 0")
+    end = pairs.agg(F.min("ratio").alias("lo"), F.max("ratio").alias("hi"), F.sum("m").alias("n")).first()
+    if end["n"] is None or end["n"] <= budget:
+        return float("inf")
+    lo, hi = budget / end["n"] / end["hi"], 1 / end["lo"]  # at lo no more than the budget is taken, at hi all
+    for _ in range(passes):
+        grid = np.exp(np.linspace(np.log(lo), np.log(hi), steps))
+        taken = pairs.agg(*[F.sum(F.col("m") * F.least(F.col("ratio") * F.lit(float(c)), F.lit(1.0))).alias(f"t{i}") for i, c in enumerate(grid)]).first()
+        at = int(np.searchsorted(np.maximum.accumulate(np.array(taken, dtype=float)), budget))
+        lo, hi = float(grid[max(at - 1, 0)]), float(grid[min(at, steps - 1)])
+    return hi if hi == lo else lo + (hi - lo) / 2
+
+
 def mix_sources(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", language: str = "lang",
-                topic: Column | None = None, languages=LANGUAGES, topics=TOPICS, source_shares: dict | None = None,
-                language_shares=None, topic_shares=None, temper: float = TEMPER, tokens: float | None = None,
-                seed: int = SEED, joint: bool = False) -> DataFrame:
-    """``docs`` with topic, n_tokens, weight (the fitted share of its tokens), probability and selected.
-    ``language_shares`` and ``topic_shares``: target shares in the order of the lists, the last of all others."""
-    keep = without(docs, OUTPUTS)
-    nl, nt = len(languages) + 1, len(topics) + 1
+                topic: Column | None = None, topics=TOPICS, source_shares: dict | None = None,
+                language_shares: dict | None = None, topic_shares: dict | None = None, temper: float = TEMPER,
+                keep: float = KEEP, tokens: float | None = None, seed: int = SEED, joint: bool = False) -> DataFrame:
+    """``docs`` with topic, n_tokens, weight (the fitted share of its tokens), probability and selected.  In ``language_shares``
+    and ``topic_shares`` the key None stands for null or all others."""
+    columns = without(docs, OUTPUTS)
     kind = surface_topic(quoted(text)) if topic is None else topic
     count = F.coalesce(F.regexp_count(quoted(text), F.lit(WORD)), F.lit(0)).cast("long")
-    facts = docs.select(quoted(source).alias("source"), quoted(language).alias("_l"), kind.alias("_t"), count.alias("n"))
+    facts = docs.select(quoted(source).alias("source"), quoted(language).cast("string").alias("_l"), kind.alias("_t"), count.alias("n"))
+    facts = written(facts.groupBy("source", "_l", "_t").agg(F.sum("n").cast("double").alias("n")), "cells")
+    languages = languages_of(facts)
+    nl, nt = len(languages) + 1, len(topics) + 1
     cell = place_in(F.col("_l"), languages) * nt + place_in(F.col("_t"), topics)
-    cells = facts.groupBy("source", cell.alias("c")).agg(F.sum("n").cast("double").alias("n"))
-    table = written(cells.groupBy("source").agg(F.array(*[
-        F.coalesce(F.sum(F.when(F.col("c") == i, F.col("n"))), F.lit(0.0)) for i in range(nl * nt)]).alias("m")), "cells")
-    factor, a, b, _, _ = rake(table, nl, nt, source_shares, language_shares, topic_shares, temper, joint)
+    cells = facts.groupBy("source", cell.alias("c")).agg(F.sum("n").alias("n"))
+    by_cell = F.map_from_entries(F.collect_list(F.struct("c", "n")))  # languages times topics at most
+    table = written(cells.groupBy("source").agg(by_cell.alias("by")).select("source", F.transform(
+        F.sequence(F.lit(0), F.lit(nl * nt - 1)), lambda i: F.coalesce(F.try_element_at("by", i), F.lit(0.0))).alias("m")), "cells")
+    factor, a, b, _, _ = rake(table, nl, nt, source_shares, in_order(language_shares, languages), in_order(topic_shares, topics), temper, joint)
     ab = F.lit([float(x * y) for x in a for y in b])
     fitted = table.select("source", "m", F.transform(ab, lambda f: f * factor).alias("ratio"))  # weight per token, by cell
-    filled = F.zip_with("m", "ratio", lambda n, f: F.when(n > 0, f).otherwise(0.0))
-    found = fitted.agg(F.max(F.array_max(filled)).alias("top"), F.sum(F.aggregate(F.zip_with(
-        "m", "ratio", lambda n, f: n * f), F.lit(0.0), lambda s, x: s + x)).alias("mass")).first()
-    scale = 1.0 / found["top"] if found["top"] else 0.0
-    if tokens is not None and found["mass"]:
-        scale = min(scale, tokens / found["mass"])
-    rows = docs.select(*[quoted(c) for c in keep], kind.alias("topic"), count.alias("n_tokens"),
-                       cell_of(language, kind, languages, topics, nt).alias("_c"), quoted(source).alias("_source"))
+    total = table.agg(F.sum(F.aggregate("m", F.lit(0.0), lambda s, x: s + x))).first()[0] or 0.0
+    scale = scale_for(fitted, keep * total if tokens is None else tokens) if total else 0.0
+    rows = docs.select(*[quoted(c) for c in columns], kind.alias("topic"), count.alias("n_tokens"),
+                       (place_in(quoted(language), languages) * nt + place_in(kind, topics)).alias("_c"), quoted(source).alias("_source"))
     # the ratio table has one row per source; Spark broadcasts it only if it measures it small
     side = fitted.select(F.col("source").alias("_s"), "ratio")
     ratio = F.get("ratio", F.col("_c"))
-    chance = F.least(ratio * F.lit(scale), F.lit(1.0)) if scale else F.lit(1.0)
+    if not total:
+        chance = F.lit(1.0)
+    elif scale == float("inf"):
+        chance = F.when(ratio > 0, 1.0).otherwise(0.0)
+    else:
+        chance = F.least(ratio * F.lit(scale), F.lit(1.0))
     draw = F.pmod(F.xxhash64(quoted(key).cast("string"), F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     return (rows.join(side, F.col("_source").eqNullSafe(F.col("_s")))
-            .select(*[quoted(c) for c in keep], "topic", "n_tokens", (ratio * F.col("n_tokens")).alias("weight"),
+            .select(*[quoted(c) for c in columns], "topic", "n_tokens", (ratio * F.col("n_tokens")).alias("weight"),
                     chance.alias("probability"), (draw < chance).alias("selected")))
-
-
-def cell_of(language: str, kind: Column, languages, topics, width: int) -> Column:
-    return place_in(quoted(language), languages) * width + place_in(kind, topics)
