@@ -10,7 +10,7 @@ loaded; else the whole text is one segment), no join crosses the place before a
 ids are those of its segments, each a run of spaces with what follows up to the next.  All segments of a
 slice of a batch are cut out of one buffer, made distinct in Arrow and numbered; the agenda works on
 distinct segments that the worker doesn't know yet, and texts are put together by one gather.  Known
-segments are kept in two generations of ``kept_bytes``: a full young one becomes the old one.
+segments are kept in two generations of about ``kept_bytes``: a full young one becomes the old one.
 
 Check.  Ids of all new segments are compared with the sentencepiece library, a batch at a time; with
 ``check="texts"`` those of every whole text are, too.  A difference is an error.  ``decoded`` is the library's
@@ -36,7 +36,8 @@ from .common import quoted, without, worker_state
 from .ragged import distinct, gather, slices, starts
 
 MARK = "▁"
-KEPT_BYTES = 48 << 20
+KEPT_BYTES = 80 << 20
+ENTRY = 200  # bytes that a kept segment takes besides its own and its ids'
 OUTPUTS = ("n_tokens", "ids", "decoded")
 NORMAL, BYTE = 1, 6  # types of pieces
 
@@ -136,7 +137,7 @@ class PieceEncoder:
         for s, ids in zip(segments, found, strict=True):
             if s not in young:
                 young[s] = ids
-                self.size += len(s) + len(ids)
+                self.size += len(s) + len(ids) + ENTRY
         if self.size > self.kept_bytes:
             self.young, self.old, self.size = {}, young, 0
         return found
