@@ -92,3 +92,34 @@ def test_running_distributions_by_micro_batch(spark):
     assert run() == ((900, 300, 300, 0, 450, 898.0), [896, 897, 898, 899])
     rows.where("doc_id = 0").coalesce(1).write.mode("append").parquet(f"{base}/in")  # an early post comes last
     assert run()[1] == [896, 897, 898, 899]
+
+
+def test_pages_go_on_from_the_stored_offset(spark):
+    from textprice.sources import paging
+    posts = spark.range(230).selectExpr("id AS doc_id", "date_add(DATE '2024-01-01', CAST(id % 9 AS INT)) AS dt",
+                                        "CASE WHEN id < 200 THEN 'hot' ELSE 'cold' END AS symbol", "CAST(id AS STRING) AS tweet")
+    layout = paging.lay_out_pages(posts, 20, scratch_path(spark, "pages"))
+    out, ck = scratch_path(spark, "pages-out"), scratch_path(spark, "pages-ck")
+    schema = spark.read.parquet(layout).schema
+    assert paging.run_pages(spark, layout, out, ck, 4) == 0
+    first = kpis.read_committed(spark, out, schema)
+    assert first.count() == 4 * 20 + 30 and first.agg(F.max("page_no")).first()[0] == 3
+    assert paging.run_pages(spark, layout, out, ck, 4) == 4
+    assert paging.run_all_pages(spark, layout, out, ck, 4) == 1
+    rows = kpis.read_committed(spark, out, schema)
+    assert rows.count() == 230 and rows.select("doc_id").distinct().count() == 230
+
+
+def test_failed_batches_are_not_seen_and_replayed_ones_once(spark):
+    base = scratch_path(spark, "committed")
+    rows = spark.range(10).selectExpr("id AS doc_id")
+    assert kpis.exists(spark, base) is False
+    for i in (0, 1, 1):
+        rows.write.mode("overwrite").json(f"{base}/batch-{i}")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    fs = jvm.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    rows.write.json(f"{base}/batch-2")
+    fs.delete(jvm.Path(f"{base}/batch-2/_SUCCESS"), False)  # as if the batch had failed after its tasks
+    assert kpis.read_committed(spark, base, "doc_id long").count() == 20
+    rows.write.mode("overwrite").json(f"{base}/batch-2")
+    assert kpis.read_committed(spark, base, "doc_id long").count() == 30

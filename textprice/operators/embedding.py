@@ -14,7 +14,7 @@ In each round
 
 Documents are embedded the same way: their words' vectors come to the group, a row's vector is the mean of its
 words'.  Nothing is collected; a task holds the vectors of one group's distinct words.  ``groups`` (by default
-16 for each shuffle partition) sets that size; the rows' own columns deal them out, so copies of a text
+4 for each shuffle partition) sets that size; the rows' own columns deal them out, so copies of a text
 under different keys go to different groups.
 
 Results for special inputs: null or no tokens give the zero vector; a word that no training text had is left out of the
@@ -94,7 +94,7 @@ def add_rows(table, rows, change) -> None:
 
 def grouped(df: DataFrame, tokens: str, groups: int | None) -> DataFrame:
     """``df`` with ``_order``, a hash of the row's content, and ``_group``, from that."""
-    n = groups or 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = groups or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, ATOMIC)]
     return df.withColumn("_order", F.xxhash64(*plain)).withColumn("_group", F.pmod("_order", F.lit(n)).cast("int"))
 
@@ -243,13 +243,14 @@ def embed_tokens(df: DataFrame, tokens: str, weights: DataFrame, out: str, size:
             for batch in table.combine_chunks().to_batches():
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*columns, out])
 
+    weights = weights.select("word", "centre", F.lit(None).cast("binary").alias("context"))
     return with_vectors(rows, tokens, weights, columns, known=True).mapInArrow(lambda batches: by_group(batches, embed), spec)
 
 
 class _Shared(HasInputCol, HasOutputCol, HasMaxIter, HasSeed, HasStepSize):
     vectorSize = Param(Params._dummy(), "vectorSize", "length of a word's vector", TypeConverters.toInt)
     windowSize = Param(Params._dummy(), "windowSize", "words on either side that are contexts", TypeConverters.toInt)
-    groups = Param(Params._dummy(), "groups", "groups of rows; 0: 16 for each shuffle partition", TypeConverters.toInt)
+    groups = Param(Params._dummy(), "groups", "groups of rows; 0: 4 for each shuffle partition", TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()

@@ -110,6 +110,21 @@ os_a AS (SELECT {key}, nobs, j - {e} AS p, nobs * ln(m[{size}][{size}]) + 2 * (j
 SELECT {key}, CAST(arg_min(p, aic) AS INTEGER) AS p, round(min(aic), 3) AS aic, CAST(any_value(nobs) AS INTEGER) AS nobs FROM os_a GROUP BY {key}"""
 
 
+def regression_sql(name: str, source: str, label: str, x) -> str:
+    """CTEs up to ``name``: one row with the means of ``x`` (m_...), that of the label (m_label) and the least squares
+    coefficients (b_...) of ``label`` on ``x`` in ``source``.  Below the covariances stand unit rows: elimination leaves the
+    coefficients there."""
+    n = len(x)
+    top = [[*[f"covar_pop({a}, {b})" for b in x], f"covar_pop({a}, {label})", *["0.0"] * (n - 1)] for a in x]
+    low = [["1.0" if i == j else "0.0" for j in range(n)] + ["0.0"] * n for i in range(n)]
+    rows = ", ".join("[" + ", ".join(r) + "]" for r in [*top, *low])
+    means = ", ".join([*[f"avg({a}) AS m_{a}" for a in x], f"avg({label}) AS m_label"])
+    keys = ", ".join([*[f"m_{a}" for a in x], "m_label"])
+    return f"""{name}_c AS (SELECT {means}, [{rows}] AS m FROM {source}),
+{elimination_sql(f"{name}_e", f"{name}_c", keys, 2 * n, n)},
+{name} AS (SELECT {keys}, {", ".join(f"-m[{n + i + 1}][{n + 1}] AS b_{a}" for i, a in enumerate(x))} FROM {name}_e WHERE j = {n})"""
+
+
 def walk_forward_sql(source: str, key: str, order: str, value: str, exog, train: int, p: int) -> str:
     """CTEs up to ``wf_p`` (key, order, value, yhat): at each row after ``train`` the prediction from all rows before.  The matrix
     of past covariances has the row's own values, less the past means, below: elimination leaves the

@@ -42,29 +42,32 @@ TEXT_STAGES = 4   # the first stages need no fitting: null drop, cleaner, tokens
 
 def preprocessing_stages(vector_size: int = 100, min_count: int = 0, num_partitions: int = 1,
                          seed: int = 42, embedding: str = "sharded", rounds: int = 1) -> list:
-    """null drop -> clean -> tokens -> stop words -> embedding -> assemble numerics -> min-max ->
+    """null drop -> clean -> tokens -> stop words -> assemble numerics -> min-max -> embedding ->
     assemble(embedding, scaled) -> select (all input columns kept, unlike the reference).  ``embedding``: "sharded", word
-    vectors with the vocabulary in shards (``rounds`` passes); "word2vec", Spark's, whose vocabulary is on the driver
+    vectors with the vocabulary in shards (``rounds`` passes); "none", the numbers only; "word2vec", Spark's, whose vocabulary is on the driver
     and which takes ``min_count`` and ``num_partitions``; or "hashed", token counts without a vocabulary."""
-    if embedding not in ("sharded", "word2vec", "hashed"):
+    if embedding not in ("sharded", "word2vec", "hashed", "none"):
         raise ValueError(f"unknown embedding {embedding!r}")
     if embedding == "sharded":
         embedder = ShardedWord2Vec(vectorSize=vector_size, maxIter=rounds, seed=seed, inputCol="tokens", outputCol="embedding")
+    elif embedding == "none":
+        embedder = None
     elif embedding == "hashed":
         embedder = hashed_embedding(vector_size, "tokens", "embedding")
     else:
         embedder = word2vec(vector_size=vector_size, min_count=min_count, num_partitions=num_partitions,
                             seed=seed, col="tokens", out="embedding")
+    made = ["embedding"] if embedder else []
     return [
         null_drop_stage(["tweet", *NUMERIC_INPUTS]),
         cleaner_stage(),
         Tokenizer(inputCol="clean_tweet", outputCol="tokens_all"),
         StopWordsRemover(inputCol="tokens_all", outputCol="tokens", stopWords=tx.ENGLISH_STOP_WORDS),
-        embedder,
         assemble(NUMERIC_INPUTS, "numeric_raw"),
-        MinMaxScaler(inputCol="numeric_raw", outputCol="numeric_scaled"),
-        assemble(["embedding", "numeric_scaled"], "features"),
-        selector_stage(["* EXCEPT (clean_tweet, tokens_all, tokens, embedding, numeric_raw, numeric_scaled)"]),
+        MinMaxScaler(inputCol="numeric_raw", outputCol="numeric_scaled"),  # fitted before texts are embedded
+        *([embedder] if embedder else []),
+        assemble([*made, "numeric_scaled"], "features"),
+        selector_stage([f"* EXCEPT ({', '.join(['clean_tweet, tokens_all, tokens', *made, 'numeric_raw, numeric_scaled'])})"]),
     ]
 
 

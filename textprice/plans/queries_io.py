@@ -11,6 +11,7 @@ from ..schemas import POST_MESSAGE_SCHEMA
 from ..session import scratch_path
 from ..sources import files, paging
 from ..sources import fixtures as fx
+from ..streaming import kpis
 from ..streaming import ingest
 from .catalog import register
 from .queries_relational import POSTS_SQL, ROLLUP_SQL, _posts_out
@@ -120,3 +121,15 @@ def paged_replay(spark, sf):
     s = ingest.read_messages(spark, f"{folder}/pages", schema)
     out = ingest.run_to_table(s.select("doc_id", "dt", "page_no"), f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(out)
+
+
+@register("paged_stream", """
+SELECT doc_id, symbol, CAST(dt AS VARCHAR) AS dt, CAST(r // 50 AS INTEGER) AS page_no FROM (
+  SELECT doc_id, symbol, dt, row_number() OVER (PARTITION BY symbol ORDER BY dt DESC, doc_id DESC) - 1 AS r FROM posts)""")
+def paged_stream(spark, sf):
+    """All symbols' pages as a stream whose offset is the page, run after run from the stored offset."""
+    layout = paging.lay_out_pages(fx.posts(spark, sf), 50, scratch_path(spark, "page-layout"))
+    out, checkpoint = scratch_path(spark, "page-stream"), scratch_path(spark, "page-offsets")
+    paging.run_all_pages(spark, layout, out, checkpoint)
+    schema = spark.read.parquet(layout).schema
+    return kpis.read_committed(spark, out, schema).select("doc_id", "symbol", "dt", "page_no")

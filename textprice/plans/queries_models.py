@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from ..operators import features as ft
 from ..operators import joins, models, stats
 from ..operators import timeseries as ts
+from ..schemas import PREDICTION_MESSAGE_SCHEMA
 from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..streaming import ingest, kpis, score
 from . import preprocessing as pp
 from .catalog import register
 from .daily import daily_features as build_daily
-from .oracle import clean_sql, order_search_sql, walk_forward_sql
+from .oracle import clean_sql, order_search_sql, regression_sql, walk_forward_sql
 from .queries_relational import ATTACH_SQL
 from .queries_stream import finite
 from .queries_text import _TFIDF_CTE
@@ -211,6 +213,35 @@ def batch_score(spark, sf):
     return pp.score(p.filter(F.col("part") == "test"), model).select("doc_id", "close", finite().alias("finite"))
 
 
+NUMBERS_SQL = """, part AS (SELECT doc_id, close, open, high, low, volume,
+  CASE WHEN substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 4) < '3333' THEN 'test' ELSE 'train' END AS part
+  FROM clean_posts WHERE clean_tweet <> ''),
+train AS (SELECT * FROM part WHERE part = 'train'),
+""" + regression_sql("fit", "train", "close", MM_COLS) + """
+SELECT doc_id, close, round(m_label + """ + " + ".join(f"b_{c} * ({c} - m_{c})" for c in MM_COLS) + """, 4) AS prediction
+FROM part, fit"""
+
+
+@register("batch_score_numbers", NUMBERS_SQL + " WHERE part = 'test'")
+def batch_score_numbers(spark, sf):
+    """G17 on the numbers alone, whose least squares SQL can follow: scaled, assembled, fitted and scored."""
+    p = _split_posts(spark, sf)
+    model = pp.fit_full_model(p.filter(F.col("part") == "train"), embedding="none")
+    return pp.score(p.filter(F.col("part") == "test"), model).select("doc_id", "close", F.round("prediction", 4).alias("prediction"))
+
+
+@register("stream_score_numbers", NUMBERS_SQL)
+def stream_score_numbers(spark, sf):
+    """I2 on the numbers alone: the saved pipeline scores the stream, values as in SQL."""
+    model = pp.fit_full_model(_split_posts(spark, sf).filter(F.col("part") == "train"), embedding="none")
+    model = pp.load_model(pp.save_model(model, scratch_path(spark, "numbers-model")))
+    folder, out = scratch_path(spark, "numbers-in"), scratch_path(spark, "numbers-out")
+    ingest.write_messages(fx.posts(spark, sf).withColumn("dt", F.col("dt").cast("string")), folder)
+    score.score_messages(ingest.read_raw(spark, folder), model, out, out + "-dead", out + "-offsets")
+    rows = kpis.read_committed(spark, out, PREDICTION_MESSAGE_SCHEMA)
+    return rows.select("doc_id", "close", F.round("prediction", 4).alias("prediction"))
+
+
 @register("score_dirty", f"""
 SELECT doc_id, count(*) AS n, true AS finite FROM posts_dirty WHERE coalesce({clean_sql('tweet')}, '') <> '' GROUP BY doc_id""")
 def score_dirty(spark, sf):

@@ -246,7 +246,7 @@ def stream_score(spark, sf):
     model = _saved_model(spark, sf, "stream-model")
     ingest.write_messages(_post_messages(spark, sf), d["in"])
     score.score_messages(ingest.read_raw(spark, d["in"]), model, d["out"], d["dead"], d["ckpt"])
-    out = spark.read.schema(PREDICTION_MESSAGE_SCHEMA).json(d["out"] + "/*")
+    out = kpis.read_committed(spark, d["out"], PREDICTION_MESSAGE_SCHEMA)
     return out.select("doc_id", "close", finite().alias("finite"))
 
 
@@ -257,7 +257,7 @@ def prediction_message(spark, sf):
     d = _dirs(spark, "message")
     ingest.write_messages(_post_messages(spark, sf), d["in"])
     score.score_messages(ingest.read_raw(spark, d["in"]), _saved_model(spark, sf, "message-model"), d["out"], d["dead"], d["ckpt"])
-    out = spark.read.schema(PREDICTION_MESSAGE_SCHEMA).json(d["out"] + "/*")
+    out = kpis.read_committed(spark, d["out"], PREDICTION_MESSAGE_SCHEMA)
     return out.select("doc_id", "dt", "tweet", "symbol", "open", "high", "low", "close", "adj_close", "volume", "seq",
                       finite().alias("finite"))
 
@@ -268,7 +268,7 @@ def stream_score_dirty(spark, sf):
     d = _dirs(spark, "score-dirty")
     _dirty_messages(spark, sf).write.mode("append").text(d["in"])
     score.score_messages(ingest.read_raw(spark, d["in"]), _saved_model(spark, sf, "dirty-model"), d["out"], d["dead"], d["ckpt"])
-    ok = spark.read.schema(PREDICTION_MESSAGE_SCHEMA).json(d["out"] + "/*").filter(finite()).select(F.lit("ok").alias("reason"))
+    ok = kpis.read_committed(spark, d["out"], PREDICTION_MESSAGE_SCHEMA).filter(finite()).select(F.lit("ok").alias("reason"))
     dead = spark.read.parquet(d["dead"] + "/*").select("reason")
     return ok.unionByName(dead).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 

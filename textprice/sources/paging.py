@@ -91,3 +91,35 @@ def append_next_page(df: DataFrame, symbol: str, n: int, folder: str):
         .write.mode("append").json(f"{folder}/_cursor")
     pg.unpersist()
     return page_no
+
+
+def run_pages(spark: SparkSession, layout: str, out: str, checkpoint: str, pages: int = 8) -> int:
+    """A4/I1 as a stream: one run writes the next ``pages`` pages of every symbol of the laid-out table as JSON messages
+    (``out/batch-k``).  Where it stands is the offset of a streaming query, kept in its checkpoint: a run that is
+    stopped is finished by the next, which writes the same folder again.  Returns the first page of the run.
+
+    The query's source counts page numbers; the pages themselves are read by a filter on the page number, which
+    skips all others' row groups."""
+    done = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        span = batch.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).first()  # two numbers
+        spark.read.parquet(layout).filter(F.col("page_no").between(span["lo"], span["hi"])) \
+            .write.mode("overwrite").json(f"{out}/batch-{batch_id}")
+        done.append(span["lo"])
+
+    numbers = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", pages).option("numPartitions", 1).load())
+    query = (numbers.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return done[-1]
+
+
+def run_all_pages(spark: SparkSession, layout: str, out: str, checkpoint: str, pages: int = 8) -> int:
+    """Runs until the last page is written; the number of runs."""
+    last = spark.read.parquet(layout).agg(F.max("page_no")).first()[0]
+    runs = 0
+    while last is not None:
+        runs += 1
+        if run_pages(spark, layout, out, checkpoint, pages) + pages > last:
+            break
+    return runs

@@ -41,6 +41,13 @@ def complete_batches(spark: SparkSession, path: str) -> list[int]:
             if s.getPath().getName().startswith("batch-") and fs.exists(jvm.Path(s.getPath(), "_SUCCESS"))]
 
 
+def read_committed(spark: SparkSession, path: str, schema, fmt: str = "json") -> DataFrame:
+    """All complete batches under ``path``: a batch that failed while it was written is not seen, one that was
+    written again is seen once."""
+    done = [f"{path}/batch-{i}" for i in sorted(complete_batches(spark, path))]
+    return spark.read.schema(schema).format(fmt).load(done) if done else spark.createDataFrame([], schema)
+
+
 def read_newest(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete batch."""
     return spark.read.parquet(f"{path}/batch-{max(complete_batches(spark, path))}")
