@@ -4,17 +4,17 @@ Method.  Every substring of ``S`` code points gets a rolling hash.  A substring
 a closed syncmer if the smallest of its inner hashes is its first or its last: a choice made by the
 substring alone, whatever stands around it.  So equal passages of two texts give equal anchors, at
 places that differ by the passages' shift.  An anchor is (position, hash of the ``K`` code points).
-A text shorter than ``K`` is one anchor by itself; one without a closed syncmer has the substring at its
-smallest inner hash.  So only the empty text has no anchor.
 
-Fingerprints of texts under 4 ``K`` code points are of shorter substrings (``SHORT``), so that short texts
-that share a part are alike too.  Texts of neighbouring scales are compared at the finer one; texts more
-than one scale apart differ several times in length and are not alike (0).
+``K`` - 1 marks stand before and after a text, so that it has substrings of ``K`` at all its ends and no length is a
+special one.  Substrings of marks alone have the smallest hash, so the first 1, 2, ... ``K`` - ``S`` code points and
+the last ones are always anchors: texts of any length that begin or end alike share some, and only the empty
+text has none.
 
 The fingerprint is all distinct anchor hashes (32 bits each, as hex) with the place of each one's first
-anchor, so it grows with the text, and the likeness of two fingerprints is the Jaccard similarity of the
-anchor sets.  Matched by position, only the common anchors of the one shift that most of them agree on
-count as common.  With a given ``size`` only the ``size`` smallest hashes are kept, and the likeness is the
+anchor (counted from the first mark), so it grows with the text, and the likeness of two fingerprints is the
+Jaccard similarity of the anchor sets, whatever the lengths of the texts.  Matched by position, a common anchor
+counts if the common anchor before or after it has the same shift: passages that moved together, also by different
+shifts.  With a given ``size`` only the ``size`` smallest hashes are kept, and the likeness is the
 share of the ``size`` smallest of the union that both hold, an estimate of the same.
 
 ``next`` documents are found without one global sort task: documents are cut into id ranges of about
@@ -36,10 +36,10 @@ from pyspark.sql import types as T
 
 from .common import mix64, quoted, without
 
-K = 24
-S = 8
+K = 16
+S = 5
+MARK = 0x110000  # one above the code points
 SIZE = 128  # of a sketch, for callers that want fingerprints of bounded size
-SHORT = ((0, 1, 1), (4, 2, 1), (12, 4, 2), (36, 8, 3))  # (from so many code points on, k, s), before K and S from 4 K on
 HEAD = 32  # code points of a text that order rows of one id
 BASE = 0x9E3779B97F4A7C15
 OUTPUTS = ("n_chars", "edited_text", "fingerprint", "edited_fingerprint", "positions", "edited_positions", "near_edited", "near_next",
@@ -66,46 +66,34 @@ def sliding_least(x, width: int):
 
 
 def closed_syncmers(text: str, k: int = K, s: int = S):
-    """(positions, 64-bit hashes) of the anchors of a text."""
+    """(positions, 64-bit hashes) of the anchors of a text; the first ones begin before it."""
     import numpy as np
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     if not len(codes):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    if len(codes) < k:
-        return np.zeros(1, np.int64), rolled(codes, len(codes))
+    marks = np.full(k - 1, MARK, dtype=np.uint64)
+    codes = np.concatenate((marks, codes, marks))
     inner = rolled(codes, s)
+    inner[:k - s] = inner[len(inner) - (k - s):] = 0  # of marks alone
     least = sliding_least(inner, k - s + 1)
     at = np.flatnonzero((inner[:len(least)] == least) | (inner[k - s:] == least))
-    if not len(at):
-        at = np.minimum(inner.argmin(keepdims=True), len(least) - 1)
     out = np.zeros(len(at), dtype=np.uint64)
     for j in range(k):
         out = out * np.uint64(BASE) + codes[at + j]
-    return at, mix64(out)
+    return at - (k - 1), mix64(out)
 
 
-def scales_of(k: int = K, s: int = S) -> list[tuple[int, int, int]]:
-    return [x for x in SHORT if x[1] < k] + [(4 * k, k, s)]
-
-
-def scale_of(text: str, scales) -> int:
-    """Number of the scale of a text, by its length."""
-    return max(i for i, x in enumerate(scales) if i == 0 or len(text) >= x[0])
-
-
-def placed(text: str, k: int = K, s: int = S, size: int | None = None, scale: int | None = None):
+def placed(text: str, k: int = K, s: int = S, size: int | None = None):
     """Distinct 32-bit anchor hashes, ascending (the ``size`` smallest, if given), and the place of each
-    one's first anchor, at the text's own or a given scale."""
+    one's first anchor, from the first mark on."""
     import numpy as np
-    scales = scales_of(k, s)
-    _, k, s = scales[scale_of(text, scales) if scale is None else scale]
     at, hashes = closed_syncmers(text, k, s)
     hashes, first = np.unique((hashes >> np.uint64(32)).astype(np.uint32), return_index=True)
-    return hashes[:size], at[first][:size].astype(np.uint32)
+    return hashes[:size], (at[first][:size] + (k - 1)).astype(np.uint32)
 
 
-def fingerprint(text: str, k: int = K, s: int = S, size: int | None = None, scale: int | None = None):
-    return placed(text, k, s, size, scale)[0]
+def fingerprint(text: str, k: int = K, s: int = S, size: int | None = None):
+    return placed(text, k, s, size)[0]
 
 
 def likeness(a, b, size: int | None = None) -> float:
@@ -123,37 +111,17 @@ def likeness(a, b, size: int | None = None) -> float:
 
 
 def aligned(a, b) -> float:
-    """Share of the anchors of both (as of ``placed``) that are common at the shift of most common anchors."""
+    """Share of the anchors of both (as of ``placed``) that are common and shifted like a common one next to them."""
     import numpy as np
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    if not len(common):
-        return 0.0
-    shifts = np.unique(b[1][j].astype(np.int64) - a[1][i].astype(np.int64), return_counts=True)[1]
-    return float(shifts.max() / (len(a[0]) + len(b[0]) - len(common)))
-
-
-def at_one_scale(x: str, y: str, a, b, k: int = K, s: int = S, size: int | None = None):
-    """Placed anchors of two texts at the finer of their scales, from those (a, b) at their own; None if
-    they are more than one scale apart."""
-    scales = scales_of(k, s)
-    i, j = scale_of(x, scales), scale_of(y, scales)
-    if abs(i - j) > 1:
-        return None
-    return (a if i <= j else placed(x, k, s, size, j)), (b if j <= i else placed(y, k, s, size, i))
-
-
-def both_near(x: str, y: str, a, b, k: int = K, s: int = S, size: int | None = None) -> tuple[float, float]:
-    """(likeness, aligned) of two texts of the placed anchors a and b."""
-    pair = at_one_scale(x, y, a, b, k, s, size)
-    return (likeness(pair[0][0], pair[1][0], size), aligned(*pair)) if pair else (0.0, 0.0)
-
-
-def near(x: str, y: str, a, b, k: int = K, s: int = S, size: int | None = None) -> float:
-    """Likeness of two texts of the fingerprints a and b, at the finer of their scales."""
-    pair = at_one_scale(x, y, (a,), (b,), k, s, size)
-    return likeness(pair[0][0], pair[1][0], size) if pair else 0.0
+    here, there = a[1][i].astype(np.int64), b[1][j].astype(np.int64)
+    order = np.argsort(here, kind="stable")
+    shift = there[order] - here[order]
+    same = shift[1:] == shift[:-1]
+    kept = (np.append(same, False) | np.append(False, same)).sum()
+    return float(kept / (len(a[0]) + len(b[0]) - len(common)))
 
 
 def hex_of(hashes) -> str:
@@ -269,7 +237,7 @@ def fingerprint_with_next(docs: DataFrame, text: str = "text", order: str = "doc
                         half = len(before) // 2
                         edited = before[:len(before) - half] + t[:half]
                         e = placed(edited, k, s, size)
-                        with_edited, with_next = both_near(before, edited, g, e, k, s, size), both_near(before, t, g, f, k, s, size)
+                        with_edited, with_next = ((likeness(g[0], x[0], size), aligned(g, x)) for x in (e, f))
                         parts.append(row)
                         out.append((len(before), edited, hex_of(g[0]), hex_of(e[0]), hex_of(g[1]), hex_of(e[1]),
                                     with_edited[0], with_next[0], with_edited[1], with_next[1]))
