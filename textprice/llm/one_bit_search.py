@@ -10,13 +10,14 @@ error of at most ``CONFIDENCE`` standard bounds sqrt((1 - c^2) / c^2 / (D - 1))
 rounding.  A vector is compared exactly only if the least distance within its bound does not exceed
 the distance of the query's k-th nearest so far.
 
-Every row is indexed; the index is written once.  Queries are a stated set, taken in blocks of
-``BLOCK``, the bound of what a task is given; a task keeps k rows per query and the best k of all
+Every row is indexed, with a number of its own; the index is written once.  Queries are a stated set, taken in
+blocks of about ``BLOCK``, the bound of what the driver holds and a task is given: a block's nearest rows are
+written before the next block is read.  A task keeps k rows per query and the best k of all
 tasks are chosen by a window per query over at most k rows per task.
 
 Results for special inputs: null and zero vectors and vectors that hold a null or non-finite component
 neither search nor are found; vectors are compared with those of their own dimension; a row is not
-found by a query of its own id; each row of a repeated id is a row of its own; ties go to the
+found by its own query; each row of a repeated id is a row of its own, found by the others' queries; ties go to the
 smaller id; fewer candidates than k are all returned; an empty table gives an empty result.
 """
 
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
 from .common import quoted, written
 
 BLOCK = 4096
@@ -109,9 +111,9 @@ def encode(x, mean, turn):
 class QueryBlock:
     """Rotated bit planes of a block of queries of one dimension."""
 
-    def __init__(self, number, ids, x, mean, turn):
+    def __init__(self, rows, ids, x, mean, turn):
         import numpy as np
-        self.number, self.ids, self.x, self.d = number, ids, x, x.shape[1]
+        self.rows, self.ids, self.x, self.d = rows, ids, x, x.shape[1]
         r = (x - mean) @ turn
         self.far = np.sqrt((r * r).sum(axis=1))
         unit = r / np.where(self.far > 0, self.far, 1)[:, None]
@@ -145,7 +147,7 @@ def distances(x, q):
 
 
 def build_index(vectors: DataFrame, key: str, vector: str, seed: int = SEED):
-    """(index table: id, v, d, code, far, own; means by dimension)."""
+    """(index table: id, v, d, code, far, own, row; means by dimension)."""
     rows = usable(vectors, key, vector)
     mean = means(rows)
     turn = {d: rotation(d, seed) for d in mean}
@@ -163,7 +165,7 @@ def build_index(vectors: DataFrame, key: str, vector: str, seed: int = SEED):
                     names=["id", "v", "d", "code", "far", "own"])
 
     index = rows.mapInArrow(codes, "id long, v binary, d int, code binary, far double, own double")
-    return written(index, "one-bit-index"), mean, turn
+    return written(index.withColumn("row", F.monotonically_increasing_id()), "one-bit-index"), mean, turn
 
 
 def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 10,
@@ -174,11 +176,10 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
     index, mean, turn = build_index(vectors, key, vector, seed)
     wanted = index.where(is_query)
     blocks = max(1, -(-wanted.count() // block))
-    spec = T.StructType([T.StructField("_block", T.IntegerType()), T.StructField("_query", T.LongType()),
-                         T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
+    spec = T.StructType([T.StructField("_query", T.LongType()), T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
                          T.StructField("score", T.DoubleType())])
 
-    def searcher(number: int, queries: list[QueryBlock]):
+    def searcher(queries: list[QueryBlock]):
         def search(batches):
             import pyarrow as pa
             best = {b.d: ([np.empty(0)] * len(b.ids), [np.empty(0, np.int64)] * len(b.ids)) for b in queries}
@@ -193,10 +194,11 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
                     codes = np.frombuffer(b"".join(batch.column(3).take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1)
                     ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
                     far, own, own_ids = batch.column(4).to_numpy()[at], batch.column(5).to_numpy()[at], ids[at]
+                    own_rows = batch.column(6).to_numpy()[at]
                     dist, found = best[b.d]
                     for q in range(len(b.ids)):
                         guess, least = b.least_distances(q, codes, far, own, ones)
-                        other = own_ids != b.ids[q]
+                        other = own_rows != b.rows[q]
                         guess[~other] = least[~other] = np.inf
                         d, i = dist[q], found[q]
                         if len(d) < k:
@@ -216,24 +218,19 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
                 dist, found = best[b.d]
                 n = [len(x) for x in dist]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(sum(n), number), pa.int32()), pa.array(np.repeat(b.number, n), pa.int64()),
-                     pa.array(np.repeat(b.ids, n), pa.int64()), pa.array(np.concatenate(found), pa.int64()),
+                    [pa.array(np.repeat(b.rows, n), pa.int64()), pa.array(np.repeat(b.ids, n), pa.int64()), pa.array(np.concatenate(found), pa.int64()),
                      pa.array(np.concatenate(dist), pa.float64())], names=spec.names)
         return search
 
-    parts = []
+    order = Window.partitionBy("_query").orderBy("score", "vec_id")
+    path = scratch_path(vectors.sparkSession, "one-bit-nearest")
     for number in range(blocks):
-        rows = (wanted.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == number).select("id", "d", "v")
-                .orderBy("id", "v").collect())  # about ``block`` rows
+        rows = wanted.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == number).select("id", "d", "v", "row").collect()  # about ``block``
         queries = []
         for d in sorted({r["d"] for r in rows}):
-            own = [(n, r) for n, r in enumerate(rows) if r["d"] == d]
-            x = np.frombuffer(b"".join(bytes(r["v"]) for _, r in own), np.float64).reshape(-1, d)
-            queries.append(QueryBlock(np.array([n for n, _ in own]), np.array([r["id"] for _, r in own]), x, mean[d], turn[d]))
-        parts.append(index.mapInArrow(searcher(number, queries), spec))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.union(p)
-    order = Window.partitionBy("_block", "_query").orderBy("score", "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            own = [r for r in rows if r["d"] == d]
+            x = np.frombuffer(b"".join(bytes(r["v"]) for r in own), np.float64).reshape(-1, d)
+            queries.append(QueryBlock(np.array([r["row"] for r in own]), np.array([r["id"] for r in own]), x, mean[d], turn[d]))
+        found = index.mapInArrow(searcher(queries), spec).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        found.select("query_id", "rank", "vec_id", "score").write.mode("overwrite").parquet(f"{path}/block={number}")
+    return vectors.sparkSession.read.parquet(path).drop("block")
