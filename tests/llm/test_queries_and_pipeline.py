@@ -22,8 +22,8 @@ def test_query_matches_sql(spark, name):
     assert compare([tuple(r) for r in df.collect()], df.columns, cur.fetchall(), [d[0] for d in cur.description]) is None
 
 
-def test_ten_queries_and_a_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries_and_a_pipeline():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert corpus_pipeline.QUERIES == {"pipeline": corpus_pipeline.run}
 
 
