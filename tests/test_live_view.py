@@ -123,3 +123,20 @@ def test_failed_batches_are_not_seen_and_replayed_ones_once(spark):
     assert kpis.read_committed(spark, base, "doc_id long").count() == 20
     rows.write.mode("overwrite").json(f"{base}/batch-2")
     assert kpis.read_committed(spark, base, "doc_id long").count() == 30
+
+
+def test_live_view_in_a_session_with_another_state_store(spark):
+    from textprice.session import STATE_STORE
+    base, other = scratch_path(spark, "live-store"), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    ingest.write_messages(spark.createDataFrame([post(1), post(2)], POST_MESSAGE_SCHEMA).coalesce(1), f"{base}/in")
+    ingest.write_messages(spark.createDataFrame([pred(7, "text 1", 2.0)], PREDICTION_MESSAGE_SCHEMA).coalesce(1), f"{base}/in2")
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, other)
+    try:
+        log = liveview.live_versions(ingest.read_messages(spark, f"{base}/in", POST_MESSAGE_SCHEMA),
+                                     ingest.read_messages(spark, f"{base}/in2", PREDICTION_MESSAGE_SCHEMA))
+        ingest.run_to_table(log, f"{base}/out", f"{base}/ck", fail_on_dropped=True, keyed_state=True)
+        assert spark.conf.get(STATE_STORE) == other
+    finally:
+        spark.conf.set(STATE_STORE, before)
+    assert {r.doc_id: r.prediction for r in liveview.live_rows(spark, f"{base}/out").collect()} == {1: 2.0, 2: None}
