@@ -125,3 +125,34 @@ def test_nothing_is_collected(docs):
     plan = model.transform(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [_group" in plan and "Sort [" in plan and "GlobalLimit" not in plan
     assert model.transform(docs).agg(F.count(F.lit(1))).first()[0] == 1500
+
+
+def test_groups_follow_the_size_of_the_tokens(spark, docs):
+    """Not the number of shuffle partitions: every group gets the vectors of its words, so small groups move the most."""
+    assert em.group_number(spark, 0) == 1
+    assert em.group_number(spark, 100 * em.GROUP_BYTES) == max(100, spark.sparkContext.defaultParallelism)
+    size = docs.agg(em.token_bytes("tokens")).first()[0]
+    assert size == sum(len(t) + 1 for _, ts in corpus() for t in ts)
+    path = em.fit_word_vectors(docs, "tokens", 4)
+    rows = spark.read.parquet(path)
+    assert rows.where("context IS NOT NULL").count() == 0 and rows.where("length(centre) <> 16").count() == 0
+
+
+def test_words_of_few_places_are_left_out(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a", "c"]), (2, ["b", "a", None])], "doc_id long, tokens array<string>")
+    assert set(vectors(em.ShardedWord2Vec(vectorSize=4, minCount=2).fit(df))) == {"a", "b"}
+
+
+def test_struct_and_vector_columns_pass_through(spark):
+    from pyspark.ml.linalg import Vectors
+    rows = [(1, ["a", "b"], Vectors.dense(1.0, 2.0), (1, "x")), (2, ["a"], Vectors.sparse(3, [1], [5.0]), None), (None, None, None, (None, "y"))]
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tokens", T.ArrayType(T.StringType())),
+                           T.StructField("v", VectorUDT()), T.StructField("s", T.StructType([T.StructField("n", T.LongType()), T.StructField("t", T.StringType())]))])
+    df = spark.createDataFrame(rows, schema)
+    before = len(em.rows_written())
+    got = em.ShardedWord2Vec(vectorSize=4).fit(df).transform(df).collect()
+    assert {(r.doc_id, r.v, r.s and tuple(r.s)) for r in got} == {(a, v, s) for a, _, v, s in rows}
+    em.drop_rows(spark, before)
+    assert len(em.rows_written()) == before

@@ -135,8 +135,11 @@ def _tokens(spark, sf):
 def embed_text(spark, sf):
     """Word2Vec document vectors of the cleaned, stop-word-free posts."""
     from pyspark.ml.functions import vector_to_array
-    t = _tokens(spark, sf).select("doc_id", "tokens")
-    e = textops.word2vec(vector_size=100, num_partitions=spark.sparkContext.defaultParallelism).fit(t).transform(t)
+    t = _tokens(spark, sf).select("doc_id", "tokens").persist()
+    try:
+        e = textops.word2vec(vector_size=100, num_partitions=spark.sparkContext.defaultParallelism).fit(t).transform(t)
+    finally:
+        t.unpersist()
     v = vector_to_array("embedding")
     return e.select("doc_id", F.size(v).alias("dim"), F.forall(v, lambda x: F.abs(x) < float("inf")).alias("finite"))
 
