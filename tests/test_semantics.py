@@ -243,3 +243,15 @@ def test_replay_of_laid_out_pages_ends_after_the_last(spark):
     assert [paging.replay_next_page(spark, layout, "s", folder) for _ in range(4)] == [0, 1, 2, None]
     back = spark.read.json(f"{folder}/pages")
     assert back.count() == 120 and back.select("doc_id").distinct().count() == 120
+
+
+def test_correlation_with_a_column_that_does_not_vary(spark):
+    """NaN as in DuckDB, not an error in ANSI mode; rows that lack one of two are left out."""
+    import math
+
+    from textprice.operators import stats
+    rows = [("a", 1.0, 5.0, 2.0), ("a", 2.0, 5.0, 1.0), ("a", 3.0, 5.0, None), ("b", 1.0, 2.0, 3.0)]
+    got = {(r.symbol, r.col_a, r.col_b): r.r for r in stats.corr_matrix(
+        spark.createDataFrame(rows, "symbol string, x double, y double, z double"), ["x", "y", "z"]).collect()}
+    assert math.isnan(got["a", "x", "y"]) and math.isnan(got["a", "y", "z"])
+    assert abs(got["a", "x", "z"] + 1) < 1e-12 and got["b", "x", "y"] is None
