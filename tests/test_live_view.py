@@ -140,3 +140,30 @@ def test_live_view_in_a_session_with_another_state_store(spark):
     finally:
         spark.conf.set(STATE_STORE, before)
     assert {r.doc_id: r.prediction for r in liveview.live_rows(spark, f"{base}/out").collect()} == {1: 2.0, 2: None}
+
+
+def test_replay_runs_write_many_pages(spark):
+    from textprice.sources import paging
+    posts = spark.range(230).selectExpr("id AS doc_id", "date_add(DATE '2024-01-01', CAST(id % 9 AS INT)) AS dt",
+                                        "CASE WHEN id < 200 THEN 'hot' ELSE 'cold' END AS symbol", "CAST(id AS STRING) AS tweet")
+    layout, by_one, by_many = paging.lay_out_pages(posts, 20, scratch_path(spark, "replay")), scratch_path(spark, "one"), scratch_path(spark, "many")
+    while paging.replay_next_page(spark, layout, "hot", by_one) is not None:
+        pass
+    assert paging.replay_next_pages(spark, layout, "hot", by_many, rows=60) == 2
+    assert paging.replay_next_pages(spark, layout, "hot", by_many, rows=1) == 3  # one page at least
+    assert paging.replay_next_pages(spark, layout, "hot", by_many) == 9
+    assert paging.replay_next_pages(spark, layout, "hot", by_many) is None
+    rows = [sorted(spark.read.json(f"{f}/pages").select("page_no", "doc_id", "dt", "tweet").collect()) for f in (by_one, by_many)]
+    assert rows[0] == rows[1] and len(rows[0]) == 200
+    # the stream's runs are sized by rows, too: 1,000 rows are not 8 pages a run
+    wide = paging.lay_out_pages(posts, 1, scratch_path(spark, "replay"))
+    out = scratch_path(spark, "replay-out")
+    assert paging.run_all_pages(spark, wide, out, scratch_path(spark, "replay-ck")) == 1
+    assert kpis.read_committed(spark, out, spark.read.parquet(wide).schema).count() == 230
+
+
+def test_compressed_messages_are_read(spark):
+    base = scratch_path(spark, "gz")
+    ingest.write_messages(spark.createDataFrame([post(1), post(2)], POST_MESSAGE_SCHEMA), f"{base}/in", compression="gzip")
+    ingest.run_to_table(ingest.read_messages(spark, f"{base}/in", POST_MESSAGE_SCHEMA), f"{base}/out", f"{base}/ck")
+    assert spark.read.parquet(f"{base}/out").count() == 2
