@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -85,6 +86,21 @@ def test_blocks_end_anywhere(limit):
     assert mass == sum(want.values())
 
 
+def test_a_block_is_built_in_a_small_multiple_of_its_sequences():
+    """Memory of a block while it is built: 80 bytes a sequence before, under 50 now."""
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 50000, 300000)).encode()
+    (row,) = ph.block_rows(*ph.word_numbers([text], [0]), ["en"], ph.BLOCK_WORDS)
+    tracemalloc.start()
+    try:
+        block = ph.Block(row)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(block.keys) > 600000
+    assert peak < 60 * len(block.keys)
+
+
 def test_summaries_keep_what_is_frequent():
     rng = np.random.default_rng(7)
     for capacity in (20, 100, 700):

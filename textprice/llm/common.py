@@ -123,6 +123,33 @@ def worker_state() -> dict:
     return sys.modules.setdefault("_textprice_worker", types.ModuleType("_textprice_worker")).__dict__
 
 
+def release() -> None:
+    """Give back to the system what this Python process has freed: Spark keeps its workers for later tasks and
+    stages, and their allocators keep what the largest task before needed."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(task):
+    """The function ``task`` over a task's batches, in a worker that holds no memory of tasks before or after."""
+
+    def run(batches):
+        release()
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run
+
+
 def unpack(blob: bytes):
     """The rows of one chunk, as a pyarrow Table."""
     import pyarrow as pa

@@ -29,13 +29,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import MADE, drop_intermediates, hash_words, mix64, quoted, written
+from .common import MADE, drop_intermediates, hash_words, mix64, quoted, release, tidy, written
 from .ragged import distinct, slices
 
 LEAST, TOP, INSIDE = 10, 2000, 50
 BITS = 21  # of a word's number in its block
 BLOCK_WORDS = (1 << BITS) - 8
-SLICE_BYTES = 8 << 20
+AT_ONCE = 1 << 18  # sequences hashed at once
 PARTITION_MASS, FEWEST_PARTITIONS = 1 << 23, 64
 STEP = 0x9E3779B97F4A7C15
 # Bytes that end a piece, and bytes that end a word only.
@@ -57,7 +57,7 @@ def word_numbers(texts: list[bytes], lang_of_text):
         return [], np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int64)
     # words alternate with what lies between them
     codes, words = distinct(data, np.stack((begin, end), axis=1).ravel())
-    piece = np.cumsum(kind == 2)[begin]
+    piece = np.cumsum(kind == 2, dtype=np.int32 if len(kind) < 1 << 31 else np.int64)[begin]
     first = np.append(0, np.cumsum([len(t) + 1 for t in texts])[:-1])
     return (words, codes[::2].astype(np.int64), np.append(True, piece[1:] != piece[:-1]),
             np.asarray(lang_of_text)[np.searchsorted(first, begin, side="right") - 1])
@@ -95,7 +95,7 @@ def cut_blocks(docs: DataFrame) -> DataFrame:
                             ("totals", pa.list_(pa.int64())), ("words", pa.binary()), ("word_of", pa.binary()),
                             ("lang_of", pa.binary()), ("codes", pa.binary()), ("breaks", pa.binary())])
         for batch in batches:
-            for lo, hi in slices(pc.binary_length(batch.column(1)).to_pylist(), SLICE_BYTES):
+            for lo, hi in slices(pc.binary_length(batch.column(1)).to_pylist()):
                 lang = batch.column(0).slice(lo, hi - lo).dictionary_encode()
                 numbered = word_numbers(batch.column(1).slice(lo, hi - lo).cast(pa.binary()).to_pylist(),
                                         lang.indices.to_numpy(zero_copy_only=False))
@@ -103,7 +103,14 @@ def cut_blocks(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist([{"block": number, **row}], schema=schema)
                     number += 1
 
-    return written(docs.mapInArrow(cut, BLOCK_SPEC), "blocks")
+    return written(docs.mapInArrow(tidy(cut), BLOCK_SPEC), "blocks")
+
+
+def units_of(keys):
+    """Number + 1 of the first, second and third unit of each sequence from the right; 0: none."""
+    import numpy as np
+    mask = np.uint64((1 << BITS) - 1)
+    return [(keys >> np.uint64(BITS * i) & mask).astype(np.int32) for i in (2, 1, 0)]
 
 
 class Block:
@@ -121,29 +128,29 @@ class Block:
         three = two[:known - 2] & joined[2:n + 2]
         bits = np.uint64(BITS)
         pairs = unit[:len(two)] << bits | unit[1:len(two) + 1]
-        triples = pairs[:len(three)] << bits | unit[2:len(three) + 2]
-        self.keys, self.counts = np.unique(np.concatenate((unit[:n], pairs[two], triples[three])), return_counts=True)
+        keys = np.concatenate((unit[:n], pairs[two], (pairs[:len(three)] << bits | unit[2:len(three) + 2])[three]))
+        del unit, pairs, two, three, joined
+        keys.sort()
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        self.keys, self.counts = keys[first], np.diff(np.append(first, len(keys))).astype(np.uint32)
+        del keys, first
         langs = mix64(hash_words([x.encode() for x in self.langs]))
         of_unit = np.append(np.uint64(0), mix64(hash_words(self.words)[self.word_of] + langs[self.lang_of]))
-        h = np.zeros(len(self.keys), dtype=np.uint64)
-        for part in self.units():
-            h = mix64(h * np.uint64(STEP) + of_unit[part])
-        order = np.argsort(h)
-        self.keys, self.counts, self.hashes = self.keys[order], self.counts[order], h[order]
-
-    def units(self):
-        """Number + 1 of the first, second and third unit of each sequence from the right; 0: none."""
-        import numpy as np
-        mask = np.uint64((1 << BITS) - 1)
-        return [(self.keys >> np.uint64(BITS * i) & mask).astype(np.int64) for i in (2, 1, 0)]
+        self.hashes = np.zeros(len(self.keys), dtype=np.uint64)
+        for lo in range(0, len(self.keys), AT_ONCE):
+            h = self.hashes[lo:lo + AT_ONCE]
+            for part in units_of(self.keys[lo:lo + AT_ONCE]):
+                h[:] = mix64(h * np.uint64(STEP) + of_unit[part])
+        order = np.argsort(self.hashes)
+        for name in ("keys", "counts", "hashes"):
+            setattr(self, name, getattr(self, name)[order])
 
     def phrases(self, chosen):
         """(lang, phrase, number of words) of the sequences ``chosen``."""
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        self.keys = self.keys[chosen]
-        units, words = self.units(), pa.array(self.words, pa.binary()).cast(pa.string())
+        units, words = units_of(self.keys[chosen]), pa.array(self.words, pa.binary()).cast(pa.string())
         parts = [words.take(pa.array(self.word_of[np.maximum(u - 1, 0)], mask=u == 0)) for u in units]
         phrase = pc.binary_join_element_wise(*parts, " ", null_handling="skip")
         lang = pa.array(self.langs, pa.string()).take(pa.array(self.lang_of[units[2] - 1]))
@@ -173,8 +180,9 @@ def deal(blocks: DataFrame, bits: int) -> DataFrame:
                 [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()),
                  pa.array([keys[edges[p]:edges[p + 1]].tobytes() for p in some], pa.binary()),
                  pa.array([counts[edges[p]:edges[p + 1]].tobytes() for p in some], pa.binary())], names=["part", "block", "keys", "counts"])
+            del b, keys, counts  # before the next block is built
 
-    return blocks.mapInArrow(send, "part int, block long, keys binary, counts binary")
+    return blocks.mapInArrow(tidy(send), "part int, block long, keys binary, counts binary")
 
 
 def add_up(keys, counts):
@@ -216,6 +224,7 @@ def answer(dealt: DataFrame, least: int) -> DataFrame:
     def judge(table):
         import numpy as np
         import pyarrow as pa
+        release()
         keys = [np.frombuffer(x, "<u4") for x in table.column("keys").to_pylist()]
         counts = [np.frombuffer(x, np.uint8) for x in table.column("counts").to_pylist()]
         summary = Summary(sum(int(c.sum(dtype=np.int64)) for c in counts) // least + 1)
@@ -248,12 +257,13 @@ def count_survivors(blocks: DataFrame, answers: DataFrame, bits: int, least: int
                 chosen[lo:hi] = np.unpackbits(np.frombuffer(t["kept"], np.uint8), count=hi - lo)
             counts = b.counts[chosen]
             lang, phrase, words = b.phrases(chosen)
-            full = pa.RecordBatch.from_arrays([lang, phrase, pa.array(words, pa.int32()), pa.array(counts, pa.int64())],
+            full = pa.RecordBatch.from_arrays([lang, phrase, pa.array(words, pa.int32()), pa.array(counts.astype(np.int64))],
                                               names=["lang", "phrase", "words", "n"])
             for at in range(0, full.num_rows, 1 << 16):
                 yield full.slice(at, 1 << 16)
+            del b, full, lang, phrase, words, counts  # before the next block is built
 
-    rows = blocks.join(told, "block").mapInArrow(count, "lang string, phrase string, words int, n long")
+    rows = blocks.join(told, "block").mapInArrow(tidy(count), "lang string, phrase string, words int, n long")
     return rows.groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("n").alias("f")).where(F.col("f") >= least)
 
 
