@@ -1,5 +1,6 @@
 """Every query with SQL against DuckDB, the entry's guard, and the pipeline stage by stage."""
 
+import os
 import subprocess
 import sys
 import textwrap
@@ -86,3 +87,31 @@ def test_pipeline_of_empty_and_null_documents(spark, tmp_path):
                 df = df.selectExpr("doc_id", "cast(null as string) text", "lang", "cast(null as string) source", "n_chars")
             df.write.parquet(f"{tmp_path}/{sub}/{t}.parquet")
         assert corpus_pipeline.run(spark, f"{tmp_path}/{sub}").count() in (0, 1, 2, 3, 4, 5)
+
+
+FREED = """
+import numpy as np
+from textprice.llm.common import tidy
+
+def anonymous():
+    with open("/proc/self/smaps_rollup") as f:
+        return next(int(line.split()[1]) for line in f if line.startswith("Anonymous")) / 1024
+
+def task(batches):
+    for n in batches:
+        parts = [np.ones(12000) for _ in range(n)]  # 96 KB each, under the size that is mapped on its own
+        kept.append(np.ones(12000))
+        yield len(parts)
+
+kept = []
+before = anonymous()
+assert list(tidy(task)([2000])) == [2000]
+assert anonymous() - before < 60, (before, anonymous())
+"""
+
+
+def test_a_task_leaves_no_freed_memory_in_its_worker():
+    """A worker held the 190 MB that a stage had freed through all later stages of the pipeline."""
+    subprocess.run([sys.executable, "-c", FREED], check=True, cwd=os.path.dirname(corpus_pipeline.__file__))
+    plain = FREED.replace("tidy(task)", "task")
+    assert subprocess.run([sys.executable, "-c", plain], check=False, capture_output=True, cwd=os.path.dirname(corpus_pipeline.__file__)).returncode

@@ -113,7 +113,7 @@ def write_chunks(docs: DataFrame, text: str, name: str, chunk_bytes: int = CHUNK
         if state["rows"]:
             yield flush()
 
-    return written(docs.mapInArrow(pack, "chunk long, rows long, raw_bytes long, blob binary"), name)
+    return written(docs.mapInArrow(tidy(pack), "chunk long, rows long, raw_bytes long, blob binary"), name)
 
 
 def worker_state() -> dict:

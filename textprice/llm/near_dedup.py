@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (MADE, M64, drop_intermediates, hash_words, mix64, quoted, split_words, text_column, unpack, without,
-                     write_chunks, written)
+from .common import (MADE, M64, drop_intermediates, hash_words, mix64, quoted, split_words, text_column, tidy, unpack,
+                     without, write_chunks, written)
 from .components import components
 
 SHINGLE = 5
@@ -196,7 +196,7 @@ def signatures(chunks: DataFrame, text: str, key: str, key_type, shingle: int, w
                     [pa.array((chunk << 16) + np.arange(len(lens)), pa.int64()), pa.concat_arrays(tbl.column(key).chunks),
                      pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=spec.names)
 
-    return written(chunks.select("chunk", "blob").mapInArrow(sign, spec), "signatures")
+    return written(chunks.select("chunk", "blob").mapInArrow(tidy(sign), spec), "signatures")
 
 
 def shingle_sets(chunks: DataFrame, rids: DataFrame, text: str, shingle: int, weights: str) -> DataFrame:
@@ -225,7 +225,7 @@ def shingle_sets(chunks: DataFrame, rids: DataFrame, text: str, shingle: int, we
                     [pa.array([(chunk << 16) + r for r in rows], pa.int64()), pa.array(out, pa.binary())], names=["rid", "elements"])
 
     both = chunks.select("chunk", "blob").join(wanted, "chunk")
-    return written(both.mapInArrow(sets, "rid long, elements binary"), "shingles")
+    return written(both.mapInArrow(tidy(sets), "rid long, elements binary"), "shingles")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -242,7 +242,7 @@ def linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     a, b = sets.toDF("a", "ea"), sets.toDF("b", "eb")
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "ea", "eb").mapInArrow(keep, "a long, b long")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "ea", "eb").mapInArrow(tidy(keep), "a long, b long")
 
 
 def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
@@ -259,7 +259,7 @@ def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(e.astype(np.int64)), pa.array(n.astype(np.int64))], names=["e", "n"])
 
     sample = sets.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE).select("elements")
-    common = (sample.mapInArrow(count, "e long, n long").groupBy("e").agg(F.sum("n").alias("n")).where("n > 1")
+    common = (sample.mapInArrow(tidy(count), "e long, n long").groupBy("e").agg(F.sum("n").alias("n")).where("n > 1")
               .orderBy(F.desc("n"), "e").limit(COMMON).collect())  # COMMON rows of two numbers
     common = sorted((r["e"], r["n"]) for r in common)
     known = np.array([e for e, _ in common] + [1 << 32], dtype=np.int64)
@@ -284,7 +284,7 @@ def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
                 [pa.array(np.concatenate(out)), pa.array(np.repeat(rid, take)), pa.array(n.astype(np.int32)), pa.array(left.astype(np.int32))],
                 names=["bucket", "rid", "n", "left"])
 
-    return sets.mapInArrow(rarest, "bucket long, rid long, n int, left int")
+    return sets.mapInArrow(tidy(rarest), "bucket long, rid long, n int, left int")
 
 
 def cells(pool: DataFrame, size: int, star: bool) -> DataFrame:
@@ -359,7 +359,7 @@ def candidates(pool: DataFrame, threshold: float, size: int, star: bool) -> Data
 
     rows = cells(pool, size, star).select("bucket", "cell", "rid", "label", "n", "left", "own")
     return (rows.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "n", "rid")
-            .mapInArrow(pairs, "a long, b long").distinct())
+            .mapInArrow(tidy(pairs), "a long, b long").distinct())
 
 
 def near_links(bands: DataFrame, chunks: DataFrame, text: str, shingle: int, weights: str, threshold: float) -> DataFrame:
@@ -434,4 +434,4 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
                 tbl = tbl.append_column("kept", pa.array([t["kept"] for t in told], pa.bool_()))
                 yield from tbl.to_batches(max_chunksize=2000)
 
-    return chunks.select("chunk", "blob").join(told, "chunk").select("blob", "told").mapInArrow(back, schema)
+    return chunks.select("chunk", "blob").join(told, "chunk").select("blob", "told").mapInArrow(tidy(back), schema)

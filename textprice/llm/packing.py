@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import quoted, without, worker_state, written
+from .common import quoted, tidy, without, worker_state, written
 from .ragged import distinct, gather, slices, starts
 
 CAPACITY = 4096
@@ -173,7 +173,7 @@ def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id
                        pa.array(crc, pa.int64()), pa.array([task] * len(row), pa.int32()), pa.array(nth, pa.int64())],
                     names=[*keep, "piece", "start", "length", "ids_crc32", "_task", "_nth"])
 
-    return docs.mapInArrow(pieces, spec)
+    return docs.mapInArrow(tidy(pieces), spec)
 
 
 def fullest(room: int, counts, lengths) -> dict[int, int]:
@@ -269,4 +269,4 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, text: str = "text", capaci
                 [*batch.columns[:-1], pa.array(base[slot] + k % bins[slot], pa.int64()),
                  pa.array(at[slot] + k // bins[slot] * n, pa.int64())], names=out.names)
 
-    return numbered.mapInArrow(place, out)
+    return numbered.mapInArrow(tidy(place), out)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_words, mix64, quoted, split_words, without
+from .common import hash_words, mix64, quoted, split_words, tidy, without
 
 BITS = 18
 SCALE = 10.0
@@ -127,8 +127,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
                 model.learn(i, x.astype(np.float64), y)
         yield pa.RecordBatch.from_arrays([pa.array([model.weights(slice(None)).tobytes()], pa.binary())], names=["w"])
 
-    vectors = rows.select("h", "y", "t").mapInArrow(sparse, "h long, y double, i binary, x binary")
-    found = vectors.repartition(1).sortWithinPartitions("h").mapInArrow(fit, "w binary").first()
+    vectors = rows.select("h", "y", "t").mapInArrow(tidy(sparse), "h long, y double, i binary, x binary")
+    found = vectors.repartition(1).sortWithinPartitions("h").mapInArrow(tidy(fit), "w binary").first()
     return np.frombuffer(found["w"], np.float64) if found else np.zeros((1 << bits) + 1)
 
 
@@ -158,4 +158,4 @@ def score(docs: DataFrame, weights, text: str = "text", threshold: float = THRES
                     [*batch.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32), pa.int32())],
                     names=schema.names)
 
-    return docs.mapInArrow(dot, schema)
+    return docs.mapInArrow(tidy(dot), schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hash_words, mix64, quoted, split_words, text_column, unpack, without, write_chunks
+from .common import hash_words, mix64, quoted, release, split_words, text_column, tidy, unpack, without, write_chunks
 
 WIDTH = 35
 BUCKET_WINDOWS = 1 << 20
@@ -99,6 +99,7 @@ def repeated_bits(chunks: DataFrame, text: str, width: int, buckets: int) -> Dat
     def count(tbl):
         import numpy as np
         import pyarrow as pa
+        release()
         sizes = np.array([len(x.as_buffer()) // 8 for x in tbl.column("hashes")], dtype=np.int64)
         h = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in tbl.column("hashes")])
         order = np.argsort(h)
@@ -114,7 +115,7 @@ def repeated_bits(chunks: DataFrame, text: str, width: int, buckets: int) -> Dat
                          "bucket": tbl.column("bucket").take(pa.array(some, pa.int64())),
                          "bits": pa.array([np.packbits(parts[i]).tobytes() for i in some], pa.binary())})
 
-    sent = chunks.select("chunk", "blob").mapInArrow(send, "bucket long, chunk long, hashes binary")
+    sent = chunks.select("chunk", "blob").mapInArrow(tidy(send), "bucket long, chunk long, hashes binary")
     return sent.groupBy("bucket").applyInArrow(count, "chunk long, bucket long, bits binary")
 
 
@@ -172,4 +173,4 @@ def substring_dedup(docs: DataFrame, text: str = "text", width: int = WIDTH,
                 out = out.append_column("kept_text", pa.array([k.decode("utf-8", "surrogatepass") for k in kept], pa.string()))
                 yield from out.to_batches(max_chunksize=2000)
 
-    return both.mapInArrow(cut, schema)
+    return both.mapInArrow(tidy(cut), schema)
