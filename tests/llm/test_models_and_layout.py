@@ -333,3 +333,46 @@ def test_search_recall_of_the_query(spark):
     want = {(r[0], r[2]) for r in duck("/root/testdata/sf0.1").execute(NEAREST_SQL).fetchall()}
     got = {(r["query_id"], r["vec_id"]) for r in QUERIES["op10_one_bit_search"](spark, "/root/testdata/sf0.1").collect()}
     assert len(got & want) >= 0.98 * len(want)
+
+
+def test_words_of_a_class_depend_on_the_context(spark):
+    """Words of one count, of which half follow one word and half another: each is likelier where it belongs.  With a
+    word's share of its class for its probability they were alike."""
+    texts = [f"{a} {b}{i}" for i in range(60) for a, b in (("left", "x"), ("right", "y"))] * 9 + [f"n{i}" for i in range(45)] * 50
+    probe = [f"left {b}{i}" for b in "xy" for i in range(60)]
+    docs = spark.createDataFrame([(t, True) for t in texts] + [(t, False) for t in probe], "text string, train boolean")
+    p = {r["text"]: r["score"] for r in maxent_lm.score_language_model(docs).where("NOT train").collect()}
+    gain = np.array([p[f"left x{i}"] - p[f"left y{i}"] for i in range(60)])
+    assert gain.mean() > 0.3 and np.mean(gain > 0) > 0.8
+
+
+def test_ways_to_words_are_a_distribution():
+    """Any weights: over all words of a class, the products along their ways add up to 1."""
+    rng = np.random.default_rng(4)
+    per = np.zeros((3, maxent_lm.CELLS), dtype=np.int64)
+    counts = {0: 1, 8: 2, 12: 3, 25: 9, 31: 15}  # cell: a count in it
+    for cell, n in zip(counts, ((200, 3, 400), (1, 0, 0), (5, 6, 7), (4, 4, 9), (0, 1, 0)), strict=True):
+        assert maxent_lm.cell_of(np.array([counts[cell]]))[0] == cell
+        per[:, cell] = n
+    mass = [counts.get(c, 0) for c in range(maxent_lm.CELLS)] * per
+    top = [{"bucket": 0, "n": 9, "rank": 1}, {"bucket": 2, "n": 9, "rank": 8}, {"bucket": 1, "n": 15, "rank": 0}]
+    v = maxent_lm.Vocabulary.__new__(maxent_lm.Vocabulary)
+    v.number_words([{"bucket": b, "cells": per[b].tolist(), "mass": mass[b]} for b in range(3)], top, 3)
+    words = [(counts[c], b, r) for c in counts for b in range(3) for r in range(per[b, c])
+             if not any((t["n"], t["bucket"], t["rank"]) == (counts[c], b, r) for t in top)]
+    n = np.array([w[0] for w in words])
+    numbers = np.array([v.numbers(np.array([c]), b, np.array([r]))[0] for c, b, r in words])
+    kind = maxent_lm.band_of(n)
+    path = v.paths(kind, n, numbers)
+    w = rng.normal(size=((1 + maxent_lm.FEATURES) * maxent_lm.WORD_ROWS, maxent_lm.FAN)).astype(np.float32)
+    hashes = [np.full(len(n), x, dtype=np.uint64) for x in (5, 6, 7)]  # one context for all
+    some = np.flatnonzero(path[0] > 0)
+    rows, child, prior, lens = maxent_lm.word_rows(path, np.arange(len(n)), hashes, some)
+    taken = maxent_lm.log_share(maxent_lm.added(w, rows, v.prior.take(prior, axis=0)), child)
+    p = np.ones(len(n))
+    p[some] = np.exp(np.add.reduceat(taken, maxent_lm.starts(lens)))
+    for k in np.unique(kind):
+        assert p[kind == k].sum() == pytest.approx(1, abs=1e-4)
+    zero = maxent_lm.log_share(maxent_lm.added(np.zeros_like(w), rows, v.prior.take(prior, axis=0)), child)  # untrained: shares of the tokens
+    p[some] = np.exp(np.add.reduceat(zero, maxent_lm.starts(lens)))
+    assert np.allclose(p, n / np.bincount(kind, n)[kind], rtol=1e-4)
