@@ -127,10 +127,8 @@ def release() -> None:
     """Give back to the system what this Python process has freed: Spark keeps its workers for later tasks and
     stages, and their allocators keep what the largest task before needed."""
     import ctypes
-    import gc
 
     import pyarrow as pa
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim is not None:
