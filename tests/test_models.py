@@ -63,3 +63,33 @@ def test_fitting_leaves_nothing_cached_and_a_missing_model_raises(spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
     with pytest.raises(Exception, match="(?i)does not exist|not found|Input path"):
         pp.load_model(os.path.join("/tmp", "no-such-model"))
+
+
+def test_trees_are_compared_in_few_partitions_and_all_folds_at_once(spark):
+    import threading
+
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    rows = [(Vectors.dense([i % 7, i % 11]), float(i % 7 + (i % 11) ** 2), i % 5) for i in range(300)]
+    train = spark.createDataFrame(rows, ["features", "close", "fold"]).withColumn("fold", F.col("fold").cast("int")).repartition(12)
+    seen, together = [], threading.Barrier(5)
+
+    class Tree(DecisionTreeRegressor):
+        def fit(self, dataset, params=None):
+            seen.append(dataset.rdd.getNumPartitions())
+            if len(seen) <= 5:
+                together.wait(60)  # breaks if folds are fitted one after another
+            return super().fit(dataset, params)
+
+    est = Tree(labelCol="close", seed=42)
+    grid = ParamGridBuilder().addGrid(est.maxDepth, [3]).build()
+    got = models.compare_models(train, train, models=[("Tree", est, grid)], parallelism=5).first()
+    assert seen == [1] * 6 and not train.is_cached
+    plain = DecisionTreeRegressor(labelCol="close", seed=42)
+    cv = CrossValidator(estimator=plain, estimatorParamMaps=ParamGridBuilder().addGrid(plain.maxDepth, [3]).build(), numFolds=5,
+                        foldCol="fold", evaluator=RegressionEvaluator(labelCol="close"))
+    assert abs(got.avg_rmse - cv.fit(train.coalesce(1)).avgMetrics[0]) < 1e-9
+    with pytest.raises(ValueError, match="fold"):
+        models.compare_models(train.where("fold <> 2"), train, models=[("Tree", est, grid)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,6 +99,32 @@ def linear_cross_validation(df: DataFrame, features: str = "features", label: st
     return spark.createDataFrame(rows, "fold int, n long, rmse double")
 
 
+ROWS_PER_TASK = 1 << 14  # of the compared models' jobs: some 14 MB of 104 features
+
+
+def check_folds(sizes: dict, num_folds: int) -> None:
+    """``sizes`` (rows by fold) must have all folds and no others."""
+    odd = [f for f in sizes if f is None or not 0 <= f < num_folds]
+    if odd:
+        raise ValueError(f"fold numbers must be in [0, {num_folds}), but there is {odd[0]}")
+    for f in range(num_folds):
+        if not sizes.get(f):
+            raise ValueError(f"the validation data of fold {f} is empty")
+
+
+def cross_validation(train: DataFrame, est, grid, evaluator, fold_col: str, num_folds: int, pool):
+    """Each grid point's error, averaged over the folds.  All folds' and grid points' fits are submitted to ``pool`` at
+    once: a tree's levels are jobs that wait for one another, so one fold after another would leave the cluster idle."""
+    import numpy as np
+
+    def error(params, fold):
+        model = est.fit(train.where(F.col(fold_col) != fold), params)
+        return evaluator.evaluate(model.transform(train.where(F.col(fold_col) == fold)))
+
+    runs = [[pool.submit(error, params, f) for f in range(num_folds)] for params in grid]
+    return np.array([np.mean([r.result() for r in row]) for row in runs], dtype=float)
+
+
 MODEL_COMPARE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("avg_rmse", T.DoubleType()),
     T.StructField("std_rmse", T.DoubleType()), T.StructField("max_rmse", T.DoubleType()),
@@ -114,35 +140,46 @@ def compare_models(train: DataFrame, test: DataFrame, features: str = "features"
     points' fold-averaged RMSE (mean, population std, max, min), R² of the best model on the
     training rows (as the reference reports) and, in addition, RMSE/R² on the held-out rows.
     The fitting is Spark ML (distributed); only the per-model summary numbers are local."""
+    from concurrent.futures import ThreadPoolExecutor
+
     import numpy as np
     spark = train.sparkSession
     parallelism = parallelism or spark.sparkContext.defaultParallelism
     rmse_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
     r2_eval = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
+
     def evaluate(item):
         name, est, grid = item
         plain = isinstance(est, LinearRegression) and len(grid) == 1 and est.getRegParam() == 0 and est.getFitIntercept()
         if plain:  # every fold's fit from one pass
-            folds = [r["rmse"] for r in linear_cross_validation(train, features, label, fold_col).collect()]
-            best, metric = est.fit(train), np.array([np.mean(folds)])
-            return summary(name, best, metric, grid)
-        cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=rmse_eval,
-                            numFolds=num_folds, foldCol=fold_col, parallelism=parallelism, seed=seed)
-        m = cv.fit(train)
-        return summary(name, m.bestModel, np.array(m.avgMetrics, dtype=float), grid)
+            folds = [r["rmse"] for r in linear_cross_validation(few, features, label, fold_col).collect()]
+            return summary(name, est.fit(few), np.array([np.mean(folds)]), grid)
+        check_folds(sizes, num_folds)
+        metric = cross_validation(few, est, grid, rmse_eval, fold_col, num_folds, fits)
+        return summary(name, est.fit(few, grid[int(metric.argmin())]), metric, grid)
 
     def summary(name, best, metric, grid):
-        tr, te = best.transform(train), best.transform(test)
+        tr, te = best.transform(few), best.transform(test)
         return (name, float(metric.mean()), float(metric.std()), float(metric.max()),
                 float(metric.min()), float(r2_eval.evaluate(tr)), float(rmse_eval.evaluate(te)),
                 float(r2_eval.evaluate(te)), len(grid))
 
-    # The models' cross-validations are independent: their (many, small) Spark jobs are
-    # submitted from concurrent driver threads so the cluster is not idle between them.
-    from concurrent.futures import ThreadPoolExecutor
-    candidates = list(models or candidate_models(features, label, seed))
-    with ThreadPoolExecutor(max_workers=len(candidates)) as pool:
-        rows = list(pool.map(evaluate, candidates))
+    own = not train.is_cached
+    if own:
+        train = train.persist()
+    try:
+        sizes = {r[fold_col]: r["count"] for r in train.groupBy(fold_col).count().collect()}  # a row per fold
+        # Trees are grown by some thousand short jobs over all partitions.  The cached rows are read in as few
+        # partitions as their number needs, not in as many as made them.
+        few = train.coalesce(max(1, -(-sum(sizes.values()) // ROWS_PER_TASK)))
+        # The models' cross-validations are independent: their (many, small) Spark jobs are
+        # submitted from concurrent driver threads so the cluster is not idle between them.
+        candidates = list(models or candidate_models(features, label, seed))
+        with ThreadPoolExecutor(max_workers=parallelism) as fits, ThreadPoolExecutor(max_workers=len(candidates)) as pool:
+            rows = list(pool.map(evaluate, candidates))
+    finally:
+        if own:
+            train.unpersist()
     return spark.createDataFrame(rows, MODEL_COMPARE_SCHEMA).orderBy("avg_rmse")
 
 
