@@ -54,8 +54,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # a small cache of words: the Python workers still hold memory of the stages before
-    return best_fit_packing(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, cached_words=60_000)
+    # small slices, and nothing kept for later tasks: the executors' JVMs still hold memory of the stages before
+    return best_fit_packing(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, cached_words=150_000,
+                            slice_bytes=1 << 20, keep_encoder=False)
 
 
 def stage(function: Callable) -> Callable:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import quoted, tidy, without, worker_state, written
-from .ragged import distinct, gather, slices, starts
+from .ragged import SLICE_BYTES, distinct, gather, slices, starts
 
 CAPACITY = 4096
 END_ID = 1
@@ -128,7 +128,7 @@ def word_encoder(tokenizer: str, cached_words: int) -> WordEncoder:
 
 
 def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id: int, keep,
-               cached_words: int = CACHED_WORDS) -> DataFrame:
+               cached_words: int = CACHED_WORDS, slice_bytes: int = SLICE_BYTES, keep_encoder: bool = True) -> DataFrame:
     """One row per piece, with the task that made it and its number among the task's pieces of
     that length."""
     spec = T.StructType([docs.schema[c] for c in keep] + [
@@ -144,13 +144,13 @@ def cut_pieces(docs: DataFrame, text: str, tokenizer: str, capacity: int, end_id
         import pyarrow.compute as pc
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
-        encoder = word_encoder(tokenizer, cached_words)
+        encoder = word_encoder(tokenizer, cached_words) if keep_encoder else WordEncoder(load_tokenizer(tokenizer), cached_words)
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = int(end_id).to_bytes(4, "little")
         place = len(keep)  # the text is the last column
         for whole in batches:
             column = whole.column(place).fill_null("")
-            for lo, hi in slices(pc.binary_length(column).to_pylist()):
+            for lo, hi in slices(pc.binary_length(column).to_pylist(), slice_bytes):
                 batch, texts = whole.slice(lo, hi - lo), column.slice(lo, hi - lo).to_pylist()
                 flat, lens = encoder.encode(texts)
                 row, piece, start, length, crc, nth = [], [], [], [], [], []
@@ -237,12 +237,14 @@ def slots(patterns):
 
 
 def best_fit_packing(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int = CAPACITY,
-                     end_id: int = END_ID, cached_words: int = CACHED_WORDS) -> DataFrame:
+                     end_id: int = END_ID, cached_words: int = CACHED_WORDS, slice_bytes: int = SLICE_BYTES,
+                     keep_encoder: bool = True) -> DataFrame:
     """One row per piece: the columns of ``docs`` but for the text, then piece, start, length,
-    ids_crc32, sequence_id and offset."""
+    ids_crc32, sequence_id and offset.  A task encodes some ``slice_bytes`` of text at a time, for which it needs some
+    fifty times as much memory; ``keep_encoder``: workers keep vocabulary and words' ids for later tasks."""
     keep = [c for c in without(docs, OUTPUTS) if c != text]
     docs = docs.select(*[quoted(c) for c in keep], quoted(text))
-    pieces = written(cut_pieces(docs, text, tokenizer, capacity, end_id, keep, cached_words), "pieces")
+    pieces = written(cut_pieces(docs, text, tokenizer, capacity, end_id, keep, cached_words, slice_bytes, keep_encoder), "pieces")
     by_task = pieces.groupBy("_task", "length").agg(F.count("*").alias("n"))
     counts = [0] * (capacity + 1)
     for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect():  # ``capacity`` rows at most
