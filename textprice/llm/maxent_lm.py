@@ -52,6 +52,7 @@ FEATURES = 3
 ROUNDS = 2
 RATE = 0.1
 BATCH = 8192
+FEW = 8
 SUBS, FAN, FAN_BITS = 8, 16, 4
 CELLS = BANDS * SUBS
 DEPTH = 13  # of a cell's tree at most: 2^52 words
@@ -303,7 +304,7 @@ def context_rows(h, lens):
 
 def class_rows(hashes):
     import numpy as np
-    return np.stack([(r % np.uint64(HASHED)).astype(np.int64) + 1 + i * HASHED for i, r in enumerate(hashes)], axis=1)
+    return np.stack([(r % np.uint64(HASHED)).astype(np.int64) + 1 + i * HASHED for i, r in enumerate(hashes)]).T
 
 
 def word_rows(path, place, hashes, some):
@@ -313,7 +314,7 @@ def word_rows(path, place, hashes, some):
     n = lens[place[some]]
     at = np.repeat(first[place[some]] - starts(n), n) + np.arange(int(n.sum()))
     token, node = np.repeat(some, n), node[at]
-    rows = np.empty((len(at), 1 + FEATURES), dtype=np.int64)
+    rows = np.empty((1 + FEATURES, len(at)), dtype=np.int64).T  # a feature's rows side by side
     for f in range(1 + FEATURES):
         x = node ^ hashes[f - 1][token] if f else node
         rows[:, f] = (x * np.uint64(ODD) >> np.uint64(64 - WORD_BITS)).astype(np.int64) + f * WORD_ROWS
@@ -331,9 +332,15 @@ def logits(w, rows):
     return added(w, rows[:, 1:], w.take(rows[:, 0], axis=0) + w[0])
 
 
+def highest(z):
+    """The largest value of each row; of short rows by columns, not row by row."""
+    import numpy as np
+    return np.ascontiguousarray(z.T).max(axis=0) if z.shape[1] <= FAN else z.max(axis=1)
+
+
 def softmax(z):
     import numpy as np
-    z -= z.max(axis=1, keepdims=True)
+    z -= highest(z)[:, None]
     np.exp(z, out=z)
     z /= z.sum(axis=1, keepdims=True)
     return z
@@ -342,18 +349,50 @@ def softmax(z):
 def log_share(z, target):
     """Log probability of each row's target."""
     import numpy as np
-    top = z.max(axis=1)
+    top = highest(z)
     own = z[np.arange(len(z)), target].astype(np.float64)
     return own - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
 
 
 def by_row(rows, p):
-    """Distinct rows, the sums of p's rows of each, and how many."""
+    """Distinct rows, the sums of p's rows of each, and how many.  Most rows are met a few times: their k-th places are
+    added at once, for all such rows; only rows met more than ``FEW`` times are summed one by one."""
     import numpy as np
     order = np.argsort(rows.astype(np.uint16), kind="stable")  # fewer than 2^16 rows: sorted by radix
     at = rows[order]
     begin = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    return at[begin], np.add.reduceat(p.take(order, axis=0), begin, axis=0), np.diff(np.append(begin, len(at)))
+    n = np.diff(np.append(begin, len(at)))
+    out = np.empty((len(n), p.shape[1]), dtype=p.dtype)
+    many = np.flatnonzero(n > FEW)
+    if len(many):
+        first, size = starts(n[many]), n[many]
+        place = np.repeat(begin[many] - first, size) + np.arange(int(size.sum()))
+        out[many] = np.add.reduceat(p.take(order[place], axis=0), first, axis=0)
+    few = np.flatnonzero(n <= FEW)
+    few = few[np.argsort(-n[few].astype(np.int8), kind="stable")]
+    begin_few, left = begin[few], np.bincount(n[few], minlength=FEW + 1)[::-1].cumsum()[::-1]  # left[k]: rows met k times or more
+    total = p.take(order[begin_few], axis=0)
+    if left[2]:
+        rest = p.take(order[begin_few[:left[2]] + 1], axis=0)
+        for k in range(3, FEW + 1):
+            if left[k]:
+                rest[:left[k]] += p.take(order[begin_few[:left[k]] + k - 1], axis=0)
+        total[:left[2]] += rest
+    out[few] = total
+    return at[begin], out, n
+
+
+def descend(w, squares, at, g, rate: float, least) -> None:
+    """One AdaGrad update, in place, of the distinct rows ``at`` of the weights by their gradients."""
+    import numpy as np
+    q = squares.take(at, axis=0)
+    q += g * g
+    squares[at] = q
+    q += least
+    np.sqrt(q, out=q)
+    g *= np.float32(rate)
+    g /= q
+    w[at] = w.take(at, axis=0) - g
 
 
 def step(w, squares, rows, target) -> None:
@@ -364,8 +403,7 @@ def step(w, squares, rows, target) -> None:
     p /= np.float32(len(target))
     for f in range(FEATURES):
         at, g, _ = by_row(rows[:, f], p)
-        squares[at] += g * g
-        w[at] -= np.float32(RATE) * g / np.sqrt(squares[at] + np.float32(1e-12))
+        descend(w, squares, at, g, RATE, np.float32(1e-12))
 
 
 def word_step(w, squares, met, rows, child, prior) -> None:
@@ -377,8 +415,7 @@ def word_step(w, squares, met, rows, child, prior) -> None:
         at, g, n = by_row(rows[:, f] - f * WORD_ROWS, p)
         at += f * WORD_ROWS
         met[at] += n
-        squares[at] += g * g
-        w[at] -= np.float32(WORD_RATE) * g / np.sqrt(squares[at] + 1)
+        descend(w, squares, at, g, WORD_RATE, np.float32(1))
 
 
 def counted(row, h, buckets, vocabulary):
