@@ -83,10 +83,21 @@ def tokens(texts):
     return out, lens
 
 
+def distinct(hashes):
+    """(distinct hashes, ascending, index of each hash among them); only the distinct ones are sorted."""
+    import numpy as np
+    import pandas as pd
+    place, keys = pd.factorize(hashes)
+    order = np.argsort(keys)
+    new = np.empty(len(order), dtype=np.int64)
+    new[order] = np.arange(len(order))
+    return keys[order], new[place]
+
+
 def distinct_tokens(hashes, buckets: int):
     """(distinct hashes dealt by bucket, bucket bounds, index of each token among them)."""
     import numpy as np
-    keys, place = np.unique(hashes, return_inverse=True)
+    keys, place = distinct(hashes)
     bucket = mix64(keys) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     new = np.empty(len(order), dtype=np.int64)
@@ -138,7 +149,7 @@ def corpus_counts(chunks: DataFrame, text: str, mark: str, buckets: int) -> Data
         import pyarrow as pa
         h = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in tbl.column("hashes")])
         c = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in tbl.column("counts")]).astype(np.int64)
-        keys, place = np.unique(h, return_inverse=True)
+        keys, place = distinct(h)
         total = np.zeros(len(keys), dtype=np.int64)
         np.add.at(total, place, c)
         answer, ends = total[place], np.cumsum([len(x.as_buffer()) // 8 for x in tbl.column("hashes")])
@@ -316,8 +327,12 @@ def word_rows(path, place, hashes, some):
     token, node = np.repeat(some, n), node[at]
     rows = np.empty((1 + FEATURES, len(at)), dtype=np.int64).T  # a feature's rows side by side
     for f in range(1 + FEATURES):
-        x = node ^ hashes[f - 1][token] if f else node
-        rows[:, f] = (x * np.uint64(ODD) >> np.uint64(64 - WORD_BITS)).astype(np.int64) + f * WORD_ROWS
+        x = hashes[f - 1].take(token) if f else np.zeros(len(at), dtype=np.uint64)
+        x ^= node
+        x *= np.uint64(ODD)
+        x >>= np.uint64(64 - WORD_BITS)
+        x += np.uint64(f * WORD_ROWS)
+        rows[:, f] = x
     return rows, child[at], prior[at], n
 
 
@@ -329,36 +344,57 @@ def added(w, rows, out):
 
 
 def logits(w, rows):
-    return added(w, rows[:, 1:], w.take(rows[:, 0], axis=0) + w[0])
+    z = w.take(rows[:, 0], axis=0)
+    z += w[0]
+    return added(w, rows[:, 1:], z)
 
 
-def highest(z):
-    """The largest value of each row; of short rows by columns, not row by row."""
+def exponentials(z):
+    """(e to the power of z less its row's highest, in place or in a copy; the highest values; the rows' sums).  Rows of ``FAN``
+    values are turned into columns, and their sums add halves of the columns in the order of numpy's sum of a row."""
     import numpy as np
-    return np.ascontiguousarray(z.T).max(axis=0) if z.shape[1] <= FAN else z.max(axis=1)
+    if z.shape[1] != FAN:
+        top = z.max(axis=1)
+        z -= top[:, None]
+        np.exp(z, out=z)
+        return z, top, z.sum(axis=1)
+    z = np.ascontiguousarray(z.T)
+    top = z.max(axis=0)
+    z -= top
+    np.exp(z, out=z)
+    total = z[:8] + z[8:]
+    while len(total) > 1:
+        total = total[::2] + total[1::2]
+    return z.T, top, total[0]
 
 
 def softmax(z):
     import numpy as np
-    z -= highest(z)[:, None]
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+    z, _, total = exponentials(z)
+    z /= total[:, None]
+    return np.ascontiguousarray(z)
 
 
 def log_share(z, target):
-    """Log probability of each row's target."""
+    """Log probability of each row's target; ``z`` is used up."""
     import numpy as np
-    top = highest(z)
     own = z[np.arange(len(z)), target].astype(np.float64)
-    return own - top - np.log(np.exp(z - top[:, None]).sum(axis=1))
+    _, top, total = exponentials(z)
+    return own - top - np.log(total)
+
+
+def put_rows(w, at, x) -> None:
+    """``w[at] = x`` for float rows, each copied as one piece of memory."""
+    import numpy as np
+    row = np.dtype((np.void, w.itemsize * w.shape[1]))
+    np.put(w.view(row), at, x.view(row))
 
 
 def by_row(rows, p):
     """Distinct rows, the sums of p's rows of each, and how many.  Most rows are met a few times: their k-th places are
     added at once, for all such rows; only rows met more than ``FEW`` times are summed one by one."""
     import numpy as np
-    order = np.argsort(rows.astype(np.uint16), kind="stable")  # fewer than 2^16 rows: sorted by radix
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # at most 2^16 rows: sorted by radix
     at = rows[order]
     begin = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     n = np.diff(np.append(begin, len(at)))
@@ -367,7 +403,7 @@ def by_row(rows, p):
     if len(many):
         first, size = starts(n[many]), n[many]
         place = np.repeat(begin[many] - first, size) + np.arange(int(size.sum()))
-        out[many] = np.add.reduceat(p.take(order[place], axis=0), first, axis=0)
+        put_rows(out, many, np.add.reduceat(p.take(order[place], axis=0), first, axis=0))
     few = np.flatnonzero(n <= FEW)
     few = few[np.argsort(-n[few].astype(np.int8), kind="stable")]
     begin_few, left = begin[few], np.bincount(n[few], minlength=FEW + 1)[::-1].cumsum()[::-1]  # left[k]: rows met k times or more
@@ -378,7 +414,7 @@ def by_row(rows, p):
             if left[k]:
                 rest[:left[k]] += p.take(order[begin_few[:left[k]] + k - 1], axis=0)
         total[:left[2]] += rest
-    out[few] = total
+    put_rows(out, few, total)
     return at[begin], out, n
 
 
@@ -387,12 +423,14 @@ def descend(w, squares, at, g, rate: float, least) -> None:
     import numpy as np
     q = squares.take(at, axis=0)
     q += g * g
-    squares[at] = q
+    put_rows(squares, at, q)
     q += least
     np.sqrt(q, out=q)
     g *= np.float32(rate)
     g /= q
-    w[at] = w.take(at, axis=0) - g
+    new = w.take(at, axis=0)
+    new -= g
+    put_rows(w, at, new)
 
 
 def step(w, squares, rows, target) -> None:
@@ -412,8 +450,7 @@ def word_step(w, squares, met, rows, child, prior) -> None:
     p = softmax(added(w, rows, prior))
     p[np.arange(len(child)), child] -= 1
     for f in range(1 + FEATURES):
-        at, g, n = by_row(rows[:, f] - f * WORD_ROWS, p)
-        at += f * WORD_ROWS
+        at, g, n = by_row(rows[:, f], p)
         met[at] += n
         descend(w, squares, at, g, WORD_RATE, np.float32(1))
 
