@@ -247,7 +247,7 @@ SELECT doc_id, count(*) AS n, true AS finite FROM posts_dirty WHERE coalesce({cl
 def score_dirty(spark, sf):
     """G16/G17 on dirty rows: rows without a close don't train, all rows with inputs and a text are scored."""
     p = fx.posts_dirty(spark, sf)
-    s = pp.score(p, pp.fit_full_model(p))
+    s = pp.score(p, pp.fit_full_model(p), ["doc_id", "prediction"])
     return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.every(finite()).alias("finite"))
 
 
