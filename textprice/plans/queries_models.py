@@ -9,7 +9,7 @@ from ..operators import features as ft
 from ..operators import joins, models, stats
 from ..operators import timeseries as ts
 from ..schemas import PREDICTION_MESSAGE_SCHEMA
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources import fixtures as fx
 from ..streaming import ingest, kpis, score
 from . import preprocessing as pp
@@ -293,12 +293,10 @@ def model_compare(spark, sf):
     p = _split_posts(spark, sf)
     train_raw = p.filter(F.col("part") == "train")
     prep = pp.fit_preprocessing(train_raw)  # fitted inside the split (no leakage)
-    train = ft.fold_column(prep.transform(train_raw)).select("features", "close", "fold").persist()
-    test = prep.transform(p.filter(F.col("part") == "test")).select("features", "close").persist()
-    try:
+    train = ft.fold_column(pp.narrow(train_raw, prep, ["doc_id", "features", "close"])).select("features", "close", "fold")
+    test = pp.narrow(p.filter(F.col("part") == "test"), prep, ["features", "close"])
+    # tables, which need no exchange and no rows to embed while models are compared
+    with pp.rows_dropped(spark), stored(train, "compared-train") as train, stored(test, "compared-test") as test:
         c = models.compare_models(train, test)
-    finally:
-        train.unpersist()
-        test.unpersist()
     ordered = (F.col("min_rmse") <= F.col("avg_rmse")) & (F.col("avg_rmse") <= F.col("max_rmse")) & finite("test_r2")
     return c.select("model", "n_points", ordered.alias("ordered"))
