@@ -281,8 +281,8 @@ def model_roundtrip(spark, sf):
     model = pp.fit_full_model(p.filter(F.col("part") == "train"))
     path = pp.save_model(model, scratch_path(spark, "model"))
     test = p.filter(F.col("part") == "test")
-    a = model.transform(test).select("doc_id", "prediction")
-    b = pp.score_saved(test, path).select("doc_id", F.col("prediction").alias("reloaded_prediction"))
+    a = pp.score(test, model, ["doc_id", "prediction"])
+    b = pp.score_saved(test, path, ["doc_id", "prediction"]).withColumnRenamed("prediction", "reloaded_prediction")
     return a.join(b, "doc_id").select("doc_id", (F.abs(F.col("prediction") - F.col("reloaded_prediction")) < 1e-9).alias("same"))
 
 
