@@ -210,7 +210,8 @@ def feature_width(spark, sf):
 def batch_score(spark, sf):
     p = _split_posts(spark, sf)
     model = pp.fit_full_model(p.filter(F.col("part") == "train"))
-    return pp.score(p.filter(F.col("part") == "test"), model).select("doc_id", "close", finite().alias("finite"))
+    s = pp.score(p.filter(F.col("part") == "test"), model, ["doc_id", "close", "prediction"])
+    return s.select("doc_id", "close", finite().alias("finite"))
 
 
 NUMBERS_SQL = """, part AS (SELECT doc_id, close, open, high, low, volume,
