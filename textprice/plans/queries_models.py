@@ -203,7 +203,7 @@ def _split_posts(spark, sf):
 @register("feature_width", "SELECT 104 AS min_width, 104 AS max_width, count(*) AS n_rows FROM clean_posts WHERE clean_tweet <> ''")
 def feature_width(spark, sf):
     p = _split_posts(spark, sf)
-    return models.feature_width(pp.fit_preprocessing(p).transform(p))
+    return models.feature_width(pp.narrow(p, pp.fit_preprocessing(p), ["features"]))
 
 
 @register("batch_score", _PART + "SELECT doc_id, close, true AS finite FROM part WHERE part = 'test'")
