@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import stats, textops
+from ..session import stored
 from ..sources import fixtures as fx
 from .catalog import register
 from .oracle import clean_sql, fingerprint_sql, tokens_sql
@@ -135,11 +136,8 @@ def _tokens(spark, sf):
 def embed_text(spark, sf):
     """Word2Vec document vectors of the cleaned, stop-word-free posts."""
     from pyspark.ml.functions import vector_to_array
-    t = _tokens(spark, sf).select("doc_id", "tokens").persist()
-    try:
+    with stored(_tokens(spark, sf).select("doc_id", "tokens"), "tokens") as t:
         e = textops.word2vec(vector_size=100, num_partitions=spark.sparkContext.defaultParallelism).fit(t).transform(t)
-    finally:
-        t.unpersist()
     v = vector_to_array("embedding")
     return e.select("doc_id", F.size(v).alias("dim"), F.forall(v, lambda x: F.abs(x) < float("inf")).alias("finite"))
 
@@ -152,14 +150,11 @@ def embed_sharded(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
     from ..operators.embedding import ShardedWord2Vec
-    t = _tokens(spark, sf).select("doc_id", "tokens").persist()
-    try:
+    with stored(_tokens(spark, sf).select("doc_id", "tokens"), "tokens") as t:
         e = ShardedWord2Vec(vectorSize=100, maxIter=1).fit(t).transform(t)
-        v = vector_to_array("embedding")
-        return e.select("doc_id", F.size(v).alias("dim"), F.exists(v, lambda x: x != 0).alias("moved"),
-                        F.forall(v, lambda x: F.abs(x) < float("inf")).alias("finite"))
-    finally:
-        t.unpersist()
+    v = vector_to_array("embedding")
+    return e.select("doc_id", F.size(v).alias("dim"), F.exists(v, lambda x: x != 0).alias("moved"),
+                    F.forall(v, lambda x: F.abs(x) < float("inf")).alias("finite"))
 
 
 @register("embed_hashed", _TOK_CTE + f"""
